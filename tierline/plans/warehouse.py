@@ -43,11 +43,17 @@ MODEL_TESTS = [
 # ---------------------------------------------------------------------------
 
 
-def load_gold_table(spark: SparkSession, root: str, key: str = "trek_id") -> DataFrame:
+def load_gold_table(
+    spark: SparkSession, root: str, key: str = "trek_id", recursive: bool = True
+) -> DataFrame:
     """Every ``part-*.parquet`` under ``root`` (sub-folders included) as one
     table with the union schema, minus rows whose key is NULL (rows of a
-    summary that sits below the folder have no key)."""
-    return drop_null_keys(load_stage(spark, root), [key])
+    summary that sits below the folder have no key).
+
+    A folder written with ``partitionBy`` keeps its partition column only
+    with ``recursive=False`` (partition discovery instead of a flat walk).
+    """
+    return drop_null_keys(load_stage(spark, root, recursive=recursive), [key])
 
 
 def trek_mart(
@@ -64,7 +70,7 @@ def trek_mart(
         summary=weather_summary,
         events=weather_hourly,
         grain=grain,
-        summary_cols=[c for c in SUMMARY_COLUMNS] if grain == "entity" else SUMMARY_COLUMNS,
+        summary_cols=SUMMARY_COLUMNS,
         event_cols=HOURLY_COLUMNS,
         columns=[c for c in MART_WEATHER_COLUMNS if grain != "entity" or c in SUMMARY_COLUMNS],
     )
@@ -79,12 +85,16 @@ def run_warehouse(
     mart_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """Register the staged sources and the models, materialise the mart as a
-    table when ``mart_path`` is given, and return models plus test results."""
+    table when ``mart_path`` is given, and return models plus test results.
+
+    ``weather_root`` is the date-partitioned gold folder (loaded with
+    partition discovery); the other two are walked recursively.
+    """
     sources = register_sources(
         spark,
         {
             "stg_treks": load_gold_table(spark, treks_root),
-            "stg_weather": load_gold_table(spark, weather_root),
+            "stg_weather": load_gold_table(spark, weather_root, recursive=False),
             "stg_weather_summary": load_gold_table(spark, summary_root),
         },
     )

@@ -46,7 +46,7 @@ def get_session(
     spark = builder.getOrCreate()
     # Runtime SQL confs also apply to an already-running session.
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 
