@@ -266,3 +266,40 @@ def test_golden_feed(spark, tmp_dir):
     overall = {r.overall_condition: r["count"] for r in
                spark.read.parquet(w["summary"]).groupBy("overall_condition").count().collect()}
     assert overall == {"Red - High Risk": 1, "Yellow - Caution": 67, "Green - Normal": 20}
+
+
+def test_trek_ingest_csv_outputs(spark, treks_csv, tmp_dir):
+    out = T.run_trek_ingest(spark, treks_csv, tmp_dir + "/ing")
+    rep = spark.read.option("header", True).csv(out["quality_report"])
+    assert rep.columns == ["check", "column", "total_records", "missing_records", "status"]
+    assert rep.count() == 6
+    valid = spark.read.option("header", True).csv(out["valid"])
+    skipped = spark.read.option("header", True).csv(out["skipped"])
+    # the ingest path keeps the duplicate key (no de-duplication there)
+    assert sorted(int(r.trek_id) for r in valid.collect()) == [1, 2, 2, 6, 7, 8, 9, 10]
+    assert sorted(int(r.trek_id) for r in skipped.collect()) == [3, 4, 5]
+
+
+def test_weather_ledger_and_checks(spark, treks_csv, weather_dir, tmp_dir):
+    t = T.run_treks(spark, treks_csv, tmp_dir + "/t")
+    valid = spark.read.parquet(t["silver"])
+    docs = W.read_weather_docs(spark, weather_dir + "/*.json")
+    led = W.weather_ingest_ledger(valid, docs)
+    assert led.columns == ["trek_id", "trek_name", "latitude", "longitude", "status", "landed_records",
+                           "weather_file"]
+    got = {r.trek_id: (r.status, r.landed_records) for r in led.collect()}
+    assert got == {1: ("SUCCESS", 2), 2: ("SUCCESS", 1), 6: ("FAILED", 0), 7: ("FAILED", 0),
+                   8: ("FAILED", 0), 9: ("FAILED", 0), 10: ("FAILED", 0)}
+    assert led.filter("trek_id = 1").first().weather_file.endswith("trek_1_weather.json")
+    from tierline.operators import ledger_summary
+
+    assert tuple(ledger_summary(led).first()) == (7, 2, 5, "PARTIAL")
+
+    w = W.run_weather(spark, weather_dir + "/*.json", tmp_dir + "/w")
+    silver = spark.read.parquet(w["silver"])
+    keys, nulls = W.silver_checks(silver)
+    assert tuple(keys.first()) == (6, 2, 0)
+    n = {r["column"]: r.null_count for r in nulls.collect()}
+    assert n["temperature_c"] == 1 and n["wind_speed_kmh"] == 1 and n["weather_time"] == 0
+    checks = W.layer_checks(silver, spark.read.parquet(w["gold"]), spark.read.parquet(w["summary"]))
+    assert [r.status for r in checks.collect()] == ["PASS", "PASS", "PASS"]

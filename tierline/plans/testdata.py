@@ -526,6 +526,10 @@ def q_ledger_summary(spark, d):
 
 
 def _stages(spark, d):
+    """The weather layers over lineitem, kept lazy: each stage count prunes
+    the de-duplication shuffle down to the columns that count needs (the
+    key and order columns), which measured cheaper than materialising the
+    full silver rows once."""
     bronze = lineitem_weather(spark, d)
     valid = bronze.filter(F.col("weather_time").isNotNull())
     silver = dedupe(valid, ["trek_id", "weather_time"], order_by=["l_orderkey", "l_linenumber"])

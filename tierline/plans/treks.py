@@ -24,7 +24,7 @@ from tierline.operators.clean import (
 from tierline.operators.quality import missing_report, range_report, require_columns
 from tierline.operators.summarize import count_by
 from tierline.sources.files import read_csv
-from tierline.sources.sinks import write_parquet, write_split
+from tierline.sources.sinks import write_csv, write_parquet, write_split
 
 # --- fixed values (must equal the reference's results) ---------------------
 REQUIRED_COLUMNS = [
@@ -138,3 +138,25 @@ def run_treks(spark: SparkSession, csv_path: str, out_root: str) -> dict:
         "counts": metrics.counts(),
         "complete": int(metrics.get("deduped")["complete"]),
     }
+
+
+def run_trek_ingest(spark: SparkSession, csv_path: str, out_root: str) -> dict:
+    """The ingest-side run: quality and coordinate reports plus the valid /
+    skipped split, all written as CSV with a header.
+
+    The split is one scan: rows are flagged and written with
+    ``partitionBy(is_complete)``.
+    """
+    missing, ranges, cleaned = ingest_quality(read_treks(spark, csv_path))
+    report_path = write_csv(missing.coalesce(1), f"{out_root}/trek_quality_report")
+    range_path = write_csv(ranges.coalesce(1), f"{out_root}/trek_coordinate_report")
+    split_path = f"{out_root}/treks_split"
+    cleaned.withColumn("is_complete", complete_condition(LOCATION_COLUMNS)).write.mode(
+        "overwrite"
+    ).option("header", True).partitionBy("is_complete").csv(split_path)
+    return {
+        "quality_report": report_path,
+        "coordinate_report": range_path,
+        "valid": f"{split_path}/is_complete=true",
+        "skipped": f"{split_path}/is_complete=false",
+    }

@@ -21,10 +21,11 @@ from pyspark.sql.types import (
 
 from tierline.functions.parse import parse_event_time, stable_round
 from tierline.functions.rules import bucketize, flag_any, rollup_status, score, status_band
-from tierline.operators.audit import StageMetrics
+from tierline.operators.audit import StageMetrics, ingest_ledger, reconcile
 from tierline.operators.clean import dedupe
 from tierline.operators.nested import zip_explode
-from tierline.operators.summarize import entity_summary
+from tierline.operators.quality import null_profile
+from tierline.operators.summarize import entity_summary, key_profile
 from tierline.sources.files import read_json_docs
 from tierline.sources.sinks import write_parquet
 
@@ -63,6 +64,10 @@ SILVER_COLUMNS = [
     "temperature_c", "humidity_pct", "precipitation_mm", "visibility_m",
     "wind_speed_kmh", "wind_gust_kmh", "source_file", "weather_date",
 ]
+SILVER_CHECK_COLUMNS = [
+    "trek_id", "trek_name", "latitude", "longitude", "weather_time", "temperature_c",
+    "humidity_pct", "precipitation_mm", "visibility_m", "wind_speed_kmh", "wind_gust_kmh",
+]
 GOLD_COLUMNS = [
     "trek_id", "trek_name", "latitude", "longitude", "elevation", "weather_date",
     "weather_time", "temperature_c", "humidity_pct", "precipitation_mm",
@@ -229,3 +234,38 @@ def run_weather(
         "summary": summary_path,
         "counts": metrics.counts(),
     }
+
+
+def silver_checks(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``total_rows, unique_keys, null_keys`` of trek_id, NULL count per
+    checked column) - two single-scan aggregates."""
+    return key_profile(silver, "trek_id"), null_profile(silver, SILVER_CHECK_COLUMNS)
+
+
+def layer_checks(silver: DataFrame, gold: DataFrame, summary: DataFrame) -> DataFrame:
+    """Gold keeps every silver row; the summary is not empty."""
+    return reconcile(
+        {"silver": silver, "gold": gold, "summary": summary},
+        equal=[("silver", "gold")],
+        nonempty=["silver", "summary"],
+    )
+
+
+def weather_ingest_ledger(valid_places: DataFrame, docs: DataFrame) -> DataFrame:
+    """Per expected place: did a weather document land for it?
+
+    ``valid_places`` has ``trek_id, trek_name, start_lat, start_lon``;
+    ``docs`` are bronze documents read with a ``source_file`` column.
+    Output: ``trek_id, trek_name, latitude, longitude, status,
+    landed_records, weather_file``.
+    """
+    expected = valid_places.select(
+        "trek_id", "trek_name",
+        F.col("start_lat").alias("latitude"), F.col("start_lon").alias("longitude"),
+    )
+    landed = docs.select("trek_id", "source_file")
+    out = ingest_ledger(
+        expected, landed, "trek_id", carry=["trek_name", "latitude", "longitude"],
+        file_col="source_file",
+    )
+    return out.withColumnRenamed("landed_file", "weather_file")

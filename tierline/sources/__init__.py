@@ -10,7 +10,7 @@ from tierline.sources.files import (
     register_sources,
     with_source_file,
 )
-from tierline.sources.sinks import materialize, write_csv, write_parquet, write_split
+from tierline.sources.sinks import materialize, stage_table, write_csv, write_parquet, write_split
 
 __all__ = [
     "describe_schema",
@@ -21,6 +21,7 @@ __all__ = [
     "read_json_docs",
     "read_parquet",
     "register_sources",
+    "stage_table",
     "with_source_file",
     "write_csv",
     "write_parquet",

@@ -55,6 +55,25 @@ def write_split(
     return f"{base}/{flag}=true", f"{base}/{flag}=false"
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet to a fresh folder under the shared
+    ``spark.checkpoint.dir`` and return it read back.
+
+    Use it where several later steps read the same expensive result (e.g.
+    a de-duplicated layer): they then share one computation and one shuffle,
+    and the lineage is cut, so a lost executor never forces the upstream
+    stages to re-run.  Unlike ``DataFrame.checkpoint`` it computes the input
+    once (an RDD checkpoint re-runs its job unless cached) and needs no
+    memory for caching.
+    """
+    from tierline.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def materialize(
     df: DataFrame,
     name: str,
