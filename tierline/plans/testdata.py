@@ -553,6 +553,58 @@ def q_expect_count(spark, d):
     )
 
 
+def _hour_text(i):
+    day = F.lpad((F.floor(i / 24) + 1).cast("string"), 2, "0")
+    hour = F.lpad((i % 24).cast("string"), 2, "0")
+    return F.concat(F.lit("2026-01-"), day, F.lit("T"), hour, F.lit(":00"))
+
+
+def weather_docs_from_embeddings(spark, d) -> DataFrame:
+    """One hourly-weather document per embedding vector: the 64 values,
+    scaled, become the parallel hourly arrays.  Every 10th vector has one
+    unparsable time, every 11th repeats its last hour, every 7th has a
+    wind array 3 short, every 25th has no hourly block."""
+    emb = _t(spark, d, "embeddings")
+    n = F.size("embedding")
+    vid = F.col("vec_id")
+    times = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.when((vid % 10 == 0) & (i == 5), F.lit("bad"))
+        .when((vid % 11 == 0) & (i == n - 1), _hour_text(i - 1))
+        .otherwise(_hour_text(i)),
+    )
+    dbl = lambda k: F.transform("embedding", lambda x: F.abs(x.cast("double")) * k)
+    wind = dbl(400)
+    hourly = F.struct(
+        times.alias("time"),
+        F.transform("embedding", lambda x: x.cast("double") * 100).alias("temperature_2m"),
+        F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 1000)).alias(
+            "relative_humidity_2m"
+        ),
+        dbl(50).alias("precipitation"),
+        dbl(100000).alias("visibility"),
+        F.when(vid % 7 == 0, F.slice(wind, 1, n - 3)).otherwise(wind).alias("wind_speed_10m"),
+        dbl(500).alias("wind_gusts_10m"),
+    )
+    return emb.select(
+        vid.alias("trek_id"),
+        F.concat(F.lit("Vector#"), vid.cast("string")).alias("trek_name"),
+        F.lit(30.0).alias("latitude"),
+        F.lit(78.0).alias("longitude"),
+        (vid * 10).cast("double").alias("elevation"),
+        F.when(vid % 25 != 0, hourly).alias("hourly"),
+    )
+
+
+def q_weather_docs_gold(spark, d):
+    path = scratch_path(spark, "weather-docs")
+    weather_docs_from_embeddings(spark, d).write.mode("overwrite").json(path)
+    docs = W.read_weather_docs(spark, path, multi_line=False)
+    gold = W.weather_gold(W.weather_silver(docs))
+    cols = [c for c in W.GOLD_COLUMNS if c != "source_file"]
+    return gold.select(*cols, F.regexp_extract("source_file", r"\.(json)$", 1).alias("source_ext"))
+
+
 def q_top_n(spark, d):
     orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     return top_n(orders, 20, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
@@ -598,4 +650,5 @@ QUERIES: dict[str, QueryFn] = {
     "reconcile": q_reconcile,
     "expect_count": q_expect_count,
     "top_n": q_top_n,
+    "weather_docs_gold": q_weather_docs_gold,
 }

@@ -458,6 +458,65 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders
 ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 20
 """
 
+def _hour_text(i: str) -> str:
+    return (
+        f"'2026-01-' || lpad(CAST(1 + ({i}) // 24 AS VARCHAR), 2, '0') || 'T' || "
+        f"lpad(CAST(({i}) % 24 AS VARCHAR), 2, '0') || ':00'"
+    )
+
+
+WEATHER_DOCS_GOLD = f"""
+WITH e AS (
+  SELECT vec_id, embedding, len(embedding) AS n FROM embeddings WHERE vec_id % 25 <> 0),
+x AS (SELECT vec_id, embedding, n, unnest(generate_series(0, n - 1)) AS i FROM e),
+w AS (
+  SELECT vec_id AS trek_id, 'Vector#' || CAST(vec_id AS VARCHAR) AS trek_name,
+    CAST(30.0 AS DOUBLE) AS latitude, CAST(78.0 AS DOUBLE) AS longitude,
+    CAST(vec_id * 10 AS DOUBLE) AS elevation, i,
+    CASE WHEN vec_id % 10 = 0 AND i = 5 THEN 'bad'
+         WHEN vec_id % 11 = 0 AND i = n - 1 THEN {_hour_text('i - 1')}
+         ELSE {_hour_text('i')} END AS time_text,
+    CAST(embedding[i + 1] AS DOUBLE) * 100 AS temperature_c,
+    CAST(CAST(floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 1000) AS BIGINT) AS DOUBLE) AS humidity_pct,
+    abs(CAST(embedding[i + 1] AS DOUBLE)) * 50 AS precipitation_mm,
+    abs(CAST(embedding[i + 1] AS DOUBLE)) * 100000 AS visibility_m,
+    CASE WHEN vec_id % 7 = 0 AND i >= n - 3 THEN NULL
+         ELSE abs(CAST(embedding[i + 1] AS DOUBLE)) * 400 END AS wind_speed_kmh,
+    abs(CAST(embedding[i + 1] AS DOUBLE)) * 500 AS wind_gust_kmh
+  FROM x),
+t AS (
+  SELECT *, try_strptime(time_text, '%Y-%m-%dT%H:%M') AS weather_time FROM w),
+s AS (
+  SELECT *, CAST(weather_time AS DATE) AS weather_date,
+    row_number() OVER (PARTITION BY trek_id, weather_time ORDER BY i) AS rn
+  FROM t WHERE weather_time IS NOT NULL),
+g AS (
+  SELECT *,
+    CASE WHEN temperature_c < 5 THEN 'Very Cold' WHEN temperature_c < 15 THEN 'Cold'
+         WHEN temperature_c < 25 THEN 'Moderate' WHEN temperature_c < 35 THEN 'Warm'
+         ELSE 'Very Hot' END AS temperature_category,
+    CASE WHEN precipitation_mm = 0 THEN 'No Rain' WHEN precipitation_mm <= 2.5 THEN 'Light Rain'
+         WHEN precipitation_mm <= 7.5 THEN 'Moderate Rain' ELSE 'Heavy Rain' END AS precipitation_category,
+    CASE WHEN wind_speed_kmh < 20 THEN 'Low' WHEN wind_speed_kmh < 40 THEN 'Moderate'
+         WHEN wind_speed_kmh < 60 THEN 'Strong' ELSE 'Very Strong' END AS wind_category,
+    CASE WHEN visibility_m < 1000 THEN 'Very Low' WHEN visibility_m < 5000 THEN 'Low'
+         WHEN visibility_m < 10000 THEN 'Moderate' ELSE 'Good' END AS visibility_category,
+    CAST(
+      (CASE WHEN precipitation_mm > 7.5 THEN 30 WHEN precipitation_mm > 2.5 THEN 15 ELSE 0 END)
+    + (CASE WHEN wind_speed_kmh >= 60 THEN 30 WHEN wind_speed_kmh >= 40 THEN 15 ELSE 0 END)
+    + (CASE WHEN visibility_m < 1000 THEN 25 WHEN visibility_m < 5000 THEN 10 ELSE 0 END)
+    + (CASE WHEN temperature_c < 0 THEN 15 WHEN temperature_c > 40 THEN 15 ELSE 0 END)
+    AS INTEGER) AS condition_score
+  FROM s WHERE rn = 1)
+SELECT trek_id, trek_name, latitude, longitude, elevation, weather_date, weather_time,
+  temperature_c, humidity_pct, precipitation_mm, visibility_m, wind_speed_kmh, wind_gust_kmh,
+  temperature_category, precipitation_category, wind_category, visibility_category, condition_score,
+  CASE WHEN condition_score >= 50 THEN 'Red - High Risk'
+       WHEN condition_score >= 25 THEN 'Yellow - Caution' ELSE 'Green - Normal' END AS condition_status,
+  'json' AS source_ext
+FROM g
+"""
+
 ORACLE: dict[str, str] = {
     "coerce_numeric": COERCE_NUMERIC,
     "parse_range": PARSE_RANGE,
@@ -498,4 +557,5 @@ ORACLE: dict[str, str] = {
     "reconcile": RECONCILE,
     "expect_count": EXPECT_COUNT,
     "top_n": TOP_N,
+    "weather_docs_gold": WEATHER_DOCS_GOLD,
 }

@@ -110,13 +110,16 @@ def read_weather_docs(spark: SparkSession, path: str, multi_line: bool = True) -
     return read_json_docs(spark, path, DOC_SCHEMA, multi_line=multi_line, source_col="source_file")
 
 
-def flatten_weather(docs: DataFrame) -> DataFrame:
+def flatten_weather(docs: DataFrame, position: str | None = None) -> DataFrame:
     """Documents -> one typed row per hour (NULL times kept, see
-    :func:`weather_silver`)."""
+    :func:`weather_silver`).  ``position`` adds the 0-based hour index
+    within the document."""
+    keep = ["trek_id", "trek_name", "latitude", "longitude", "elevation", "source_file"]
     rows = zip_explode(
         docs,
         {out: F.col(f"hourly.{field}") for out, field in HOURLY_FIELDS.items()},
-        keep=["trek_id", "trek_name", "latitude", "longitude", "elevation", "source_file"],
+        keep=keep,
+        position=position,
     )
     weather_time = parse_event_time("weather_time_text")
     return rows.select(
@@ -129,19 +132,21 @@ def flatten_weather(docs: DataFrame) -> DataFrame:
         *[F.col(c).cast("double").alias(c) for c in list(HOURLY_FIELDS)[1:]],
         "source_file",
         F.to_date(weather_time).alias("weather_date"),
+        *([position] if position else []),
     )
 
 
 def weather_silver(docs: DataFrame, metrics: StageMetrics | None = None) -> DataFrame:
     """Flatten, drop rows whose time did not parse, keep one row per
-    (trek_id, weather_time) - the first by source file, deterministically."""
-    flat = flatten_weather(docs)
+    (trek_id, weather_time): deterministically the first by source file,
+    then by position in the document."""
+    flat = flatten_weather(docs, position="hour_index")
     if metrics:
         flat = metrics.track(flat, "flattened")
     valid = flat.filter(F.col("weather_time").isNotNull())
     if metrics:
         valid = metrics.track(valid, "valid_time")
-    silver = dedupe(valid, ["trek_id", "weather_time"], order_by=["source_file"])
+    silver = dedupe(valid, ["trek_id", "weather_time"], order_by=["source_file", "hour_index"])
     if metrics:
         silver = metrics.track(silver, "silver")
     return silver.select(*SILVER_COLUMNS)
