@@ -83,3 +83,18 @@ def test_hot_key_aggregates_and_dedupe_stay_partial(skew_conf, skewed):
     plan = _final_plan(d)
     assert "WindowGroupLimit" in plan
     assert d.filter("k = 1").first().v == 1
+
+
+def test_event_grain_mart_under_skew(skew_conf, skewed):
+    from tierline.operators import build_mart
+
+    ent, ev = skewed
+    summ = entity_summary(ev, ["k"], {"n": F.count(F.lit(1))})
+    safe = build_mart(ent, "k", summary=summ, events=ev, grain="hour")
+    plain = build_mart(ent, "k", summary=summ, events=ev, grain="hour", skew_safe=False)
+    assert rows(safe) == rows(plain)
+    # the events are the streamed (left) input of the inner join, never the
+    # buffered one
+    plan = _final_plan(safe)
+    inner = [line for line in plan.splitlines() if "SortMergeJoin" in line and "Inner" in line]
+    assert inner

@@ -21,6 +21,12 @@ class StageMetrics:
     the value is filled in by whichever action next runs that plan (usually
     the write), so counting costs no job of its own.  Extra named aggregate
     expressions (e.g. ``count_if(valid)``) can be observed alongside.
+
+    Observed metrics are accumulated per task: a count in the writing stage
+    is exact, but one taken before a shuffle is counted again if Spark has
+    to re-run map tasks whose shuffle output was lost with an executor.
+    Use them for run logs; check layers with :func:`reconcile` over the
+    written data.
     """
 
     def __init__(self) -> None:

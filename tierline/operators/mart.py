@@ -18,18 +18,25 @@ def union_by_name(*dfs: DataFrame) -> DataFrame:
 
 def left_join_split(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """``left LEFT JOIN right USING (on)``, planned skew-safe for a large,
-    skewed ``right`` side.
+    skewed ``right`` side (events) and a ``left`` side with about one row
+    per key (entities).
 
     A left outer join may only split skewed partitions of its *left*
     (preserved) side at runtime.  When the hot keys are on the right (an
     entity with a third of all events), the identity
-    ``L ⟕ R = (L ⋈ R) ∪ (L ▷ keys(R))`` is used instead: the inner join lets
-    AQE split the hot right partitions, and the anti join runs against the
-    *distinct* right keys, which are de-duplicated map-side before any
-    shuffle.  Row for row identical to the plain left join.
+    ``L ⟕ R = (R ⋈ L) ∪ (L ▷ keys(R))`` is used instead:
+
+    * the inner join lets AQE split hot partitions of ``right`` when both
+      inputs arrive through a shuffle; and ``right`` is its streamed side,
+      so even an unsplit hot key only streams past the one buffered
+      ``left`` row of its key instead of being buffered itself;
+    * the anti join runs against the *distinct* right keys, de-duplicated
+      map-side before any shuffle.
+
+    Row for row identical to the plain left join.
     """
     on = list(on)
-    matched = left.join(right, on, "inner")
+    matched = right.join(left, on, "inner")
     right_keys = right.select(*on).distinct()
     unmatched = left.join(right_keys, on, "left_anti")
     right_only = [c for c in right.columns if c not in on]
@@ -51,8 +58,10 @@ def build_mart(
     """Entity ⟕ weather-style detail, keeping every entity.
 
     * ``grain="entity"``: entity ⟕ summary (1:1 per key).
-    * ``grain="event"``: entity ⟕ (events ⟕ summary): one row per event,
-      summary columns repeated on each, entities without events kept once.
+    * ``grain="event"``: (entity ⟕ summary) ⟕ events: one row per event,
+      summary columns repeated on each, entities without events kept once
+      (with their summary, if they have one).  The two one-row-per-key
+      tables are joined first, so the events meet a single join.
     * ``grain="union"``: entity ⟕ union_by_name(events, summary): summary
       and event rows side by side, each NULL in the other's columns (the
       mixed-grain table that loading a summary folder together with its
@@ -77,12 +86,11 @@ def build_mart(
     elif grain in ("event", "hour"):
         if events is None:
             raise ValueError("grain='event' needs events")
-        right = events.select(key, *ecols)
+        left = entities
         if summary is not None:
-            # Events are the big, possibly skewed, preserved side: a left
-            # outer join can split its hot partitions; summary is 1 row/key.
-            right = right.join(summary.select(key, *scols), key, "left")
-        joined = (left_join_split if skew_safe else _plain_left)(entities, right, [key])
+            # both sides have about one row per key: no skew here
+            left = entities.join(summary.select(key, *scols), key, "left")
+        joined = (left_join_split if skew_safe else _plain_left)(left, events.select(key, *ecols), [key])
         wanted = list(columns) if columns is not None else scols + ecols
     elif grain == "union":
         if events is None or summary is None:

@@ -369,12 +369,11 @@ SELECT {_SUP}, {', '.join('m.' + c for c in _SUMMARY_COLS)}
 FROM supplier s LEFT JOIN sm m ON s.s_suppkey = m.trek_id
 """
 
-MART_HOUR = f"""WITH {_WEATHER_CTES},
-hm AS (
-  SELECT h.trek_id, {', '.join('h.' + c for c in _HOURLY_COLS)}, {', '.join('m.' + c for c in _SUMMARY_COLS)}
-  FROM gs h LEFT JOIN sm m ON h.trek_id = m.trek_id)
-SELECT {_SUP}, {', '.join('x.' + c for c in _SUMMARY_COLS + _HOURLY_COLS)}
-FROM supplier s LEFT JOIN hm x ON s.s_suppkey = x.trek_id
+MART_HOUR = f"""WITH {_WEATHER_CTES}
+SELECT {_SUP}, {', '.join('m.' + c for c in _SUMMARY_COLS)}, {', '.join('h.' + c for c in _HOURLY_COLS)}
+FROM supplier s
+LEFT JOIN sm m ON s.s_suppkey = m.trek_id
+LEFT JOIN gs h ON s.s_suppkey = h.trek_id
 """
 
 MART_UNION = f"""WITH {_WEATHER_CTES},
