@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         master="local[4]",
         conf={
             "spark.sql.shuffle.partitions": "4",
-            "spark.checkpoint.dir": str(base / "checkpoint"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.driver.memory": "4g",
         },
