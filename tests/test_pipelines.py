@@ -12,7 +12,6 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from tierline.plans import treks as T
 from tierline.plans import warehouse as WH
 from tierline.plans import weather as W

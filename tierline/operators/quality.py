@@ -90,22 +90,15 @@ def range_report(
     all checks from one scan."""
     names = list(checks)
     wide = df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        *[
-            F.count_if(out_of_range(cols, lo, hi)).alias(f"c{i}")
-            for i, (cols, lo, hi) in enumerate(checks.values())
-        ],
-    )
-    long = wide.unpivot(["total_records"], [f"c{i}" for i in range(len(names))], "k", "invalid_records")
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.substring("k", 2, 10).cast("int") + 1)
-    cols_text = F.element_at(
-        F.array(*[F.lit(",".join(checks[n][0])) for n in names]),
-        F.substring("k", 2, 10).cast("int") + 1,
+        F.count(F.lit(1)).alias("__total"),
+        *[F.count_if(out_of_range(cols, lo, hi)).alias(n) for n, (cols, lo, hi) in checks.items()],
     )
+    long = wide.unpivot(["__total"], names, "check", "invalid_records")
+    cols_text = F.create_map(*[F.lit(x) for n in names for x in (n, ",".join(checks[n][0]))])
     return long.select(
-        label.alias("check"),
-        cols_text.alias("columns"),
-        "total_records",
+        "check",
+        cols_text[F.col("check")].alias("columns"),
+        F.col("__total").alias("total_records"),
         "invalid_records",
         F.when(F.col("invalid_records") == 0, "PASS").otherwise("FAIL").alias("status"),
     )
@@ -161,17 +154,12 @@ def run_tests(
         else:
             raise ValueError(f"unknown test {test!r}")
     for model, columns in by_model.items():
-        wide = models[model].agg(
-            *[F.count_if(_q(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]
-        )
-        long = wide.unpivot([], [f"c{i}" for i in range(len(columns))], "k", "failures")
-        name = F.element_at(
-            F.array(*[F.lit(c) for c in columns]), F.substring("k", 2, 10).cast("int") + 1
-        )
+        wide = models[model].agg(*[F.count_if(_q(c).isNull()).alias(c) for c in columns])
+        long = wide.unpivot([], list(columns), "column", "failures")
         parts.append(
             long.select(
                 F.lit(model).alias("model"),
-                name.alias("column"),
+                "column",
                 F.lit("not_null").alias("test"),
                 *_test_row(F.col("failures")),
             )

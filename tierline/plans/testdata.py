@@ -49,7 +49,7 @@ from tierline.operators.summarize import count_by, key_profile
 from tierline.plans import weather as W
 from tierline.plans.warehouse import HOURLY_COLUMNS, MART_WEATHER_COLUMNS, SUMMARY_COLUMNS
 from tierline.session import scratch_path
-from tierline.sources.files import load_stage, read_csv, read_json_docs, with_source_file
+from tierline.sources.files import load_stage, read_csv, read_json_docs
 from tierline.sources.sinks import write_csv, write_parquet
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

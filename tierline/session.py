@@ -9,7 +9,6 @@ operators rely on (UTC wall clock, ANSI on, AQE with skew-join splitting);
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,16 +75,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tierline/{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the rare helper that needs ``os``."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return os.fspath(path)
