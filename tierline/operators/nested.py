@@ -22,8 +22,9 @@ def zip_explode(
     ``arrays`` maps output column name -> array column (nested paths such as
     ``"hourly.time"`` are fine and prune the rest of the struct at the scan).
     Arrays are zipped by position; shorter arrays are padded with NULL.  A
-    row whose arrays are all NULL or empty disappears unless ``keep_empty``
-    (then it yields one row of NULLs).  ``keep`` columns are repeated on
+    row whose arrays are all empty, or where *any* of the arrays is NULL
+    (the zip is then NULL), yields no rows unless ``keep_empty`` (then it
+    yields one row of NULLs).  ``keep`` columns are repeated on
     every output row; ``position`` names an optional 0-based index column.
 
     Work is per row (a generator inside the scan stage): no shuffle, and a

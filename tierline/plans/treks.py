@@ -69,9 +69,16 @@ def read_treks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def treks_silver_all(bronze: DataFrame, key_order: list | None = None) -> DataFrame:
-    """Bronze -> typed rows (before the completeness split)."""
+    """Bronze -> typed rows (before the completeness split).
+
+    One row per ``trek_id`` survives.  Without ``key_order`` the survivor
+    is the smallest row in the order of its remaining columns: a total
+    order, so the choice does not depend on partitioning or task timing.
+    """
     df = drop_unnamed_columns(bronze)
-    df = dedupe(df.withColumn("trek_id", F.col("trek_id").try_cast("long")), ["trek_id"], key_order)
+    df = df.withColumn("trek_id", F.col("trek_id").try_cast("long"))
+    order = key_order if key_order is not None else [c for c in df.columns if c != "trek_id"]
+    df = dedupe(df, ["trek_id"], order)
     df = coerce_columns(df, NUMERIC_COLUMNS)
     return with_parsed_range(
         df, "duration_days", "duration_min_days", "duration_max_days", "duration_avg_days"
