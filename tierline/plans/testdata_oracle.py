@@ -346,9 +346,9 @@ WRITE_PARQUET_ROUNDTRIP = READ_CSV_ROUNDTRIP
 LOAD_STAGE_UNION = """
 SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice,
-  CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 2 <> 0 THEN o_orderstatus END AS o_orderstatus,
   CAST(NULL AS BIGINT) AS order_count
-FROM orders WHERE o_orderkey IS NOT NULL AND o_orderkey % 2 IN (0, 1)
+FROM orders WHERE o_orderkey IS NOT NULL
 """
 
 _SUMMARY_COLS = [
@@ -465,8 +465,12 @@ def _hour_text(i: str) -> str:
 
 
 WEATHER_DOCS_GOLD = f"""
-WITH e AS (
-  SELECT vec_id, embedding, len(embedding) AS n FROM embeddings WHERE vec_id % 25 <> 0),
+WITH d AS (
+  SELECT vec_id, CASE WHEN vec_id % 25 <> 0 THEN embedding END AS hourly_values FROM embeddings),
+e AS (
+  -- a document without an hourly block yields no rows
+  SELECT vec_id, hourly_values AS embedding, len(hourly_values) AS n FROM d
+  WHERE hourly_values IS NOT NULL),
 x AS (SELECT vec_id, embedding, n, unnest(generate_series(0, n - 1)) AS i FROM e),
 w AS (
   SELECT vec_id AS trek_id, 'Vector#' || CAST(vec_id AS VARCHAR) AS trek_name,
