@@ -302,3 +302,20 @@ def test_weather_ledger_and_checks(spark, treks_csv, weather_dir, tmp_dir):
     assert n["temperature_c"] == 1 and n["wind_speed_kmh"] == 1 and n["weather_time"] == 0
     checks = W.layer_checks(silver, spark.read.parquet(w["gold"]), spark.read.parquet(w["summary"]))
     assert [r.status for r in checks.collect()] == ["PASS", "PASS", "PASS"]
+
+
+def test_cli_runs_stages(spark, treks_csv, weather_dir, tmp_dir, capsys):
+    from tierline.__main__ import main
+
+    assert main(["treks", treks_csv, tmp_dir + "/cli"]) == 0
+    treks_out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert treks_out["complete"] == 7
+    assert main(["weather", weather_dir + "/*.json", tmp_dir + "/cli"]) == 0
+    w = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert w["counts"]["silver"] == 6
+    assert main(["ledger", treks_out["silver"], weather_dir + "/*.json"]) == 0
+    led = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert led == {"expected": 7, "succeeded": 2, "failed": 5, "verdict": "PARTIAL"}
+    assert main(["warehouse", treks_out["gold"], w["gold"], w["summary"], "--grain", "entity"]) == 0
+    tests = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["tests"]
+    assert all(t["failures"] == 0 for t in tests)
