@@ -33,7 +33,7 @@ def test_every_query_has_an_oracle():
 
 def _norm(v):
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else v + 0.0
+        return "NaN" if math.isnan(v) else repr(v)  # keeps the sign of zero
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
