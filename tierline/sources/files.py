@@ -98,6 +98,9 @@ def load_stage(
     * ``merge`` makes the schema the union of all files' columns; a file
       lacking a column reads it as NULL.  Column names resolve
       case-insensitively (Spark's default ``spark.sql.caseSensitive=false``).
+    * An unreadable or corrupt file aborts the load (Spark's default
+      ``spark.sql.files.ignoreCorruptFiles=false``); nothing is half-loaded
+      because the caller's write only commits when the job succeeds.
     """
     reader = spark.read.option("mergeSchema", merge)
     if files:
