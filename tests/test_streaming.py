@@ -46,3 +46,20 @@ def test_incremental_ingest(spark, tmp_dir):
     q.awaitTermination(120)
     got = sorted((r.trek_id, r.weather_time.hour, r.temperature_c) for r in spark.read.parquet(silver).collect())
     assert got == [(1, 0, 1.0), (1, 1, 2.0), (1, 2, 5.0), (2, 0, 3.0)]
+
+
+def test_duplicates_across_micro_batches(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    silver = os.path.join(tmp_dir, "silver")
+    hours = ["2026-09-04T00:00", "2026-09-04T01:00"]
+    _write(os.path.join(landing, "f1.json"), _doc(7, hours, [1.0, 2.0]))
+    _write(os.path.join(landing, "f2.json"), _doc(7, hours, [8.0, 9.0]))
+    _write(os.path.join(landing, "f3.json"), _doc(7, ["2026-09-04T02:00"], [3.0]))
+    q = start_weather_ingest(
+        spark, landing, silver, checkpoint=os.path.join(tmp_dir, "ckpt"), max_files_per_trigger=1
+    )
+    q.awaitTermination(180)
+    assert len(q.recentProgress) >= 3  # one file per micro-batch
+    got = sorted((r.weather_time.hour, r.temperature_c) for r in spark.read.parquet(silver).collect())
+    assert [h for h, _ in got] == [0, 1, 2]

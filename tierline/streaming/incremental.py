@@ -57,18 +57,21 @@ def start_weather_ingest(
     checkpoint: str | None = None,
     available_now: bool = True,
     watermark: str = "8 days",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the incremental ingest into ``silver_path`` (Parquet,
     partitioned by ``weather_date``).
 
     ``available_now`` processes everything that has landed and stops (a
-    scheduled run); otherwise it keeps running with the default trigger.
+    scheduled run, still split into micro-batches of at most
+    ``max_files_per_trigger`` files); otherwise it keeps running with the
+    default trigger.
     The checkpoint defaults to a stable folder named after ``name`` under the
     shared checkpoint root, so the next run continues from the last one.
     """
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/tierline/streams/{name}"
     writer = (
-        weather_silver_stream(spark, landing_dir, watermark)
+        weather_silver_stream(spark, landing_dir, watermark, max_files_per_trigger)
         .writeStream.format("parquet")
         .option("path", silver_path)
         .option("checkpointLocation", ckpt)
