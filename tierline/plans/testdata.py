@@ -47,7 +47,12 @@ from tierline.operators.quality import (
 )
 from tierline.operators.summarize import count_by, key_profile
 from tierline.plans import weather as W
-from tierline.plans.warehouse import HOURLY_COLUMNS, MART_WEATHER_COLUMNS, SUMMARY_COLUMNS
+from tierline.plans.warehouse import (
+    HOURLY_COLUMNS,
+    MART_WEATHER_COLUMNS,
+    MODEL_TESTS,
+    SUMMARY_COLUMNS,
+)
 from tierline.session import scratch_path
 from tierline.sources.files import load_stage, read_csv, read_json_docs
 from tierline.sources.sinks import write_csv, write_parquet
@@ -512,6 +517,20 @@ def q_mart_union(spark, d):
     return _mart(spark, d, "union")
 
 
+def q_model_tests(spark, d):
+    """The warehouse's five model tests over models built from the driver
+    tables: places = supplier, weather = lineitem read as hours, and the
+    hour-grain mart as both the intermediate and the final model."""
+    mart = _mart(spark, d, "hour")
+    models = {
+        "stg_treks": _supplier_entities(spark, d),
+        "stg_weather": lineitem_weather(spark, d),
+        "int_trek_weather": mart,
+        "trek_analytics": mart,
+    }
+    return run_tests(models, MODEL_TESTS)
+
+
 def _ledger(spark, d):
     expected = _t(spark, d, "customer")
     landed = _t(spark, d, "orders").filter(F.col("o_orderstatus") == "F").withColumnRenamed("o_custkey", "c_custkey")
@@ -645,6 +664,7 @@ QUERIES: dict[str, QueryFn] = {
     "mart_entity": q_mart_entity,
     "mart_hour": q_mart_hour,
     "mart_union": q_mart_union,
+    "model_tests": q_model_tests,
     "ingest_ledger": q_ingest_ledger,
     "ledger_summary": q_ledger_summary,
     "stage_report": q_stage_report,

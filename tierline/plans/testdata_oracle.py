@@ -385,6 +385,25 @@ SELECT {_SUP}, {', '.join('x.' + c for c in _SUMMARY_COLS + _HOURLY_COLS)}
 FROM supplier s LEFT JOIN u x ON s.s_suppkey = x.trek_id
 """
 
+MODEL_TESTS = """
+WITH mart AS (
+  SELECT s.s_suppkey AS trek_id FROM supplier s LEFT JOIN lineitem l ON s.s_suppkey = l.l_suppkey),
+dup AS (
+  SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY s_suppkey HAVING count(*) > 1),
+t AS (
+  SELECT 'stg_treks' AS model, 'trek_id' AS "column", 'not_null' AS test,
+         count(*) FILTER (WHERE s_suppkey IS NULL) AS failures FROM supplier
+  UNION ALL
+  SELECT 'stg_treks', 'trek_id', 'unique', count(*) FROM dup
+  UNION ALL
+  SELECT 'stg_weather', 'trek_id', 'not_null', count(*) FILTER (WHERE l_suppkey IS NULL) FROM lineitem
+  UNION ALL
+  SELECT 'int_trek_weather', 'trek_id', 'not_null', count(*) FILTER (WHERE trek_id IS NULL) FROM mart
+  UNION ALL
+  SELECT 'trek_analytics', 'trek_id', 'not_null', count(*) FILTER (WHERE trek_id IS NULL) FROM mart)
+SELECT model, "column", test, failures, failures != 0 AS should_warn, failures != 0 AS should_error FROM t
+"""
+
 _LEDGER = """
 WITH landed AS (
   SELECT o_custkey, count(*) AS n FROM orders
@@ -554,6 +573,7 @@ ORACLE: dict[str, str] = {
     "mart_entity": MART_ENTITY,
     "mart_hour": MART_HOUR,
     "mart_union": MART_UNION,
+    "model_tests": MODEL_TESTS,
     "ingest_ledger": INGEST_LEDGER,
     "ledger_summary": LEDGER_SUMMARY,
     "stage_report": STAGE_REPORT,
