@@ -197,6 +197,16 @@ def test_warehouse_mart_and_tests(spark, treks_csv, weather_dir, tmp_dir):
         ("stg_treks", "not_null"): 0, ("stg_treks", "unique"): 0, ("stg_weather", "not_null"): 0,
         ("int_trek_weather", "not_null"): 0, ("trek_analytics", "not_null"): 0,
     }
+    # the date-partitioned weather gold prunes whole folders on a date filter
+    import contextlib
+    import io
+
+    one_day = res["stg_weather"].filter(F.col("weather_date") == F.lit("2026-09-04").cast("date"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one_day.explain()
+    assert "PartitionFilters: [isnotnull(weather_date" in buf.getvalue()
+    assert one_day.count() == 4
     ent = WH.trek_mart(res["stg_treks"], res["stg_weather"], res["stg_weather_summary"], grain="entity")
     assert ent.count() == 7
     un = WH.trek_mart(res["stg_treks"], res["stg_weather"], res["stg_weather_summary"], grain="union")
