@@ -329,3 +329,13 @@ def test_cli_runs_stages(spark, treks_csv, weather_dir, tmp_dir, capsys):
     assert main(["warehouse", treks_out["gold"], w["gold"], w["summary"], "--grain", "entity"]) == 0
     tests = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["tests"]
     assert all(t["failures"] == 0 for t in tests)
+
+
+def test_sentinels_option(spark, treks_csv):
+    bronze = T.read_treks(spark, treks_csv)
+    kept = {r.trek_id: r for r in T.treks_silver_all(bronze).collect() if r.trek_id == 4}
+    assert kept[4].starting_point == "needs_verification" and kept[4].start_lat is None
+    nulled = {r.trek_id: r for r in T.treks_silver_all(bronze, sentinels=["needs_verification"]).collect()
+              if r.trek_id == 4}
+    assert nulled[4].starting_point is None and nulled[4].approx_cost is None
+    assert nulled[4].trek_name == "Delta Meadow"

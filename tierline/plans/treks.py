@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.functions.parse import null_sentinels
 from tierline.functions.rules import bucketize, standardize_label
 from tierline.operators.audit import StageMetrics
 from tierline.operators.clean import (
@@ -68,14 +69,24 @@ def read_treks(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path)
 
 
-def treks_silver_all(bronze: DataFrame, key_order: list | None = None) -> DataFrame:
+def treks_silver_all(
+    bronze: DataFrame,
+    key_order: list | None = None,
+    sentinels: list[str] | None = None,
+) -> DataFrame:
     """Bronze -> typed rows (before the completeness split).
 
     One row per ``trek_id`` survives.  Without ``key_order`` the survivor
     is the smallest row in the order of its remaining columns: a total
     order, so the choice does not depend on partitioning or task timing.
+    Sentinel text (e.g. ``needs_verification``) always becomes NULL in the
+    numeric columns; pass ``sentinels`` to NULL it in the text columns too
+    (by default text keeps it, as the original flow does).
     """
     df = drop_unnamed_columns(bronze)
+    if sentinels:
+        text_cols = [c for c in df.columns if c not in NUMERIC_COLUMNS and c != "trek_id"]
+        df = df.withColumns({c: null_sentinels(c, sentinels) for c in text_cols})
     df = df.withColumn("trek_id", F.col("trek_id").try_cast("long"))
     order = key_order if key_order is not None else [c for c in df.columns if c != "trek_id"]
     df = dedupe(df, ["trek_id"], order)
