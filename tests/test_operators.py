@@ -262,3 +262,28 @@ def test_top_n(spark):
     df = spark.createDataFrame([(i, float(i % 5)) for i in range(20)], "id int, v double")
     got = [tuple(r) for r in top_n(df, 3, [F.col("v").desc(), "id"]).collect()]
     assert got == [(4, 4.0), (9, 4.0), (14, 4.0)]
+
+
+def test_argument_validation(spark):
+    from tierline.functions import bucketize
+    from tierline.operators import complete_condition
+
+    df = spark.range(3)
+    with pytest.raises(ValueError):
+        bucketize("id", [5, 1], ["a", "b", "c"])
+    with pytest.raises(ValueError):
+        range_report(df, {})
+    with pytest.raises(ValueError):
+        range_violations(df, {})
+    with pytest.raises(ValueError):
+        run_tests({"m": df}, [])
+    with pytest.raises(ValueError):
+        null_profile(df, [])
+    with pytest.raises(ValueError):
+        stage_report({})
+    with pytest.raises(ValueError):
+        reconcile({"a": df})
+    with pytest.raises(ValueError):
+        zip_explode(df, {})
+    with pytest.raises(ValueError):
+        complete_condition([])

@@ -78,6 +78,8 @@ def bucketize(
         raise ValueError("bucketize needs len(labels) == len(bounds) + 1")
     if op not in ("lt", "le"):
         raise ValueError("op must be 'lt' or 'le'")
+    if any(b >= a for a, b in zip(bounds[1:], bounds)):
+        raise ValueError("bucketize bounds must be strictly ascending")
     cmp = "<" if op == "lt" else "<="
     steps: list[tuple[str, Any, Any]] = []
     if zero_label is not None:

@@ -59,6 +59,8 @@ def _wide_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """One row with one count column per stage (``s0``, ``s1``, ...), built as
     a union of single-row aggregates merged by ``max`` - no join."""
     names = list(stages)
+    if not names:
+        raise ValueError("at least one stage is needed")
     parts = []
     for i, name in enumerate(names):
         n = stages[name].agg(F.count(F.lit(1)).alias("n"))
@@ -104,6 +106,8 @@ def reconcile(
     status``.  ``equal`` pairs must have the same row count (e.g. gold vs
     silver); ``nonempty`` stages must have at least one row."""
     names = list(stages)
+    if not equal and not nonempty:
+        raise ValueError("reconcile needs at least one check")
     idx = {n: i for i, n in enumerate(names)}
     wide = _wide_counts(stages)
     rows = []

@@ -106,6 +106,8 @@ def dedupe(
 
 def complete_condition(columns: Sequence[str]) -> Column:
     """``c1 IS NOT NULL AND c2 IS NOT NULL AND ...``"""
+    if not columns:
+        raise ValueError("at least one column is needed")
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 

@@ -31,6 +31,8 @@ def zip_explode(
     long array never concentrates on one task beyond its own row.
     """
     names = list(arrays)
+    if not names:
+        raise ValueError("zip_explode needs at least one array")
     staged = df.select(
         *[F.col(k) for k in keep],
         *[

@@ -37,6 +37,8 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``column, null_count`` for each column, from a single scan."""
     cols = list(columns) if columns is not None else df.columns
+    if not cols:
+        raise ValueError("null_profile needs at least one column")
     wide = df.agg(*[F.count_if(_q(c).isNull()).alias(c) for c in cols])
     return wide.unpivot([], cols, "column", "null_count")
 
@@ -77,6 +79,8 @@ def range_violations(
 ) -> DataFrame:
     """Rows that violate at least one named range check, with one boolean
     column per check (``check name -> (columns, lo, hi)``)."""
+    if not checks:
+        raise ValueError("range_violations needs at least one check")
     flags = {name: out_of_range(cols, lo, hi) for name, (cols, lo, hi) in checks.items()}
     any_bad = reduce(lambda a, b: a | b, flags.values())
     return df.withColumns(flags).filter(any_bad)
@@ -89,6 +93,8 @@ def range_report(
     """``check, columns, total_records, invalid_records, status`` per check,
     all checks from one scan."""
     names = list(checks)
+    if not names:
+        raise ValueError("range_report needs at least one check")
     wide = df.agg(
         F.count(F.lit(1)).alias("__total"),
         *[F.count_if(out_of_range(cols, lo, hi)).alias(n) for n, (cols, lo, hi) in checks.items()],
@@ -135,6 +141,8 @@ def run_tests(
     is one grouped aggregate.  Result: ``model, column, test, failures,
     should_warn, should_error``.
     """
+    if not tests:
+        raise ValueError("run_tests needs at least one test")
     parts: list[DataFrame] = []
     by_model: dict[str, list[str]] = {}
     for model, column, test in tests:
