@@ -98,3 +98,45 @@ def test_event_grain_mart_under_skew(skew_conf, skewed):
     plan = _final_plan(safe)
     inner = [line for line in plan.splitlines() if "SortMergeJoin" in line and "Inner" in line]
     assert inner
+
+
+def test_salted_join_spreads_hot_key(skew_conf, skewed):
+    from tierline.operators import hot_keys, salted_join
+
+    ent, ev = skewed
+    assert [r.k for r in hot_keys(ev, ["k"], 1000).collect()] == [1]
+    salted = salted_join(ev, ent, ["k"], salts=8, hot_rows=1000)
+    plain = ev.join(ent, "k")
+    assert salted.columns == plain.columns
+    assert rows(salted) == rows(plain)
+    parts = lambda df: df.filter("k = 1").select(F.spark_partition_id()).distinct().count()
+    # without AQE's skew split the plain join keeps the hot key in one task;
+    # salting spreads it regardless
+    spark = ev.sparkSession
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert parts(plain) == 1 and parts(salted) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # no hot key, or more hot keys than the broadcast bound: the plain join
+    assert "__salt" not in plan_text(salted_join(ev, ent, ["k"], hot_rows=10**9))
+    assert "__salt" not in plan_text(salted_join(ev, ent, ["k"], hot_rows=1000, max_hot_keys=0))
+    assert "__salt" in plan_text(salted)
+
+
+def test_salted_event_grain_mart(skew_conf, skewed):
+    from tierline.operators import build_mart
+
+    ent, ev = skewed
+    summ = entity_summary(ev, ["k"], {"n": F.count(F.lit(1))})
+    salted = build_mart(ent, "k", summary=summ, events=ev, grain="hour", salt={"salts": 8, "hot_rows": 1000})
+    plain = build_mart(ent, "k", summary=summ, events=ev, grain="hour", skew_safe=False)
+    assert rows(salted) == rows(plain)
+    assert salted.filter("k = 1").select(F.spark_partition_id()).distinct().count() > 1
+
+
+def plan_text(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

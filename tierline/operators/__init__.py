@@ -21,7 +21,13 @@ from tierline.operators.clean import (
     with_money_range,
     with_parsed_range,
 )
-from tierline.operators.mart import build_mart, left_join_split, union_by_name
+from tierline.operators.mart import (
+    build_mart,
+    hot_keys,
+    left_join_split,
+    salted_join,
+    union_by_name,
+)
 from tierline.operators.nested import zip_explode
 from tierline.operators.order import top_n
 from tierline.operators.quality import (
@@ -53,6 +59,7 @@ __all__ = [
     "empty_columns",
     "entity_summary",
     "expect_count",
+    "hot_keys",
     "ingest_ledger",
     "key_profile",
     "ledger_summary",
@@ -65,6 +72,7 @@ __all__ = [
     "reconcile",
     "require_columns",
     "run_tests",
+    "salted_join",
     "split_complete",
     "stage_report",
     "top_n",

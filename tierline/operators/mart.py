@@ -16,7 +16,77 @@ def union_by_name(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def left_join_split(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys holding at least ``min_rows`` rows of ``df``.
+
+    A count per key with map-side partial aggregation over the key columns
+    only.  There can be at most ``rows(df) / min_rows`` such keys.
+    """
+    return (
+        df.groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") >= min_rows)
+        .select(*on)
+    )
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    salts: int = 32,
+    hot_rows: int = 1_000_000,
+    max_hot_keys: int = 100_000,
+) -> DataFrame:
+    """Inner join of ``big`` with ``small`` (about one row per key) that
+    spreads every hot key of ``big`` over ``salts`` tasks.
+
+    * Hot keys (at least ``hot_rows`` rows in ``big``) are found first; this
+      runs one small job now.
+    * The hot-key set is broadcast only after a bounded check that it has
+      at most ``max_hot_keys`` keys.  Above that limit, or with no hot key,
+      the plain join is returned (AQE's skew handling still applies).
+    * A hot-key row of ``big`` gets a salt from a hash of its own content, so
+      a retried task reproduces the same salts.  The ``small`` rows of hot
+      keys are replicated once per salt; other keys keep salt 0.
+
+    Same rows as ``big.join(small, on, "inner")``.
+    """
+    on = list(on)
+    hot = hot_keys(big, on, hot_rows)
+    n_hot = hot.limit(max_hot_keys + 1).count()
+    if n_hot == 0 or n_hot > max_hot_keys:
+        return big.join(small, on, "inner")
+    hot_b = F.broadcast(hot.withColumn("__hot", F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    big_s = (
+        big.join(hot_b, on, "left")
+        .withColumn(
+            "__salt",
+            F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0)),
+        )
+        .drop("__hot")
+    )
+    small_s = (
+        small.join(hot_b, on, "left")
+        .withColumn(
+            "__salt",
+            F.explode(
+                F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                .otherwise(F.array(F.lit(0)))
+            ),
+        )
+        .drop("__hot")
+    )
+    return big_s.join(small_s, on + ["__salt"], "inner").drop("__salt")
+
+
+def left_join_split(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    salt: dict | None = None,
+) -> DataFrame:
     """``left LEFT JOIN right USING (on)``, planned skew-safe for a large,
     skewed ``right`` side (events) and a ``left`` side with about one row
     per key (entities).
@@ -33,10 +103,18 @@ def left_join_split(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Dat
     * the anti join runs against the *distinct* right keys, de-duplicated
       map-side before any shuffle.
 
+    With ``salt`` (keyword arguments of :func:`salted_join`), the inner
+    join salts the hot keys of ``right`` instead of relying on AQE, which
+    also spreads hot keys when AQE cannot split them (an input already
+    partitioned by an earlier join).
+
     Row for row identical to the plain left join.
     """
     on = list(on)
-    matched = right.join(left, on, "inner")
+    if salt is not None:
+        matched = salted_join(right, left, on, **salt)
+    else:
+        matched = right.join(left, on, "inner")
     right_keys = right.select(*on).distinct()
     unmatched = left.join(right_keys, on, "left_anti")
     right_only = [c for c in right.columns if c not in on]
@@ -54,6 +132,7 @@ def build_mart(
     event_cols: Sequence[str] | None = None,
     columns: Sequence[str] | None = None,
     skew_safe: bool = True,
+    salt: dict | None = None,
 ) -> DataFrame:
     """Entity ⟕ weather-style detail, keeping every entity.
 
@@ -67,6 +146,9 @@ def build_mart(
       mixed-grain table that loading a summary folder together with its
       parent folder produces).
 
+    ``salt`` (keyword arguments of :func:`salted_join`) salts hot entity
+    keys of the events in the event and union grains.
+
     Output: all entity columns, then ``columns`` (default: summary columns
     then event columns) in that order.  Summary/event inputs may carry extra
     columns; only the requested ones are kept (pruned at the scan).
@@ -90,13 +172,20 @@ def build_mart(
         if summary is not None:
             # both sides have about one row per key: no skew here
             left = entities.join(summary.select(key, *scols), key, "left")
-        joined = (left_join_split if skew_safe else _plain_left)(left, events.select(key, *ecols), [key])
+        right = events.select(key, *ecols)
+        joined = (
+            left_join_split(left, right, [key], salt) if skew_safe else _plain_left(left, right, [key])
+        )
         wanted = list(columns) if columns is not None else scols + ecols
     elif grain == "union":
         if events is None or summary is None:
             raise ValueError("grain='union' needs events and a summary")
         right = union_by_name(events.select(key, *ecols), summary.select(key, *scols))
-        joined = (left_join_split if skew_safe else _plain_left)(entities, right, [key])
+        joined = (
+            left_join_split(entities, right, [key], salt)
+            if skew_safe
+            else _plain_left(entities, right, [key])
+        )
         wanted = list(columns) if columns is not None else scols + ecols
     else:
         raise ValueError(f"unknown grain {grain!r}")
