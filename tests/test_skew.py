@@ -140,3 +140,12 @@ def plan_text(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain()
     return buf.getvalue()
+
+
+def test_salted_join_with_map_column(skew_conf, skewed):
+    from tierline.operators import salted_join
+
+    ent, ev = skewed
+    ev_m = ev.withColumn("m", F.create_map(F.lit("v"), F.col("v")))
+    salted = salted_join(ev_m, ent, ["k"], salts=4, hot_rows=1000)
+    assert salted.count() == ev_m.join(ent, "k").count()

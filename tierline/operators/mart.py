@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def union_by_name(*dfs: DataFrame) -> DataFrame:
@@ -58,7 +59,9 @@ def salted_join(
     if n_hot == 0 or n_hot > max_hot_keys:
         return big.join(small, on, "inner")
     hot_b = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    # content hash of the row (map columns cannot be hashed and are skipped)
+    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, MapType)]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
     big_s = (
         big.join(hot_b, on, "left")
         .withColumn(
