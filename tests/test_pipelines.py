@@ -339,3 +339,16 @@ def test_sentinels_option(spark, treks_csv):
               if r.trek_id == 4}
     assert nulled[4].starting_point is None and nulled[4].approx_cost is None
     assert nulled[4].trek_name == "Delta Meadow"
+
+
+def test_weather_summary_groups_by_id_and_name(spark, weather_dir, tmp_dir):
+    """A place renamed between documents gives two summary rows, as the
+    grouping is by (id, name)."""
+    renamed = _doc(1, "Alpha Ridge (renamed)", _hourly(
+        ["2026-09-05T00:00"], [1.0], [1], [0.0], [20000.0], [1.0], [1.0]))
+    with open(os.path.join(weather_dir, "trek_1_renamed.json"), "w") as fh:
+        json.dump(renamed, fh, indent=2)
+    out = W.run_weather(spark, weather_dir + "/*.json", tmp_dir + "/w2")
+    s = spark.read.parquet(out["summary"])
+    names = sorted(r.trek_name for r in s.filter("trek_id = 1").collect())
+    assert names == ["Alpha Ridge", "Alpha Ridge (renamed)"]
