@@ -134,6 +134,63 @@ PART_COST_TEXT = [
     ),
 ]
 
+PART_BASE = PART_LO_HI + [("p_name", "p_name"), ("p_type", "p_type"), ("p_brand", "p_brand")]
+
+
+def _coord(whole: int, frac: int) -> str:
+    return (
+        f"CAST(p_partkey % {whole} AS STRING) || '.' || "
+        f"lpad(CAST(p_partkey % {frac} AS STRING), 3, '0')"
+    )
+
+
+_SZ = "p_size % 9"
+# A place feed read from the part table: every column is text, as in the
+# bronze CSV, with sentinels, missing coordinates, range and money text,
+# noisy difficulty labels and two trailing unnamed columns.
+PLACE_TEXT = [
+    ("CAST(p_partkey AS STRING)", "trek_id"),
+    ("p_name", "trek_name"),
+    ("p_type", "category"),
+    ("CASE WHEN p_partkey % 23 = 0 THEN 'needs_verification' ELSE p_brand END", "starting_point"),
+    (f"CASE WHEN p_partkey % 19 = 0 THEN 'needs_verification' ELSE {_coord(90, 997)} END", "start_lat"),
+    (f"CASE WHEN p_partkey % 37 = 0 THEN NULL ELSE {_coord(180, 991)} END", "start_lon"),
+    ("CAST(1000 + p_partkey % 3000 AS STRING)", "start_elevation"),
+    ("'Top ' || p_brand", "ending_point"),
+    (f"CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE {_coord(89, 983)} END", "end_lat"),
+    (f"CASE WHEN p_partkey % 13 = 0 THEN 'needs_verification' ELSE {_coord(179, 977)} END", "end_lon"),
+    ("CAST(p_size * 100 AS STRING)", "end_elevation"),
+    ("CASE WHEN p_partkey % 31 = 0 THEN 'needs_verification' ELSE CAST(p_size AS STRING) END", "distance_km"),
+    (
+        f"CASE p_partkey % 7 WHEN 0 THEN CAST({_SZ} + 1 AS STRING) "
+        f"WHEN 1 THEN CAST({_SZ} + 1 AS STRING) || '–' || CAST({_SZ} + 3 AS STRING) "
+        f"WHEN 2 THEN CAST({_SZ} + 1 AS STRING) || ' to ' || CAST({_SZ} + 4 AS STRING) "
+        f"WHEN 3 THEN CAST({_SZ} + 1 AS STRING) || '–' || CAST({_SZ} + 2 AS STRING) || ' days' "
+        f"WHEN 4 THEN 'needs_verification' "
+        f"WHEN 5 THEN CAST({_SZ} AS STRING) || '.5-' || CAST({_SZ} + 1 AS STRING) "
+        f"ELSE NULL END",
+        "duration_days",
+    ),
+    (
+        "CASE p_partkey % 10 WHEN 0 THEN 'easy' WHEN 1 THEN ' EASY-moderate ' "
+        "WHEN 2 THEN 'Moderate' WHEN 3 THEN 'moderate-difficult' WHEN 4 THEN 'DIFFICULT' "
+        "WHEN 5 THEN 'Very Difficult ' WHEN 6 THEN 'extreme' WHEN 7 THEN 'Hard' "
+        "WHEN 8 THEN 'Unknown Grade' ELSE NULL END",
+        "difficulty",
+    ),
+    ("'Sep–Jun'", "best_season"),
+    (PART_COST_TEXT[1][0], "approx_cost"),
+    ("CAST(NULL AS STRING)", "_c16"),
+    ("CAST(NULL AS STRING)", "_c17"),
+]
+# Every place a second time under a variant name: the key de-duplication
+# keeps the upper-case copy for even keys and the original for odd ones.
+PLACE_TEXT_COPY = [
+    ("CASE p_partkey % 2 WHEN 0 THEN upper(p_name) ELSE p_name || ' (copy)' END", "trek_name")
+    if alias == "trek_name" else (expr, alias)
+    for expr, alias in PLACE_TEXT
+]
+
 CUSTOMER_SEGMENT_TEXT = [
     ("c_custkey", "c_custkey"),
     (
@@ -625,6 +682,27 @@ def q_weather_docs_gold(spark, d):
     return gold.select(*cols, F.regexp_extract("source_file", r"\.(json)$", 1).alias("source_ext"))
 
 
+def q_places_csv_gold(spark, d):
+    """The place instance end to end: a messy place feed derived from the
+    whole part table (every key twice) is written as CSV, read back as
+    text, de-duplicated, typed, range-parsed, split on complete
+    coordinates and turned into gold rows."""
+    from tierline.plans import treks as T
+
+    base = _sel(_t(spark, d, "part"), PART_BASE)
+    feed = _sel(base, PLACE_TEXT).unionByName(_sel(base, PLACE_TEXT_COPY))
+    path = scratch_path(spark, "places-csv")
+    (
+        feed.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    silver, _ = T.treks_silver(T.read_treks(spark, path))
+    return T.treks_gold(silver)
+
+
 def q_top_n(spark, d):
     orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     return top_n(orders, 20, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
@@ -672,4 +750,5 @@ QUERIES: dict[str, QueryFn] = {
     "expect_count": q_expect_count,
     "top_n": q_top_n,
     "weather_docs_gold": q_weather_docs_gold,
+    "places_csv_gold": q_places_csv_gold,
 }

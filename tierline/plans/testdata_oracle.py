@@ -19,6 +19,8 @@ from tierline.plans.testdata import (
     PART_LO_HI,
     PART_SIZE_TEXT,
     PART_WITH_NULLS,
+    PLACE_TEXT,
+    PLACE_TEXT_COPY,
     _sql,
 )
 
@@ -539,6 +541,73 @@ SELECT trek_id, trek_name, latitude, longitude, elevation, weather_date, weather
 FROM g
 """
 
+_PLACE_TEXT_COLS = [
+    "trek_name", "category", "starting_point", "start_lat", "start_lon", "start_elevation",
+    "ending_point", "end_lat", "end_lon", "end_elevation", "distance_km", "duration_days",
+    "difficulty", "best_season", "approx_cost",
+]
+_NUMERIC = ["start_lat", "start_lon", "start_elevation", "end_lat", "end_lon", "end_elevation", "distance_km"]
+_LABELS = [
+    "Easy", "Easy-Moderate", "Moderate", "Moderate-Difficult", "Difficult", "Very Difficult",
+    "Extreme", "Hard",
+]
+
+
+def _money(side_pattern: str, text: str) -> str:
+    clean = f"regexp_replace({text}, '[₹,\\s]', '', 'g')"
+    raw = f"regexp_extract({clean}, '{side_pattern}', 1)"
+    unit = f"regexp_extract({clean}, '{side_pattern}', 2)"
+    return (
+        f"CASE WHEN {raw} = '' THEN NULL WHEN lower({unit}) = 'k' THEN TRY_CAST({raw} AS DOUBLE) * 1000 "
+        f"ELSE TRY_CAST({raw} AS DOUBLE) END"
+    )
+
+
+PLACES_CSV_GOLD = f"""
+WITH a AS (
+  SELECT p_partkey, p_size, p_name, p_type, p_brand,
+         p_partkey % 4000 + 500 AS lo, p_partkey % 4000 + 500 + p_size * 100 AS hi
+  FROM part),
+raw AS (
+  SELECT {_sql(PLACE_TEXT)} FROM a
+  UNION ALL
+  SELECT {_sql(PLACE_TEXT_COPY)} FROM a),
+dd AS (
+  SELECT TRY_CAST(trek_id AS BIGINT) AS trek_id, {', '.join(_PLACE_TEXT_COLS)},
+    row_number() OVER (
+      PARTITION BY TRY_CAST(trek_id AS BIGINT)
+      ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in _PLACE_TEXT_COLS)}) AS rn
+  FROM raw),
+s AS (
+  SELECT trek_id, trek_name, category, starting_point,
+    {', '.join(f'TRY_CAST({c} AS DOUBLE) AS {c}' for c in _NUMERIC)},
+    ending_point, duration_days, difficulty, best_season, approx_cost,
+    TRY_CAST(NULLIF(regexp_extract(trim(duration_days), '^{NUM}', 1), '') AS DOUBLE) AS dmin,
+    regexp_extract(trim(duration_days), '(?:[–-]|to)\\s*{NUM}$', 1) AS dmax_raw
+  FROM dd WHERE rn = 1),
+v AS (
+  SELECT *, CASE WHEN dmax_raw = '' THEN dmin ELSE TRY_CAST(dmax_raw AS DOUBLE) END AS dmax
+  FROM s
+  WHERE start_lat IS NOT NULL AND start_lon IS NOT NULL AND end_lat IS NOT NULL AND end_lon IS NOT NULL)
+SELECT trek_id, trek_name, category, starting_point, start_lat, start_lon, start_elevation,
+  ending_point, end_lat, end_lon, end_elevation,
+  end_elevation - start_elevation AS elevation_gain_m,
+  distance_km,
+  CASE WHEN distance_km IS NULL THEN 'Unknown' WHEN distance_km < 10 THEN 'Short'
+       WHEN distance_km < 20 THEN 'Medium' ELSE 'Long' END AS distance_category,
+  duration_days,
+  dmin AS duration_min_days, dmax AS duration_max_days, (dmin + dmax) / 2 AS duration_avg_days,
+  CASE WHEN dmax IS NULL THEN 'Unknown' WHEN dmax <= 2 THEN 'Short'
+       WHEN dmax <= 5 THEN 'Medium' ELSE 'Long' END AS duration_category,
+  CASE lower(trim(difficulty))
+    {' '.join(f"WHEN '{lab.lower()}' THEN '{lab}'" for lab in _LABELS)}
+    ELSE trim(difficulty) END AS difficulty,
+  best_season, approx_cost,
+  {_money(_MONEY_MIN, 'approx_cost')} AS cost_min,
+  {_money(_MONEY_MAX, 'approx_cost')} AS cost_max
+FROM v
+"""
+
 ORACLE: dict[str, str] = {
     "coerce_numeric": COERCE_NUMERIC,
     "parse_range": PARSE_RANGE,
@@ -581,4 +650,5 @@ ORACLE: dict[str, str] = {
     "expect_count": EXPECT_COUNT,
     "top_n": TOP_N,
     "weather_docs_gold": WEATHER_DOCS_GOLD,
+    "places_csv_gold": PLACES_CSV_GOLD,
 }
