@@ -183,3 +183,16 @@ def test_standardize_label_large_mapping_uses_map(spark):
     mapping = {"hi": "High", "lo": "Low"}
     got = [r[0] for r in _one_col(spark, ["HI", "x"]).select(standardize_label("x", mapping)).collect()]
     assert got == ["High", "x"]
+
+
+def test_plain_vs_stable_rounding(spark):
+    """Summation noise on a rounding boundary: plain double rounding keeps
+    the noise, the decimal route does not."""
+    from tierline.plans.weather import summary_aggregates
+
+    df = spark.createDataFrame([(11.244999999999999,)], "x double")
+    plain = df.select(F.round("x", 2)).first()[0]
+    assert plain == 11.24 and df.select(stable_round("x")).first()[0] == 11.25
+    assert set(summary_aggregates("plain")) == set(summary_aggregates())
+    with pytest.raises(ValueError):
+        summary_aggregates("banker")

@@ -176,8 +176,17 @@ def weather_gold(silver: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
     return out.select(*GOLD_COLUMNS, *extra)
 
 
-def summary_aggregates() -> dict:
-    r = stable_round
+def summary_aggregates(rounding: str = "stable") -> dict:
+    """The per-entity aggregates.  ``rounding="stable"`` rounds through
+    ``decimal(38,8)`` (result independent of summation order, see
+    :func:`stable_round`); ``"plain"`` is ``round(x, 2)`` on the double, which
+    can flip the last digit when summation noise sits on a boundary."""
+    if rounding == "stable":
+        r = stable_round
+    elif rounding == "plain":
+        r = lambda c: F.round(c, 2)
+    else:
+        raise ValueError("rounding must be 'stable' or 'plain'")
     return {
         "weather_records": F.count(F.lit(1)),
         "avg_temperature_c": r(F.avg("temperature_c")),
@@ -195,13 +204,15 @@ def summary_aggregates() -> dict:
     }
 
 
-def weather_summary(gold: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def weather_summary(
+    gold: DataFrame, keys: list[str] | None = None, rounding: str = "stable"
+) -> DataFrame:
     """One row per entity: counts, rounded averages / extremes, red and
     yellow flags, and the worst status (red > yellow > green)."""
     return entity_summary(
         gold,
         keys or ENTITY,
-        summary_aggregates(),
+        summary_aggregates(rounding),
         derived={
             "overall_condition": rollup_status(
                 [("has_red_condition", RED), ("has_yellow_condition", YELLOW)], GREEN
