@@ -190,7 +190,7 @@ def test_plain_vs_stable_rounding(spark):
     the noise, the decimal route does not."""
     from tierline.plans.weather import summary_aggregates
 
-    df = spark.createDataFrame([(11.244999999999999,)], "x double")
+    df = spark.createDataFrame([(11.2449999999,)], "x double")
     plain = df.select(F.round("x", 2)).first()[0]
     assert plain == 11.24 and df.select(stable_round("x")).first()[0] == 11.25
     assert set(summary_aggregates("plain")) == set(summary_aggregates())
