@@ -636,7 +636,7 @@ def _hour_text(i):
     return F.concat(F.lit("2026-01-"), day, F.lit("T"), hour, F.lit(":00"))
 
 
-def weather_docs_from_embeddings(spark, d) -> DataFrame:
+def weather_docs_from_embeddings(spark, d, repeat_last_hour: bool = True) -> DataFrame:
     """One hourly-weather document per embedding vector: the 64 values,
     scaled, become the parallel hourly arrays.  Every 10th vector has one
     unparsable time, every 11th repeats its last hour, every 7th has a
@@ -644,10 +644,11 @@ def weather_docs_from_embeddings(spark, d) -> DataFrame:
     emb = _t(spark, d, "embeddings")
     n = F.size("embedding")
     vid = F.col("vec_id")
+    repeat = F.lit(repeat_last_hour)
     times = F.transform(
         F.sequence(F.lit(0), n - 1),
         lambda i: F.when((vid % 10 == 0) & (i == 5), F.lit("bad"))
-        .when((vid % 11 == 0) & (i == n - 1), _hour_text(i - 1))
+        .when(repeat & (vid % 11 == 0) & (i == n - 1), _hour_text(i - 1))
         .otherwise(_hour_text(i)),
     )
     dbl = lambda k: F.transform("embedding", lambda x: F.abs(x.cast("double")) * k)
@@ -682,6 +683,30 @@ def q_weather_docs_gold(spark, d):
     return gold.select(*cols, F.regexp_extract("source_file", r"\.(json)$", 1).alias("source_ext"))
 
 
+def q_weather_docs_stream(spark, d):
+    """The incremental ingest on the same documents: they land as files, a
+    file-source stream (availableNow) flattens and de-duplicates them into a
+    silver table, and gold is built from that table.  Without repeated
+    hours, since a stream keeps the first copy to *arrive*."""
+    from tierline.streaming import start_weather_ingest
+
+    landing = scratch_path(spark, "weather-landing")
+    weather_docs_from_embeddings(spark, d, repeat_last_hour=False).write.mode("overwrite").json(landing)
+    silver_path = scratch_path(spark, "weather-stream-silver")
+    query = start_weather_ingest(
+        spark, landing, silver_path, name="weather_docs_stream",
+        checkpoint=scratch_path(spark, "weather-stream-checkpoint"), multi_line=False,
+    )
+    if not query.awaitTermination(900):
+        query.stop()
+        raise TimeoutError("incremental ingest did not finish")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    gold = W.weather_gold(spark.read.parquet(silver_path))
+    cols = [c for c in W.GOLD_COLUMNS if c != "source_file"]
+    return gold.select(*cols, F.regexp_extract("source_file", r"\.(json)$", 1).alias("source_ext"))
+
+
 def q_places_csv_gold(spark, d):
     """The place instance end to end: a messy place feed derived from the
     whole part table (every key twice) is written as CSV, read back as
@@ -751,4 +776,5 @@ QUERIES: dict[str, QueryFn] = {
     "top_n": q_top_n,
     "weather_docs_gold": q_weather_docs_gold,
     "places_csv_gold": q_places_csv_gold,
+    "weather_docs_stream": q_weather_docs_stream,
 }

@@ -485,7 +485,9 @@ def _hour_text(i: str) -> str:
     )
 
 
-WEATHER_DOCS_GOLD = f"""
+def _weather_docs_gold(repeat_last_hour: bool) -> str:
+    repeat = "TRUE" if repeat_last_hour else "FALSE"
+    return f"""
 WITH d AS (
   SELECT vec_id, CASE WHEN vec_id % 25 <> 0 THEN embedding END AS hourly_values FROM embeddings),
 e AS (
@@ -498,7 +500,7 @@ w AS (
     CAST(30.0 AS DOUBLE) AS latitude, CAST(78.0 AS DOUBLE) AS longitude,
     CAST(vec_id * 10 AS DOUBLE) AS elevation, i,
     CASE WHEN vec_id % 10 = 0 AND i = 5 THEN 'bad'
-         WHEN vec_id % 11 = 0 AND i = n - 1 THEN {_hour_text('i - 1')}
+         WHEN {repeat} AND vec_id % 11 = 0 AND i = n - 1 THEN {_hour_text('i - 1')}
          ELSE {_hour_text('i')} END AS time_text,
     CAST(embedding[i + 1] AS DOUBLE) * 100 AS temperature_c,
     CAST(CAST(floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 1000) AS BIGINT) AS DOUBLE) AS humidity_pct,
@@ -541,6 +543,10 @@ SELECT trek_id, trek_name, latitude, longitude, elevation, weather_date, weather
 FROM g
 """
 
+
+WEATHER_DOCS_GOLD = _weather_docs_gold(True)
+WEATHER_DOCS_STREAM = _weather_docs_gold(False)
+
 _PLACE_TEXT_COLS = [
     "trek_name", "category", "starting_point", "start_lat", "start_lon", "start_elevation",
     "ending_point", "end_lat", "end_lon", "end_elevation", "distance_km", "duration_days",
@@ -651,4 +657,5 @@ ORACLE: dict[str, str] = {
     "top_n": TOP_N,
     "weather_docs_gold": WEATHER_DOCS_GOLD,
     "places_csv_gold": PLACES_CSV_GOLD,
+    "weather_docs_stream": WEATHER_DOCS_STREAM,
 }

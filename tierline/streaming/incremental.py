@@ -58,6 +58,7 @@ def start_weather_ingest(
     available_now: bool = True,
     watermark: str = "8 days",
     max_files_per_trigger: int | None = None,
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Start the incremental ingest into ``silver_path`` (Parquet,
     partitioned by ``weather_date``).
@@ -71,7 +72,7 @@ def start_weather_ingest(
     """
     ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/tierline/streams/{name}"
     writer = (
-        weather_silver_stream(spark, landing_dir, watermark, max_files_per_trigger)
+        weather_silver_stream(spark, landing_dir, watermark, max_files_per_trigger, multi_line)
         .writeStream.format("parquet")
         .option("path", silver_path)
         .option("checkpointLocation", ckpt)
