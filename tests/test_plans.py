@@ -79,3 +79,15 @@ def test_skew_safe_left_join_shape(plans):
     assert "LeftAnti" in plan and "Inner" in plan
     # the anti side is de-duplicated map-side (keys only, no aggregate functions)
     assert "HashAggregate(keys=[trek_id" in plan
+
+
+def test_only_known_operators_run_outside_codegen(spark):
+    """Executed (final adaptive) plans: everything but the window survivor
+    pick and the top-N merge runs inside whole-stage codegen."""
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_report import final_plan, summarise
+
+    allowed = {"Window", "WindowGroupLimit", "TakeOrderedAndProject"}
+    for name, fn in queries().items():
+        outside = set(summarise(final_plan(fn(spark, SF)))["no_codegen"])
+        assert outside <= allowed, f"{name}: {sorted(outside - allowed)} outside codegen"
