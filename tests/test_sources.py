@@ -128,3 +128,22 @@ def test_materialize_and_sources(spark, tmp_dir):
     assert reg["tl_src"].count() == 3
     with pytest.raises(ValueError):
         materialize(df, "x", "index")
+
+
+def test_stage_table_cuts_lineage_under_checkpoint_dir(spark):
+    import contextlib
+    import io
+
+    from tierline.session import checkpoint_root
+    from tierline.sources import stage_table
+
+    df = spark.range(100).withColumn("x", F.col("id") * 2).filter("id % 3 = 0")
+    staged = stage_table(df, "unit")
+    assert rows(staged) == rows(df)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        staged.explain()
+    plan = buf.getvalue()
+    assert "FileScan parquet" in plan and "Range" not in plan
+    root = checkpoint_root(spark).rstrip("/")
+    assert root.split(":")[-1] in plan
