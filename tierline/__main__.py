@@ -21,7 +21,9 @@ from tierline.session import get_session
 
 
 def main(argv: list[str] | None = None) -> int:
-    p = argparse.ArgumentParser(prog="tierline")
+    p = argparse.ArgumentParser(
+        prog="tierline", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
+    )
     sub = p.add_subparsers(dest="cmd", required=True)
     for name in ("treks", "ingest"):
         s = sub.add_parser(name)
