@@ -352,3 +352,17 @@ def test_weather_summary_groups_by_id_and_name(spark, weather_dir, tmp_dir):
     s = spark.read.parquet(out["summary"])
     names = sorted(r.trek_name for r in s.filter("trek_id = 1").collect())
     assert names == ["Alpha Ridge", "Alpha Ridge (renamed)"]
+
+
+def test_cli_ingest_and_stream(spark, treks_csv, weather_dir, tmp_dir, capsys):
+    from tierline.__main__ import main
+
+    assert main(["ingest", treks_csv, tmp_dir + "/ing"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.read.option("header", True).csv(out["skipped"]).count() == 3
+    import uuid
+
+    name = f"cli_test_{uuid.uuid4().hex}"  # a fresh checkpoint for this run
+    assert main(["weather-stream", weather_dir, tmp_dir + "/stream_silver", "--name", name]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.read.parquet(out["silver"]).count() == 6
