@@ -693,8 +693,10 @@ def q_weather_docs_stream(spark, d):
     landing = scratch_path(spark, "weather-landing")
     weather_docs_from_embeddings(spark, d, repeat_last_hour=False).write.mode("overwrite").json(landing)
     silver_path = scratch_path(spark, "weather-stream-silver")
+    import uuid
+
     query = start_weather_ingest(
-        spark, landing, silver_path, name="weather_docs_stream",
+        spark, landing, silver_path, name=f"weather_docs_stream_{uuid.uuid4().hex[:12]}",
         checkpoint=scratch_path(spark, "weather-stream-checkpoint"), multi_line=False,
     )
     if not query.awaitTermination(900):
