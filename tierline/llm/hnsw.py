@@ -91,6 +91,8 @@ def layer_links(unit: np.ndarray) -> np.ndarray:
     dst = chosen_all.ravel()
     keep = dst >= 0
     src, dst = src[keep], dst[keep]
+    already = (chosen_all[dst] == src[:, None]).any(axis=1)
+    src, dst = src[~already], dst[~already]
     order = np.argsort(dst, kind="stable")
     src, dst = src[order], dst[order]
     rank = np.arange(len(dst)) - np.searchsorted(dst, dst)

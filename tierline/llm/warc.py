@@ -188,7 +188,7 @@ def write_archives(
                     if bundle is None:
                         name = f"{uuid.uuid4().hex}.warc.zst"
                         fs.create_dir(base, recursive=True)
-                        bundle = Bundle(fs.open_output_stream(f"{base}/{name}"))
+                        bundle = Bundle(fs.open_output_stream(f"{base}/{name}", compression=None))
                     payload = page.encode()
                     revisits = response is not None and response != page_id and len(payload) >= least_bytes
                     place = bundle.add(record(page_id, url, payload, revisits, response))
