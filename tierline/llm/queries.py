@@ -57,12 +57,12 @@ def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
-    from tierline.llm.toxicity import may_learn, train
+    from tierline.llm.toxicity import fold, train
 
     docs = read_table(spark, sf_dir, "documents")
     model = train(docs, read_table(spark, sf_dir, "labels"))
     found = docs.select("doc_id", model.logits(F.col("text")).alias("found"))
-    scored = found.select("doc_id", (~may_learn("doc_id")).alias("held_out"), model.score(F.col("found")).alias("score"))
+    scored = found.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), model.score(F.col("found")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -8,7 +8,7 @@ filters are linear in the embeddings, a response is a sum of table look-ups.
 
 The weights are fitted on ``TRAIN_ROWS`` labelled documents of either class
 at most (chosen by a hash of the id); the threshold of each language is
-calibrated on all labelled documents that training may use.  The language is
+calibrated on all labelled documents of a fold kept apart for that.  The language is
 guessed from the text's function words, so a score depends on the text alone.
 
 Edge cases: null and empty texts have no words and get the score of their
@@ -33,13 +33,18 @@ TRAIN_ROWS = 2000
 #: Training documents that must share a word for it to get an embedding, and
 #: the most words that get one (the most frequent).
 MIN_DOCS = 3
+#: Word hashes that tell near copies among training documents.
+SKETCH = 3
 MAX_WORDS = 30_000
 DIM = 8
 WIDTHS = (1, 2, 3)
-FILTERS = 6
-EPOCHS = 6
-BATCH = 32
+FILTERS = 4
+EPOCHS = 4
+BATCH = 64
 RATE = 0.02
+EMBEDDING_RATE = 0.002
+#: Share of a text's words left out at each training step.
+DROP = 0.3
 SEED = 7
 #: Logits are counted in bins this wide for calibration, up to +-LIMIT.
 BIN = 0.05
@@ -144,12 +149,28 @@ def logit(rows: np.ndarray, tables: list[list[np.ndarray]], w: Weights) -> float
     return float(values @ w.out + w.bias)
 
 
+def unlike(hashed: list[np.ndarray]) -> list[int]:
+    """Places of documents that are not near copies of an earlier one, as far
+    as their smallest word hashes tell: copies would make words look common."""
+    seen: set[bytes] = set()
+    out = []
+    for i, h in enumerate(hashed):
+        key = np.unique(h)[:SKETCH].tobytes()
+        if not key or key not in seen:
+            seen.add(key)
+            out.append(i)
+    return out
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Weights:
-    """Fit the weights; Adam on the logistic loss."""
+    """Fit the weights; Adam on the logistic loss, with words dropped at
+    random so that no document rests on one of them."""
     rng = np.random.default_rng(SEED)
     hashed = [word_hashes(t) for t in texts]
-    y = toxic.astype(float)
-    share = max(1e-9, y.mean())
+    chosen = unlike(hashed)
+    hashed = [hashed[i] for i in chosen]
+    y = toxic.astype(float)[chosen]
+    share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
     distinct = [np.unique(h) for h in hashed]
     words, where = np.unique(np.concatenate([*distinct, np.zeros(0, np.uint64)]), return_inverse=True)
     owner = np.repeat(np.arange(len(distinct)), [len(d) for d in distinct])
@@ -159,24 +180,27 @@ def fit(texts: list[str], toxic: np.ndarray) -> Weights:
     kept = np.sort(kept[np.argsort(-df[kept], kind="stable")[:MAX_WORDS]])
     function = {h: i for i, k in enumerate(FUNCTION_WORDS) for h in word_hashes(FUNCTION_WORDS[k]).tolist()}
     vocabulary = np.unique(np.r_[words[kept], np.array(sorted(function), np.uint64)])
-    # The first dimension starts from how much likelier toxic documents hold
-    # the word; training moves it on.
-    odds = np.zeros(len(vocabulary))
-    at = np.searchsorted(vocabulary, words[kept])
-    odds[at] = np.log((df_toxic[kept] + 0.5) / (df[kept] * share + 0.5))
+    # The first dimension starts from how surely toxic documents hold the
+    # word more often (in standard deviations); training moves it on.
+    sure = np.zeros(len(vocabulary))
+    surplus = df_toxic[kept] - df[kept] * share
+    sure[np.searchsorted(vocabulary, words[kept])] = surplus / np.sqrt(df[kept] * share * (1 - share) + 1)
     w = Weights(
         words=vocabulary,
         language=np.array([-1, *(function.get(int(h), -1) for h in vocabulary)]),
-        embedding=np.vstack([np.zeros(DIM), rng.normal(0, 0.1, (len(vocabulary), DIM))]),
-        filters=[rng.normal(0, 0.3, (n, DIM, FILTERS)) for n in WIDTHS],
+        embedding=np.vstack([np.zeros(DIM), rng.normal(0, 0.02, (len(vocabulary), DIM))]),
+        filters=[rng.normal(0, 0.2, (n, DIM, FILTERS)) for n in WIDTHS],
         biases=[np.zeros(FILTERS) for _ in WIDTHS],
-        out=rng.normal(0, 0.3, FILTERS * len(WIDTHS)),
-        bias=float(np.log(share / max(1e-9, 1 - share))),
+        out=rng.normal(0, 0.2, FILTERS * len(WIDTHS)),
+        bias=float(np.log(share / (1 - share))),
     )
-    w.embedding[1:, 0] = odds
-    for f in w.filters:
+    w.embedding[1:, 0] = np.clip(sure, -LIMIT, LIMIT) / 4
+    for f, b in zip(w.filters, w.biases, strict=True):
         f[0, 0, 0] = 1.0
+        b[0] = -1.0
+    w.out[::FILTERS] = 1.0
     rows = [w.rows(h) for h in hashed]
+    rates = [EMBEDDING_RATE, *[RATE] * (2 * len(WIDTHS) + 1)]
     params = [w.embedding, *w.filters, *w.biases, w.out]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
@@ -189,7 +213,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> Weights:
             grads = [np.zeros_like(p) for p in params]
             bias_grad = 0.0
             for i in batch:
-                values, places = pooled(rows[i], tables, w)
+                own = np.where(rng.random(len(rows[i])) < DROP, 0, rows[i])
+                values, places = pooled(own, tables, w)
                 z = values @ w.out + w.bias
                 d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[i]) / len(batch)
                 grads[-1] += d * values
@@ -203,20 +228,20 @@ def fit(texts: list[str], toxic: np.ndarray) -> Weights:
                         grads[1 + n_f + k][c] += g
                         for o in range(f.shape[0]):
                             p = places[u] + o
-                            r = rows[i][p] if p < len(rows[i]) else 0
+                            r = own[p] if p < len(own) else 0
                             if r:
                                 grads[1 + k][o, :, c] += g * w.embedding[r]
                                 grads[0][r] += g * f[o, :, c]
             step += 1
-            scale = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-            for p, g, a, b in zip(params, grads, first, second, strict=True):
+            scale = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+            for p, g, a, b, rate in zip(params, grads, first, second, rates, strict=True):
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
-                p -= scale * a / (np.sqrt(b) + 1e-8)
+                p -= rate * scale * a / (np.sqrt(b) + 1e-8)
             w.embedding[0] = 0
             bias_state[0] += 0.1 * (bias_grad - bias_state[0])
             bias_state[1] += 0.001 * (bias_grad**2 - bias_state[1])
-            w.bias -= float(scale * bias_state[0] / (np.sqrt(bias_state[1]) + 1e-8))
+            w.bias -= float(RATE * scale * bias_state[0] / (np.sqrt(bias_state[1]) + 1e-8))
     return w
 
 
@@ -254,9 +279,10 @@ class Model:
         return 1 / (1 + F.exp(-(found["logit"] - limit)))
 
 
-def may_learn(id_col: str) -> Column:
-    """Rows whose labels may be used: crc32 of the id mod 5 is not 0."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
+def fold(id_col: str) -> Column:
+    """crc32 of the id mod 5.  Labels in fold 0 are never used, those in folds
+    1 to 3 are for the weights, those in fold 4 for the thresholds."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
 
 
 def train(
@@ -272,14 +298,14 @@ def train(
     own = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
         .where("id is not null and y is not null")
-        .where(may_learn("id"))
         .groupBy("id")
         .agg(F.max("y").alias("y"))
+        .where(fold("id") != 0)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample, toxic = [], []
     for y in (0, 1):
-        ids = own.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(train_rows)
+        ids = own.where((F.col("y") == y) & (fold("id") != 4)).orderBy(F.xxhash64("id"), "id").limit(train_rows)
         # At most train_rows ids: a broadcast of known size.
         for row in texts.join(F.broadcast(ids), "id").orderBy("id", "text").select("text").toLocalIterator():
             sample.append(row["text"])
@@ -287,7 +313,7 @@ def train(
     if len(set(toxic)) < 2:
         return Model(None, {"other": 0.0})
     model = Model(fit(sample, np.array(toxic)), {"other": 0.0})
-    found = texts.where(may_learn("id")).select("id", model.logits(F.col("text")).alias("found")).join(own, "id")
+    found = texts.where(fold("id") == 4).select("id", model.logits(F.col("text")).alias("found")).join(own, "id")
     bins = (
         found.groupBy(
             F.col("found.lang").alias("lang"),
