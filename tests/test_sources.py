@@ -100,8 +100,63 @@ def test_stage_load_union_pattern_and_listing(spark, tmp_dir):
 def test_write_split_one_scan(spark, tmp_dir):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, 3.0)], "id int, a double")
     valid, skipped = write_split(df, ["a"], tmp_dir + "/split")
-    assert sorted(r.id for r in read_parquet(spark, valid).collect()) == [1, 3]
-    assert [r.id for r in read_parquet(spark, skipped).collect()] == [2]
+    assert sorted(r.id for r in valid.collect()) == [1, 3]
+    assert [r.id for r in skipped.collect()] == [2]
+    assert valid.columns == df.columns
+
+
+@pytest.mark.parametrize("keep", ["a IS NOT NULL", "a IS NULL", "false"])
+def test_write_split_with_an_empty_side(spark, tmp_dir, keep):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, 3.0)], "id int, a double")
+    path = tmp_dir + "/split"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_split(df, ["a"], path)  # an earlier run, with both sides
+        valid, skipped = write_split(df.filter(keep), ["a"], path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(valid) == rows(df.filter(keep).filter("a IS NOT NULL"))
+    assert rows(skipped) == rows(df.filter(keep).filter("a IS NULL"))
+
+
+def test_partitioned_write_has_few_files(spark, tmp_dir):
+    df = spark.range(0, 8000, numPartitions=16).withColumn("day", F.col("id") % 10)
+    write_parquet(df, tmp_dir + "/days", partition_by=["day"])
+    files = list_stage(spark, tmp_dir + "/days").count()
+    assert files == 10  # not 16 tasks x 10 days
+    assert rows(read_parquet(spark, tmp_dir + "/days").select("id", "day")) == rows(df)
+
+
+CSV_TEXTS = ["plain", "  padded ", 'say "hi", ok', "two\nlines", "", None, '"', "back\\slash", "comma,", "it's"]
+
+
+def test_csv_keeps_text(spark, tmp_dir):
+    df = spark.createDataFrame(list(enumerate(CSV_TEXTS)), "id int, s string")
+    write_csv(df, tmp_dir + "/t", null_value="\\N")
+    back = read_csv(spark, tmp_dir + "/t", schema="id int, s string", multi_line=True, nullValue="\\N")
+    assert rows(back) == rows(df)
+
+
+def test_checkpoint_root_needs_shared_storage(spark):
+    from types import SimpleNamespace
+
+    from tierline.session import checkpoint_root
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=sc)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_root(session)
+
+
+def test_remove_scratch(spark):
+    from tierline.session import remove_scratch, scratch_path
+
+    path = scratch_path(spark, "unit")
+    spark.range(3).write.parquet(path)
+    assert remove_scratch(spark, path)
+    with pytest.raises(ValueError):
+        remove_scratch(spark, "/somewhere/else")
 
 
 def test_csv_roundtrip_and_schema_report(spark, tmp_dir):

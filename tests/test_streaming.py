@@ -1,12 +1,14 @@
-"""The incremental ingest picks up only new documents on each run and drops
-hours it has already written."""
+"""The incremental ingest picks up only new documents on each run and gives
+the batch result whatever the order in which they land."""
 
 from __future__ import annotations
 
 import json
 import os
 
-from tierline.streaming import start_weather_ingest
+from conftest import rows
+from tierline.plans import weather as W
+from tierline.streaming import read_stream_silver, start_weather_ingest
 
 
 def _doc(trek_id, times, temps):
@@ -27,39 +29,49 @@ def _write(path, doc):
         json.dump(doc, fh, indent=2)
 
 
-def test_incremental_ingest(spark, tmp_dir):
+def _paths(tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     os.makedirs(landing)
-    silver = os.path.join(tmp_dir, "silver")
-    ckpt = os.path.join(tmp_dir, "ckpt")
+    return landing, os.path.join(tmp_dir, "hours"), os.path.join(tmp_dir, "ckpt")
+
+
+def _same_as_batch(spark, landing, path):
+    batch = W.weather_silver(W.read_weather_docs(spark, landing))
+    got = read_stream_silver(spark, path)
+    assert got.columns == W.SILVER_COLUMNS
+    assert rows(got) == rows(batch)
+    return got
+
+
+def test_incremental_ingest(spark, tmp_dir):
+    landing, path, ckpt = _paths(tmp_dir)
     _write(os.path.join(landing, "a.json"), _doc(1, ["2026-09-04T00:00", "2026-09-04T01:00"], [1.0, 2.0]))
     _write(os.path.join(landing, "b.json"), _doc(2, ["2026-09-04T00:00", "bad"], [3.0, 4.0]))
-
-    q = start_weather_ingest(spark, landing, silver, checkpoint=ckpt)
-    q.awaitTermination(120)
-    first = spark.read.parquet(silver)
+    start_weather_ingest(spark, landing, path, ckpt).awaitTermination()
+    first = _same_as_batch(spark, landing, path)
     assert sorted((r.trek_id, r.temperature_c) for r in first.collect()) == [(1, 1.0), (1, 2.0), (2, 3.0)]
 
     # a later fetch repeats one hour of place 1 and adds a new one
     _write(os.path.join(landing, "c.json"), _doc(1, ["2026-09-04T01:00", "2026-09-04T02:00"], [9.0, 5.0]))
-    q = start_weather_ingest(spark, landing, silver, checkpoint=ckpt)
-    q.awaitTermination(120)
-    got = sorted((r.trek_id, r.weather_time.hour, r.temperature_c) for r in spark.read.parquet(silver).collect())
+    start_weather_ingest(spark, landing, path, ckpt).awaitTermination()
+    got = sorted((r.trek_id, r.weather_time.hour, r.temperature_c) for r in _same_as_batch(spark, landing, path).collect())
     assert got == [(1, 0, 1.0), (1, 1, 2.0), (1, 2, 5.0), (2, 0, 3.0)]
 
 
-def test_duplicates_across_micro_batches(spark, tmp_dir):
-    landing = os.path.join(tmp_dir, "landing")
-    os.makedirs(landing)
-    silver = os.path.join(tmp_dir, "silver")
-    hours = ["2026-09-04T00:00", "2026-09-04T01:00"]
-    _write(os.path.join(landing, "f1.json"), _doc(7, hours, [1.0, 2.0]))
-    _write(os.path.join(landing, "f2.json"), _doc(7, hours, [8.0, 9.0]))
-    _write(os.path.join(landing, "f3.json"), _doc(7, ["2026-09-04T02:00"], [3.0]))
-    q = start_weather_ingest(
-        spark, landing, silver, checkpoint=os.path.join(tmp_dir, "ckpt"), max_files_per_trigger=1
-    )
-    q.awaitTermination(180)
-    assert len(q.recentProgress) >= 3  # one file per micro-batch
-    got = sorted((r.weather_time.hour, r.temperature_c) for r in spark.read.parquet(silver).collect())
-    assert [h for h, _ in got] == [0, 1, 2]
+def test_older_document_in_a_later_run(spark, tmp_dir):
+    landing, path, ckpt = _paths(tmp_dir)
+    _write(os.path.join(landing, "a.json"), _doc(1, ["2026-09-27T00:00"], [1.0]))
+    start_weather_ingest(spark, landing, path, ckpt).awaitTermination()
+    _write(os.path.join(landing, "b.json"), _doc(2, ["2026-09-04T00:00"], [2.0]))
+    start_weather_ingest(spark, landing, path, ckpt).awaitTermination()
+    assert _same_as_batch(spark, landing, path).count() == 2
+
+
+def test_older_documents_in_later_micro_batches(spark, tmp_dir):
+    landing, path, ckpt = _paths(tmp_dir)
+    for i, day in enumerate(["27", "27", "27", "04", "04"]):
+        _write(os.path.join(landing, f"f{i}.json"), _doc(i % 3, [f"2026-09-{day}T00:00"], [float(i)]))
+    q = start_weather_ingest(spark, landing, path, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 5  # one file per micro-batch
+    assert _same_as_batch(spark, landing, path).count() == 5

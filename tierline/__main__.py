@@ -3,8 +3,8 @@
     python -m tierline treks   <treks.csv> <out_root>
     python -m tierline ingest  <treks.csv> <out_root>          # reports + valid/skipped CSV
     python -m tierline weather <docs glob> <out_root> [--lines]
-    python -m tierline weather-stream <landing dir> <silver path> [--name N]
-    python -m tierline ledger  <valid places parquet> <docs glob>
+    python -m tierline weather-stream <landing dir> <hours path> --checkpoint C [--name N]
+    python -m tierline ledger  <valid places parquet> <docs glob> <out_root>
     python -m tierline warehouse <treks gold> <weather gold> <weather summary>
                                  [--grain hour|entity|union] [--mart-path P]
 
@@ -36,10 +36,12 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("weather-stream")
     s.add_argument("landing")
     s.add_argument("silver")
+    s.add_argument("--checkpoint", required=True, help="shared folder, the same for every run")
     s.add_argument("--name", default="weather_silver")
     s = sub.add_parser("ledger")
     s.add_argument("valid_places")
     s.add_argument("docs")
+    s.add_argument("out_root")
     s = sub.add_parser("warehouse")
     s.add_argument("treks_gold")
     s.add_argument("weather_gold")
@@ -65,22 +67,20 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "weather-stream":
         from tierline.streaming import start_weather_ingest
 
-        q = start_weather_ingest(spark, args.landing, args.silver, name=args.name)
+        q = start_weather_ingest(spark, args.landing, args.silver, args.checkpoint, name=args.name)
         q.awaitTermination()
         out = {"silver": args.silver, "last_progress": q.lastProgress}
     elif args.cmd == "ledger":
-        from tierline.operators.audit import ledger_summary
-        from tierline.plans.weather import read_weather_docs, weather_ingest_ledger
+        from tierline.plans.weather import run_ledger
 
-        ledger = weather_ingest_ledger(spark.read.parquet(args.valid_places), read_weather_docs(spark, args.docs))
-        out = ledger_summary(ledger).first().asDict()
+        out = run_ledger(spark, spark.read.parquet(args.valid_places), args.docs, args.out_root)
     else:
         from tierline.plans.warehouse import run_warehouse
 
         res = run_warehouse(
             spark, args.treks_gold, args.weather_gold, args.weather_summary, args.grain, args.mart_path
         )
-        out = {"tests": [r.asDict() for r in res["tests"].collect()]}
+        out = {k: [r.asDict() for r in res[k].collect()] for k in ("profiles", "tests")}
     print(json.dumps(out, default=str))
     return 0
 

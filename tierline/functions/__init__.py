@@ -6,7 +6,8 @@ from tierline.functions.parse import (
     parse_event_time,
     parse_money_range,
     parse_range,
-    stable_round,
+    rounded_avg,
+    rounded_sum,
 )
 from tierline.functions.rules import (
     bucketize,
@@ -29,7 +30,8 @@ __all__ = [
     "parse_range",
     "rollup_status",
     "score",
-    "stable_round",
+    "rounded_avg",
+    "rounded_sum",
     "standardize_label",
     "status_band",
 ]

@@ -110,12 +110,32 @@ def parse_event_time(c: ColumnOrName, fmt: str = EVENT_TIME_FORMAT) -> Column:
     return F.try_to_timestamp(_col(c).cast("string"), F.lit(fmt)).cast("timestamp_ntz")
 
 
-def stable_round(c: ColumnOrName, scale: int = 2) -> Column:
-    """Round a double through ``decimal(38,8)``.
+# Values are added up as decimals with 8 places (below 1e18 in size), which
+# makes sums exact whatever the order.
+EXACT_TYPE = "decimal(26,8)"
 
-    Sums and averages of doubles differ in the last bits with summation
-    order, and the order changes with partitioning and with task retries.
-    Fixing the value at 8 decimals before rounding makes the rounded result
-    independent of how the cluster split the work.
+
+def _exact(c: ColumnOrName) -> tuple[Column, Column, Column]:
+    """(double value, its exact sum, whether some value has no exact form)."""
+    x = _col(c).cast("double")
+    d = x.try_cast(EXACT_TYPE)
+    return x, F.try_sum(d), F.count_if(x.isNotNull() & d.isNull()) > 0
+
+
+def rounded_sum(c: ColumnOrName, scale: int = 2) -> Column:
+    """Aggregate: the sum of doubles, added up exactly and rounded once.
+
+    Sums of doubles differ in the last bits with summation order, and the
+    order changes with partitioning and with task retries; an exact sum does
+    not.  NaN, infinite and huge values (1e18 and up) have no exact form: a
+    group that holds one gets the rounded double sum.
     """
-    return F.round(_col(c).cast("decimal(38,8)"), scale).cast("double")
+    x, total, inexact = _exact(c)
+    return F.when(inexact, F.round(F.sum(x), scale)).otherwise(F.round(total, scale).cast("double"))
+
+
+def rounded_avg(c: ColumnOrName, scale: int = 2) -> Column:
+    """Aggregate: like :func:`rounded_sum`, for the average."""
+    x, total, inexact = _exact(c)
+    exact = F.round(F.try_divide(total, F.count(x)), scale).cast("double")
+    return F.when(inexact, F.round(F.avg(x), scale)).otherwise(exact)

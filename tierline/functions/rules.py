@@ -129,28 +129,21 @@ def rollup_status(flags: Sequence[tuple[ColumnOrName, str]], otherwise: str) ->
     return expr.otherwise(F.lit(otherwise))
 
 
-# Above this many labels a map lookup beats a linear CASE chain.
-_CASE_LIMIT = 32
-
-
 def standardize_label(c: ColumnOrName, labels: Sequence[str] | Mapping[str, str]) -> Column:
     """Map text to a canonical label, ignoring case and surrounding spaces.
 
     ``labels`` is either the list of canonical spellings (matched on
     ``lower(trim(x))``) or an explicit ``{variant: canonical}`` mapping.
-    Unknown text is returned trimmed, NULL stays NULL.
+    Unknown text is returned trimmed, NULL stays NULL; a label mapped to None
+    becomes NULL.
     """
     if isinstance(labels, Mapping):
         mapping = {str(k).strip().lower(): v for k, v in labels.items()}
     else:
         mapping = {lab.strip().lower(): lab for lab in labels}
     trimmed = F.trim(_col(c))
+    if not mapping:
+        return trimmed
     key = F.lower(trimmed)
-    if len(mapping) > _CASE_LIMIT:
-        lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-        return F.coalesce(F.try_element_at(lookup, key), trimmed)
-    expr = None
-    for variant, canonical in mapping.items():
-        cond = key == F.lit(variant)
-        expr = F.when(cond, F.lit(canonical)) if expr is None else expr.when(cond, F.lit(canonical))
-    return trimmed if expr is None else expr.otherwise(trimmed)
+    lookup = F.create_map(*[F.lit(x).cast("string") for kv in mapping.items() for x in kv])
+    return F.when(F.map_contains_key(lookup, key), F.try_element_at(lookup, key)).otherwise(trimmed)

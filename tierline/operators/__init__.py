@@ -23,7 +23,6 @@ from tierline.operators.clean import (
 )
 from tierline.operators.mart import (
     build_mart,
-    hot_keys,
     left_join_split,
     salted_join,
     union_by_name,
@@ -59,7 +58,6 @@ __all__ = [
     "empty_columns",
     "entity_summary",
     "expect_count",
-    "hot_keys",
     "ingest_ledger",
     "key_profile",
     "ledger_summary",

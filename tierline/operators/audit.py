@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,21 +55,29 @@ class StageMetrics:
         return spark.createDataFrame(rows, "step int, stage string, records long")
 
 
-def _wide_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
+#: A stage is a table, or the rows of a table under a condition.
+Stage = DataFrame | tuple[DataFrame, Column]
+
+
+def _wide_counts(stages: Mapping[str, Stage]) -> DataFrame:
     """One row with one count column per stage (``s0``, ``s1``, ...), built as
-    a union of single-row aggregates merged by ``max`` - no join."""
+    a union of single-row aggregates merged by ``max`` - no join.  Stages that
+    are given as conditions on one table are counted in one scan of it."""
     names = list(stages)
     if not names:
         raise ValueError("at least one stage is needed")
-    parts = []
+    tables: dict[int, tuple[DataFrame, dict[int, Column]]] = {}
     for i, name in enumerate(names):
-        n = stages[name].agg(F.count(F.lit(1)).alias("n"))
+        stage = stages[name]
+        table, rows = stage if isinstance(stage, tuple) else (stage, None)
+        count = F.count(F.lit(1)) if rows is None else F.count_if(rows)
+        tables.setdefault(id(table), (table, {}))[1][i] = count
+    parts = []
+    for table, counts in tables.values():
+        n = table.agg(*[c.alias(f"s{i}") for i, c in counts.items()])
         parts.append(
             n.select(
-                *[
-                    (F.col("n") if j == i else F.lit(None).cast("long")).alias(f"s{j}")
-                    for j in range(len(names))
-                ]
+                *[(F.col(f"s{j}") if j in counts else F.lit(None).cast("long")).alias(f"s{j}") for j in range(len(names))]
             )
         )
     union = parts[0]
@@ -78,7 +86,7 @@ def _wide_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     return union.agg(*[F.max(f"s{j}").alias(f"s{j}") for j in range(len(names))])
 
 
-def stage_report(stages: Mapping[str, DataFrame]) -> DataFrame:
+def stage_report(stages: Mapping[str, Stage]) -> DataFrame:
     """``step, stage, records, removed`` for stages given in pipeline order;
     ``removed`` is the drop from the previous stage (NULL for the first)."""
     names = list(stages)
@@ -98,7 +106,7 @@ def stage_report(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def reconcile(
-    stages: Mapping[str, DataFrame],
+    stages: Mapping[str, Stage],
     equal: Sequence[tuple[str, str]] = (),
     nonempty: Sequence[str] = (),
 ) -> DataFrame:

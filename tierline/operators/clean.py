@@ -82,6 +82,11 @@ def with_money_range(df: DataFrame, source: str, min_col: str, max_col: str) ->
     return df.withColumns({min_col: parsed["min"], max_col: parsed["max"]})
 
 
+def with_delta(df: DataFrame, end: str, start: str, out: str) -> DataFrame:
+    """Add ``end - start``; NULL if either is."""
+    return df.withColumn(out, F.col(end) - F.col(start))
+
+
 def dedupe(
     df: DataFrame,
     keys: Sequence[str],

@@ -8,7 +8,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+
+from tierline.session import stage_table
 
 
 def union_by_name(*dfs: DataFrame) -> DataFrame:
@@ -17,78 +18,35 @@ def union_by_name(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows of ``df``.
-
-    A count per key with map-side partial aggregation over the key columns
-    only.  There can be at most ``rows(df) / min_rows`` such keys.
-    """
-    return (
-        df.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") >= min_rows)
-        .select(*on)
-    )
+#: Tasks that the rows of one key are spread over in a salted join.
+SALTS = 8
 
 
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    salts: int = 32,
-    hot_rows: int = 1_000_000,
-    max_hot_keys: int = 100_000,
-) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
     """Inner join of ``big`` with ``small`` (about one row per key) that
-    spreads every hot key of ``big`` over ``salts`` tasks.
+    spreads the rows of every key of ``big`` over up to ``salts`` tasks.
 
-    * Hot keys (at least ``hot_rows`` rows in ``big``) are found first; this
-      runs one small job now.
-    * The hot-key set is broadcast only after a bounded check that it has
-      at most ``max_hot_keys`` keys.  Above that limit, or with no hot key,
-      the plain join is returned (AQE's skew handling still applies).
-    * A hot-key row of ``big`` gets a salt from a hash of its own content, so
-      a retried task reproduces the same salts.  The ``small`` rows of hot
-      keys are replicated once per salt; other keys keep salt 0.
+    A row's salt is the number of the task that reads it, so equal rows
+    spread as well, rows of any type have one, and a task that is run again
+    gives the same salts.  Every row of ``small`` is there once per salt.  No
+    key has to be known as hot, and nothing is collected or broadcast on
+    purpose (Spark may still broadcast a ``small`` that it knows to be small,
+    and then shuffles nothing).
 
     Same rows as ``big.join(small, on, "inner")``.
     """
     on = list(on)
-    hot = hot_keys(big, on, hot_rows)
-    n_hot = hot.limit(max_hot_keys + 1).count()
-    if n_hot == 0 or n_hot > max_hot_keys:
-        return big.join(small, on, "inner")
-    hot_b = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    # content hash of the row (map columns cannot be hashed and are skipped)
-    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, MapType)]
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-    big_s = (
-        big.join(hot_b, on, "left")
-        .withColumn(
-            "__salt",
-            F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0)),
-        )
-        .drop("__hot")
-    )
-    small_s = (
-        small.join(hot_b, on, "left")
-        .withColumn(
-            "__salt",
-            F.explode(
-                F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                .otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop("__hot")
-    )
-    return big_s.join(small_s, on + ["__salt"], "inner").drop("__salt")
+    salted = big.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, "__salt"], "inner").drop("__salt")
 
 
 def left_join_split(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    salt: dict | None = None,
+    salts: int = SALTS,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (on)``, planned skew-safe for a large,
     skewed ``right`` side (events) and a ``left`` side with about one row
@@ -99,32 +57,31 @@ def left_join_split(
     entity with a third of all events), the identity
     ``L ⟕ R = (R ⋈ L) ∪ (L ▷ keys(R))`` is used instead:
 
-    * the inner join lets AQE split hot partitions of ``right`` when both
-      inputs arrive through a shuffle; and ``right`` is its streamed side,
-      so even an unsplit hot key only streams past the one buffered
-      ``left`` row of its key instead of being buffered itself;
-    * the anti join runs against the *distinct* right keys, de-duplicated
-      map-side before any shuffle.
-
-    With ``salt`` (keyword arguments of :func:`salted_join`), the inner
-    join salts the hot keys of ``right`` instead of relying on AQE, which
-    also spreads hot keys when AQE cannot split them (an input already
-    partitioned by an earlier join).
+    * the inner join is salted (:func:`salted_join`);
+    * the anti join runs against ``right_keys``, one row per key of
+      ``right``: give them if they are at hand (e.g. a summary of the same
+      events), else they are the *distinct* keys of ``right``, which costs a
+      second scan of it.
 
     Row for row identical to the plain left join.
     """
     on = list(on)
-    if salt is not None:
-        matched = salted_join(right, left, on, **salt)
-    else:
-        matched = right.join(left, on, "inner")
-    right_keys = right.select(*on).distinct()
-    unmatched = left.join(right_keys, on, "left_anti")
+    matched = salted_join(right, left, on, salts)
+    keys = right.select(*on).distinct() if right_keys is None else right_keys.select(*on)
+    unmatched = left.join(keys, on, "left_anti")
     right_only = [c for c in right.columns if c not in on]
     out_cols = on + [c for c in left.columns if c not in on] + right_only
     return matched.select(*out_cols).unionByName(unmatched, allowMissingColumns=True).select(*out_cols)
 
 
+def one_row_per_key(df: DataFrame, key: str, what: str) -> None:
+    """Raise if a key of ``df`` has several rows (one job, which returns one
+    row at most)."""
+    again = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if again is not None:
+        raise ValueError(f"{what} has {again['n']} rows for {key} = {again[key]!r}; it must have one per key")
+
+
 def build_mart(
     entities: DataFrame,
     key: str,
@@ -135,7 +92,8 @@ def build_mart(
     event_cols: Sequence[str] | None = None,
     columns: Sequence[str] | None = None,
     skew_safe: bool = True,
-    salt: dict | None = None,
+    salts: int = SALTS,
+    summary_of_events: bool = False,
 ) -> DataFrame:
     """Entity ⟕ weather-style detail, keeping every entity.
 
@@ -149,8 +107,11 @@ def build_mart(
       mixed-grain table that loading a summary folder together with its
       parent folder produces).
 
-    ``salt`` (keyword arguments of :func:`salted_join`) salts hot entity
-    keys of the events in the event and union grains.
+    The summary must have one row per key in the entity and event grains (one
+    with several would multiply the events); this is checked.  It is written
+    once to the shared scratch folder, so it is computed once however often
+    the mart reads it.  ``summary_of_events`` states that it has exactly the
+    keys of ``events``, which saves reading the events for their keys.
 
     Output: all entity columns, then ``columns`` (default: summary columns
     then event columns) in that order.  Summary/event inputs may carry extra
@@ -162,6 +123,11 @@ def build_mart(
     ecols = list(event_cols) if event_cols is not None else (
         [c for c in events.columns if c != key] if events is not None else []
     )
+    if summary is not None:
+        summary = stage_table(summary.select(key, *scols), "mart-summary")
+        if grain != "union":
+            one_row_per_key(summary, key, "the summary")
+    event_keys = summary if summary_of_events else None
     if grain == "entity":
         if summary is None:
             raise ValueError("grain='entity' needs a summary")
@@ -177,7 +143,7 @@ def build_mart(
             left = entities.join(summary.select(key, *scols), key, "left")
         right = events.select(key, *ecols)
         joined = (
-            left_join_split(left, right, [key], salt) if skew_safe else _plain_left(left, right, [key])
+            left_join_split(left, right, [key], salts, event_keys) if skew_safe else _plain_left(left, right, [key])
         )
         wanted = list(columns) if columns is not None else scols + ecols
     elif grain == "union":
@@ -185,7 +151,7 @@ def build_mart(
             raise ValueError("grain='union' needs events and a summary")
         right = union_by_name(events.select(key, *ecols), summary.select(key, *scols))
         joined = (
-            left_join_split(entities, right, [key], salt)
+            left_join_split(entities, right, [key], salts, event_keys)
             if skew_safe
             else _plain_left(entities, right, [key])
         )

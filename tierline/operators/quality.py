@@ -46,7 +46,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def missing_report(
     df: DataFrame,
     columns: Sequence[str],
-    check: str = "Missing values",
+    check: str = "Missing values",  # fixed output value
 ) -> DataFrame:
     """``check, column, total_records, missing_records, status`` with
     ``status = PASS`` when nothing is missing.  Required columns are checked

@@ -8,14 +8,16 @@ evaluate identically; the operator under test then runs on the full derived
 table.  The oracle SQL spells the operator's semantics out independently
 (no shared code path with the Spark side beyond the derivation text).
 
-Floating aggregates are rounded through ``DECIMAL(38,8)`` on both sides
-(see :func:`tierline.functions.parse.stable_round`) so that summation order
-cannot change a result.
+Sums and averages of doubles are exact on both sides before they are rounded
+(see :func:`tierline.functions.parse.rounded_sum`; the oracle works in whole
+numbers), so that summation order cannot change a result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ from tierline.operators.clean import (
     drop_null_keys,
     drop_unnamed_columns,
     split_complete,
+    with_delta,
     with_money_range,
     with_parsed_range,
 )
@@ -53,9 +56,9 @@ from tierline.plans.warehouse import (
     MODEL_TESTS,
     SUMMARY_COLUMNS,
 )
-from tierline.session import scratch_path
-from tierline.sources.files import load_stage, read_csv, read_json_docs
-from tierline.sources.sinks import write_csv, write_parquet
+from tierline.session import scratch_path, stage_table
+from tierline.sources.files import load_stage, read_csv, read_json_docs, register_sources
+from tierline.sources.sinks import materialize, write_csv, write_parquet, write_split
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -149,7 +152,14 @@ _SZ = "p_size % 9"
 # bronze CSV, with sentinels, missing coordinates, range and money text,
 # noisy difficulty labels and two trailing unnamed columns.
 PLACE_TEXT = [
-    ("CAST(p_partkey AS STRING)", "trek_id"),
+    # ids: some are no numbers, some have leading zeros (and stay places of
+    # their own beside the id without)
+    (
+        "CASE WHEN p_partkey % 29 = 0 THEN 'T' || CAST(p_partkey AS STRING) "
+        "WHEN p_partkey % 31 = 5 THEN '00' || CAST(p_partkey - 1 AS STRING) "
+        "ELSE CAST(p_partkey AS STRING) END",
+        "trek_id",
+    ),
     ("p_name", "trek_name"),
     ("p_type", "category"),
     ("CASE WHEN p_partkey % 23 = 0 THEN 'needs_verification' ELSE p_brand END", "starting_point"),
@@ -218,7 +228,12 @@ LINEITEM_WEATHER = [
     ("l_orderkey", "l_orderkey"),
     ("l_linenumber", "l_linenumber"),
     ("l_suppkey", "trek_id"),
-    ("'Supplier#' || lpad(CAST(l_suppkey AS STRING), 9, '0')", "trek_name"),
+    # every tenth place is renamed half-way
+    (
+        "'Supplier#' || lpad(CAST(l_suppkey AS STRING), 9, '0') || "
+        "CASE WHEN l_suppkey % 10 = 3 AND l_orderkey % 2 = 1 THEN ' (renamed)' ELSE '' END",
+        "trek_name",
+    ),
     ("CAST(l_partkey % 90 AS DOUBLE)", "latitude"),
     ("CAST(l_partkey % 180 AS DOUBLE)", "longitude"),
     ("CAST(l_linenumber * 100 AS DOUBLE)", "elevation"),
@@ -360,7 +375,7 @@ def q_key_profile(spark, d):
 
 def q_add_delta(spark, d):
     df = _sel(_t(spark, d, "lineitem"), LINEITEM_DELTA)
-    return df.withColumn("delta", F.col("end_value") - F.col("start_value"))
+    return with_delta(df, "end_value", "start_value", "delta")
 
 
 def _part_nulls(spark, d):
@@ -522,9 +537,72 @@ def q_read_json_docs(spark, d):
 CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
 
+# Text that CSV must not change: spaces at the ends, quotes, separators, line
+# breaks, the empty string and NULL.
+CUSTOMER_CSV = [
+    ("c_custkey", "c_custkey"),
+    (
+        "CASE c_custkey % 8 WHEN 0 THEN ' ' || c_name || '  ' WHEN 1 THEN 'say \"' || c_name || '\", ok' "
+        "WHEN 2 THEN c_name || chr(10) || 'second line' WHEN 3 THEN '' WHEN 4 THEN NULL "
+        "WHEN 5 THEN '\"' WHEN 6 THEN 'back' || chr(92) || 'slash' ELSE c_name END",
+        "c_name",
+    ),
+    ("c_nationkey", "c_nationkey"),
+    ("c_acctbal", "c_acctbal"),
+    ("c_mktsegment", "c_mktsegment"),
+]
+NULL_CELL = "\\N"
+
+
 def q_read_csv_roundtrip(spark, d):
-    path = write_csv(_t(spark, d, "customer"), scratch_path(spark, "csv"))
-    return read_csv(spark, path, schema=CUSTOMER_SCHEMA)
+    df = _sel(_t(spark, d, "customer"), CUSTOMER_CSV)
+    path = write_csv(df, scratch_path(spark, "csv"), null_value=NULL_CELL)
+    return read_csv(spark, path, schema=CUSTOMER_SCHEMA, multi_line=True, nullValue=NULL_CELL)
+
+
+DOC_ROWS = 500
+
+
+def q_read_json_multiline(spark, d):
+    """The customers as pretty-printed JSON, a file holding one top-level
+    array of up to 500 documents."""
+    path = scratch_path(spark, "json-multiline")
+    customers = _t(spark, d, "customer").where("c_custkey is not null")
+    fields = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    arrays = customers.groupBy(F.floor(F.col("c_custkey") / DOC_ROWS).alias("file")).agg(
+        F.to_json(F.collect_list(F.struct(*fields)), {"pretty": "true"}).alias("value")
+    )
+    # one row, so one array, per file
+    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    docs = read_json_docs(spark, path, CUSTOMER_SCHEMA, multi_line=True, source_col="source_file")
+    return docs.select(*fields, F.regexp_extract("source_file", r"\.(txt)$", 1).alias("source_ext"))
+
+
+def q_load_stage_files(spark, d):
+    """Landings of different columns, loaded by an explicit list of folders."""
+    root = scratch_path(spark, "stage-files")
+    customers = _t(spark, d, "customer")
+    write_parquet(customers.select("c_custkey", "c_name"), f"{root}/a")
+    write_parquet(customers.select("c_custkey", "c_acctbal"), f"{root}/b")
+    write_parquet(customers, f"{root}/not_listed")
+    return load_stage(spark, files=[f"{root}/a", f"{root}/b"]).select("c_custkey", "c_name", "c_acctbal")
+
+
+def q_materialized_models(spark, d):
+    """A named source, a view over it and a table made from the view, each
+    read by its name; the table is then replaced by one of other columns."""
+    names = [f"tierline_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("source", "view", "table")]
+    source = register_sources(spark, {names[0]: _t(spark, d, "customer")})[names[0]]
+    view = materialize(source.groupBy("c_nationkey").agg(F.count("*").alias("n")), names[1], "view")
+    path = scratch_path(spark, "models")
+    materialize(view, names[2], "table", f"{path}/first")
+    table = materialize(view.withColumn("twice", F.col("n") * 2), names[2], "table", f"{path}/second")
+    by_name = [
+        spark.table(names[0]).agg(F.lit("source").alias("model"), F.count("*").alias("rows"), F.sum("c_custkey").alias("total")),
+        spark.table(names[1]).agg(F.lit("view").alias("model"), F.count("*").alias("rows"), F.sum("n").alias("total")),
+        table.agg(F.lit("table").alias("model"), F.count("*").alias("rows"), F.sum("twice").alias("total")),
+    ]
+    return reduce(DataFrame.unionByName, by_name)
 
 
 def q_write_parquet_roundtrip(spark, d):
@@ -554,11 +632,11 @@ def _supplier_entities(spark, d):
 
 def _mart(spark, d, grain):
     gold = _gold(spark, d)
-    summary = W.weather_summary(gold)
+    summary = W.weather_summary(gold, keys=["trek_id"])
     cols = MART_WEATHER_COLUMNS if grain != "entity" else [c for c in MART_WEATHER_COLUMNS if c in SUMMARY_COLUMNS]
     return build_mart(
         _supplier_entities(spark, d), "trek_id", summary=summary, events=gold, grain=grain,
-        summary_cols=SUMMARY_COLUMNS, event_cols=HOURLY_COLUMNS, columns=cols,
+        summary_cols=SUMMARY_COLUMNS, event_cols=HOURLY_COLUMNS, columns=cols, summary_of_events=True,
     )
 
 
@@ -577,8 +655,10 @@ def q_mart_union(spark, d):
 def q_model_tests(spark, d):
     """The warehouse's five model tests over models built from the driver
     tables: places = supplier, weather = lineitem read as hours, and the
-    hour-grain mart as both the intermediate and the final model."""
-    mart = _mart(spark, d, "hour")
+    hour-grain mart as both the intermediate model and, written as a table,
+    the final one."""
+    mart = _mart(spark, d, "hour").select("trek_id", "weather_time", "weather_records")
+    mart = stage_table(mart, "trek-analytics")
     models = {
         "stg_treks": _supplier_entities(spark, d),
         "stg_weather": lineitem_weather(spark, d),
@@ -588,9 +668,18 @@ def q_model_tests(spark, d):
     return run_tests(models, MODEL_TESTS)
 
 
+# Customers that no order can belong to, beside the real ones.
+CUSTOMER_MISSING = [
+    ("c_custkey + 1000000000", "c_custkey"),
+    ("c_name || ' (missing)'", "c_name"),
+    ("c_nationkey", "c_nationkey"),
+]
+
+
 def _ledger(spark, d):
-    expected = _t(spark, d, "customer")
-    landed = _t(spark, d, "orders").filter(F.col("o_orderstatus") == "F").withColumnRenamed("o_custkey", "c_custkey")
+    customers = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    expected = customers.unionByName(_sel(customers, CUSTOMER_MISSING))
+    landed = _t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
     return ingest_ledger(expected, landed, "c_custkey", carry=["c_name", "c_nationkey"])
 
 
@@ -603,16 +692,19 @@ def q_ledger_summary(spark, d):
 
 
 def _stages(spark, d):
-    """The weather layers over lineitem, kept lazy: each stage count prunes
-    the de-duplication shuffle down to the columns that count needs (the
-    key and order columns), which measured cheaper than materialising the
-    full silver rows once."""
+    """The weather layers over lineitem.  Bronze and the rows with a time are
+    counted in one scan; the de-duplicated layer is computed and written once
+    (its columns that the later layers' counts need), and the layers after it
+    read that."""
     bronze = lineitem_weather(spark, d)
-    valid = bronze.filter(F.col("weather_time").isNotNull())
-    silver = dedupe(valid, ["trek_id", "weather_time"], order_by=["l_orderkey", "l_linenumber"])
-    gold = W.weather_gold(silver)
-    summary = W.weather_summary(gold)
-    return {"bronze": bronze, "valid_time": valid, "silver": silver, "gold": gold, "summary": summary}
+    timed = F.col("weather_time").isNotNull()
+    readings = ["temperature_c", "precipitation_mm", "wind_speed_kmh", "visibility_m"]
+    narrow = bronze.filter(timed).select("trek_id", "trek_name", "weather_time", "l_orderkey", "l_linenumber", *readings)
+    silver = stage_table(dedupe(narrow, ["trek_id", "weather_time"], order_by=["l_orderkey", "l_linenumber"]), "silver")
+    absent = [c for c in W.SILVER_COLUMNS if c not in silver.columns]
+    gold = W.weather_gold(silver.withColumns({c: F.lit(None) for c in absent}))
+    summary = gold.select("trek_id", "trek_name").distinct()
+    return {"bronze": bronze, "valid_time": (bronze, timed), "silver": silver, "gold": gold, "summary": summary}
 
 
 def q_stage_report(spark, d):
@@ -685,26 +777,20 @@ def q_weather_docs_gold(spark, d):
 
 def q_weather_docs_stream(spark, d):
     """The incremental ingest on the same documents: they land as files, a
-    file-source stream (availableNow) flattens and de-duplicates them into a
-    silver table, and gold is built from that table.  Without repeated
-    hours, since a stream keeps the first copy to *arrive*."""
-    from tierline.streaming import start_weather_ingest
+    file-source stream (availableNow, several micro-batches) flattens them,
+    and silver and gold are built from what it wrote."""
+    from tierline.streaming import read_stream_silver, start_weather_ingest
 
     landing = scratch_path(spark, "weather-landing")
-    weather_docs_from_embeddings(spark, d, repeat_last_hour=False).write.mode("overwrite").json(landing)
-    silver_path = scratch_path(spark, "weather-stream-silver")
-    import uuid
-
+    docs = weather_docs_from_embeddings(spark, d)
+    docs.repartition(4, "trek_id").write.mode("overwrite").json(landing)
+    path = scratch_path(spark, "weather-stream-hours")
     query = start_weather_ingest(
-        spark, landing, silver_path, name=f"weather_docs_stream_{uuid.uuid4().hex[:12]}",
-        checkpoint=scratch_path(spark, "weather-stream-checkpoint"), multi_line=False,
+        spark, landing, path, scratch_path(spark, "weather-stream-checkpoint"),
+        name=f"weather_docs_stream_{uuid.uuid4().hex[:12]}", max_files_per_trigger=2, multi_line=False,
     )
-    if not query.awaitTermination(900):
-        query.stop()
-        raise TimeoutError("incremental ingest did not finish")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    gold = W.weather_gold(spark.read.parquet(silver_path))
+    query.awaitTermination()
+    gold = W.weather_gold(read_stream_silver(spark, path))
     cols = [c for c in W.GOLD_COLUMNS if c != "source_file"]
     return gold.select(*cols, F.regexp_extract("source_file", r"\.(json)$", 1).alias("source_ext"))
 
@@ -716,18 +802,24 @@ def q_places_csv_gold(spark, d):
     coordinates and turned into gold rows."""
     from tierline.plans import treks as T
 
+    silver, _ = T.treks_silver(T.read_treks(spark, _places_csv(spark, d)))
+    return T.treks_gold(silver)
+
+
+def _places_csv(spark, d) -> str:
     base = _sel(_t(spark, d, "part"), PART_BASE)
     feed = _sel(base, PLACE_TEXT).unionByName(_sel(base, PLACE_TEXT_COPY))
-    path = scratch_path(spark, "places-csv")
-    (
-        feed.write.mode("overwrite")
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
-    silver, _ = T.treks_silver(T.read_treks(spark, path))
-    return T.treks_gold(silver)
+    return write_csv(feed, scratch_path(spark, "places-csv"))
+
+
+def q_places_quarantine(spark, d):
+    """The other side of the same feed, written as a split and read back:
+    rows without complete coordinates or with an id that is no number."""
+    from tierline.plans import treks as T
+
+    typed = T.treks_silver_all(T.read_treks(spark, _places_csv(spark, d)))
+    _, skipped = write_split(typed, T.NEEDED_COLUMNS, scratch_path(spark, "places-split"))
+    return skipped.select("trek_id_text", "trek_id", "trek_name", "start_lat", "start_lon", "end_lat", "end_lon")
 
 
 def q_top_n(spark, d):
@@ -779,4 +871,8 @@ QUERIES: dict[str, QueryFn] = {
     "weather_docs_gold": q_weather_docs_gold,
     "places_csv_gold": q_places_csv_gold,
     "weather_docs_stream": q_weather_docs_stream,
+    "places_quarantine": q_places_quarantine,
+    "read_json_multiline": q_read_json_multiline,
+    "load_stage_files": q_load_stage_files,
+    "materialized_models": q_materialized_models,
 }

@@ -8,7 +8,9 @@ expression lists); the operator semantics are spelled out here by hand.
 from __future__ import annotations
 
 from tierline.plans.testdata import (
+    CUSTOMER_CSV,
     CUSTOMER_MESSY,
+    CUSTOMER_MISSING,
     CUSTOMER_SEGMENT_TEXT,
     EVENTS_SHIFTED_COPY,
     LINEITEM_BUCKET_INPUTS,
@@ -27,8 +29,30 @@ from tierline.plans.testdata import (
 NUM = r"(\d+(?:\.\d+)?)"
 
 
-def _r2(x: str) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,8)), 2) AS DOUBLE)"
+def _units(x: str) -> str:
+    """A double as a whole number of 1e-8."""
+    return f"CAST(CAST({x} AS DECIMAL(26,8)) * 100000000 AS HUGEINT)"
+
+
+def _cents(total: str, n: str) -> str:
+    """total / n in units of 1e-8 -> rounded to cents, half away from zero, in
+    whole-number arithmetic."""
+    return (
+        f"CAST(sign({total}) AS DOUBLE) * CAST((2 * abs({total}) + {n} * 1000000) // (2 * {n} * 1000000) AS DOUBLE) / 100"
+    )
+
+
+def _sum2(x: str) -> str:
+    return f"CASE WHEN count({x}) > 0 THEN {_cents(f'sum({_units(x)})', '1')} END"
+
+
+def _avg2(x: str) -> str:
+    return f"CASE WHEN count({x}) > 0 THEN {_cents(f'sum({_units(x)})', f'count({x})')} END"
+
+
+def _one2(x: str) -> str:
+    """A single double, rounded as it is printed."""
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE)"
 
 
 COERCE_NUMERIC = f"""
@@ -108,7 +132,8 @@ FROM b
 """
 
 # Weather gold and summary over lineitem, as CTEs: w -> g -> gs -> sm.
-_WEATHER_CTES = f"""
+def _weather_ctes(keys: str) -> str:
+    return f"""
 w AS (SELECT {_sql(LINEITEM_WEATHER)} FROM lineitem),
 g AS (
   SELECT *,
@@ -135,21 +160,21 @@ gs AS (
          ELSE 'Green - Normal' END AS condition_status
   FROM g),
 sm0 AS (
-  SELECT trek_id, trek_name,
+  SELECT {keys},
     count(*) AS weather_records,
-    {_r2('avg(temperature_c)')} AS avg_temperature_c,
-    {_r2('min(temperature_c)')} AS min_temperature_c,
-    {_r2('max(temperature_c)')} AS max_temperature_c,
-    {_r2('avg(humidity_pct)')} AS avg_humidity_pct,
-    {_r2('sum(precipitation_mm)')} AS total_precipitation_mm,
-    {_r2('avg(visibility_m)')} AS avg_visibility_m,
-    {_r2('min(visibility_m)')} AS min_visibility_m,
-    {_r2('max(wind_speed_kmh)')} AS max_wind_speed_kmh,
-    {_r2('max(wind_gust_kmh)')} AS max_wind_gust_kmh,
-    {_r2('avg(condition_score)')} AS avg_condition_score,
+    {_avg2('temperature_c')} AS avg_temperature_c,
+    {_one2('min(temperature_c)')} AS min_temperature_c,
+    {_one2('max(temperature_c)')} AS max_temperature_c,
+    {_avg2('humidity_pct')} AS avg_humidity_pct,
+    {_sum2('precipitation_mm')} AS total_precipitation_mm,
+    {_avg2('visibility_m')} AS avg_visibility_m,
+    {_one2('min(visibility_m)')} AS min_visibility_m,
+    {_one2('max(wind_speed_kmh)')} AS max_wind_speed_kmh,
+    {_one2('max(wind_gust_kmh)')} AS max_wind_gust_kmh,
+    {_avg2('condition_score')} AS avg_condition_score,
     max(CASE WHEN condition_status = 'Red - High Risk' THEN 1 ELSE 0 END) AS has_red_condition,
     max(CASE WHEN condition_status = 'Yellow - Caution' THEN 1 ELSE 0 END) AS has_yellow_condition
-  FROM gs GROUP BY trek_id, trek_name),
+  FROM gs GROUP BY {keys}),
 sm AS (
   SELECT *,
     CASE WHEN has_red_condition = 1 THEN 'Red - High Risk'
@@ -158,6 +183,10 @@ sm AS (
   FROM sm0)
 """
 
+_WEATHER_CTES = _weather_ctes("trek_id, trek_name")
+# A mart's summary has one row per place, whatever its names.
+_MART_CTES = _weather_ctes("trek_id")
+
 CONDITION_SCORE = f"""WITH {_WEATHER_CTES}
 SELECT l_orderkey, l_linenumber, temperature_category, precipitation_category, wind_category,
        visibility_category, condition_score, condition_status
@@ -339,11 +368,28 @@ READ_JSON_DOCS = """
 SELECT event_id, ts, user_id, event_type, value, props, 'json' AS source_ext FROM events
 """
 
-READ_CSV_ROUNDTRIP = """
+READ_CSV_ROUNDTRIP = f"SELECT {_sql(CUSTOMER_CSV)} FROM customer"
+
+WRITE_PARQUET_ROUNDTRIP = """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """
 
-WRITE_PARQUET_ROUNDTRIP = READ_CSV_ROUNDTRIP
+READ_JSON_MULTILINE = """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'txt' AS source_ext FROM customer
+WHERE c_custkey IS NOT NULL
+"""
+
+LOAD_STAGE_FILES = """
+SELECT c_custkey, c_name, CAST(NULL AS DOUBLE) AS c_acctbal FROM customer
+UNION ALL SELECT c_custkey, NULL, c_acctbal FROM customer
+"""
+
+MATERIALIZED_MODELS = """
+WITH v AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey)
+SELECT 'source' AS model, count(*) AS rows, CAST(sum(c_custkey) AS BIGINT) AS total FROM customer
+UNION ALL SELECT 'view', count(*), CAST(sum(n) AS BIGINT) FROM v
+UNION ALL SELECT 'table', count(*), CAST(sum(n * 2) AS BIGINT) FROM v
+"""
 
 LOAD_STAGE_UNION = """
 SELECT o_orderkey, o_custkey,
@@ -366,19 +412,19 @@ _HOURLY_COLS = [
 ]
 _SUP = "s.s_suppkey AS trek_id, s.s_name, s.s_nationkey, s.s_acctbal"
 
-MART_ENTITY = f"""WITH {_WEATHER_CTES}
+MART_ENTITY = f"""WITH {_MART_CTES}
 SELECT {_SUP}, {', '.join('m.' + c for c in _SUMMARY_COLS)}
 FROM supplier s LEFT JOIN sm m ON s.s_suppkey = m.trek_id
 """
 
-MART_HOUR = f"""WITH {_WEATHER_CTES}
+MART_HOUR = f"""WITH {_MART_CTES}
 SELECT {_SUP}, {', '.join('m.' + c for c in _SUMMARY_COLS)}, {', '.join('h.' + c for c in _HOURLY_COLS)}
 FROM supplier s
 LEFT JOIN sm m ON s.s_suppkey = m.trek_id
 LEFT JOIN gs h ON s.s_suppkey = h.trek_id
 """
 
-MART_UNION = f"""WITH {_WEATHER_CTES},
+MART_UNION = f"""WITH {_MART_CTES},
 u AS (
   SELECT trek_id, {', '.join(_HOURLY_COLS)} FROM gs
   UNION ALL BY NAME
@@ -406,15 +452,18 @@ t AS (
 SELECT model, "column", test, failures, failures != 0 AS should_warn, failures != 0 AS should_error FROM t
 """
 
-_LEDGER = """
+_LEDGER = f"""
 WITH landed AS (
-  SELECT o_custkey, count(*) AS n FROM orders
-  WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL GROUP BY o_custkey),
+  SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey),
+expected AS (
+  SELECT c_custkey, c_name, c_nationkey FROM customer
+  UNION ALL
+  SELECT {_sql(CUSTOMER_MISSING)} FROM customer),
 ledger AS (
   SELECT c.c_custkey, c.c_name, c.c_nationkey,
     CASE WHEN l.n > 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
     coalesce(l.n, 0) AS landed_records
-  FROM customer c LEFT JOIN landed l ON c.c_custkey = l.o_custkey)
+  FROM expected c LEFT JOIN landed l ON c.c_custkey = l.o_custkey)
 """
 
 INGEST_LEDGER = _LEDGER + "SELECT * FROM ledger"
@@ -432,14 +481,18 @@ FROM agg
 """
 )
 
-_STAGE_COUNTS = """
-WITH c AS (
+_STAGE_COUNTS = f"""
+WITH w AS (SELECT {_sql(LINEITEM_WEATHER)} FROM lineitem WHERE l_shipdate IS NOT NULL),
+d AS (
+  SELECT trek_id, trek_name, row_number() OVER (
+    PARTITION BY trek_id, weather_time ORDER BY l_orderkey, l_linenumber) AS rn FROM w QUALIFY rn = 1),
+c AS (
   SELECT
     (SELECT count(*) FROM lineitem) AS s0,
     (SELECT count(*) FROM lineitem WHERE l_shipdate IS NOT NULL) AS s1,
     (SELECT count(*) FROM (SELECT DISTINCT l_suppkey, l_shipdate FROM lineitem
                            WHERE l_shipdate IS NOT NULL)) AS s2,
-    (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_shipdate IS NOT NULL) AS s4)
+    (SELECT count(*) FROM (SELECT DISTINCT trek_id, trek_name FROM d)) AS s4)
 """
 
 STAGE_REPORT = (
@@ -485,8 +538,7 @@ def _hour_text(i: str) -> str:
     )
 
 
-def _weather_docs_gold(repeat_last_hour: bool) -> str:
-    repeat = "TRUE" if repeat_last_hour else "FALSE"
+def _weather_docs_gold() -> str:
     return f"""
 WITH d AS (
   SELECT vec_id, CASE WHEN vec_id % 25 <> 0 THEN embedding END AS hourly_values FROM embeddings),
@@ -500,7 +552,7 @@ w AS (
     CAST(30.0 AS DOUBLE) AS latitude, CAST(78.0 AS DOUBLE) AS longitude,
     CAST(vec_id * 10 AS DOUBLE) AS elevation, i,
     CASE WHEN vec_id % 10 = 0 AND i = 5 THEN 'bad'
-         WHEN {repeat} AND vec_id % 11 = 0 AND i = n - 1 THEN {_hour_text('i - 1')}
+         WHEN vec_id % 11 = 0 AND i = n - 1 THEN {_hour_text('i - 1')}
          ELSE {_hour_text('i')} END AS time_text,
     CAST(embedding[i + 1] AS DOUBLE) * 100 AS temperature_c,
     CAST(CAST(floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 1000) AS BIGINT) AS DOUBLE) AS humidity_pct,
@@ -544,8 +596,7 @@ FROM g
 """
 
 
-WEATHER_DOCS_GOLD = _weather_docs_gold(True)
-WEATHER_DOCS_STREAM = _weather_docs_gold(False)
+WEATHER_DOCS_GOLD = _weather_docs_gold()
 
 _PLACE_TEXT_COLS = [
     "trek_name", "category", "starting_point", "start_lat", "start_lon", "start_elevation",
@@ -569,7 +620,7 @@ def _money(side_pattern: str, text: str) -> str:
     )
 
 
-PLACES_CSV_GOLD = f"""
+_PLACES_DEDUPED = f"""
 WITH a AS (
   SELECT p_partkey, p_size, p_name, p_type, p_brand,
          p_partkey % 4000 + 500 AS lo, p_partkey % 4000 + 500 + p_size * 100 AS hi
@@ -579,11 +630,22 @@ raw AS (
   UNION ALL
   SELECT {_sql(PLACE_TEXT_COPY)} FROM a),
 dd AS (
-  SELECT TRY_CAST(trek_id AS BIGINT) AS trek_id, {', '.join(_PLACE_TEXT_COLS)},
+  SELECT trek_id AS trek_id_text, TRY_CAST(trek_id AS BIGINT) AS trek_id, {', '.join(_PLACE_TEXT_COLS)},
     row_number() OVER (
-      PARTITION BY TRY_CAST(trek_id AS BIGINT)
+      PARTITION BY trek_id
       ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in _PLACE_TEXT_COLS)}) AS rn
-  FROM raw),
+  FROM raw)"""
+
+PLACES_QUARANTINE = f"""{_PLACES_DEDUPED},
+t AS (
+  SELECT trek_id_text, trek_id, trek_name,
+    {', '.join(f'TRY_CAST({c} AS DOUBLE) AS {c}' for c in ('start_lat', 'start_lon', 'end_lat', 'end_lon'))}
+  FROM dd WHERE rn = 1)
+SELECT * FROM t
+WHERE trek_id IS NULL OR start_lat IS NULL OR start_lon IS NULL OR end_lat IS NULL OR end_lon IS NULL
+"""
+
+PLACES_CSV_GOLD = f"""{_PLACES_DEDUPED},
 s AS (
   SELECT trek_id, trek_name, category, starting_point,
     {', '.join(f'TRY_CAST({c} AS DOUBLE) AS {c}' for c in _NUMERIC)},
@@ -594,7 +656,7 @@ s AS (
 v AS (
   SELECT *, CASE WHEN dmax_raw = '' THEN dmin ELSE TRY_CAST(dmax_raw AS DOUBLE) END AS dmax
   FROM s
-  WHERE start_lat IS NOT NULL AND start_lon IS NOT NULL AND end_lat IS NOT NULL AND end_lon IS NOT NULL)
+  WHERE trek_id IS NOT NULL AND start_lat IS NOT NULL AND start_lon IS NOT NULL AND end_lat IS NOT NULL AND end_lon IS NOT NULL)
 SELECT trek_id, trek_name, category, starting_point, start_lat, start_lon, start_elevation,
   ending_point, end_lat, end_lon, end_elevation,
   end_elevation - start_elevation AS elevation_gain_m,
@@ -657,5 +719,9 @@ ORACLE: dict[str, str] = {
     "top_n": TOP_N,
     "weather_docs_gold": WEATHER_DOCS_GOLD,
     "places_csv_gold": PLACES_CSV_GOLD,
-    "weather_docs_stream": WEATHER_DOCS_STREAM,
+    "weather_docs_stream": WEATHER_DOCS_GOLD,
+    "places_quarantine": PLACES_QUARANTINE,
+    "read_json_multiline": READ_JSON_MULTILINE,
+    "load_stage_files": LOAD_STAGE_FILES,
+    "materialized_models": MATERIALIZED_MODELS,
 }

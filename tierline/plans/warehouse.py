@@ -3,11 +3,16 @@ build the entity/weather mart and run the key tests on every model."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators.clean import drop_null_keys
 from tierline.operators.mart import build_mart
 from tierline.operators.quality import run_tests
+from tierline.operators.summarize import key_profile
+from tierline.plans.weather import weather_summary as weather_summary_rows
 from tierline.sources.files import load_stage, register_sources
 from tierline.sources.sinks import materialize
 
@@ -56,6 +61,16 @@ def load_gold_table(
     return drop_null_keys(load_stage(spark, root, recursive=recursive), [key])
 
 
+def load_profiled(spark: SparkSession, root: str, key: str = "trek_id", recursive: bool = True) -> tuple[DataFrame, DataFrame]:
+    """:func:`load_gold_table` and the table's key profile before and after
+    rows without a key are removed (``step, total_rows, unique_keys,
+    null_keys``)."""
+    staged = load_stage(spark, root, recursive=recursive)
+    kept = drop_null_keys(staged, [key])
+    profiles = [key_profile(df, key).select(F.lit(step).alias("step"), "*") for step, df in (("before", staged), ("after", kept))]
+    return kept, profiles[0].unionByName(profiles[1])
+
+
 def trek_mart(
     treks: DataFrame,
     weather_hourly: DataFrame,
@@ -63,7 +78,8 @@ def trek_mart(
     grain: str = "hour",
     key: str = "trek_id",
 ) -> DataFrame:
-    """Treks ⟕ weather with the mart's 24 weather columns."""
+    """Treks ⟕ weather with the mart's 24 weather columns.  In the hour and
+    entity grains ``weather_summary`` must have one row per key."""
     return build_mart(
         treks,
         key,
@@ -84,25 +100,28 @@ def run_warehouse(
     grain: str = "hour",
     mart_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Register the staged sources and the models, materialise the mart as a
-    table when ``mart_path`` is given, and return models plus test results.
+    """Register the staged sources and the models, materialise the mart as the
+    table ``trek_analytics`` (at ``mart_path``, else in the warehouse folder),
+    and return models, key profiles and test results.
 
     ``weather_root`` is the date-partitioned gold folder (loaded with
-    partition discovery); the other two are walked recursively.
+    partition discovery); the other two are walked recursively.  The staged
+    summary has a row per id and name; where a place was renamed, the hour and
+    entity grains take a summary by id from the hourly rows instead.
     """
-    sources = register_sources(
-        spark,
-        {
-            "stg_treks": load_gold_table(spark, treks_root),
-            "stg_weather": load_gold_table(spark, weather_root, recursive=False),
-            "stg_weather_summary": load_gold_table(spark, summary_root),
-        },
-    )
-    mart = trek_mart(
-        sources["stg_treks"], sources["stg_weather"], sources["stg_weather_summary"], grain
-    )
+    loaded = {
+        "stg_treks": load_profiled(spark, treks_root),
+        "stg_weather": load_profiled(spark, weather_root, recursive=False),
+        "stg_weather_summary": load_profiled(spark, summary_root),
+    }
+    sources = register_sources(spark, {name: table for name, (table, _) in loaded.items()})
+    profiles = [p.select(F.lit(name).alias("table"), "*") for name, (_, p) in loaded.items()]
+    summary = sources["stg_weather_summary"]
+    if grain != "union" and summary.groupBy("trek_id").agg(F.count("*").alias("n")).where("n > 1").first() is not None:
+        summary = weather_summary_rows(sources["stg_weather"], ["trek_id"])
+    mart = trek_mart(sources["stg_treks"], sources["stg_weather"], summary, grain)
     inter = materialize(mart, "int_trek_weather", "view")
-    final = materialize(inter, "trek_analytics", "table", mart_path) if mart_path else inter
+    final = materialize(inter, "trek_analytics", "table", mart_path)
     models = {**sources, "int_trek_weather": inter, "trek_analytics": final}
     tests = run_tests(models, MODEL_TESTS)
-    return {**models, "tests": tests}
+    return {**models, "profiles": reduce(DataFrame.unionByName, profiles), "tests": tests}

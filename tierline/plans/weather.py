@@ -19,15 +19,15 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tierline.functions.parse import parse_event_time, stable_round
+from tierline.functions.parse import parse_event_time, rounded_avg, rounded_sum
 from tierline.functions.rules import bucketize, flag_any, rollup_status, score, status_band
-from tierline.operators.audit import StageMetrics, ingest_ledger, reconcile
+from tierline.operators.audit import StageMetrics, ingest_ledger, ledger_summary, reconcile
 from tierline.operators.clean import dedupe
 from tierline.operators.nested import zip_explode
-from tierline.operators.quality import null_profile
+from tierline.operators.quality import null_profile, require_columns
 from tierline.operators.summarize import entity_summary, key_profile
-from tierline.sources.files import read_json_docs
-from tierline.sources.sinks import write_parquet
+from tierline.sources.files import read_csv, read_json_docs
+from tierline.sources.sinks import write_csv, write_parquet
 
 # --- fixed values (must equal the reference's results) ---------------------
 TEMPERATURE_BOUNDS = [5, 15, 25, 35]
@@ -75,10 +75,8 @@ GOLD_COLUMNS = [
     "precipitation_category", "wind_category", "visibility_category",
     "condition_score", "condition_status", "source_file",
 ]
-# ---------------------------------------------------------------------------
-
-# Only the fields the pipeline uses: the reader never builds the unused
-# ``current`` / ``*_units`` blocks or the extra hourly arrays.
+# Only the document's fields that the pipeline uses: the reader never builds
+# the unused ``current`` / ``*_units`` blocks or the extra hourly arrays.
 DOC_SCHEMA = StructType(
     [
         StructField("trek_id", LongType()),
@@ -104,6 +102,9 @@ DOC_SCHEMA = StructType(
 )
 
 ENTITY = ["trek_id", "trek_name"]
+# What the list of expected places must have.
+PLACE_COLUMNS = ["trek_id", "trek_name", "start_lat", "start_lon"]
+# ---------------------------------------------------------------------------
 
 
 def read_weather_docs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -176,39 +177,43 @@ def weather_gold(silver: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
     return out.select(*GOLD_COLUMNS, *extra)
 
 
-def summary_aggregates(rounding: str = "stable") -> dict:
-    """The per-entity aggregates.  ``rounding="stable"`` rounds through
-    ``decimal(38,8)`` (result independent of summation order, see
-    :func:`stable_round`); ``"plain"`` is ``round(x, 2)`` on the double, which
-    can flip the last digit when summation noise sits on a boundary."""
-    if rounding == "stable":
-        r = stable_round
+def summary_aggregates(rounding: str = "exact") -> dict:
+    """The per-entity aggregates (names and rounding are fixed output values).
+    ``rounding="exact"`` adds sums and averages up exactly before it rounds
+    them (see :func:`tierline.functions.parse.rounded_sum`); ``"plain"`` is
+    ``round(x, 2)`` on the double, which can flip the last digit when
+    summation noise sits on a boundary."""
+    if rounding == "exact":
+        total, mean = rounded_sum, rounded_avg
     elif rounding == "plain":
-        r = lambda c: F.round(c, 2)
+        total, mean = lambda c: F.round(F.sum(c), 2), lambda c: F.round(F.avg(c), 2)
     else:
-        raise ValueError("rounding must be 'stable' or 'plain'")
+        raise ValueError("rounding must be 'exact' or 'plain'")
+    low, high = lambda c: F.round(F.min(c), 2), lambda c: F.round(F.max(c), 2)
     return {
         "weather_records": F.count(F.lit(1)),
-        "avg_temperature_c": r(F.avg("temperature_c")),
-        "min_temperature_c": r(F.min("temperature_c")),
-        "max_temperature_c": r(F.max("temperature_c")),
-        "avg_humidity_pct": r(F.avg("humidity_pct")),
-        "total_precipitation_mm": r(F.sum("precipitation_mm")),
-        "avg_visibility_m": r(F.avg("visibility_m")),
-        "min_visibility_m": r(F.min("visibility_m")),
-        "max_wind_speed_kmh": r(F.max("wind_speed_kmh")),
-        "max_wind_gust_kmh": r(F.max("wind_gust_kmh")),
-        "avg_condition_score": r(F.avg("condition_score")),
+        "avg_temperature_c": mean("temperature_c"),
+        "min_temperature_c": low("temperature_c"),
+        "max_temperature_c": high("temperature_c"),
+        "avg_humidity_pct": mean("humidity_pct"),
+        "total_precipitation_mm": total("precipitation_mm"),
+        "avg_visibility_m": mean("visibility_m"),
+        "min_visibility_m": low("visibility_m"),
+        "max_wind_speed_kmh": high("wind_speed_kmh"),
+        "max_wind_gust_kmh": high("wind_gust_kmh"),
+        "avg_condition_score": mean("condition_score"),
         "has_red_condition": flag_any(F.col("condition_status") == RED),
         "has_yellow_condition": flag_any(F.col("condition_status") == YELLOW),
     }
 
 
 def weather_summary(
-    gold: DataFrame, keys: list[str] | None = None, rounding: str = "stable"
+    gold: DataFrame, keys: list[str] | None = None, rounding: str = "exact"
 ) -> DataFrame:
     """One row per entity: counts, rounded averages / extremes, red and
-    yellow flags, and the worst status (red > yellow > green)."""
+    yellow flags, and the worst status (red > yellow > green).  An entity is
+    an id and a name; give ``keys`` to have one row per id whatever its names
+    (what a mart needs)."""
     return entity_summary(
         gold,
         keys or ENTITY,
@@ -231,7 +236,9 @@ def run_weather(
 
     Each layer is written once and the next layer reads the written files,
     so a lost executor only re-runs the tasks of the current layer; counts
-    are observed on the writes (no extra jobs).  Returns paths and counts.
+    are observed on the writes (no extra jobs).  Returns paths, counts and the
+    layer checks (key profile and null counts of silver; gold as long as
+    silver, summary not empty), taken from the written layers.
     """
     metrics = StageMetrics()
     docs = metrics.track(read_weather_docs(spark, docs_path, multi_line), "documents")
@@ -241,17 +248,28 @@ def run_weather(
     gold = metrics.track(weather_gold(silver), "gold")
     gold_path = f"{out_root}/gold/weather"
     write_parquet(gold, gold_path, partition_by=["weather_date"])
-    summary = metrics.track(weather_summary(spark.read.parquet(gold_path)), "summary")
+    written = read_gold(spark, gold_path)
+    summary = metrics.track(weather_summary(written), "summary")
     summary_path = f"{out_root}/gold/weather_summary"
     write_parquet(summary, summary_path)
+    keys, nulls = silver_checks(silver)
+    checks = layer_checks(silver, written, spark.read.parquet(summary_path))
     return {
         "silver": silver_path,
         "gold": gold_path,
         "summary": summary_path,
         "counts": metrics.counts(),
+        "keys": keys.first().asDict(),
+        "nulls": {r["column"]: r["null_count"] for r in nulls.collect()},
+        "checks": [r.asDict() for r in checks.collect()],
     }
 
 
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """The date-partitioned gold folder, columns in gold order."""
+    return spark.read.parquet(path).select(*GOLD_COLUMNS)
+
+
 def silver_checks(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``total_rows, unique_keys, null_keys`` of trek_id, NULL count per
     checked column) - two single-scan aggregates."""
@@ -273,8 +291,9 @@ def weather_ingest_ledger(valid_places: DataFrame, docs: DataFrame) -> DataFrame
     ``valid_places`` has ``trek_id, trek_name, start_lat, start_lon``;
     ``docs`` are bronze documents read with a ``source_file`` column.
     Output: ``trek_id, trek_name, latitude, longitude, status,
-    landed_records, weather_file``.
+    landed_records, weather_file``.  Raises if ``valid_places`` lacks a column.
     """
+    require_columns(valid_places, PLACE_COLUMNS)
     expected = valid_places.select(
         "trek_id", "trek_name",
         F.col("start_lat").alias("latitude"), F.col("start_lon").alias("longitude"),
@@ -285,3 +304,11 @@ def weather_ingest_ledger(valid_places: DataFrame, docs: DataFrame) -> DataFrame
         file_col="source_file",
     )
     return out.withColumnRenamed("landed_file", "weather_file")
+
+
+def run_ledger(spark: SparkSession, valid_places: DataFrame, docs_path: str, out_root: str) -> dict:
+    """Write the ingest ledger as CSV and return its path and totals."""
+    ledger = weather_ingest_ledger(valid_places, read_weather_docs(spark, docs_path))
+    path = write_csv(ledger, f"{out_root}/weather_ingestion_ledger")
+    written = read_csv(spark, path, schema=ledger.schema)
+    return {"ledger": path, **ledger_summary(written).first().asDict()}

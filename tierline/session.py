@@ -9,10 +9,11 @@ operators rely on (UTC wall clock, ANSI on, AQE with skew-join splitting);
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every pipeline in this package assumes.  Shuffle partition count
 # is deliberately *not* fixed here: it belongs to the cluster (AQE coalesces
@@ -54,9 +55,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by whoever launches the job and points at shared
-    storage every executor can reach.  Only when it is unset (tests, a laptop)
-    do we create a local one and register it, so ``DataFrame.checkpoint()``
-    works too.
+    storage every executor can reach; without it this raises, as a folder on
+    the driver's disk is none that executors could write to.  Only a
+    single-process session (tests, a laptop) gets a temporary folder of its
+    own, registered so that ``DataFrame.checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -66,9 +68,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tierline-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root
 
 
@@ -78,5 +81,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Never reused between calls, so concurrent or retried runs cannot read
     each other's half-written output.
     """
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tierline/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/tierline"
+
+
+def remove_scratch(spark: SparkSession, path: str | None = None) -> bool:
+    """Delete one folder that :func:`scratch_path` named, or all of them.
+
+    Folders stay until this is called, as results read from them may still be
+    in use; call it when a run's results have been written elsewhere.
+    """
+    root = scratch_root(spark)
+    path = path or root
+    if path != root and not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not below {root}")
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet to a fresh folder under the shared
+    ``spark.checkpoint.dir`` and return it read back.
+
+    Use it where several later steps read the same expensive result (e.g.
+    a de-duplicated layer): they then share one computation and one shuffle,
+    and the lineage is cut, so a lost executor never forces the upstream
+    stages to re-run.  Unlike ``DataFrame.checkpoint`` it computes the input
+    once (an RDD checkpoint re-runs its job unless cached) and needs no
+    memory for caching.  The folder stays until
+    :func:`remove_scratch` is called.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

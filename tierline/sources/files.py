@@ -13,6 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Options under which CSV text is written and read without change.
+CSV_TEXT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "lineSep": "\n",
+}
+
 BOM = "﻿"
 
 
@@ -28,14 +37,20 @@ def read_csv(
     header: bool = True,
     infer: bool = False,
     encoding: str = "UTF-8",
+    multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV with header.  With ``schema`` nothing is inferred; with
     ``infer=True`` Spark samples the files (one extra pass); otherwise all
     columns are strings.  A UTF-8 byte-order mark never leaks into the first
-    column name; empty header cells become ``_c<N>`` columns."""
-    reader = spark.read.option("header", header).option("encoding", encoding)
-    for k, v in options.items():
+    column name; empty header cells become ``_c<N>`` columns.
+
+    With ``multi_line`` quoted cells may hold line breaks; a file is then read
+    by one task, so it is for feeds of many files, or small ones.
+    """
+    reader = spark.read.option("header", header).option("encoding", encoding).option("multiLine", multi_line)
+    text = CSV_TEXT if not multi_line else {k: v for k, v in CSV_TEXT.items() if k != "lineSep"}
+    for k, v in (text | options).items():
         reader = reader.option(k, v)
     if schema is not None:
         reader = reader.schema(schema)

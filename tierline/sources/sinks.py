@@ -10,9 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tierline.operators.clean import complete_condition
+from tierline.operators.clean import Split, complete_condition
+from tierline.session import stage_table as stage_table  # public here as well
+from tierline.sources.files import CSV_TEXT
+
+
+#: Rows per file of a partitioned write, at most.
+ROWS_PER_FILE = 5_000_000
 
 
 def write_parquet(
@@ -23,7 +31,16 @@ def write_parquet(
     max_records_per_file: int | None = None,
 ) -> str:
     """Write Parquet; ``partition_by`` lays out one folder per value so later
-    reads that filter on it prune whole folders."""
+    reads that filter on it prune whole folders.
+
+    A partitioned write first brings the rows of a value together with the
+    ``rebalance`` hint: without it every task would write a file to every
+    folder.  Adaptive execution splits a value with many rows over several
+    tasks, so the number of files follows the size of the data.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        max_records_per_file = max_records_per_file or ROWS_PER_FILE
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -33,9 +50,28 @@ def write_parquet(
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> str:
-    """Write CSV with a header row (one file per task)."""
-    df.write.mode(mode).option("header", header).csv(path)
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    header: bool = True,
+    null_value: str = "",
+    partition_by: Sequence[str] | None = None,
+) -> str:
+    """Write CSV with a header row (one file per task).
+
+    Text is kept as it is: spaces at either end stay, quotes are doubled, and
+    cells with separators, quotes or line breaks are quoted.  By default NULL
+    is an empty cell, as feeds have it, and so reads like the empty string;
+    give a ``null_value`` (e.g. a backslash and N) here and to
+    :func:`tierline.sources.files.read_csv` to tell them apart.
+    """
+    writer = df.write.mode(mode).option("header", header)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    for name, value in CSV_TEXT.items():
+        writer = writer.option(name, value)
+    writer.option("nullValue", null_value).csv(path)
     return path
 
 
@@ -45,33 +81,27 @@ def write_split(
     path: str,
     flag: str = "is_complete",
     mode: str = "overwrite",
-) -> tuple[str, str]:
+) -> Split:
     """Write the complete rows and the quarantine (rows with a NULL in any of
     ``columns``) from ONE scan of the input, as ``path/flag=true`` and
-    ``path/flag=false``.  Returns the two folder paths."""
+    ``path/flag=false``.  Returns both sides, read back."""
     flagged = df.withColumn(flag, complete_condition(columns))
-    flagged.write.mode(mode).partitionBy(flag).parquet(path)
-    base = path.rstrip("/")
-    return f"{base}/{flag}=true", f"{base}/{flag}=false"
-
-
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet to a fresh folder under the shared
-    ``spark.checkpoint.dir`` and return it read back.
-
-    Use it where several later steps read the same expensive result (e.g.
-    a de-duplicated layer): they then share one computation and one shuffle,
-    and the lineage is cut, so a lost executor never forces the upstream
-    stages to re-run.  Unlike ``DataFrame.checkpoint`` it computes the input
-    once (an RDD checkpoint re-runs its job unless cached) and needs no
-    memory for caching.
-    """
-    from tierline.session import scratch_path
-
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    (
+        flagged.write.mode(mode)
+        # An earlier run's side that is empty now must not stay.
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(flag)
+        .parquet(path)
+    )
+    return read_split(df.sparkSession, path, flagged.schema, flag)
+
+
+def read_split(spark: SparkSession, path: str, schema: StructType, flag: str = "is_complete") -> Split:
+    """Both sides of a folder that :func:`write_split` wrote.  Reads the
+    folder with a filter on the flag, which prunes to one side's files and
+    gives an empty table for a side without any."""
+    both = spark.read.schema(schema).parquet(path)
+    return Split(both.filter(F.col(flag)).drop(flag), both.filter(~F.col(flag)).drop(flag))
 
 
 def materialize(
