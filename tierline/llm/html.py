@@ -280,7 +280,7 @@ def noise_branches(pages: DataFrame, threshold: float = THRESHOLD, min_pages: in
         .withColumn("content", 1 - F.log(F.least("n", "m")) / F.log("m"))
     )
     below = (
-        blocks.select("host", F.explode("chain").alias("node"), "n", (F.col("n") * F.col("content")).alias("weighted"))
+        blocks.select("host", F.explode(F.slice("chain", 1, F.size("chain") - 1)).alias("node"), "n", (F.col("n") * F.col("content")).alias("weighted"))
         .groupBy("host", "node")
         .agg((F.sum("weighted") / F.sum("n")).alias("content"))
     )
