@@ -180,16 +180,20 @@ def decontaminate(
     ).select(F.struct("doc", "text_key").alias("found_key"), "n_hit", "items")
     kept = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "contaminated")]
     mark = free_name("row_of", docs.columns)
-    rows = docs.withColumn(mark, F.struct(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("text_key")))
+    n_words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
+    # Counted before the join, so that the texts take part in it only if they
+    # are asked for.
+    rows = docs.withColumns(
+        {mark: F.struct(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("text_key")), "words_" + mark: n_words}
+    )
     joined = rows.join(
         found.select(F.col("found_key").alias("found_" + mark), F.col("n_hit").alias("hit_" + mark), F.col("items").alias("items_" + mark)),
         F.col(mark).eqNullSafe(F.col("found_" + mark)),
         "left",
     )
-    n_words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
     return joined.select(
         *[F.col(f"`{c}`") for c in kept],
-        n_words.alias("n_words"),
+        F.col("words_" + mark).alias("n_words"),
         F.coalesce(F.col("hit_" + mark), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.col("items_" + mark), F.array().cast("array<string>")).alias("items"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))

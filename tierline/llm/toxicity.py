@@ -39,7 +39,9 @@ MAX_WORDS = 30_000
 DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 4
+#: Passes over the training documents, and steps at least.
 EPOCHS = 4
+STEPS = 200
 BATCH = 64
 RATE = 0.02
 EMBEDDING_RATE = 0.002
@@ -207,8 +209,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> Weights:
     bias_state = [0.0, 0.0]
     step = 0
     n_f = len(WIDTHS)
-    for _ in range(EPOCHS):
-        for batch in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // BATCH)):
+    batches = max(1, len(rows) // BATCH)
+    for _ in range(max(EPOCHS, -(-STEPS // batches))):
+        for batch in np.array_split(rng.permutation(len(rows)), batches):
             tables = w.tables()
             grads = [np.zeros_like(p) for p in params]
             bias_grad = 0.0
