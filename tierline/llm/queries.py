@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table
+from tierline.llm.oracle import ORACLE as ORACLE  # for the driver contract
 
 
 def tokenizer_path() -> str:
@@ -144,5 +145,3 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_urls": op10_urls,
 }
-
-ORACLE: dict[str, str] = {}
