@@ -43,6 +43,7 @@ def test_very_long_and_deep_pages():
     assert text("<article>" + "<p>word</p>" * 20_000 + "</article>").count("\n") == 19_999
     assert text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
     assert text("<" * 20_000) == "<" * 20_000
+    assert text("<p>" + "<b>x</i>" * 20_000) == "x" * 20_000
 
 
 def test_style_tree_removes_what_pages_of_a_host_share(spark):

@@ -35,6 +35,13 @@ def test_word_hashes():
     assert h("a" * 5000)[0] != h("a" * 5001)[0]
 
 
+def test_word_hashes_in_slices(monkeypatch):
+    text = "one two, three" * 50 + "x" * 100 + " end"
+    whole = X.word_hashes(text).tolist()
+    monkeypatch.setattr(X, "SLICE", 10)
+    assert X.word_hashes(text).tolist() == whole
+
+
 def test_responses_of_short_texts():
     table = [np.ones((3, 2)), np.ones((3, 2)) * 2, np.ones((3, 2)) * 4]
     for n in range(4):

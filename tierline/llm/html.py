@@ -48,6 +48,8 @@ MIN_PAGES = 5
 G = 0.9
 #: Deeper elements count as parts of their ancestor at this depth.
 MAX_DEPTH = 24
+#: Elements open at once; tags beyond are left out, as browsers do.
+MAX_OPEN = 512
 
 # What HTML says about elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -184,12 +186,14 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         if tag not in INLINE:
             end_block()
         ends = ENDS_SAME.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-        for i in range(len(stack) - 1, 0, -1):
+        for i in range(len(stack) - 1, 0, -1) if ends else ():
             if stack[i].tag in ends:
                 close(i)
                 break
             if stack[i].tag in SCOPE:
                 break
+        if len(stack) > MAX_OPEN:
+            continue
         attributes = _attributes(source)
         label = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
         names = {x for x in _NAME.split(label) if x}

@@ -60,11 +60,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     width = min(shingle, len(words))
     stops = ends[width - 1 :].tolist()
     starts = [0, *(ends[: len(stops) - 1] + 1).tolist()]
-    hashes = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype="<u8")
     votes = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 1 << 16):
-        votes += _bit_counts(hashes[i : i + (1 << 16)])
-    return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    for i in range(0, len(stops), 1 << 16):
+        some = zip(starts[i : i + (1 << 16)], stops[i : i + (1 << 16)], strict=True)
+        votes += _bit_counts(np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in some], dtype="<u8"))
+    return int(np.packbits(votes * 2 > len(stops), bitorder="little").view("<u8")[0])
 
 
 def _bit_counts(hashes: np.ndarray) -> np.ndarray:

@@ -63,6 +63,8 @@ FUNCTION_WORDS = {
 }
 LANGUAGES = (*FUNCTION_WORDS, "other")
 
+#: Bytes of a text that are hashed at once.
+SLICE = 1 << 20
 _SPLIT = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 0 for b in range(256)
 )
@@ -72,7 +74,20 @@ _PRIME = np.uint64(0x100000001B3)
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of a text's words, in order: A-Z lower-cased, letters
     and digits and all non-ASCII characters belong to words."""
-    raw = np.frombuffer((text or "").encode().translate(_SPLIT), np.uint8)
+    split = (text or "").encode().translate(_SPLIT)
+    if len(split) <= SLICE:
+        return _hashes(split)
+    parts, start = [], 0
+    while start < len(split):  # in slices that end between words
+        end = split.find(b"\0", start + SLICE)
+        end = len(split) if end < 0 else end
+        parts.append(_hashes(split[start:end]))
+        start = end
+    return np.concatenate(parts)
+
+
+def _hashes(split: bytes) -> np.ndarray:
+    raw = np.frombuffer(split, np.uint8)
     inside = np.r_[False, raw != 0, False]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     size = edges[1::2] - edges[::2]

@@ -61,22 +61,30 @@ def fixed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
 
 
 def tokens(url: Column) -> Column:
-    """Distinct tokens of a URL: its host, the host's labels, directories of
-    the path, the file's kind and the names in the query; no numbers."""
+    """Distinct tokens of a URL: its host, the last labels of the host and
+    their first words, the first directories of the path, the file's kind and
+    the first name in the query; no numbers.  There are few for any URL: what
+    FP-growth has to list doubles with every token that frequent URLs share."""
     url = F.coalesce(url, F.lit(""))
     host, path = host_of(url), path_of(url)
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
+    query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#&=]*)", 1)
     kind = F.regexp_extract(path, r"\.([A-Za-z]{1,5})$", 1)
+    none = F.array().cast("array<string>")
     named = lambda prefix, values: F.transform(values, lambda v: F.concat(F.lit(prefix), v))
+    one = lambda prefix, value: F.when(value != "", F.array(F.concat(F.lit(prefix), value))).otherwise(none)
+    labels = F.slice(F.reverse(F.split(host, r"\.")), 2, 3)  # without the top one
+    labels = F.filter(labels, lambda s: ~s.isin("", "www"))
+    words = F.flatten(F.transform(labels, lambda s: F.slice(F.split(s, "-"), 1, 2)))
+    folders = F.slice(segments, 1, F.least(F.greatest(F.size(segments) - 1, F.lit(0)), F.lit(2)))
     parts = F.concat(
-        F.when(host != "", F.array(F.concat(F.lit("host="), host))).otherwise(F.array().cast("array<string>")),
-        named("label=", F.filter(F.split(host, r"[.-]"), lambda s: ~s.isin("", "www", "com", "org", "net", "block"))),
-        named("dir=", F.filter(F.slice(segments, 1, F.greatest(F.size(segments) - 1, F.lit(0))), lambda s: ~s.rlike("[0-9]"))),
-        F.when(kind != "", F.array(F.concat(F.lit("kind="), F.lower(kind)))).otherwise(F.array().cast("array<string>")),
-        named("query=", F.filter(F.transform(F.split(query, "&"), lambda q: F.split(q, "=")[0]), lambda s: s != "")),
+        one("host=", host),
+        named("word=", words),
+        named("dir=", F.filter(folders, lambda s: ~s.rlike("[0-9]"))),
+        one("kind=", F.lower(kind)),
+        one("query=", query),
     )
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(parts))
+    return F.when(host == "", none).otherwise(F.array_distinct(parts))
 
 
 def mine(
