@@ -74,10 +74,11 @@ NOT_TEXT = set(
 )
 NOT_TEXT_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 NOT_TEXT_NAMES = set(
-    "ad ads adv advert advertisement advertising adsense adslot banner breadcrumb breadcrumbs comment comments commentlist "
-    "consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice paywall "
-    "popup promo promotion related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe "
-    "toolbar widget".split()
+    "ad ads adsbygoogle adsense adslot adv advert advertisement advertising adverts alert banner breadcrumb breadcrumbs "
+    "comment commentlist comments consent cookie cookies copyright disclaimer disqus footer gdpr login masthead menu modal "
+    "nav navbar navigation newsletter notice notification overlay paywall popular popup promo promotion recommended related "
+    "reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar trending "
+    "widget".split()
 )
 MAIN = {"article", "main"}
 
@@ -201,7 +202,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         noise = (
             parent.noise
             or tag in NOT_TEXT
-            or (tag == "header" and not parent.main)
+            or (not parent.main and (tag == "header" or "header" in names))
             or attributes.get("role", "").lower() in NOT_TEXT_ROLES
             or (tag not in ("html", "body") and not names.isdisjoint(NOT_TEXT_NAMES))
             or "hidden" in attributes
