@@ -23,6 +23,9 @@ def kinds(text):
         ("ip 42.144.35.254. and 300.1.1.1 and 1.2.3.4.5", [("ip", "42.144.35.254")]),
         ("call +1 (988) 555-2485 or 4111 1111 1111 1111.", [("phone", "+1 (988) 555-2485"), ("card", "4111 1111 1111 1111")]),
         ("4041894974608795", [("card", "4041894974608795")]),
+        ("ids 123-45-6789 and 123-45-67890", [("ssn", "123-45-6789")]),
+        ("9.9.9.9", [("ip", "9.9.9.9")]),
+        ("+55555555", [("phone", "+55555555")]),
         ("Mrs. Anna Schmidt met Herr Weber", [("name", "Anna"), ("name", "Schmidt"), ("name", "Weber")]),
         ("Иван Петров и Μαρία Παππά", [("name", "Иван"), ("name", "Петров"), ("name", "Μαρία"), ("name", "Παππά")]),
     ],

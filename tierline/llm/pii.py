@@ -17,7 +17,8 @@ punctuation.
 Collision checks: over all distinct entities of the corpus, surrogates that
 two entities share, or that are themselves an entity of the corpus, are drawn
 again with the next attempt number for all but the first of them, until none
-is left.  Only those (few) attempt numbers travel back to the texts: in a
+is left (or ``ROUNDS`` are over: very short forms may have no free surrogate
+at all).  Only those (few) attempt numbers travel back to the texts: in a
 broadcast, if they are at most ``EXCEPTIONS``, else by a join on the mentions.
 
 Edge cases: null texts stay null, texts without entities stay as they are.
@@ -43,16 +44,23 @@ from tierline.sources.sinks import stage_table
 #: Most attempt numbers that are broadcast (some 60 bytes each).
 EXCEPTIONS = 200_000
 #: Rounds of collision checks; a round draws again for a small part only.
-ROUNDS = 12
+ROUNDS = 25
 KEY = b"surrogates"
 
-TYPES = ("email", "card", "ip", "phone", "name")
+TYPES = ("email", "card", "ip", "ssn", "phone", "name")
 
 # What entities look like, and the names to draw from.
 EMAIL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}")
-IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)")
-CARD = re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![ -]?\d)")
-PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}(?:[ .-]\d{3,4}){1,2}(?![\w-])|(?<![\w.])\+\d{8,15}(?!\w)")
+IP = re.compile(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])")
+CARD = re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])")
+SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+PHONE = re.compile(
+    r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}(?:[ .-][0-9]{3,4}){1,2}(?![\w-])"
+    r"|(?<![\w.])\+[0-9]{8,15}(?!\w)"
+)
+#: Runs of what numbers of these kinds are made of; the patterns above are
+#: tried within them only.
+NUMBER = re.compile(r"[0-9][0-9()+. -]*[0-9]")
 NAMES = {
     ("f", "latin"): "Anna Maria Emma Julia Laura Sarah Lisa Claire Marie Sofia Elena Carmen Lucia Helen Alice Emily",
     ("m", "latin"): "John Peter Thomas Michael David Daniel Paul Martin Pierre Louis Hans Karl Carlos Miguel Juan James",
@@ -75,8 +83,10 @@ SYLLABLES = {
 GIVEN = {name: k for k, names in NAMES.items() for name in names.split()}
 TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts.split()}
 _WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁΆ-Ϋ][a-zß-öø-ÿа-яёά-ώ]+"
-TITLED = re.compile(rf"\b({'|'.join(map(re.escape, TITLE_GENDER))})\.?[ ]({_WORD})(?:[ ]({_WORD}))?")
-FULL = re.compile(rf"\b({'|'.join(map(re.escape, GIVEN))})[ ]({_WORD})\b")
+# Both begin with fixed letters, which makes them quick to look for; that a
+# word begins there is checked afterwards.
+TITLED = re.compile(rf"({'|'.join(map(re.escape, TITLE_GENDER))})\b\.?[ ]({_WORD})(?:[ ]({_WORD}))?")
+FULL = re.compile(rf"({'|'.join(map(re.escape, GIVEN))})[ ]({_WORD})\b")
 
 
 @dataclass(frozen=True, slots=True)
@@ -108,23 +118,30 @@ def mentions(text: str | None) -> list[Mention]:
     found: list[Mention] = []
     if "@" in text:
         found += [Mention("email", *m.span(), m[0].lower()) for m in _emails(text)]
-    for m in CARD.finditer(text):
-        digits = re.sub(r"\D", "", m[0])
-        if luhn(digits) or len(digits) == 16:
-            found.append(Mention("card", *m.span(), digits))
-    for m in IP.finditer(text):
-        if all(int(o) < 256 for o in m[0].split(".")):
-            found.append(Mention("ip", *m.span(), ".".join(str(int(o)) for o in m[0].split("."))))
-    for m in PHONE.finditer(text):
-        found.append(Mention("phone", *m.span(), re.sub(r"[^\d+]", "", m[0])))
-    for m in TITLED.finditer(text):
+    for run in NUMBER.finditer(text):
+        begin, end = run.start(), min(len(text), run.end() + 2)  # what follows is looked at as well
+        if run.end() - begin < 7:
+            continue
+        while begin and text[begin - 1] in "+(":
+            begin -= 1
+        for m in CARD.finditer(text, begin, end):
+            digits = re.sub("[^0-9]", "", m[0])
+            if luhn(digits) or len(digits) == 16:
+                found.append(Mention("card", *m.span(), digits))
+        for m in IP.finditer(text, begin, end):
+            if all(int(o) < 256 for o in m[0].split(".")):
+                found.append(Mention("ip", *m.span(), ".".join(str(int(o)) for o in m[0].split("."))))
+        found += [Mention("ssn", *m.span(), m[0]) for m in SSN.finditer(text, begin, end)]
+        for m in PHONE.finditer(text, begin, end):
+            found.append(Mention("phone", *m.span(), re.sub("[^0-9+]", "", m[0])))
+    for m in _at_words(TITLED, text):
         gender = TITLE_GENDER[m[1]]
         for g in (2, 3):
             if m[g]:
                 given = m[g] in GIVEN and bool(m[3]) and g == 2
                 kind = f"given {GIVEN[m[g]][0]}" if given else f"given {gender}" if m[3] and g == 2 and gender else "family"
                 found.append(Mention("name", *m.span(g), f"{kind}:{m[g]}"))
-    for m in FULL.finditer(text):
+    for m in _at_words(FULL, text):
         found.append(Mention("name", *m.span(1), f"given {GIVEN[m[1]][0]}:{m[1]}"))
         found.append(Mention("name", *m.span(2), f"family:{m[2]}"))
     order = {t: i for i, t in enumerate(TYPES)}
@@ -139,6 +156,17 @@ def mentions(text: str | None) -> list[Mention]:
     return sorted(kept, key=lambda m: m.start)
 
 
+def _at_words(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Matches that begin where a word does."""
+    m = pattern.search(text)
+    while m:
+        before = text[m.start() - 1] if m.start() else " "
+        inside = before.isalnum() or before == "_"
+        if not inside:
+            yield m
+        m = pattern.search(text, m.start() + 1 if inside else m.end())
+
+
 def _emails(text: str) -> Iterator[re.Match]:
     """Addresses, looked for around each @ only."""
     at = text.find("@")
@@ -175,7 +203,7 @@ def permute(value: int, size: int, key: bytes, label: str) -> int:
 
 def _shaped(text: str, key: bytes, label: str) -> str:
     """Permute the letters and digits of a text; other characters stay."""
-    bases = [10 if c.isdigit() else 26 if "a" <= c <= "z" else 1 for c in text]
+    bases = [10 if "0" <= c <= "9" else 26 if "a" <= c <= "z" else 1 for c in text]
     size, value = 1, 0
     for c, base in zip(text, bases, strict=True):
         if base > 1:
@@ -211,6 +239,8 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
             value = value << 8 | o
         value = permute(value, 1 << 32, key, label)
         return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
+    if kind == "ssn":
+        return _shaped(entity, key, label)
     if kind == "phone":
         keep = 2 if entity.startswith("+") else 0
         return entity[:keep] + _shaped(entity[keep:], key, label)
