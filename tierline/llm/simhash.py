@@ -266,6 +266,19 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return bucket_links(dealt_out, radius)
 
 
+def clusters(own: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``own`` (id, fp, ...) -> (fp, root, component_id) for every fingerprint:
+    ``root`` names its component, ``component_id`` is the smallest id in it
+    (null if all are null)."""
+    nodes = own.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = components(fingerprint_links(nodes.select("fp"), radius))
+    labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
+    return labelled.join(least, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -273,18 +286,10 @@ def near_duplicates(
     shingle: int = SHINGLE,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """(id, row_key, fp, root, component_id) for every row.  ``root`` names
-    the component; ``component_id`` is the smallest id in it (null if all are
-    null)."""
+    """(id, row_key, fp, root, component_id) for every row, see
+    :func:`clusters`."""
     own = stage_table(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = own.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(fingerprint_links(nodes.select("fp"), radius))
-    labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = labelled.join(least, "root").select("fp", "root", "component_id")
-    return own.join(members, "fp")
+    return own.join(clusters(own, radius), "fp")
 
 
 def keep_one(
@@ -297,9 +302,13 @@ def keep_one(
     """``docs`` with one row of each component: that with the smallest id
     (nulls last; of several with that id, the smallest digest of the row's
     text; of rows equal in id and text, any one)."""
-    near = near_duplicates(docs, id_col, text_col, shingle, radius)
-    first = near.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")).alias("first"))
+    own = stage_table(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    # The first row of a fingerprint, before fingerprints meet: however many
+    # copies a text has, one row of it goes on.
+    place = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")).alias("first")
+    firsts = own.groupBy("fp").agg(place).join(clusters(own, radius), "fp")
+    kept_rows = firsts.groupBy("root").agg(F.min("first").alias("first"))
     key, kept = free_name("row_key", docs.columns), free_name("kept_key", docs.columns)
     marked = docs.withColumn(key, row_key(id_col, text_col))
-    rows = marked.join(first.select(F.col("first.row_key").alias(kept)), F.col(key) == F.col(kept), "left_semi")
+    rows = marked.join(kept_rows.select(F.col("first.row_key").alias(kept)), F.col(key) == F.col(kept), "left_semi")
     return rows.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
