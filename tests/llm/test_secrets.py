@@ -83,6 +83,20 @@ def test_cycles_and_bombs_end(monkeypatch):
     assert X.secrets(b64(gzip.compress(b"z" * 10**6))) == []
 
 
+@pytest.mark.parametrize("wrap", [lambda s: b64(s.encode()), lambda s: b64(gzip.compress(s.encode())), lambda s: b64(b64(s.encode()).encode())])
+def test_one_run_at_two_places(wrap):
+    run = wrap(SECRET)
+    text = f"a {run} b {run} c %41"
+    n = len(run)
+    places = {(2, 2 + n), (5 + n, 5 + 2 * n)}
+    assert {s[:3] for s in X.secrets(text)} == {(k, *p) for k in ("assign", "access") for p in places}
+    assert X.redacted(text) == "a [assign] b [assign] c %41"
+
+
+def test_deep_escapes_end():
+    assert {s[0] for s in X.secrets("%" + "25" * 1500 + "41")} == {"hex"}
+
+
 def test_redaction():
     assert X.redacted(f"a {KEY} b token='{HEXED}' c") == "a [access] b [assign]' c"
     assert X.redacted("nothing") == "nothing" and X.redacted(None) is None

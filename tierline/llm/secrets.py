@@ -2,8 +2,9 @@
 
 A worklist starts with the text itself.  Every layer is scanned; what it
 holds in URL escapes, Unicode escapes, base64 or compressed base64 is decoded
-to new layers, until no layer is new: layers already met (by digest) are left
-out, so cycles end.  Each layer carries a map from its characters to the
+to new layers, until no layer is new: layers already met at the same place (by
+digest and span of the text) are left out, so cycles end.  A layer met at
+several places is decoded and scanned once and mapped to each.  Each layer carries a map from its characters to the
 original text, and findings are reported as spans of that text: exact
 characters for URL and Unicode escapes, the whole encoded run for base64.
 
@@ -52,6 +53,8 @@ MAX_DECODED = 1 << 24
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,depth:int>"
 Place = Callable[[int, int], tuple[int, int]]
+#: Maps from a layer to the text, innermost first; None for the text itself.
+Chain = tuple[Place, "Chain"] | None
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -66,8 +69,8 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _unescaped(text: str, pattern: re.Pattern, decode: Callable[[re.Match], str | None], place: Place) -> tuple[str, Place] | None:
-    """The text with escapes decoded and its map to the original; None if
+def _unescaped(text: str, pattern: re.Pattern, decode: Callable[[re.Match], str | None]) -> tuple[str, Place] | None:
+    """The text with escapes decoded and its map to those without; None if
     there are none."""
     parts: list[str] = []
     starts: list[int] = []
@@ -93,7 +96,7 @@ def _unescaped(text: str, pattern: re.Pattern, decode: Callable[[re.Match], str
     parts.append(text[done:])
     starts += range(done, len(text))
     ends += range(done + 1, len(text) + 1)
-    return "".join(parts), lambda a, b: place(starts[a], ends[b - 1])
+    return "".join(parts), lambda a, b: (starts[a], ends[b - 1])
 
 
 def _url(m: re.Match) -> str | None:
@@ -148,16 +151,24 @@ def _unwrap64(run: str, most: int) -> str | None:
     return _plain(data)
 
 
-def _layers(text: str, place: Place, most: int) -> Iterator[tuple[str, Place]]:
-    if "%" in text and (out := _unescaped(text, URL_RUN, _url, place)):
+def _layers(text: str, most: int) -> Iterator[tuple[str, Place]]:
+    """What a text holds, decoded, each with its map to the text."""
+    if "%" in text and (out := _unescaped(text, URL_RUN, _url)):
         yield out
-    if "\\" in text and (out := _unescaped(text, UNICODE, _unicode, place)):
+    if "\\" in text and (out := _unescaped(text, UNICODE, _unicode)):
         yield out
+    known: dict[str, str | None] = {}
     for m in BASE64.finditer(text):
-        inner = _unwrap64(m[0], most)
-        if inner is not None:
-            a, b = m.span()
-            yield inner, lambda *_, a=a, b=b: place(a, b)
+        if m[0] not in known:
+            known[m[0]] = _unwrap64(m[0], most)
+        if (inner := known[m[0]]) is not None:
+            yield inner, lambda *_, span=m.span(): span
+
+
+def _original(place: Chain, a: int, b: int) -> tuple[int, int]:
+    while place:
+        (a, b), place = place[0](a, b), place[1]
+    return a, b
 
 
 def secrets(text: str | None) -> list[tuple[str, int, int, int]]:
@@ -167,19 +178,33 @@ def secrets(text: str | None) -> list[tuple[str, int, int, int]]:
     if not text:
         return []
     found: dict[tuple[str, int, int], int] = {}
-    work: list[tuple[str, Place, int]] = [(text, lambda a, b: (a, b), 0)]
-    seen = {hashlib.sha256(text.encode()).digest()}
+    first = hashlib.sha256(text.encode()).digest()
+    work: list[tuple[bytes, Chain, int]] = [(first, None, 0)]
+    layers = {first: text}
+    opened: dict[bytes, tuple[list[tuple[str, int, int]], list[tuple[bytes, Place]]]] = {}
+    seen = {(first, 0, len(text))}
     left = MAX_DECODED + 8 * len(text)
-    while work:
-        layer, place, depth = work.pop(0)
-        for kind, a, b in scan(layer):
-            found.setdefault((kind, *place(a, b)), depth)
-        for inner, inner_place in _layers(layer, place, left):
-            digest = hashlib.sha256(inner.encode()).digest()
-            if digest not in seen and len(inner) <= left:
-                seen.add(digest)
-                left -= len(inner)
-                work.append((inner, inner_place, depth + 1))
+    for key, place, depth in work:
+        if key not in opened:
+            layer, inside = layers[key], []
+            for inner, within in _layers(layer, left):
+                digest = hashlib.sha256(inner.encode()).digest()
+                if digest not in layers:
+                    if len(inner) > left:
+                        continue
+                    left -= len(inner)
+                    layers[digest] = inner
+                inside.append((digest, within))
+            opened[key] = scan(layer), inside
+        hits, inside = opened[key]
+        for kind, a, b in hits:
+            found.setdefault((kind, *_original(place, a, b)), depth)
+        for digest, within in inside:
+            inner_place = (within, place)
+            whole = _original(inner_place, 0, len(layers[digest]))
+            if (digest, *whole) not in seen:
+                seen.add((digest, *whole))
+                work.append((digest, inner_place, depth + 1))
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(((k, a, b, d) for (k, a, b), d in found.items()), key=lambda s: (s[1], order[s[0]], s[2]))
 
