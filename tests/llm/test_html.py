@@ -72,3 +72,21 @@ def test_repeated_articles_stay(spark):
     rows = [(i, "http://h.example/a", f"<body><div>boilerplate</div>{ARTICLE}</body>") for i in range(10)]
     got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.text for r in got} == {"Title\nOne two three&four.\nFive"}
+
+
+def test_tree_judges_pages_with_articles(spark):
+    def page(i):
+        return (
+            "<body><div class=top>Welcome to our site</div><article class=card>Our picks of the week</article>"
+            f"<div class=story><p>Story {i} is told at some length in a plain element.</p></div></body>"
+        )
+
+    def inner(i):
+        return f"<body><main><p>Report {i}, with figures and names of its own.</p><div><p>Read more reports</p></div></main></body>"
+
+    rows = [(i, "http://a.example/", page(i)) for i in range(12)] + [(100 + i, "http://b.example/", inner(i)) for i in range(12)]
+    rows += [(200, "http://c.example/", page(7))]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Our picks of the week\nStory 3 is told at some length in a plain element."
+    assert got[103] == "Report 3, with figures and names of its own."
+    assert got[200].endswith("Story 7 is told at some length in a plain element.")  # no statistics

@@ -11,11 +11,15 @@ between 0 (the same everywhere) and 1:
 
 They combine as (1 - G^l) * presentation + G^l * content for an element with
 l child sequences.  Branches (elements and single blocks) below ``THRESHOLD``
-are removed from each page.  Elements whose role is stated in the markup don't
-need the tree to tell: menus, forms, adverts, comments and the like weigh
-nothing, and what an article or main element holds, apart from those, weighs
-one.  Hosts with fewer than ``MIN_PAGES`` pages have no statistics; all their
-branches count as important.
+are removed from each page.  Menus, forms, adverts, comments and the like, as
+the markup states them, weigh nothing and are not in the tree.  Article and
+main elements are a weight: on pages that have some, blocks beside them need a
+content importance of ``BESIDE``, and branches within them go as elsewhere,
+unless these are most of their text: then the page is a copy of an article and
+keeps it whole.  Hosts with fewer than ``MIN_PAGES`` pages have no statistics;
+all their branches count as important, but blocks beside an article or main
+element go if that holds at least half of the page's text.  The same holds for
+places that fewer pages of a larger host have.
 
 Statistics are pre-aggregated by Spark before they are shuffled, so a host
 that holds a third of all pages is many small counts, not one group; only the
@@ -32,7 +36,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Set
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -44,6 +48,8 @@ from tierline.llm.common import ascii_lower, slices, small_batches
 from tierline.sources.sinks import stage_table
 
 THRESHOLD = 0.3
+#: The same for blocks beside an article or main element.
+BESIDE = 0.7
 MIN_PAGES = 5
 G = 0.9
 #: Deeper elements count as parts of their ancestor at this depth.
@@ -101,6 +107,7 @@ class Block:
     text: str
     chain: tuple[int, ...]  # elements from the root down
     main: bool
+    outer: int  # so many of them lie around the article or main element, or are it
 
 
 def _digest(text: str) -> int:
@@ -128,8 +135,9 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         text = " ".join("".join(held).split())
         held.clear()
         if text:
-            chain = tuple(e.path for e in stack[1 : MAX_DEPTH + 1] if e.tag not in INLINE)
-            blocks.append(Block(text, chain, stack[-1].main))
+            tree = [e for e in stack[1 : MAX_DEPTH + 1] if e.tag not in INLINE]
+            outer = next((i + 1 for i, e in enumerate(tree) if e.main), len(tree))
+            blocks.append(Block(text, tuple(e.path for e in tree), stack[-1].main, outer))
 
     def close(index: int) -> None:
         if any(e.tag not in INLINE for e in stack[index:]):
@@ -256,8 +264,10 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def noise_branches(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``pages`` (host, html) -> (host, nodes, blocks): digests of the elements
-    and of the (element, text) pairs of low importance."""
+    """``pages`` (host, html) -> (host, nodes, blocks, weak, known): digests of
+    the elements and of the (element, text) pairs of low importance, of the
+    pairs that are below ``BESIDE`` only, and of all elements that hold text
+    and have statistics."""
     counts = (
         pages.select("host", "html")
         .mapInArrow(_statistics, STATS)
@@ -293,31 +303,50 @@ def noise_branches(pages: DataFrame, threshold: float = THRESHOLD, min_pages: in
     low_nodes = (
         shapes.join(below, ["host", "node"])
         .where((1 - kept) * F.col("presentation") + kept * F.col("content") < threshold)
-        .select("host", "node", F.lit(None).cast("bigint").alias("value"))
+        .select("host", "node")
     )
-    low_blocks = blocks.where(F.col("content") < threshold).select("host", "node", "value")
-    return (
-        low_nodes.unionByName(low_blocks)
-        .groupBy("host")
-        .agg(
-            F.collect_set(F.when(F.col("value").isNull(), F.col("node"))).alias("nodes"),
-            F.collect_set(F.when(F.col("value").isNotNull(), F.col("node").bitwiseXOR(F.col("value")))).alias("blocks"),
-        )
+    pair = F.col("node").bitwiseXOR(F.col("value"))
+    low = F.col("content") < threshold
+    judged = blocks.groupBy("host").agg(
+        F.collect_set(F.when(low, pair)).alias("blocks"),
+        F.collect_set(F.when(~low & (F.col("content") < BESIDE), pair)).alias("weak"),
+        F.collect_set("node").alias("known"),
     )
+    nodes = low_nodes.groupBy("host").agg(F.collect_set("node").alias("nodes"))
+    return judged.join(nodes, "host", "left").select("host", "nodes", "blocks", "weak", "known")
 
 
-def main_text(page: str | None, nodes: set[int], texts: set[int]) -> str:
+def main_text(
+    page: str | None, nodes: set[int], texts: set[int], weak: Set[int] = frozenset(), known: Set[int] = frozenset()
+) -> str:
     """The page's text without branches of low importance."""
     if not page:
         return ""
     chosen, _ = parse(page)
-    if any(b.main for b in chosen):
-        chosen = [b for b in chosen if b.main]  # stated: weighs one
-    elif nodes or texts:
-        chosen = [
-            b for b in chosen if nodes.isdisjoint(b.chain) and not (b.chain and b.chain[-1] ^ _digest(b.text) in texts)
-        ]
-    return "\n".join(b.text for b in chosen)
+
+    def low(b: Block, above: int = 0) -> bool:
+        return not nodes.isdisjoint(b.chain[above:]) or bool(b.chain) and b.chain[-1] ^ _digest(b.text) in texts
+
+    def size(blocks: Iterable[Block]) -> int:
+        return sum(len(b.text) for b in blocks)
+
+    main = [b for b in chosen if b.main]
+    if not main:
+        kept = [not low(b) for b in chosen] if nodes or texts else [True] * len(chosen)
+    else:
+        # What an article or main element holds is judged by itself.
+        gone = {id(b) for b in main if low(b, b.outer)} if nodes or texts else set()
+        if 2 * size(b for b in main if id(b) in gone) > size(main):
+            gone = set()
+        short = 2 * size(main) < size(chosen)
+
+        def beside(b: Block) -> bool:
+            if not b.chain or b.chain[-1] not in known:
+                return short and not low(b)
+            return not low(b) and b.chain[-1] ^ _digest(b.text) not in weak
+
+        kept = [id(b) not in gone if b.main else beside(b) for b in chosen]
+    return "\n".join(b.text for b, keep in zip(chosen, kept, strict=True) if keep)
 
 
 def extract(
@@ -340,10 +369,10 @@ def extract(
         for batch in batches:
             for part in slices(batch, "html"):
                 texts = [
-                    main_text(h, set(n or ()), set(b or ()))
-                    for h, n, b in zip(*(part.column(c).to_pylist() for c in ("html", "nodes", "blocks")), strict=True)
+                    main_text(h, *(set(x or ()) for x in judged))
+                    for h, *judged in zip(*(part.column(c).to_pylist() for c in ("html", "nodes", "blocks", "weak", "known")), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(texts, pa.string())], ["id", "url", "text"])
 
-    out = own.join(noise, "host", "left").select("id", "url", "html", "nodes", "blocks")
+    out = own.join(noise, "host", "left").select("id", "url", "html", "nodes", "blocks", "weak", "known")
     return out.mapInArrow(run, f"id {kinds['id']}, url {kinds['url']}, text string").withColumnsRenamed({"id": id_col, "url": url_col})
