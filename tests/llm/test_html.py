@@ -90,3 +90,18 @@ def test_tree_judges_pages_with_articles(spark):
     assert got[3] == "Our picks of the week\nStory 3 is told at some length in a plain element."
     assert got[103] == "Report 3, with figures and names of its own."
     assert got[200].endswith("Story 7 is told at some length in a plain element.")  # no statistics
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='content no-sidebar'>{ARTICLE}</div>",
+        f"<div class='layout with-sidebar'>{ARTICLE}<div class='sidebar'>s</div></div>",
+        f"<div id='sidebar'>{ARTICLE}<p>s</p></div>",
+        "<article><h1 class='share-price'>Title</h1><p id='reply-from-minister'>One two three&amp;four.</p><p class='sponsored-research'>Five</p></article>",
+        "<div class='alert-history'>Title</div><p class='popular-science'>One two three&amp;four.</p><p class='social-policy'>Five</p>",
+        f"<div class='cookie-banner'>c</div><div id='ad-1'>b</div><div class='left-sidebar'>s</div><div class='share-buttons'></div>{ARTICLE}",
+    ],
+)
+def test_names_tell_as_a_whole(page):
+    assert text(page) == "Title\nOne two three&four.\nFive"

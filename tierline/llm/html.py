@@ -21,6 +21,10 @@ all their branches count as important, but blocks beside an article or main
 element go if that holds at least half of the page's text.  The same holds for
 places that fewer pages of a larger host have.
 
+Class and id names tell as whole names, or by a first or last part that is
+clear; one of them alone never drops an article or main element, unless the
+page has another one apart (articles among comments).
+
 Statistics are pre-aggregated by Spark before they are shuffled, so a host
 that holds a third of all pages is many small counts, not one group; only the
 branches to remove come back, joined to the pages by host.
@@ -38,6 +42,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Set
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -91,6 +96,14 @@ MAIN = {"article", "main"}
 _TAG = re.compile(r"""</?([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?""")
 _NAME = re.compile(r"[^a-z]+")
+#: Before a word they say that it is not there, or beside.
+AROUND = set("no not non without with has hide after before pre post".split())
+#: Words that compound names of content begin or end with as well (share-price,
+#: social-policy): they tell only as a whole name.
+AMBIGUOUS = set(
+    "ad alert banner comment comments consent copyright disclaimer menu modal notice notification overlay popular promo "
+    "promotion recommended related reply replies respond share sharing skip social sponsor sponsored subscribe trending".split()
+)
 
 
 @dataclass(slots=True)
@@ -98,6 +111,7 @@ class Element:
     tag: str
     path: int  # digest of the tags and classes from the root
     noise: bool
+    named: int  # 2: its name or one around it says noise; 1: an article or main element within such a name
     main: bool
     shape: list[str] = field(default_factory=list)
 
@@ -107,6 +121,7 @@ class Block:
     text: str
     chain: tuple[int, ...]  # elements from the root down
     main: bool
+    named: int
     outer: int  # so many of them lie around the article or main element, or are it
 
 
@@ -123,12 +138,25 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
+@lru_cache(4096)
+def _says_noise(name: str) -> bool:
+    """Whether a class or id is a word of NOT_TEXT_NAMES, but for digits and
+    the like around it, or a compound that begins or ends with a clear one."""
+    parts = [x for x in _NAME.split(name) if x]
+    if len(parts) < 2:
+        return bool(parts) and parts[0] in NOT_TEXT_NAMES
+    clear = NOT_TEXT_NAMES - AMBIGUOUS
+    if parts[0] in AROUND:
+        return False
+    return parts[0] in clear or (parts[-1] in clear and parts[-2] not in AROUND) or set(parts) <= NOT_TEXT_NAMES
+
+
 def parse(page: str) -> tuple[list[Block], list[Element]]:
     """Blocks of text in page order and the elements of a page, both without
     what the markup calls something else than content."""
     blocks: list[Block] = []
     elements: list[Element] = []
-    stack: list[Element] = [Element("", 0, False, False)]
+    stack: list[Element] = [Element("", 0, False, 0, False)]
     held: list[str] = []
 
     def end_block() -> None:
@@ -137,7 +165,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         if text:
             tree = [e for e in stack[1 : MAX_DEPTH + 1] if e.tag not in INLINE]
             outer = next((i + 1 for i, e in enumerate(tree) if e.main), len(tree))
-            blocks.append(Block(text, tuple(e.path for e in tree), stack[-1].main, outer))
+            blocks.append(Block(text, tuple(e.path for e in tree), stack[-1].main, next(e.named for e in reversed(stack) if e.tag not in INLINE), outer))
 
     def close(index: int) -> None:
         if any(e.tag not in INLINE for e in stack[index:]):
@@ -145,7 +173,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         del stack[index:]
 
     def text(piece: str) -> None:
-        if piece and not stack[-1].noise:
+        if piece and not stack[-1].noise and stack[-1].named < 2:
             held.append(entities.unescape(piece) if "&" in piece else piece)
 
     at, n = 0, len(page)
@@ -212,16 +240,21 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
             or tag in NOT_TEXT
             or (not parent.main and (tag == "header" or "header" in names))
             or attributes.get("role", "").lower() in NOT_TEXT_ROLES
-            or (tag not in ("html", "body") and not names.isdisjoint(NOT_TEXT_NAMES))
             or "hidden" in attributes
             or attributes.get("aria-hidden", "").lower() == "true"
             or "display:none" in attributes.get("style", "").replace(" ", "").lower()
         )
-        main = parent.main or tag in MAIN or attributes.get("role", "").lower() in MAIN
+        is_main = tag in MAIN or attributes.get("role", "").lower() in MAIN
+        main = parent.main or is_main
+        named = parent.named
+        if is_main:
+            named = min(named, 1)
+        elif tag not in ("html", "body") and any(map(_says_noise, label.split())):
+            named = 2
         shape = f"{tag}.{'.'.join(sorted(names))}" if names else tag
         if tag not in INLINE and (not parent.shape or parent.shape[-1] != shape):  # repeats count once
             parent.shape.append(shape)
-        element = Element(tag, _digest(f"{parent.path}/{shape}"), noise, main)
+        element = Element(tag, _digest(f"{parent.path}/{shape}"), noise, named, main)
         if tag not in INLINE and not noise and len(stack) <= MAX_DEPTH:
             elements.append(element)
         if tag in VOID:
@@ -231,7 +264,9 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
             at = n if not m else m.start()
         stack.append(element)
     end_block()
-    return blocks, elements
+    # Articles within such names are comments or cards if the page has others.
+    most = 0 if any(b.main and not b.named for b in blocks) else 1
+    return [b for b in blocks if b.named <= most], [e for e in elements if e.named <= most]
 
 
 def page_host(url: Column) -> Column:
