@@ -66,3 +66,27 @@ def test_tokens(spark):
     got = [r[0] for r in df.select(F.array_sort(U.tokens(F.col("url")))).collect()]
     assert got[0] == sorted(["host=www.a-b.example.com", "word=a", "word=b", "word=example", "dir=en", "kind=html", "query=u"])
     assert got[1] == []
+
+
+def test_every_token_is_mined_and_matched(spark):
+    def url(i, bad):
+        return [
+            f"http://{'best-online-casino' if bad else 'best-online-paper'}.h{i}.example.com/x",
+            f"http://n{i}.example.com/a/2024/b/c/{'spam' if bad else 'news'}/x.html",
+            f"http://n{i}.example.com/x?id=1&page=2&{'aff' if bad else 'ref'}=2",
+        ][i % 3]
+
+    urls = spark.createDataFrame([(i, url(i, i % 2 == 0)) for i in range(240)], "id long, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 0) for i in range(180)], "id long, bad boolean")
+    rules = U.mine(urls, labels, support=0.05, confidence=0.9)
+    assert {tuple(r.rule_tokens) for r in rules.collect()} == {("word=casino",), ("dir=spam",), ("query=aff",)}
+    got = {r.id: r.verdict for r in U.judge(urls, rules, "id").collect()}
+    assert all(got[i] == ("block" if i % 2 == 0 else "allow") for i in range(240))
+
+
+def test_tokens_that_occur_together_each_make_a_rule(spark):
+    deep = "/".join(f"{a}{b}" for a in "abcde" for b in "fghij")
+    rows = [(i, f"http://h{i}.net/{deep}/{'bad/worse' if i % 2 else 'good'}/x") for i in range(60)]
+    urls = spark.createDataFrame(rows, "id long, url string")
+    rules = U.mine(urls, spark.createDataFrame([(i, i % 2 == 1) for i in range(60)], "id long, bad boolean"), support=0.1)
+    assert {tuple(r.rule_tokens) for r in rules.collect()} == {("dir=bad",), ("dir=worse",)}

@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import ascii_lower
@@ -60,11 +60,34 @@ def fixed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
     return name, verdict
 
 
+def all_tokens(url: Column) -> Column:
+    """Distinct tokens of a URL: its host, all words of the host's labels but
+    the top one, all directories of the path, the file's kind and all names in
+    the query; no directories with numbers."""
+    url = F.coalesce(url, F.lit(""))
+    host, path = host_of(url), path_of(url)
+    segments = F.filter(F.split(path, "/"), lambda s: s != "")
+    query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
+    kind = F.lower(F.regexp_extract(path, r"\.([A-Za-z]{1,5})$", 1))
+    labels = F.split(host, r"\.")
+    words = F.flatten(F.transform(F.slice(labels, 1, F.greatest(F.size(labels) - 1, F.lit(0))), lambda s: F.split(s, "-")))
+    folders = F.slice(segments, 1, F.greatest(F.size(segments) - 1, F.lit(0)))
+    named = lambda prefix, values: F.transform(values, lambda v: F.concat(F.lit(prefix), v))
+    parts = F.concat(
+        named("host=", F.array(host)),
+        named("word=", F.filter(words, lambda s: ~s.isin("", "www"))),
+        named("dir=", F.filter(folders, lambda s: ~s.rlike("[0-9]"))),
+        named("kind=", F.filter(F.array(kind), lambda s: s != "")),
+        named("query=", F.filter(F.transform(F.split(query, "&"), lambda q: F.split(q, "=")[0]), lambda s: s != "")),
+    )
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(parts))
+
+
 def tokens(url: Column) -> Column:
-    """Distinct tokens of a URL: its host, the last labels of the host and
-    their first words, the first directories of the path, the file's kind and
-    the first name in the query; no numbers.  There are few for any URL: what
-    FP-growth has to list doubles with every token that frequent URLs share."""
+    """The first few of a URL's tokens: its host, the last labels of the host
+    and their first words, the first directories of the path, the file's kind
+    and the first name in the query; no numbers.  Rules are mined and matched
+    by ``all_tokens``."""
     url = F.coalesce(url, F.lit(""))
     host, path = host_of(url), path_of(url)
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
@@ -87,6 +110,15 @@ def tokens(url: Column) -> Column:
     return F.when(host == "", none).otherwise(F.array_distinct(parts))
 
 
+def _choices(members: str) -> Column:
+    """All ways to take one token of each array."""
+    return F.aggregate(
+        members,
+        F.array(F.array().cast("array<string>")),
+        lambda done, more: F.flatten(F.transform(done, lambda d: F.transform(more, lambda m: F.array_append(d, m)))),
+    )
+
+
 def mine(
     urls: DataFrame,
     labels: DataFrame,
@@ -98,18 +130,35 @@ def mine(
     the support, not by the data."""
     spark = urls.sparkSession
     worst = labels.where("id is not null").groupBy("id").agg(F.max(F.coalesce("bad", F.lit(False))).alias("bad"))
-    baskets = urls.join(worst, "id").select(tokens(F.col("url")).alias("own"), "bad").where(F.size("own") > 0)
-    baskets = stage_table(
-        baskets.select(F.when(F.col("bad"), F.array_append("own", F.lit(BLOCK))).otherwise(F.col("own")).alias("items")),
-        "baskets",
-    )
+    baskets = urls.join(worst, "id").select(all_tokens(F.col("url")).alias("own"), "bad").where(F.size("own") > 0)
+    baskets = stage_table(baskets.withColumn("basket", F.expr("uuid()")), "baskets")
     schema = "rule_tokens array<string>, rarest string, confidence double, support double"
-    if not baskets.where(F.array_contains("items", BLOCK)).take(1):
+    if not baskets.where("bad").take(1):
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    total = baskets.count()
+    # Tokens on exactly the same baskets (by two sums of hashes) are one item,
+    # named by the first; those on too few blocked ones are in no rule.
+    digest = lambda seed: F.sum(F.xxhash64("basket", F.lit(seed)).cast("decimal(38,0)"))
     single = (
-        model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq").alias("token_freq"))
+        baskets.select("basket", "bad", F.explode("own").alias("token"))
+        .groupBy("token")
+        .agg(F.count("*").alias("token_freq"), F.count_if("bad").alias("blocked"), digest(1).alias("d1"), digest(2).alias("d2"))
+        .where(F.col("blocked") >= support * total)
     )
+    same = Window.partitionBy("token_freq", "blocked", "d1", "d2")
+    single = stage_table(single.select("token", "token_freq", F.min("token").over(same).alias("item")), "tokens")
+    items = (
+        baskets.select("basket", F.explode("own").alias("token"))
+        .join(single.where("token = item"), "token")
+        .groupBy("basket")
+        .agg(F.collect_list("token").alias("own"))
+    )
+    none = F.array().cast("array<string>")
+    items = baskets.select("basket", "bad").join(items, "basket", "left").withColumn("own", F.coalesce("own", none))
+    items = stage_table(
+        items.select(F.when(F.col("bad"), F.array_append("own", F.lit(BLOCK))).otherwise(F.col("own")).alias("items")), "items"
+    )
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.col("consequent")[0] == BLOCK).select(
         F.array_sort("antecedent").alias("rule_tokens"), "confidence", "support"
     )
@@ -126,6 +175,16 @@ def mine(
         .distinct()
     )
     kept = found.join(needless, "rule_tokens", "left_anti")
+    # A rule holds for every choice of tokens that its items stand for.
+    members = single.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    kept = (
+        kept.select("rule_tokens", "confidence", "support", F.explode("rule_tokens").alias("item"))
+        .join(members, "item")
+        .groupBy("rule_tokens", "confidence", "support")
+        .agg(F.collect_list("members").alias("choices"))
+        .select("confidence", "support", F.explode(_choices("choices")).alias("rule_tokens"))
+    )
+    kept = stage_table(kept.select(F.array_sort("rule_tokens").alias("rule_tokens"), "confidence", "support"), "choices")
     rarest = (
         kept.select("rule_tokens", F.explode("rule_tokens").alias("token"))
         .join(single, "token")
@@ -149,7 +208,7 @@ def judge(
         own.select("url")
         .where("url is not null")
         .distinct()
-        .withColumn("own", tokens(F.col("url")))
+        .withColumn("own", all_tokens(F.col("url")))
         .select("url", "own", F.explode("own").alias("rarest"))
         .join(rules.select("rule_tokens", "rarest"), "rarest")
         .where(F.size(F.array_except("rule_tokens", "own")) == 0)
