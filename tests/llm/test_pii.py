@@ -89,3 +89,21 @@ def test_collisions_are_drawn_again(spark, monkeypatch, exceptions):
     out = {r.doc_id: r.text.split()[1] for r in P.pseudonymize(docs).collect()}
     assert len(set(out.values())) == len(names)
     assert not set(out.values()) & set(names)
+
+
+def test_given_names_are_permuted():
+    for (gender, _), names in P.NAMES.items():
+        for key in (P.KEY, b"k", b"other"):
+            images = {n: P.surrogate("name", f"given {gender}:{n}", key).partition(":")[2] for n in names.split()}
+            assert set(images.values()) == set(images)
+            assert all(a != b for a, b in images.items())
+
+
+def test_given_names_stay_distinct(spark, monkeypatch):
+    monkeypatch.setitem(P.SYLLABLES, "latin", "ba be bi bo")
+    people = ["John", "David", "Daniel", "Pierre", *(f"Q{c}x" for c in "abcdefghijklmnopqrst")]
+    docs = spark.createDataFrame([(i, f"Mr {n} Weber came") for i, n in enumerate(people)], "doc_id long, text string")
+    out = [r.text.split()[1:3] for r in P.pseudonymize(docs).collect()]
+    assert len({given for given, _ in out}) == len(people) and len({family for _, family in out}) == 1
+    assert not {given for given, _ in out[4:]} & {*people, *P.GIVEN, out[0][1]}
+    assert all(given != n for (given, _), n in zip(out, people, strict=True))

@@ -11,14 +11,17 @@ punctuation.
   stay letters, card numbers keep their first digit and their valid check
   digit, IPv4 addresses their octets' range.  A permutation maps different
   entities of a shape to different surrogates.
-* Given names are replaced by names of the same gender and script from a list;
+* Given names on the list are replaced by others of the same gender and script
+  from it, by a keyed permutation without fixed points; other given names and
   family names by made-up ones in the same script.
 
 Collision checks: over all distinct entities of the corpus, surrogates that
 two entities share, or that are themselves an entity of the corpus, are drawn
 again with the next attempt number for all but the first of them, until none
 is left (or ``ROUNDS`` are over: very short forms may have no free surrogate
-at all).  Only those (few) attempt numbers travel back to the texts: in a
+at all).  Names are compared as written, whatever their role.  Surrogates of
+listed given names are distinct as they are, and names of the list by intent;
+no other entity gets one of these.  Only those (few) attempt numbers travel back to the texts: in a
 broadcast, if they are at most ``EXCEPTIONS``, else by a join on the mentions.
 
 Edge cases: null texts stay null, texts without entities stay as they are.
@@ -33,6 +36,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -220,6 +224,13 @@ def _shaped(text: str, key: bytes, label: str) -> str:
     return "".join(reversed(out))
 
 
+@lru_cache(64)
+def _cycle(gender: str, script: str, key: bytes) -> list[str]:
+    """The listed given names in keyed order; each is replaced by the next,
+    so no two by one and none by itself."""
+    return sorted(NAMES[gender, script].split(), key=lambda name: _random(key, "given", name))
+
+
 def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
     """The canonical form of an entity's surrogate."""
     label = f"{kind}\x1f{attempt}"
@@ -248,8 +259,9 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
     script = script_of(word)
     r = _random(key, label, entity)
     if sort.startswith("given"):
-        names = NAMES[sort[6:] or "f", script].split()
-        return f"{sort}:{names[(r + attempt) % len(names)]}"
+        names = _cycle(sort[6:] or "f", script, key)
+        if word in names:
+            return f"{sort}:{names[(names.index(word) + 1) % len(names)]}"
     parts = SYLLABLES[script].split()
     n = 3 + attempt // 4
     return f"{sort}:" + "".join(parts[(r >> (16 * i)) % len(parts)] for i in range(min(n, 15))).capitalize()
@@ -306,8 +318,6 @@ def attempt_numbers(docs: DataFrame, text_col: str, key: bytes = KEY) -> DataFra
     entities = (
         docs.select(F.explode(found_entities(F.col(text_col))).alias("e"))
         .select("e.type", "e.entity")
-        # Given names are few and shared by many people: they need not differ.
-        .where(~((F.col("type") == "name") & F.col("entity").startswith("given")))
         .groupBy("type", "entity")
         .agg(F.count("*").alias("n"))
         .drop("n")
@@ -315,12 +325,19 @@ def attempt_numbers(docs: DataFrame, text_col: str, key: bytes = KEY) -> DataFra
     drawn = stage_table(
         entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("type", "entity", F.lit(0))), "surrogates"
     )
-    originals = drawn.select("type", F.col("entity").alias("surrogate"))
+    # What is compared: names without their role.
+    shown = lambda c: F.when(F.col("type") == "name", F.regexp_replace(c, "^[^:]*:", "")).otherwise(F.col(c))
+    names = [("name", n) for n in GIVEN]
+    originals = drawn.select("type", shown("entity").alias("shown")).unionByName(
+        docs.sparkSession.createDataFrame(names, "type string, shown string")
+    )
+    listed = (F.col("type") == "name") & F.col("entity").isin([f"given {g}:{n}" for n, (g, _) in GIVEN.items()])
     for _ in range(ROUNDS):
-        real = drawn.join(originals, ["type", "surrogate"], "left_semi").select("type", "entity")
+        made = drawn.where(~listed).withColumn("shown", shown("surrogate"))
+        real = made.join(originals, ["type", "shown"], "left_semi").select("type", "entity")
         # Of entities with one surrogate the smallest keeps it.
-        first = drawn.groupBy("type", "surrogate").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
-        shared = drawn.join(first, ["type", "surrogate"]).where("entity <> first").select("type", "entity")
+        first = made.groupBy("type", "shown").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
+        shared = made.join(first, ["type", "shown"]).where("entity <> first").select("type", "entity")
         again = stage_table(real.unionByName(shared).distinct().withColumn("again", F.lit(True)), "again")
         if not again.take(1):
             break
