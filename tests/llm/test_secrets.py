@@ -93,6 +93,30 @@ def test_one_run_at_two_places(wrap):
     assert X.redacted(text) == "a [assign] b [assign] c %41"
 
 
+LONG = "some words before " * 5 + SECRET + " and after " * 5
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        base64.encodebytes(LONG.encode()).decode(),
+        base64.encodebytes(gzip.compress(random.Random(1).randbytes(120).hex().upper().encode() + LONG.encode())).decode(),
+        ".com/cb/" + b64(SECRET.encode()),
+        "x/" + b64(SECRET.encode()),
+        "session_" + b64(gzip.compress(SECRET.encode())),
+        b64(f"prix\u202f: \u00a0\ufeff {SECRET}".encode()),
+        b64(b"caf\xe9 " + SECRET.encode()),
+    ],
+)
+def test_runs_as_they_are_found(text):
+    assert {s[0] for s in X.secrets(f"see:\n{text}\n.")} == {"assign", "access"}
+
+
+def test_shortest_run():
+    run = b64(b"token:abcdefgh").rstrip("=")
+    assert X.secrets(run) == [("assign", 0, 19, 1)]
+
+
 def test_deep_escapes_end():
     assert {s[0] for s in X.secrets("%" + "25" * 1500 + "41")} == {"hex"}
 

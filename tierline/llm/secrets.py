@@ -25,6 +25,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -48,7 +49,13 @@ WORDS = ("passw", "secret", "token", "api")
 URL_RUN = re.compile("(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 #: Shorter runs can't hold a secret.
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{19,}={0,2}")
+#: Runs that go on after single line breaks.
+LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[A-Za-z0-9+/_-]++)+={0,2}")
+#: What bytes hold of text, and how much of it a secret needs.
+TEXT = re.compile(rb"(?:[\t\n\r\x1b\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2})+")
+ENOUGH = re.compile(rb"[\t\n\r\x20-\x7e]{14}")
+PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 MAX_DECODED = 1 << 24
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,depth:int>"
@@ -138,17 +145,71 @@ def _plain(data: bytes) -> str | None:
     return text if text and text.replace("\n", "").replace("\t", "").replace("\r", "").isprintable() else None
 
 
-def _unwrap64(run: str, most: int) -> str | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        body = body[:-1]
-    data = base64.b64decode(body + "=" * (-len(body) % 4))
+def _bytes64(letters: str) -> bytes:
+    if len(letters) % 4 == 1:
+        letters = letters[:-1]
+    return base64.b64decode(letters + "=" * (-len(letters) % 4))
+
+
+def _inflated(data: bytes, most: int) -> bytes:
     for _ in range(8):  # compressed within compressed
         inner = _inflate(data, most)
         if inner is None or inner == data:
             break
         data = inner
-    return _plain(data)
+    return data
+
+
+def _mostly(data: bytes) -> str | None:
+    """Text, if the bytes begin with some and at least half of them are."""
+    if (text := _plain(data)) is not None:
+        return text
+    if not (TEXT.match(data) and ENOUGH.search(data)) or 2 * sum(len(m[0]) for m in TEXT.finditer(data)) < len(data):
+        return None
+    return data.decode("utf-8", "replace")
+
+
+def _unwrap64(run: str, most: int) -> list[tuple[str, int, int, bool]]:
+    """What a run holds: texts with the letters they come from, and whether
+    they were compressed.  If the run is not text from its start, the four
+    ways to begin are tried."""
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    data = _bytes64(body)
+    inner = _inflated(data, most)
+    if (text := _mostly(inner)) is not None:
+        return [(text, 0, len(run), inner is not data)]
+    found = []
+    for skip in range(4):
+        data = _bytes64(body[skip:])
+        for m in TEXT.finditer(data) if ENOUGH.search(data) else ():
+            if ENOUGH.search(m[0]):
+                found.append((m[0].decode(), skip + m.start() * 4 // 3, min(len(run), skip - (-m.end() * 4 // 3)), False))
+        for m in PACKED.finditer(data):
+            inner = _inflated(data[m.start() :], most)
+            if ENOUGH.search(inner) and (text := _mostly(inner)) is not None:
+                found.append((text, skip + m.start() * 4 // 3, len(run), True))
+    return found
+
+
+def _lines(m: re.Match, most: int) -> Iterator[tuple[str, Place]]:
+    """What a run over several lines holds, mapped to the lines it is on."""
+    parts = [(p.start(), p.end()) for p in re.finditer(r"[^\r\n]+", m[0])]
+    starts = [0]
+    for a, b in parts:
+        starts.append(starts[-1] + b - a)
+    if starts[-1] < 19:
+        return
+
+    def on(a: int, b: int) -> tuple[int, int]:
+        first, last = bisect_right(starts, a) - 1, bisect_right(starts, max(a, b - 1)) - 1
+        return m.start() + parts[min(first, len(parts) - 1)][0], m.start() + parts[min(last, len(parts) - 1)][1]
+
+    for inner, a, b, packed in _unwrap64("".join(m[0][x:y] for x, y in parts), most):
+        if packed:
+            yield inner, lambda *_, a=a, b=b: on(a, b)
+        else:
+            at = lambda x, inner=inner, a=a: a + len(inner[:x].encode()) * 4 // 3
+            yield inner, lambda x, y, at=at: on(at(x), at(y) + 1)
 
 
 def _layers(text: str, most: int) -> Iterator[tuple[str, Place]]:
@@ -157,12 +218,14 @@ def _layers(text: str, most: int) -> Iterator[tuple[str, Place]]:
         yield out
     if "\\" in text and (out := _unescaped(text, UNICODE, _unicode)):
         yield out
-    known: dict[str, str | None] = {}
+    known: dict[str, list[tuple[str, int, int, bool]]] = {}
     for m in BASE64.finditer(text):
         if m[0] not in known:
             known[m[0]] = _unwrap64(m[0], most)
-        if (inner := known[m[0]]) is not None:
-            yield inner, lambda *_, span=m.span(): span
+        for inner, a, b, _ in known[m[0]]:
+            yield inner, lambda *_, span=(m.start() + a, m.start() + b): span
+    for m in LINES.finditer(text) if "\n" in text else ():
+        yield from _lines(m, most)
 
 
 def _original(place: Chain, a: int, b: int) -> tuple[int, int]:
