@@ -17,6 +17,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def pieces_path() -> str:
+    """The public model file that the SentencePiece query encodes with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _count(values: Column, field: str, value: str) -> Column:
     """How many structs of an array have a value in a field."""
     return F.size(F.filter(values, lambda v: v[field] == value)).cast("long")
@@ -133,6 +140,19 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids and decoded text of every document, as digests."""
+    from tierline.llm.pieces import encode_pieces
+
+    out = encode_pieces(read_table(spark, sf_dir, "documents"), pieces_path())
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_secrets": op2_secrets,
@@ -144,4 +164,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
     "op10_urls": op10_urls,
+    "op13_pieces": op13_pieces,
 }
