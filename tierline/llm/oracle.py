@@ -57,4 +57,63 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM c
 """
 
-ORACLE = {"op5_decontaminate": OP5, "op7_warc": OP7}
+# crc32 bit by bit; the trees level by level, and a leaf's run on each level
+# from its place; the fold along the runs' other nodes.
+OP12 = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: xor(x >> 1, 3988292384 * (x & 1))), 4294967295), 4294967295) % 3 = 0 AS chosen
+  FROM documents),
+v AS (
+  SELECT doc_id, lang, chosen,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low
+  FROM d),
+l AS (
+  SELECT doc_id, lang, sha256(head || tail) AS leaf, CASE WHEN chosen THEN sha256(head || low) END AS tampered FROM v),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n FROM l),
+tree AS (
+  SELECT lang, 0 AS lvl, idx, leaf AS node, n FROM leaves
+  UNION ALL
+  SELECT lang, lvl + 1, idx // 8, sha256(string_agg(node, '' ORDER BY idx)), (n + 7) // 8
+  FROM tree WHERE n > 1 GROUP BY lang, lvl, idx // 8, n),
+subs AS (
+  SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, idx, subroot AS node, n FROM subs
+  UNION ALL
+  SELECT lvl + 1, idx // 8, sha256(string_agg(node, '' ORDER BY idx)), (n + 7) // 8
+  FROM top WHERE n > 1 GROUP BY lvl, idx // 8, n),
+runs AS (
+  SELECT lang, lvl, idx // 8 AS run, list(node ORDER BY idx) AS nodes FROM tree WHERE n > 1 GROUP BY lang, lvl, idx // 8),
+top_runs AS (SELECT lvl, idx // 8 AS run, list(node ORDER BY idx) AS nodes FROM top WHERE n > 1 GROUP BY lvl, idx // 8),
+steps AS (
+  SELECT e.lang, e.idx, r.lvl, r.nodes, CAST((e.idx // CAST(pow(8, r.lvl) AS BIGINT)) % 8 AS INT) AS pos
+  FROM leaves e JOIN runs r ON r.lang IS NOT DISTINCT FROM e.lang AND r.run = e.idx // CAST(pow(8, r.lvl + 1) AS BIGINT)
+  UNION ALL
+  SELECT e.lang, e.idx, 1000 + r.lvl, r.nodes, CAST((s.idx // CAST(pow(8, r.lvl) AS BIGINT)) % 8 AS INT)
+  FROM leaves e JOIN subs s ON s.lang IS NOT DISTINCT FROM e.lang
+  JOIN top_runs r ON r.run = s.idx // CAST(pow(8, r.lvl + 1) AS BIGINT)),
+paths AS (
+  SELECT lang, idx, list([array_to_string(nodes[1:pos], ''), array_to_string(nodes[pos + 2:], '')] ORDER BY lvl) AS path
+  FROM steps GROUP BY lang, idx),
+f AS (
+  SELECT e.doc_id, e.leaf, s.subroot, (SELECT node FROM top WHERE n = 1) AS root,
+    sha256(array_to_string(flatten(coalesce(p.path, [])), '')) AS proof_sha256,
+    list_reduce(list_transform(coalesce(p.path, []), lambda x: x[1] || '-' || x[2]),
+      lambda acc, x: sha256(split_part(x, '-', 1) || acc || split_part(x, '-', 2)),
+      coalesce(e.tampered, e.leaf)) AS folded_root
+  FROM leaves e JOIN subs s ON s.lang IS NOT DISTINCT FROM e.lang
+  LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM e.lang AND p.idx = e.idx)
+SELECT *, folded_root = root AS verified FROM f
+"""
+
+ORACLE = {"op5_decontaminate": OP5, "op7_warc": OP7, "op12_merkle": OP12}

@@ -140,6 +140,22 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of the documents, checked against tampered rows."""
+    from tierline.llm.merkle import document_manifest, fold, siblings
+
+    out = document_manifest(read_table(spark, sf_dir, "documents"))
+    folded = fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return out.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids and decoded text of every document, as digests."""
     from tierline.llm.pieces import encode_pieces
@@ -164,5 +180,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
     "op10_urls": op10_urls,
+    "op12_merkle": op12_merkle,
     "op13_pieces": op13_pieces,
 }
