@@ -57,6 +57,40 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM c
 """
 
+# Per round: nearest entries (distance and number in one integer, so that ties
+# go to the lower number), then floored means of the parts of an entry.
+def _op11() -> str:
+    def nearest(k: int) -> str:
+        return f"""
+a{k} AS (
+  SELECT rn, p, any_value(x) AS x, min(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) * 64 + e) AS m
+  FROM parts JOIN b{k} USING (p) GROUP BY rn, p),"""
+
+    def means(k: int) -> str:
+        return f"""
+s{k} AS (
+  SELECT p, e, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT p, m % 64 AS e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS v FROM a{k - 1}) GROUP BY p, e, i),
+m{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{k} GROUP BY p, e),
+b{k} AS (SELECT p, e, coalesce(m{k}.c, b{k - 1}.c) AS c FROM b{k - 1} LEFT JOIN m{k} USING (p, e)),"""
+
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+r AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rn, len(v) // 16 AS w FROM k),
+parts AS (SELECT rn, p, v[p * w + 1 : (p + 1) * w] AS x FROM r, range(16) AS t(p)),
+b0 AS (SELECT p, rn - 1 AS e, x AS c FROM parts WHERE rn <= 64),{nearest(0)}{means(1)}{nearest(1)}{means(2)}{nearest(2)}
+coded AS (
+  SELECT rn, string_agg(lower(printf('%02x', m % 64)), '' ORDER BY p) AS code, CAST(sum(m // 64) AS BIGINT) AS error
+  FROM a2 GROUP BY rn),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM r JOIN coded USING (rn), book
+"""
+
+
 # crc32 bit by bit; the trees level by level, and a leaf's run on each level
 # from its place; the fold along the runs' other nodes.
 OP12 = """
@@ -116,4 +150,4 @@ f AS (
 SELECT *, folded_root = root AS verified FROM f
 """
 
-ORACLE = {"op5_decontaminate": OP5, "op7_warc": OP7, "op12_merkle": OP12}
+ORACLE = {"op5_decontaminate": OP5, "op7_warc": OP7, "op11_codes": _op11(), "op12_merkle": OP12}

@@ -140,6 +140,20 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry numbers, errors and codebooks of the compressed embeddings."""
+    from tierline.llm.codes import compress, with_label_error
+
+    out = compress(read_table(spark, sf_dir, "embeddings"))
+    return with_label_error(out.rows).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(out.books_sha256()).alias("codebooks_sha256"),
+    )
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of the documents, checked against tampered rows."""
     from tierline.llm.merkle import document_manifest, fold, siblings
@@ -180,6 +194,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
     "op10_urls": op10_urls,
+    "op11_codes": op11_codes,
     "op12_merkle": op12_merkle,
     "op13_pieces": op13_pieces,
 }
