@@ -1,0 +1,308 @@
+"""Tables that change in one step: replace, load ledger, keyed upsert."""
+
+from __future__ import annotations
+
+import os
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tierline.operators.clean import dedupe
+from tierline.sources import (
+    ConflictError,
+    expire,
+    load_new,
+    materialize,
+    read_current,
+    read_ledger,
+    read_loaded,
+    read_merged,
+    replace_parquet,
+    upsert,
+)
+from tierline.sources.versions import last_number, load_path, new_load, publish, versions
+
+
+def numbers(spark, lo, hi, value):
+    return spark.range(lo, hi, numPartitions=4).withColumn("v", F.lit(value))
+
+
+def breaking(df):
+    """``df``, but the last task fails after the others have written."""
+    slow = F.when(F.col("id") == 39, F.raise_error(F.lit("lost"))).otherwise(F.lit("new"))
+    return df.withColumn("v", slow)
+
+
+# Replace ---------------------------------------------------------------------
+
+
+def test_replace_reads_its_own_table(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        read_current(spark, tmp_dir)
+    assert replace_parquet(numbers(spark, 0, 10, "a"), tmp_dir) == 1
+    grown = read_current(spark, tmp_dir).unionByName(numbers(spark, 10, 12, "b"))
+    assert replace_parquet(grown, tmp_dir) == 2
+    assert read_current(spark, tmp_dir).count() == 12
+    assert read_current(spark, tmp_dir, 1).count() == 10
+
+
+def test_replace_changes_columns_and_partitions(spark, tmp_dir):
+    replace_parquet(numbers(spark, 0, 10, "a"), tmp_dir)
+    replace_parquet(spark.range(4).withColumn("p", F.col("id") % 2), tmp_dir, partition_by=["p"])
+    assert rows(read_current(spark, tmp_dir).select("id", "p")) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+
+
+def test_failed_run_leaves_the_old_rows(spark, tmp_dir):
+    replace_parquet(numbers(spark, 0, 40, "old"), tmp_dir)
+    with pytest.raises(Exception, match="lost"):
+        replace_parquet(breaking(numbers(spark, 0, 40, "x")), tmp_dir)
+    assert [n for n, _ in versions(spark, tmp_dir)] == [1]
+    assert {r.v for r in read_current(spark, tmp_dir).collect()} == {"old"}
+    # What it left is removed once it is old, never before.
+    assert len(os.listdir(f"{tmp_dir}/data")) == 2 and expire(spark, tmp_dir) == []
+    time.sleep(0.01)
+    assert len(expire(spark, tmp_dir, orphan_seconds=0)) == 1
+    assert read_current(spark, tmp_dir).count() == 40
+
+
+def test_killed_between_write_and_publish(spark, tmp_dir):
+    replace_parquet(numbers(spark, 0, 10, "old"), tmp_dir)
+    numbers(spark, 0, 10, "new").write.parquet(load_path(tmp_dir, new_load()))  # and nothing more
+    assert {r.v for r in read_current(spark, tmp_dir).collect()} == {"old"}
+    replace_parquet(numbers(spark, 0, 10, "newer"), tmp_dir)
+    assert {r.v for r in read_current(spark, tmp_dir).collect()} == {"newer"}
+
+
+def test_killed_between_claim_and_publish(spark, tmp_dir):
+    replace_parquet(numbers(spark, 0, 10, "a"), tmp_dir)
+    open(f"{tmp_dir}/_claims/{2:012d}", "w").close()
+    assert read_current(spark, tmp_dir).count() == 10
+    assert replace_parquet(numbers(spark, 0, 5, "b"), tmp_dir) == 3
+    assert read_current(spark, tmp_dir).count() == 5
+
+
+def test_reader_keeps_the_version_it_resolved(spark, tmp_dir):
+    replace_parquet(numbers(spark, 0, 10, "first"), tmp_dir)
+    reader = read_current(spark, tmp_dir)
+    replace_parquet(numbers(spark, 0, 20, "second"), tmp_dir)
+    assert reader.count() == 10 and {r.v for r in reader.collect()} == {"first"}
+    replace_parquet(numbers(spark, 0, 30, "third"), tmp_dir)
+    assert [n for n, _ in versions(spark, tmp_dir)] == [2, 3]  # two are kept
+
+
+def test_readers_see_whole_versions_while_others_publish(spark, tmp_dir):
+    replace_parquet(numbers(spark, 0, 100, "0"), tmp_dir)
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append([tuple(r) for r in read_current(spark, tmp_dir).groupBy("v").count().collect()])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 5):
+        replace_parquet(numbers(spark, 0, 100, str(k)), tmp_dir, keep=10)
+    stop.set()
+    reader.join()
+    assert len(seen) > 1 and all(len(s) == 1 and s[0][1] == 100 for s in seen)
+
+
+def test_writers_never_share_a_number(spark, tmp_dir):
+    numbers(spark, 0, 1, "a").write.parquet(load_path(tmp_dir, "va"))
+    numbers(spark, 0, 1, "b").write.parquet(load_path(tmp_dir, "vb"))
+    assert publish(spark, tmp_dir, "va", after=0) == 1
+    with pytest.raises(ConflictError):
+        publish(spark, tmp_dir, "vb", after=0)
+    assert publish(spark, tmp_dir, "vb") == 2 and last_number(spark, tmp_dir) == 2
+
+
+def test_expire_keeps_the_newest(spark, tmp_dir):
+    for k in range(3):
+        replace_parquet(numbers(spark, 0, k + 1, "a"), tmp_dir, keep=5)
+    with pytest.raises(ValueError):
+        expire(spark, tmp_dir, 0)
+    assert len(expire(spark, tmp_dir, 1)) == 2
+    assert read_current(spark, tmp_dir).count() == 3
+    with pytest.raises(FileNotFoundError, match="no version 1"):
+        read_current(spark, tmp_dir, 1)
+
+
+def test_table_is_replaced_in_place(spark, tmp_dir):
+    name = "tl_versioned"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    materialize(numbers(spark, 0, 40, "old"), name, "table", tmp_dir)
+    old = spark.table(name)
+    with pytest.raises(Exception, match="lost"):
+        materialize(breaking(numbers(spark, 0, 40, "x")), name, "table", tmp_dir)
+    assert {r.v for r in spark.table(name).collect()} == {"old"}
+    # a table made from itself
+    materialize(spark.table(name).withColumn("v", F.concat("v", F.lit("er"))), name, "table", tmp_dir)
+    assert {r.v for r in spark.table(name).collect()} == {"older"}
+    assert {r.v for r in old.collect()} <= {"old", "older"}
+    # other columns, and the default folder
+    materialize(spark.range(3), name, "table")
+    assert spark.table(name).columns == ["id"] and spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
+
+
+# Load ledger -----------------------------------------------------------------
+
+
+def land(spark, folder, lo, hi, **columns):
+    df = spark.range(lo, hi, numPartitions=1)
+    df.withColumns({k: F.lit(v) for k, v in columns.items()}).write.mode("overwrite").parquet(folder)
+
+
+def test_second_load_adds_nothing_and_force_a_copy(spark, tmp_dir):
+    stage, root = f"{tmp_dir}/stage", f"{tmp_dir}/table"
+    land(spark, f"{stage}/a", 0, 10)
+    land(spark, f"{stage}/b", 10, 15, extra="x")
+    assert load_new(spark, stage, root).files == 2
+    assert load_new(spark, stage, root) == ([], 0)
+    assert read_loaded(spark, root).count() == 15
+    land(spark, f"{stage}/c", 15, 17)
+    assert load_new(spark, stage, root).files == 1
+    assert sorted(r.id for r in read_loaded(spark, root).collect()) == list(range(17))
+    assert load_new(spark, stage, root, force=True).files == 3
+    assert read_loaded(spark, root).count() == 34
+    assert sorted(r.id for r in read_loaded(spark, root, latest=True).collect()) == list(range(17))
+    noted = read_ledger(spark, root)
+    assert noted.count() == 6 and noted.where("forced").count() == 3
+    assert set(read_loaded(spark, root).columns) == {"id", "extra", "source_file", "load_number"}
+
+
+def test_changed_file_is_loaded_again(spark, tmp_dir):
+    stage, root = f"{tmp_dir}/stage", f"{tmp_dir}/table"
+    land(spark, f"{stage}/a", 0, 10)
+    land(spark, f"{stage}/b", 10, 15)
+    load_new(spark, stage, root)
+    name = next(f for f in os.listdir(f"{stage}/a") if f.startswith("part-"))
+    land(spark, f"{tmp_dir}/other", 100, 103)
+    other = next(f for f in os.listdir(f"{tmp_dir}/other") if f.startswith("part-"))
+    os.remove(f"{stage}/a/.{name}.crc")
+    os.replace(f"{tmp_dir}/other/{other}", f"{stage}/a/{name}")  # same path, other content
+    assert load_new(spark, stage, root).files == 1
+    assert sorted(r.id for r in read_loaded(spark, root, latest=True).collect()) == [*range(10, 15), 100, 101, 102]
+    assert read_loaded(spark, root).count() == 18
+
+
+def test_digest_tells_touched_from_changed(spark, tmp_dir):
+    stage, root = f"{tmp_dir}/stage", f"{tmp_dir}/table"
+    land(spark, f"{stage}/a", 0, 10)
+    assert load_new(spark, stage, root, digest=True).files == 1
+    name = next(f for f in os.listdir(f"{stage}/a") if f.startswith("part-"))
+    os.utime(f"{stage}/a/{name}", (1, 1))
+    assert load_new(spark, stage, root, digest=True).files == 0
+    assert load_new(spark, stage, root).files == 1  # without it a new time counts
+
+
+def test_batches_of_files(spark, tmp_dir):
+    stage, root = f"{tmp_dir}/stage", f"{tmp_dir}/table"
+    for k in range(5):
+        land(spark, f"{stage}/f{k}", 10 * k, 10 * k + 3)
+    done = load_new(spark, stage, root, files_per_load=2)
+    assert len(done.loads) == 3 and done.files == 5
+    assert len(load_new(spark, stage, root, force=True, files_per_load=2).loads) == 3
+    assert read_loaded(spark, root).count() == 30
+
+
+def test_failed_load_publishes_nothing(spark, tmp_dir):
+    stage, root = f"{tmp_dir}/stage", f"{tmp_dir}/table"
+    land(spark, f"{stage}/a", 0, 10)
+    load_new(spark, stage, root)
+    land(spark, f"{stage}/b", 10, 20)
+    with open(f"{stage}/part-bad.parquet", "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception):
+        load_new(spark, stage, root)
+    assert read_loaded(spark, root).count() == 10 and read_ledger(spark, root).count() == 1
+    os.remove(f"{stage}/part-bad.parquet")
+    assert load_new(spark, stage, root).files == 1
+    assert read_loaded(spark, root).count() == 20
+
+
+def test_empty_stage(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/stage")
+    assert load_new(spark, f"{tmp_dir}/stage", f"{tmp_dir}/table") == ([], 0)
+    assert read_ledger(spark, f"{tmp_dir}/table").count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_loaded(spark, f"{tmp_dir}/table")
+
+
+# Upsert ----------------------------------------------------------------------
+
+READINGS = "place long, hour int, day string, file string, value double"
+
+
+def readings(spark, data):
+    return spark.createDataFrame(data, READINGS)
+
+
+def batches():
+    a = [(p, h, f"2024-01-0{1 + h // 24}", "f1", p + h / 10) for p in range(4) for h in range(72)]
+    b = [(p, h, f"2024-01-0{1 + h // 24}", "f0", -1.0) for p in range(2) for h in range(24, 30)]  # an earlier file: wins
+    c = [(9, 80, "2024-01-04", "f3", 7.0), (1, 25, "2024-01-02", "f2", 99.0), (1, None, None, "f2", 5.0)]
+    return a, b, c
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 0, 2)])
+def test_upserts_equal_a_rebuild(spark, tmp_dir, order):
+    parts = batches()
+    for k in order:
+        upsert(readings(spark, parts[k]), tmp_dir, ["place", "hour"], "day", ["file"])
+    got = read_merged(spark, tmp_dir, readings(spark, []).schema)
+    whole = dedupe(readings(spark, [r for p in parts for r in p]), ["place", "hour"], ["file"])
+    assert rows(got) == rows(whole)
+
+
+def test_only_touched_partitions_are_written(spark, tmp_dir):
+    a, b, c = batches()
+    first = upsert(readings(spark, a), tmp_dir, ["place", "hour"], "day", ["file"])
+    assert len(first.partitions) == 3 and first.untouched == 0
+    second = upsert(readings(spark, b), tmp_dir, ["place", "hour"], "day", ["file"])
+    assert second.partitions == ["day=2024-01-02"] and second.untouched == 2
+    load = dict(versions(spark, tmp_dir))[second.version]
+    written = spark.read.parquet(load_path(tmp_dir, load))
+    assert written.count() == 96 and {r.day for r in written.select(F.col("day").cast("string")).collect()} == {"2024-01-02"}
+    third = upsert(readings(spark, c), tmp_dir, ["place", "hour"], "day", ["file"])
+    assert len(third.partitions) == 3 and third.untouched == 2
+    # the version before is still there
+    before = read_merged(spark, tmp_dir, readings(spark, []).schema, second.version)
+    assert before.count() == 288 and before.where("value = -1").count() == 12
+
+
+def test_empty_batch_and_empty_table(spark, tmp_dir):
+    empty = readings(spark, [])
+    assert upsert(empty, tmp_dir, ["place", "hour"], "day", ["file"]).partitions == []
+    assert read_merged(spark, tmp_dir, empty.schema).count() == 0
+
+
+def test_failed_upsert_changes_nothing(spark, tmp_dir):
+    a, b, _ = batches()
+    upsert(readings(spark, a), tmp_dir, ["place", "hour"], "day", ["file"])
+    with pytest.raises(Exception, match="no_such"):
+        upsert(readings(spark, b), tmp_dir, ["place", "no_such"], "day", ["file"])
+    assert read_merged(spark, tmp_dir, readings(spark, []).schema).count() == 288
+    assert len(os.listdir(f"{tmp_dir}/data")) == 1
+
+
+def test_upsert_on_a_stale_base_is_refused(spark, tmp_dir, monkeypatch):
+    from tierline.sources import merge
+
+    a, b, c = batches()
+    upsert(readings(spark, a), tmp_dir, ["place", "hour"], "day", ["file"])
+    real = merge.write_parquet
+
+    def write_while_another_publishes(*args, **kwargs):
+        monkeypatch.setattr(merge, "write_parquet", real)
+        upsert(readings(spark, b), tmp_dir, ["place", "hour"], "day", ["file"])
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(merge, "write_parquet", write_while_another_publishes)
+    with pytest.raises(ConflictError):
+        upsert(readings(spark, c), tmp_dir, ["place", "hour"], "day", ["file"])
+    got = read_merged(spark, tmp_dir, readings(spark, []).schema)
+    assert got.count() == 288 and got.where("value = -1").count() == 12

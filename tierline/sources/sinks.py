@@ -113,18 +113,40 @@ def materialize(
     """Give ``df`` a name in the catalog and return it re-read by that name.
 
     * ``view``: a temp view (lazy, recomputed by each reader).
-    * ``table``: ``CREATE OR REPLACE TABLE ... AS SELECT`` semantics through
-      ``saveAsTable`` in overwrite mode (at ``path`` if given, else in the
-      warehouse folder).  Cuts lineage: readers start from the files.
+    * ``table``: a replace in one step.  The rows go to a fresh version below
+      ``path`` (else a folder of that name in the warehouse folder), and the
+      name is then pointed at it: until then, and if the write fails, readers
+      get the old rows.  ``df`` may read the table that it replaces.  Cuts
+      lineage: readers start from the files.
     """
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        writer = df.write.mode("overwrite").format("parquet")
-        if path:
-            writer = writer.option("path", path)
-        writer.saveAsTable(name)
+        _point_table(df, name, path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.versions")
     else:
         raise ValueError(f"unknown kind {kind!r}")
     return spark.table(name)
+
+
+def _point_table(df: DataFrame, name: str, root: str) -> None:
+    from tierline.sources.versions import current_path, expire, replace_parquet  # which writes with this module
+
+    spark = df.sparkSession
+    replace_parquet(df, root, keep=1_000_000)
+    here = current_path(spark, root)
+    written = spark.read.parquet(here)
+    old = spark.table(name).schema if spark.catalog.tableExists(name) else None
+    if old is not None and old.simpleString() == written.schema.simpleString() and _is_external(spark, name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{here}'")  # one step in the catalog
+    else:
+        # Other columns: the name is gone for a moment, the rows of external
+        # tables are not.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=here, source="parquet")
+    spark.catalog.refreshTable(name)
+    expire(spark, root)
+
+
+def _is_external(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.getTable(name).tableType == "EXTERNAL"
