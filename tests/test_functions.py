@@ -114,6 +114,27 @@ def test_rounded_sum_of_values_without_an_exact_form(spark):
     assert tuple(inf) == (math.inf, math.inf)
 
 
+def test_rounded_sum_keeps_small_digits(spark):
+    tiny = spark.range(1_000_000).select(F.lit(1e-6 / 3).alias("x"))
+    assert tiny.agg(rounded_sum("x")).first()[0] == 0.33
+    below = spark.range(2_000_000).select(F.lit(1e-9).alias("x"))  # nothing of it in 8 places
+    assert below.agg(rounded_sum("x", 3)).first()[0] == 0.002
+
+
+def test_rounded_sum_against_decimals(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rng = random.Random(7)
+    cent = Decimal("0.01")
+    for reach in (1, 1e3, 1e6, 8.9e7, 1e8, 8.9e9):
+        values = [float(f"{rng.uniform(-reach, reach):.{rng.choice([0, 1, 2, 2, 3] if reach < 9e7 else [0, 1, 2])}f}") for _ in range(300)]
+        got = _one_col(spark, values, "double").agg(rounded_sum("x"), rounded_avg("x")).first()
+        total = sum(Decimal(repr(v)) for v in values)
+        assert got[0] == float(total.quantize(cent, ROUND_HALF_UP))
+        assert got[1] == float((total / len(values)).quantize(cent, ROUND_HALF_UP))
+
+
 TEMP_BOUNDS = [5, 15, 25, 35]
 TEMP_LABELS = ["Very Cold", "Cold", "Moderate", "Warm", "Very Hot"]
 

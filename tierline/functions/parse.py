@@ -9,6 +9,7 @@ under ANSI mode.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -110,32 +111,63 @@ def parse_event_time(c: ColumnOrName, fmt: str = EVENT_TIME_FORMAT) -> Column:
     return F.try_to_timestamp(_col(c).cast("string"), F.lit(fmt)).cast("timestamp_ntz")
 
 
-# Values are added up as decimals with 8 places (below 1e18 in size), which
-# makes sums exact whatever the order.
-EXACT_TYPE = "decimal(26,8)"
+# A double is taken apart before it is added up: its integer part, its
+# fraction in units of 1e-8 (both 64-bit integers, so their sums are exact
+# whatever the order), and what is left (below 5e-9).  Values of 9e7 and up
+# have 2 places in doubles that matter, so their units are hundredths; values
+# of 9e9 and up, NaN and infinite ones are left whole.
+PLACES = 8
+UNITS = 10**PLACES
+FINE_BELOW = 9e7
+COARSE_BELOW = 9e9
 
 
-def _exact(c: ColumnOrName) -> tuple[Column, Column, Column]:
-    """(double value, its exact sum, whether some value has no exact form)."""
+def exact_parts(c: ColumnOrName) -> dict[str, Column]:
+    """``whole, frac, rest`` of a value; add each up and hand the sums to
+    :func:`exact_total`.  The parts of several sets of rows can be added up in
+    any grouping and order."""
     x = _col(c).cast("double")
-    d = x.try_cast(EXACT_TYPE)
-    return x, F.try_sum(d), F.count_if(x.isNotNull() & d.isNull()) > 0
+    size, whole = F.abs(x), F.floor(x)
+    fine, coarse = F.floor(x * float(UNITS) + 0.5), F.floor(x * 100.0 + 0.5)
+    return {
+        "whole": F.when(size < COARSE_BELOW, whole),
+        "frac": F.when(size < FINE_BELOW, fine - whole * UNITS).when(
+            size < COARSE_BELOW, (coarse - whole * 100) * (UNITS // 100)
+        ),
+        "rest": F.when(size < FINE_BELOW, x - fine / float(UNITS))
+        .when(size < COARSE_BELOW, x - coarse / 100.0)
+        .otherwise(x),
+    }
+
+
+def exact_total(whole: Column, frac: Column, rest: Column, scale: int, count: Column | None = None) -> Column:
+    """The rounded total (or, with ``count``, average) of summed parts.  What
+    is left is rounded to 8 places before it is added, so that noise in the
+    last bits of values does not tip a rounding; where it has no exact form
+    (NaN, infinite, 1e18 and up) the result is a rounded double."""
+    zero = F.lit(0).cast("long")
+    exact = F.coalesce(whole, zero).cast("decimal(20,0)") + F.coalesce(frac, zero).cast("decimal(20,0)") * F.lit(
+        Decimal(1).scaleb(-PLACES)
+    )
+    exact = exact.cast(f"decimal(30,{PLACES})")
+    left = F.round(rest, PLACES).try_cast(f"decimal(28,{PLACES})")
+    total, loose = exact + left, exact.cast("double") + rest
+    if count is not None:
+        total, loose = F.try_divide(total, count), F.try_divide(loose, count)
+    return F.when(left.isNull(), F.round(loose, scale)).otherwise(F.round(total, scale).cast("double"))
 
 
 def rounded_sum(c: ColumnOrName, scale: int = 2) -> Column:
     """Aggregate: the sum of doubles, added up exactly and rounded once.
 
     Sums of doubles differ in the last bits with summation order, and the
-    order changes with partitioning and with task retries; an exact sum does
-    not.  NaN, infinite and huge values (1e18 and up) have no exact form: a
-    group that holds one gets the rounded double sum.
+    order changes with partitioning and with task retries; a sum of exact
+    parts does not.  A group with NaN, infinite or huge values gets the
+    rounded double sum.  A sum of integer parts beyond 64 bits raises (ANSI).
     """
-    x, total, inexact = _exact(c)
-    return F.when(inexact, F.round(F.sum(x), scale)).otherwise(F.round(total, scale).cast("double"))
+    return exact_total(*[F.sum(p) for p in exact_parts(c).values()], scale)
 
 
 def rounded_avg(c: ColumnOrName, scale: int = 2) -> Column:
     """Aggregate: like :func:`rounded_sum`, for the average."""
-    x, total, inexact = _exact(c)
-    exact = F.round(F.try_divide(total, F.count(x)), scale).cast("double")
-    return F.when(inexact, F.round(F.avg(x), scale)).otherwise(exact)
+    return exact_total(*[F.sum(p) for p in exact_parts(c).values()], scale, F.count(_col(c)))

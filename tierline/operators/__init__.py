@@ -5,6 +5,7 @@ from tierline.operators.audit import (
     ingest_ledger,
     ledger_summary,
     reconcile,
+    reconcile_content,
     stage_report,
 )
 from tierline.operators.clean import (
@@ -68,6 +69,7 @@ __all__ = [
     "range_report",
     "range_violations",
     "reconcile",
+    "reconcile_content",
     "require_columns",
     "run_tests",
     "salted_join",

@@ -146,6 +146,100 @@ def reconcile(
     return wide.select(F.inline(F.array(*rows)))
 
 
+#: Digest buckets of a content check.
+BUCKETS = 4096
+
+
+def _hash(columns: Sequence[str]) -> Column:
+    """64 bits of a row.  The places of NULLs are hashed as well, as the hash
+    function passes over them."""
+    cols = [F.col(f"`{c}`") for c in columns]
+    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+
+
+def _halves(h: Column, name: str, sign: Column) -> list[Column]:
+    """Signed sums of both halves of 64-bit hashes: they add up whatever the
+    order, repeats count, and they don't overflow below 2 ** 31 rows a group."""
+    low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)
+    return [F.sum(sign * low).alias(f"{name}_low"), F.sum(sign * high).alias(f"{name}_high")]
+
+
+def reconcile_content(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Keys whose rows differ between two tables that should hold the same:
+    ``*keys, left_rows, right_rows, columns, status``.
+
+    ``columns`` (default: all of ``left`` but the keys) are compared, ``columns``
+    of the result names those that differ; ``status`` is ``only_left``,
+    ``only_right`` or ``differs``.  Equal tables give no rows.  Rows of a key
+    are compared as a multiset; NULL keys are a key.  For rows that differ
+    only in how values of several rows of a key are combined, ``columns`` is
+    empty.
+
+    First both tables are reduced to one digest per key bucket (a shuffle of
+    at most ``buckets`` narrow rows per task).  Only rows of buckets that
+    differ, of which there are ``buckets`` at most, go on to a grouping by
+    key, as hashes; nothing is joined.  Two contents of a bucket or key with
+    equal 64-bit digest sums count as equal.
+    """
+    keys = list(keys)
+    columns = [c for c in left.columns if c not in keys] if columns is None else list(columns)
+    named = {f"__k{i}": F.col(f"`{k}`") for i, k in enumerate(keys)}
+    bucket = F.pmod(F.xxhash64(*named.values(), *[c.isNull() for c in named.values()]), F.lit(buckets))
+
+    def hashed(df: DataFrame, sign: int) -> DataFrame:
+        parts = {f"__c{i}": _hash([c]) for i, c in enumerate(columns)}
+        return df.select(
+            *[c.alias(n) for n, c in named.items()],
+            bucket.alias("__bucket"),
+            F.lit(sign).cast("long").alias("__sign"),
+            _hash([*keys, *columns]).alias("__row"),
+            *[h.alias(n) for n, h in parts.items()],
+        )
+
+    sides = [hashed(left, 1), hashed(right, -1)]
+    sign = F.col("__sign")
+    both = sides[0].unionByName(sides[1])
+    whole = [F.sum("__sign").alias("rows_diff"), *_halves(F.col("__row"), "row", sign)]
+    differs = (F.col("rows_diff") != 0) | (F.col("row_low") != 0) | (F.col("row_high") != 0)
+    digests = both.groupBy("__bucket").agg(*whole).where(differs).select("__bucket")
+    # Bounded by the number of buckets.
+    suspects = both.join(F.broadcast(digests), "__bucket", "left_semi")
+    per_column = [col for i in range(len(columns)) for col in _halves(F.col(f"__c{i}"), f"c{i}", sign)]
+    per_key = (
+        suspects.groupBy(*named)
+        .agg(
+            F.count_if(sign == 1).alias("left_rows"),
+            F.count_if(sign == -1).alias("right_rows"),
+            *whole,
+            *per_column,
+        )
+        .where(differs)
+    )
+    changed = F.array_compact(
+        F.array(
+            *[
+                F.when((F.col(f"c{i}_low") != 0) | (F.col(f"c{i}_high") != 0), F.lit(c))
+                for i, c in enumerate(columns)
+            ],
+            F.lit(None).cast("string"),
+        )
+    )
+    status = F.when(F.col("right_rows") == 0, "only_left").when(F.col("left_rows") == 0, "only_right").otherwise("differs")
+    return per_key.select(
+        *[F.col(n).alias(k) for n, k in zip(named, keys, strict=True)],
+        "left_rows",
+        "right_rows",
+        changed.alias("columns"),
+        status.alias("status"),
+    )
+
+
 def ingest_ledger(
     expected: DataFrame,
     landed: DataFrame,

@@ -50,6 +50,7 @@ from tierline.operators.quality import (
 )
 from tierline.operators.summarize import count_by, key_profile
 from tierline.plans import weather as W
+from tierline.plans.testdata_layers import QUERIES as LAYER_QUERIES
 from tierline.plans.warehouse import (
     HOURLY_COLUMNS,
     MART_WEATHER_COLUMNS,
@@ -876,3 +877,6 @@ QUERIES: dict[str, QueryFn] = {
     "load_stage_files": q_load_stage_files,
     "materialized_models": q_materialized_models,
 }
+
+# Tables that change over time, checked reads and content checks.
+QUERIES |= LAYER_QUERIES

@@ -7,6 +7,7 @@ expression lists); the operator semantics are spelled out here by hand.
 
 from __future__ import annotations
 
+from tierline.plans.testdata_layers import ORACLE as LAYER_ORACLE
 from tierline.plans.testdata import (
     CUSTOMER_CSV,
     CUSTOMER_MESSY,
@@ -725,3 +726,5 @@ ORACLE: dict[str, str] = {
     "load_stage_files": LOAD_STAGE_FILES,
     "materialized_models": MATERIALIZED_MODELS,
 }
+# The summary of all hours at once is what the batches must add up to.
+ORACLE |= LAYER_ORACLE | {"summary_incremental": ENTITY_SUMMARY}

@@ -25,6 +25,7 @@ from tierline.operators.audit import StageMetrics, ingest_ledger, ledger_summary
 from tierline.operators.clean import dedupe
 from tierline.operators.nested import zip_explode
 from tierline.operators.quality import null_profile, require_columns
+from tierline.operators.state import Measure, finish, partials, read_state, update_state
 from tierline.operators.summarize import entity_summary, key_profile
 from tierline.sources.files import read_csv, read_json_docs
 from tierline.sources.sinks import write_csv, write_parquet
@@ -101,12 +102,32 @@ DOC_SCHEMA = StructType(
     ]
 )
 
+# The columns of the summary, in order: kind and source column.
+SUMMARY_MEASURES = {
+    "weather_records": ("rows", None),
+    "avg_temperature_c": ("avg", "temperature_c"),
+    "min_temperature_c": ("min", "temperature_c"),
+    "max_temperature_c": ("max", "temperature_c"),
+    "avg_humidity_pct": ("avg", "humidity_pct"),
+    "total_precipitation_mm": ("sum", "precipitation_mm"),
+    "avg_visibility_m": ("avg", "visibility_m"),
+    "min_visibility_m": ("min", "visibility_m"),
+    "max_wind_speed_kmh": ("max", "wind_speed_kmh"),
+    "max_wind_gust_kmh": ("max", "wind_gust_kmh"),
+    "avg_condition_score": ("avg", "condition_score"),
+}
+SUMMARY_FLAGS = {"has_red_condition": RED, "has_yellow_condition": YELLOW}
 ENTITY = ["trek_id", "trek_name"]
 # What the list of expected places must have.
 PLACE_COLUMNS = ["trek_id", "trek_name", "start_lat", "start_lon"]
 # ---------------------------------------------------------------------------
 
 
+def summary_measures() -> dict[str, Measure]:
+    flags = {name: Measure("any", condition=F.col("condition_status") == status) for name, status in SUMMARY_FLAGS.items()}
+    return {name: Measure(kind, column) for name, (kind, column) in SUMMARY_MEASURES.items()} | flags
+
+
 def read_weather_docs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     return read_json_docs(spark, path, DOC_SCHEMA, multi_line=multi_line, source_col="source_file")
 
@@ -178,33 +199,28 @@ def weather_gold(silver: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
 
 
 def summary_aggregates(rounding: str = "exact") -> dict:
-    """The per-entity aggregates (names and rounding are fixed output values).
-    ``rounding="exact"`` adds sums and averages up exactly before it rounds
-    them (see :func:`tierline.functions.parse.rounded_sum`); ``"plain"`` is
-    ``round(x, 2)`` on the double, which can flip the last digit when
-    summation noise sits on a boundary."""
-    if rounding == "exact":
-        total, mean = rounded_sum, rounded_avg
-    elif rounding == "plain":
-        total, mean = lambda c: F.round(F.sum(c), 2), lambda c: F.round(F.avg(c), 2)
-    else:
+    """The per-entity aggregates.  ``rounding="exact"`` adds sums and averages
+    up exactly before it rounds them (see
+    :func:`tierline.functions.parse.rounded_sum`); ``"plain"`` is ``round(x, 2)``
+    on the double, whose last digit can flip when summation noise sits on a
+    boundary."""
+    if rounding not in ("exact", "plain"):
         raise ValueError("rounding must be 'exact' or 'plain'")
-    low, high = lambda c: F.round(F.min(c), 2), lambda c: F.round(F.max(c), 2)
-    return {
-        "weather_records": F.count(F.lit(1)),
-        "avg_temperature_c": mean("temperature_c"),
-        "min_temperature_c": low("temperature_c"),
-        "max_temperature_c": high("temperature_c"),
-        "avg_humidity_pct": mean("humidity_pct"),
-        "total_precipitation_mm": total("precipitation_mm"),
-        "avg_visibility_m": mean("visibility_m"),
-        "min_visibility_m": low("visibility_m"),
-        "max_wind_speed_kmh": high("wind_speed_kmh"),
-        "max_wind_gust_kmh": high("wind_gust_kmh"),
-        "avg_condition_score": mean("condition_score"),
-        "has_red_condition": flag_any(F.col("condition_status") == RED),
-        "has_yellow_condition": flag_any(F.col("condition_status") == YELLOW),
+    exact = rounding == "exact"
+    made = {
+        "rows": lambda m: F.count(F.lit(1)),
+        "sum": lambda m: rounded_sum(m.column, m.scale) if exact else F.round(F.sum(m.column), m.scale),
+        "avg": lambda m: rounded_avg(m.column, m.scale) if exact else F.round(F.avg(m.column), m.scale),
+        "min": lambda m: F.round(F.min(m.column), m.scale),
+        "max": lambda m: F.round(F.max(m.column), m.scale),
+        "any": lambda m: flag_any(m.condition),
     }
+    return {name: made[m.kind](m) for name, m in summary_measures().items()}
+
+
+def _overall() -> dict:
+    flags = [("has_red_condition", RED), ("has_yellow_condition", YELLOW)]
+    return {"overall_condition": rollup_status(flags, GREEN)}
 
 
 def weather_summary(
@@ -213,17 +229,26 @@ def weather_summary(
     """One row per entity: counts, rounded averages / extremes, red and
     yellow flags, and the worst status (red > yellow > green).  An entity is
     an id and a name; give ``keys`` to have one row per id whatever its names
-    (what a mart needs)."""
-    return entity_summary(
-        gold,
-        keys or ENTITY,
-        summary_aggregates(rounding),
-        derived={
-            "overall_condition": rollup_status(
-                [("has_red_condition", RED), ("has_yellow_condition", YELLOW)], GREEN
-            )
-        },
-    )
+    (what a mart needs).  ``rounding="exact"`` adds sums and averages up exactly
+    before it rounds them (:mod:`tierline.operators.state`), ``"plain"`` as
+    :func:`summary_aggregates`."""
+    keys = keys or ENTITY
+    if rounding == "exact":
+        measures = summary_measures()
+        return finish(partials(gold, keys, measures), keys, measures).withColumns(_overall())
+    return entity_summary(gold, keys, summary_aggregates(rounding), derived=_overall())
+
+
+def update_weather_summary(gold: DataFrame, root: str, batch: str, keys: list[str] | None = None) -> bool:
+    """Add a batch of hours to the summary kept at ``root``; False if a batch
+    of that name is in it.  Reads the batch, not the hours before it."""
+    return update_state(gold, root, batch, keys or ENTITY, summary_measures())
+
+
+def read_weather_summary(spark: SparkSession, root: str, keys: list[str] | None = None) -> DataFrame:
+    """The summary of all batches added so far, as :func:`weather_summary`
+    gives it for all their hours at once."""
+    return read_state(spark, root, keys or ENTITY, summary_measures()).withColumns(_overall())
 
 
 def run_weather(

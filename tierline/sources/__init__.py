@@ -1,5 +1,6 @@
 """Sources (readers) and sinks (writers, materialisation)."""
 
+from tierline.sources.checked import read_csv_checked, read_json_checked
 from tierline.sources.files import (
     describe_schema,
     list_stage,
@@ -24,7 +25,9 @@ __all__ = [
     "load_stage",
     "materialize",
     "read_csv",
+    "read_csv_checked",
     "read_current",
+    "read_json_checked",
     "read_json_docs",
     "read_ledger",
     "read_loaded",
