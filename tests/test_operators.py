@@ -287,3 +287,25 @@ def test_argument_validation(spark):
         zip_explode(df, {})
     with pytest.raises(ValueError):
         complete_condition([])
+
+
+def test_uniqueness_is_exact_when_hashes_collide(spark):
+    from tierline.operators.quality import repeated_keys
+
+    data = [("a",), ("b",), ("b",), (None,), (None,), ("c",), ("d",), ("d",), ("d",), ("",)]
+    df = spark.createDataFrame(data, "k string")
+    expected = [("b", 2), ("d", 3)]
+    assert rows(repeated_keys(df, "k")) == expected
+    for one_hash in (F.lit(7), F.length("k"), F.xxhash64("k")):
+        assert rows(repeated_keys(df, "k", one_hash)) == expected
+    assert rows(repeated_keys(df.where("k = 'a'"), "k")) == []
+
+
+def test_uniqueness_of_long_text_shuffles_hashes(spark):
+    """The first exchange carries the hash, not the text; an equal text with a
+    third of all rows is still counted."""
+    text = F.concat(F.lit("x" * 200), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")))
+    df = spark.range(3000).select(text.alias("k"))
+    assert tuple(unique_test(df, "k").first()) == (1, True, True)
+    plan = unique_test(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__hash" in plan

@@ -202,3 +202,36 @@ def test_stage_table_cuts_lineage_under_checkpoint_dir(spark):
     assert "FileScan parquet" in plan and "Range" not in plan
     root = checkpoint_root(spark).rstrip("/")
     assert root.split(":")[-1] in plan
+
+
+def test_csv_is_split_unless_it_has_quoted_line_breaks(spark, tmp_dir):
+    import os
+
+    from tierline.sources.files import has_open_quotes
+
+    os.makedirs(tmp_dir + "/flat")
+    with open(tmp_dir + "/flat/a.csv", "w") as fh:
+        fh.write("id,name\n" + "".join(f'{i},"say ""{i}"", ok"\n' for i in range(20_000)))
+    os.makedirs(tmp_dir + "/broken")
+    with open(tmp_dir + "/broken/a.csv", "w") as fh:
+        fh.write('id,name\n1,"two\nlines"\n2,one\n')
+    assert not has_open_quotes(spark, tmp_dir + "/flat") and has_open_quotes(spark, tmp_dir + "/broken")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        flat = read_csv(spark, tmp_dir + "/flat", multi_line=None)
+        assert flat.count() == 20_000 and flat.rdd.getNumPartitions() > 4  # one file, several tasks
+        assert flat.where('id = 7').first().name == 'say "7", ok'
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows(read_csv(spark, tmp_dir + "/broken", multi_line=None)) == [("1", "two\nlines"), ("2", "one")]
+
+
+def test_row_counts_read_no_column(spark, tmp_dir):
+    """Counts of Parquet layers come from the footers: the scan has no column."""
+    from tierline.operators import expect_count
+
+    write_parquet(spark.range(1000).withColumn("x", F.lit("a" * 100)), tmp_dir + "/p")
+    out = expect_count(spark.read.parquet(tmp_dir + "/p"), 1000)
+    assert out.first().status == "PASS"
+    assert "ReadSchema: struct<>" in out._jdf.queryExecution().executedPlan().toString()

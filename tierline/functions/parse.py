@@ -113,30 +113,36 @@ def parse_event_time(c: ColumnOrName, fmt: str = EVENT_TIME_FORMAT) -> Column:
 
 # A double is taken apart before it is added up: its integer part, its
 # fraction in units of 1e-8 (both 64-bit integers, so their sums are exact
-# whatever the order), and what is left (below 5e-9).  Values of 9e7 and up
-# have 2 places in doubles that matter, so their units are hundredths; values
-# of 9e9 and up, NaN and infinite ones are left whole.
+# whatever the order), and what is left (below 5e-9).  From 1e7 on a double
+# does not tell 8 places apart, so its units are hundredths; values of 9e9 and
+# up, NaN and infinite ones are left whole.
 PLACES = 8
 UNITS = 10**PLACES
-FINE_BELOW = 9e7
+FINE_BELOW = 1e7
 COARSE_BELOW = 9e9
 
 
-def exact_parts(c: ColumnOrName) -> dict[str, Column]:
+def exact_steps(c: ColumnOrName) -> tuple[Column, Column]:
+    """Integer part of a value, and the value as a number of units.  Both are
+    used several times by :func:`exact_parts`; where that matters for speed
+    they can be columns of their own."""
+    x = _col(c).cast("double")
+    size = F.abs(x)
+    units = F.when(size < FINE_BELOW, F.floor(x * float(UNITS) + 0.5)).when(size < COARSE_BELOW, F.floor(x * 100.0 + 0.5))
+    return F.floor(x), units
+
+
+def exact_parts(c: ColumnOrName, steps: tuple[Column, Column] | None = None) -> dict[str, Column]:
     """``whole, frac, rest`` of a value; add each up and hand the sums to
     :func:`exact_total`.  The parts of several sets of rows can be added up in
     any grouping and order."""
     x = _col(c).cast("double")
-    size, whole = F.abs(x), F.floor(x)
-    fine, coarse = F.floor(x * float(UNITS) + 0.5), F.floor(x * 100.0 + 0.5)
+    whole, units = steps or exact_steps(c)
+    fine, coarse = F.abs(x) < FINE_BELOW, F.abs(x) < COARSE_BELOW
     return {
-        "whole": F.when(size < COARSE_BELOW, whole),
-        "frac": F.when(size < FINE_BELOW, fine - whole * UNITS).when(
-            size < COARSE_BELOW, (coarse - whole * 100) * (UNITS // 100)
-        ),
-        "rest": F.when(size < FINE_BELOW, x - fine / float(UNITS))
-        .when(size < COARSE_BELOW, x - coarse / 100.0)
-        .otherwise(x),
+        "whole": F.when(coarse, whole),
+        "frac": F.when(fine, units - whole * UNITS).when(coarse, (units - whole * 100) * (UNITS // 100)),
+        "rest": F.when(fine, x - units / float(UNITS)).when(coarse, x - units / 100.0).otherwise(x),
     }
 
 

@@ -94,6 +94,7 @@ def build_mart(
     skew_safe: bool = True,
     salts: int = SALTS,
     summary_of_events: bool = False,
+    summary_is_unique: bool = False,
 ) -> DataFrame:
     """Entity ⟕ weather-style detail, keeping every entity.
 
@@ -108,10 +109,12 @@ def build_mart(
       parent folder produces).
 
     The summary must have one row per key in the entity and event grains (one
-    with several would multiply the events); this is checked.  It is written
-    once to the shared scratch folder, so it is computed once however often
-    the mart reads it.  ``summary_of_events`` states that it has exactly the
-    keys of ``events``, which saves reading the events for their keys.
+    with several would multiply the events); this is checked, by a job of its
+    own, unless ``summary_is_unique`` states that it was grouped by the key.
+    Where the mart reads it more than once (for the check, or for its keys) it
+    is written once to the shared scratch folder.  ``summary_of_events`` states
+    that it has exactly the keys of ``events``, which saves reading the events
+    for their keys.
 
     Output: all entity columns, then ``columns`` (default: summary columns
     then event columns) in that order.  Summary/event inputs may carry extra
@@ -124,8 +127,11 @@ def build_mart(
         [c for c in events.columns if c != key] if events is not None else []
     )
     if summary is not None:
-        summary = stage_table(summary.select(key, *scols), "mart-summary")
-        if grain != "union":
+        summary = summary.select(key, *scols)
+        check = grain != "union" and not summary_is_unique
+        if check or (summary_of_events and grain != "entity"):
+            summary = stage_table(summary, "mart-summary")
+        if check:
             one_row_per_key(summary, key, "the summary")
     event_keys = summary if summary_of_events else None
     if grain == "entity":

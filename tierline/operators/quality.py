@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 def _q(name: str) -> Column:
@@ -120,15 +121,34 @@ def not_null_test(df: DataFrame, column: str) -> DataFrame:
     return df.agg(*_test_row(F.count_if(_q(column).isNull())))
 
 
+def repeated_keys(df: DataFrame, column: str, hashed: Column | None = None) -> DataFrame:
+    """Non-NULL values of ``column`` that occur more than once, with their
+    ``n_records``.
+
+    For keys wider than a hash (long text) this is done in two phases: 64-bit
+    hashes are counted first, so the shuffle carries 8 bytes a key instead of
+    the text; then only rows whose hash repeats are grouped by their value,
+    which sorts out different values of one hash.  Numbers and dates are no
+    wider than a hash and are counted as they are.  ``hashed`` is the hash to
+    use (tests force collisions with it).
+    """
+    key = _q(column)
+    rows = df.filter(key.isNotNull()).select(key)
+    if hashed is None and not isinstance(df.schema[column].dataType, StringType | BinaryType):
+        return _counted(rows, column)
+    hashed = F.xxhash64(key) if hashed is None else hashed
+    again = _counted(rows.select(hashed.alias("__hash")), "__hash").select("__hash")
+    suspects = rows.withColumn("__hash", hashed).join(again, "__hash", "left_semi")
+    return _counted(suspects.select(key), column)
+
+
+def _counted(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(_q(column)).agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1)
+
+
 def unique_test(df: DataFrame, column: str) -> DataFrame:
     """Number of non-NULL key values that occur more than once."""
-    dup = (
-        df.filter(_q(column).isNotNull())
-        .groupBy(_q(column))
-        .agg(F.count(F.lit(1)).alias("n_records"))
-        .filter(F.col("n_records") > 1)
-    )
-    return dup.agg(*_test_row(F.count(F.lit(1))))
+    return repeated_keys(df, column).agg(*_test_row(F.count(F.lit(1))))
 
 
 def run_tests(

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.functions.parse import exact_parts, exact_total
+from tierline.functions.parse import exact_parts, exact_steps, exact_total
 from tierline.functions.rules import flag_any
 from tierline.sources.versions import (
     current_path,
@@ -64,8 +64,12 @@ def partials(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure]
     """One row of partial results per key.  A column that is summed and
     averaged is taken apart once."""
     aggs: list[Column] = []
-    for c in _sums(measures):
-        aggs += [F.sum(part).alias(f"{c}__{name}") for name, part in exact_parts(c).items()]
+    steps = {c: exact_steps(c) for c in _sums(measures)}
+    names = {c: (f"__whole_{i}", f"__units_{i}") for i, c in enumerate(steps)}
+    df = df.withColumns({n: col for c, pair in names.items() for n, col in zip(pair, steps[c], strict=True)}) if steps else df
+    for c, pair in names.items():
+        whole, units = (F.col(n) for n in pair)
+        aggs += [F.sum(part).alias(f"{c}__{name}") for name, part in exact_parts(c, (whole, units)).items()]
         aggs.append(F.count(F.col(c)).alias(f"{c}__n"))
     for name, m in measures.items():
         if m.kind == "rows":

@@ -638,6 +638,7 @@ def _mart(spark, d, grain):
     return build_mart(
         _supplier_entities(spark, d), "trek_id", summary=summary, events=gold, grain=grain,
         summary_cols=SUMMARY_COLUMNS, event_cols=HOURLY_COLUMNS, columns=cols, summary_of_events=True,
+        summary_is_unique=True,
     )
 
 

@@ -66,10 +66,12 @@ GOLD_COLUMNS = [
 # ---------------------------------------------------------------------------
 
 
-def read_treks(spark: SparkSession, path: str) -> DataFrame:
+def read_treks(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Bronze CSV; every column read as text (no inference pass), the parsers
-    below do the typing.  Quoted cells may hold line breaks."""
-    return read_csv(spark, path, multi_line=True)
+    below do the typing.  Quoted cells may hold line breaks: ``multi_line``
+    says whether some do (a file is then one task); by default the lines are
+    looked at first, and a feed without any is split."""
+    return read_csv(spark, path, multi_line=multi_line)
 
 
 def treks_silver_all(

@@ -77,9 +77,11 @@ def trek_mart(
     weather_summary: DataFrame,
     grain: str = "hour",
     key: str = "trek_id",
+    summary_is_unique: bool = False,
 ) -> DataFrame:
     """Treks ⟕ weather with the mart's 24 weather columns.  In the hour and
-    entity grains ``weather_summary`` must have one row per key."""
+    entity grains ``weather_summary`` must have one row per key (checked, unless
+    ``summary_is_unique`` states it)."""
     return build_mart(
         treks,
         key,
@@ -89,6 +91,7 @@ def trek_mart(
         summary_cols=SUMMARY_COLUMNS,
         event_cols=HOURLY_COLUMNS,
         columns=[c for c in MART_WEATHER_COLUMNS if grain != "entity" or c in SUMMARY_COLUMNS],
+        summary_is_unique=summary_is_unique,
     )
 
 
@@ -119,7 +122,8 @@ def run_warehouse(
     summary = sources["stg_weather_summary"]
     if grain != "union" and summary.groupBy("trek_id").agg(F.count("*").alias("n")).where("n > 1").first() is not None:
         summary = weather_summary_rows(sources["stg_weather"], ["trek_id"])
-    mart = trek_mart(sources["stg_treks"], sources["stg_weather"], summary, grain)
+    # The keys were counted just now, or are those of a grouping.
+    mart = trek_mart(sources["stg_treks"], sources["stg_weather"], summary, grain, summary_is_unique=True)
     inter = materialize(mart, "int_trek_weather", "view")
     final = materialize(inter, "trek_analytics", "table", mart_path)
     models = {**sources, "int_trek_weather": inter, "trek_analytics": final}

@@ -37,7 +37,7 @@ def read_csv(
     header: bool = True,
     infer: bool = False,
     encoding: str = "UTF-8",
-    multi_line: bool = False,
+    multi_line: bool | None = False,
     **options: str,
 ) -> DataFrame:
     """CSV with header.  With ``schema`` nothing is inferred; with
@@ -46,8 +46,13 @@ def read_csv(
     column name; empty header cells become ``_c<N>`` columns.
 
     With ``multi_line`` quoted cells may hold line breaks; a file is then read
-    by one task, so it is for feeds of many files, or small ones.
+    by one task, so it is for feeds of many files, or small ones.  With
+    ``None`` the lines are looked at first (:func:`has_open_quotes`, a pass of
+    its own whose tasks share large files): only a feed that has quoted line
+    breaks is read that way, any other is split.
     """
+    if multi_line is None:
+        multi_line = has_open_quotes(spark, path, options.get("quote", CSV_TEXT["quote"]))
     reader = spark.read.option("header", header).option("encoding", encoding).option("multiLine", multi_line)
     text = CSV_TEXT if not multi_line else {k: v for k, v in CSV_TEXT.items() if k != "lineSep"}
     for k, v in (text | options).items():
@@ -60,6 +65,16 @@ def read_csv(
     return _strip_bom(reader.csv(paths))
 
 
+def has_open_quotes(spark: SparkSession, path: str | Sequence[str], quote: str = '"') -> bool:
+    """Does a line hold an odd number of quotes?  A cell with a line break
+    leaves its quote open at the end of the line, so without such a line (and
+    with quotes inside cells doubled) the files may be cut at any line end.
+    A stray quote in an unquoted cell counts as well, which is safe."""
+    lines = spark.read.text([path] if isinstance(path, str) else list(path))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    return lines.where(quotes % 2 == 1).limit(1).count() > 0
+
+
 def read_json_docs(
     spark: SparkSession,
     path: str | Sequence[str],
