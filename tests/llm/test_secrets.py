@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import bz2
 import gzip
+import lzma
 import random
 import re
 import urllib.parse
@@ -121,6 +122,122 @@ def test_deep_escapes_end():
     assert {s[0] for s in X.secrets("%" + "25" * 1500 + "41")} == {"hex"}
 
 
+def kinds(text):
+    return {s[0] for s in X.secrets(text)}
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        gzip.compress(b"nothing here") + gzip.compress(SECRET.encode()),
+        zstandard.compress(b"nothing here") + zstandard.compress(SECRET.encode()),
+        zstandard.compress(b"first") + b"\x50\x2a\x4d\x18\x03\x00\x00\x00abc" + zstandard.compress(SECRET.encode()),
+        bz2.compress(b"nothing here") + bz2.compress(SECRET.encode()),
+        lzma.compress(b"nothing here") + b"\0" * 4 + lzma.compress(SECRET.encode()),
+        gzip.compress(b"") + gzip.compress(zstandard.compress(b"x") + zstandard.compress(SECRET.encode())),
+        gzip.compress(b"x^ is how this text starts " + SECRET.encode()),
+        gzip.compress(SECRET.encode("utf-16-le")),
+    ],
+)
+def test_all_members_and_frames(data):
+    run = b64(data)
+    assert X.secrets(f"a {run} b") == [(k, 2, 2 + len(run), d) for k, *_, d in X.secrets(run)]
+    assert kinds(run) == {"assign", "access"}
+    assert X.redacted(f"a {run} b") == "a [assign] b"
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, zstandard.compress, lzma.compress])
+def test_any_number_of_compressions(pack):
+    data = SECRET.encode()
+    for _ in range(40):
+        data = pack(data)
+    assert kinds(b64(data)) == {"assign", "access"}
+
+
+def noise(n, seed=9):
+    """Text that does not compress well and holds no secret."""
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("ghijklmnop", k=7)) for _ in range(n // 8)) + " "
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, zstandard.compress, lzma.compress])
+def test_secret_behind_a_long_log(pack):
+    """What lies behind the first blocks is found; memory stays small."""
+    import tracemalloc
+
+    log = (noise(40_000) * 260).encode()  # 10 MB
+    run = b64(pack(log + SECRET.encode()))
+    tracemalloc.start()
+    assert kinds(f"see {run} .") == {"assign", "access"}
+    assert tracemalloc.get_traced_memory()[1] < 45_000_000 + 6 * len(run)
+    tracemalloc.stop()
+    assert kinds(b64(pack(log))) == set()
+
+
+def test_secrets_across_blocks(monkeypatch):
+    monkeypatch.setattr(X, "MAX_DECODED", 4096)
+    monkeypatch.setattr(X, "OVERLAP", 1024)
+    text = noise(40_000)
+    for at in range(3000, 9000, 397):
+        assert kinds(b64(gzip.compress((text[:at] + SECRET + text[at:]).encode()))) == {"assign", "access"}
+    spaced = text[:3990] + "password" + " " * 5000 + "= hunter2hunter"
+    assert kinds(b64(gzip.compress(spaced.encode()))) == {"assign"}
+
+
+@pytest.mark.parametrize("wrap", [base64.b64encode, base64.encodebytes, lambda d: b"x.com/cb/" + base64.b64encode(d)])
+@pytest.mark.parametrize("inner", [gzip.compress, zstandard.compress, lambda d: base64.b64encode(gzip.compress(d)), bytes])
+def test_long_runs_inside_a_stream(monkeypatch, wrap, inner):
+    """An encoded run longer than a block, inside a compressed layer; what
+    follows it is still scanned."""
+    monkeypatch.setattr(X, "MAX_DECODED", 4096)
+    monkeypatch.setattr(X, "OVERLAP", 1024)
+    hidden = wrap(inner((noise(60_000) + f"x {KEY} y").encode()))
+    layer = noise(6000).encode() + hidden + b"\npassword = hunter2hunter " + noise(9000).encode()
+    assert kinds(b64(gzip.compress(layer))) == {"assign", "access"}
+    assert kinds(b64(gzip.compress(noise(6000).encode() + hidden))) == {"access"}
+
+
+def test_damaged_and_truncated_data():
+    packed = gzip.compress((SECRET + noise(200_000)).encode())
+    assert kinds(b64(packed[: len(packed) // 2])) == {"assign", "access"}  # what can be read is
+    for bad in (b"\x1f\x8b\x08", b"BZh91AY&SY", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd", b"\x78\x9c"):
+        assert X.secrets(b64(bad + bytes(range(60)))) == []
+
+
+def test_data_that_only_look_compressed():
+    blocks, levels = X._inflated(iter([b"\x1f\x8b\x08" + b"q" * 50]))
+    assert levels == 0 and b"".join(blocks)[:3] == b"\x1f\x8b\x08"
+
+
+def test_indented_lines_bad_bytes_and_utf16():
+    lines = [b64(LONG.encode())[i : i + 60] for i in range(0, 600, 60)]
+    assert kinds("key: |\n" + "".join(f"    {x}\n" for x in lines if x)) == {"assign", "access"}
+    assert kinds("key: |\r\n" + "".join(f"\t{x}\r\n" for x in lines if x)) == {"assign", "access"}
+    url = "".join(f"%{b:02x}" for b in b"\xff\xe9" + SECRET.encode() + b"\xc3")
+    assert kinds(f"a {url} b") == {"assign", "access"}
+    assert X.secrets("%ff%74oken=abcdefgh") == [("assign", 3, 19, 1)]
+    assert X.secrets("%C3%A9%74oken=abcdefgh") == [("assign", 6, 22, 1)]
+    for name in ("utf-16-le", "utf-16-be", "utf-16"):
+        run = b64(SECRET.encode(name))
+        assert X.secrets(f"x {run}") and {s[1:3] for s in X.secrets(f"x {run}")} == {(2, 2 + len(run))}
+
+
+def test_place_of_escapes():
+    """Sparse maps give every character's own place."""
+    rng = random.Random(8)
+    for _ in range(500):
+        pieces = [rng.choice(["a", "b ", "%41", "%C3%A9", "%ff", "%F0%9F%98%80", "é"]) for _ in range(rng.randint(1, 12))]
+        text = "".join(pieces)
+        out = X._unescaped(text, X.URL_RUN, X._url)
+        if out is None:
+            assert not re.search("%(41|C3|F0)", text)
+            continue
+        plain, place = out
+        spans = [place(i, i + 1)[0] for i in range(len(plain))]
+        assert [text[a:b] for a, b in spans] == [x for p in pieces for x in ([p] if p.startswith("%") and p != "%ff" else list(p))]
+        assert place(0, len(plain)) == [(0, len(text))]
+
+
 def test_redaction():
     assert X.redacted(f"a {KEY} b token='{HEXED}' c") == "a [access] b [assign]' c"
     assert X.redacted("nothing") == "nothing" and X.redacted(None) is None
