@@ -70,3 +70,30 @@ def test_format(tmp_path, monkeypatch):
 def test_archive_of_a_table(spark):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
     assert sorted((tuple(r)[:5] for r in W.archive(pages).collect()), key=repr) == expected(ROWS)
+
+
+def test_read_back_is_spread(spark, tmp_dir, monkeypatch):
+    """Many bundles, and frames of one bundle, are read by several tasks."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(W, "READ_BYTES", 60_000)
+    pages = spark.range(4000).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(string(id), 256), 4) AS html").repartition(4)
+    index = W.write_archives(pages, f"file://{tmp_dir}/w", frame_bytes=2000, bundle_bytes=4000)
+    assert index.select("bundle").distinct().count() >= 16
+    back = W.read_archives(index).withColumn("task", F.spark_partition_id())
+    per_task = [r["count"] for r in back.groupBy("task").count().collect()]
+    assert len(per_task) >= 8 and sum(per_task) == 4000 and max(per_task) < 1500
+    monkeypatch.setattr(W, "READ_FRAMES", 1)
+    one = W.write_archives(pages.coalesce(1), f"file://{tmp_dir}/one", frame_bytes=2000)
+    assert one.select("bundle").distinct().count() == 1
+    back = W.read_archives(one).withColumn("task", F.spark_partition_id())
+    assert back.select("task").distinct().count() >= 8 and back.count() == 4000
+
+
+def test_wrong_index_is_noticed(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame(ROWS[:3], "page_id long, url string, html string")
+    index = W.write_archives(pages, f"file://{tmp_dir}/w")
+    with pytest.raises(Exception, match="damaged"):
+        W.read_archives(index.withColumn("length", F.col("length") + 1)).collect()

@@ -16,8 +16,9 @@ bundles of the attempts that succeeded, so others are never read.
 
 Edge cases: a null payload is empty.  Of equal payloads, rows that share the
 largest id are all responses; rows with a null id revisit the largest id, and
-are responses if all ids are null.  Null urls are written as empty.  An empty
-table gives an empty index and result.
+are responses if all ids are null.  Null urls are written as empty.  A very
+long page makes a frame of its own, longer than others.  Other columns of the
+input are not looked at.  An empty table gives an empty index and result.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ from tierline.sources.sinks import stage_table
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 64 << 20
 LEVEL = 3
+#: Reading back: frames that stay together, and bytes of records a task.
+READ_FRAMES = 16
+READ_BYTES = 64 << 20
 
 # Fixed values of the seekable format.
 SKIPPABLE = 0x184D2A5E
@@ -92,15 +96,16 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 class Bundle:
     """Writes one bundle; ``add`` returns a record's frame, offset, length."""
 
-    def __init__(self, out: io.IOBase):
+    def __init__(self, out: io.IOBase, frame_bytes: int | None = None):
         self.out = out
+        self.frame_bytes = frame_bytes or FRAME_BYTES
         self.buffer: list[bytes] = []
         self.held = 0
         self.frames: list[tuple[int, int]] = []
         self.written = 0
 
     def add(self, data: bytes) -> tuple[int, int, int]:
-        if self.held >= FRAME_BYTES:
+        if self.held >= self.frame_bytes:
             self.end_frame()
         place = (len(self.frames), self.held, len(data))
         self.buffer.append(data)
@@ -165,6 +170,8 @@ def write_archives(
     url_col: str = "url",
     html_col: str = "html",
     least_bytes: int = 0,
+    frame_bytes: int = FRAME_BYTES,
+    bundle_bytes: int = BUNDLE_BYTES,
 ) -> DataFrame:
     """Write a record per row to bundles in ``folder`` (shared storage) and
     return the index.  Payloads under ``least_bytes`` are all responses."""
@@ -188,12 +195,12 @@ def write_archives(
                     if bundle is None:
                         name = f"{uuid.uuid4().hex}.warc.zst"
                         fs.create_dir(base, recursive=True)
-                        bundle = Bundle(fs.open_output_stream(f"{base}/{name}", compression=None))
+                        bundle = Bundle(fs.open_output_stream(f"{base}/{name}", compression=None), frame_bytes)
                     payload = page.encode()
                     revisits = response is not None and response != page_id and len(payload) >= least_bytes
                     place = bundle.add(record(page_id, url, payload, revisits, response))
                     rows.append((page_id, f"{folder}/{name}", *place))
-                    if bundle.written >= BUNDLE_BYTES:
+                    if bundle.written >= bundle_bytes:
                         bundle.close()
                         bundle = None
                 types = [part.schema.field("page_id").type, pa.string(), pa.int32(), pa.int64(), pa.int64()]
@@ -208,36 +215,52 @@ def write_archives(
 
 
 def read_archives(index: DataFrame) -> DataFrame:
-    """Every record of the bundles that an index names, read back; digests of
-    responses are checked against their payloads."""
+    """Every indexed record, read back from its place: by bundle, frame (found
+    through the seek table) and offset.  Digests of responses are checked
+    against their payloads, lengths against the index.
+
+    Runs of ``READ_FRAMES`` frames are dealt out to a task per ``READ_BYTES``
+    of records (a number of its own, which adaptive execution does not bring
+    down: the index is small, what it names is not); in a task every frame is
+    read once."""
     id_type = index.schema["page_id"].dataType.simpleString()
     number = index.schema["page_id"].dataType.typeName() not in ("string",)
+    kind = pa.int64() if number else pa.string()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, bundle, frame, data = None, None, None, b""
         for batch in batches:
-            kind = pa.int64() if number else pa.string()
-            for uri in batch.column("bundle").to_pylist():
-                reader = Reader(uri)
-                for i in range(len(reader.places)):
-                    data, at, rows = reader.frame(i), 0, []
-                    while at < len(data):
-                        fields, body, at = parse_record(data, at)
-                        own, refers = (fields.get(k, "<urn:page:>")[10:-1] for k in ("WARC-Record-ID", "WARC-Refers-To"))
-                        digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if fields["WARC-Type"] == "response" and payload_digest(body) != digest:
-                            raise ValueError(f"{uri}: damaged payload of record {own}")
-                        own, refers = ((int(x) if number else x) if x else None for x in (own, refers))
-                        rows.append((own, int(fields["WARC-Payload-Length"]), digest, fields["WARC-Type"], refers, fields["WARC-Target-URI"]))
-                    types = [kind, pa.int64(), pa.string(), pa.string(), kind, pa.string()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                        ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"],
-                    )
-                reader.close()
-
-    bundles = index.select("bundle").distinct()
+            rows: list[tuple] = []
+            for uri, number_of, offset, length in zip(*(batch.column(c).to_pylist() for c in ("bundle", "frame", "offset", "length")), strict=True):
+                if uri != bundle:
+                    if reader:
+                        reader.close()
+                    reader, bundle, frame = Reader(uri), uri, None
+                if number_of != frame:
+                    frame, data = number_of, reader.frame(number_of)
+                fields, body, end = parse_record(data, offset)
+                own, refers = (fields.get(k, "<urn:page:>")[10:-1] for k in ("WARC-Record-ID", "WARC-Refers-To"))
+                digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                if end - offset != length or (fields["WARC-Type"] == "response" and payload_digest(body) != digest):
+                    raise ValueError(f"{uri}: damaged record {own}")
+                own, refers = ((int(x) if number else x) if x else None for x in (own, refers))
+                rows.append((own, int(fields["WARC-Payload-Length"]), digest, fields["WARC-Type"], refers, fields["WARC-Target-URI"]))
+            if rows:
+                types = [kind, pa.int64(), pa.string(), pa.string(), kind, pa.string()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                    ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"],
+                )
+        if reader:
+            reader.close()
+
+    held = index.agg(F.sum("length").alias("n")).first()["n"] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-held // READ_BYTES))
+    places = index.select("bundle", "frame", "offset", "length").repartition(
+        tasks, "bundle", F.floor(F.col("frame") / READ_FRAMES)
+    )
     out_type = "bigint" if number else "string"
-    found = bundles.mapInArrow(read, RECORD.format(id=out_type))
+    found = places.sortWithinPartitions("bundle", "frame", "offset").mapInArrow(read, RECORD.format(id=out_type))
     return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
