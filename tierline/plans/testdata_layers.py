@@ -4,11 +4,15 @@ driver's tables, with the SQL that must give the same rows (see
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tierline.operators.audit import reconcile_content
+from tierline.operators.mart import build_mart
 from tierline.plans import weather as W
 from tierline.session import scratch_path
+from tierline.sources.buckets import write_bucketed
 from tierline.sources.checked import read_csv_checked, read_json_checked
 from tierline.sources.ledger import load_new, read_ledger, read_loaded
 from tierline.sources.merge import read_merged, upsert
@@ -214,7 +218,27 @@ SELECT o_orderkey, 1 AS left_rows, CASE WHEN gone THEN 0 WHEN again THEN 2 ELSE
 FROM f WHERE gone OR priced OR swapped OR again
 """
 
+#: Buckets of a layer's key; a cluster takes some per core.
+BUCKETS = 16
+
+
+def q_bucketed_mart(spark, d):
+    """The entity mart over layers that are laid out by place: summary and join
+    read the buckets, without an exchange."""
+    from tierline.plans.testdata import MART_WEATHER_COLUMNS, SUMMARY_COLUMNS, _gold, _supplier_entities
+
+    root, name = scratch_path(spark, "buckets"), f"tierline_{uuid.uuid4().hex[:12]}"
+    hours = write_bucketed(_gold(spark, d), f"{name}_hours", f"{root}/hours", ["trek_id"], BUCKETS, ["weather_time"])
+    places = write_bucketed(_supplier_entities(spark, d), f"{name}_places", f"{root}/places", ["trek_id"], BUCKETS)
+    columns = [c for c in MART_WEATHER_COLUMNS if c in SUMMARY_COLUMNS]
+    return build_mart(
+        places, "trek_id", summary=W.weather_summary(hours, ["trek_id"]), summary_cols=SUMMARY_COLUMNS, columns=columns,
+        summary_is_unique=True,
+    )
+
+
 QUERIES = {
+    "bucketed_mart": q_bucketed_mart,
     "versioned_replace": q_versioned_replace,
     "load_ledger": q_load_ledger,
     "load_latest": q_load_latest,

@@ -727,4 +727,4 @@ ORACLE: dict[str, str] = {
     "materialized_models": MATERIALIZED_MODELS,
 }
 # The summary of all hours at once is what the batches must add up to.
-ORACLE |= LAYER_ORACLE | {"summary_incremental": ENTITY_SUMMARY}
+ORACLE |= LAYER_ORACLE | {"summary_incremental": ENTITY_SUMMARY, "bucketed_mart": MART_ENTITY}
