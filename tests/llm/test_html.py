@@ -105,3 +105,42 @@ def test_tree_judges_pages_with_articles(spark):
 )
 def test_names_tell_as_a_whole(page):
     assert text(page) == "Title\nOne two three&four.\nFive"
+
+
+STORY = "<h1>Title</h1><p>One <b>two</b>\n three&amp;four.</p><p>Five</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout with-header'>{ARTICLE}</div>",
+        f"<div class='page has-fixed-header'>{ARTICLE}</div>",
+        f"<div class='page has-fixed-header'><header>h</header>{STORY}</div>",
+        f"<body><form action=x><input>{ARTICLE}</form></body>",
+        f"<body><form action=x><div class=menu>m</div>{STORY}<footer>f</footer></form></body>",
+        f"<div class='elementor-widget text'>{STORY}</div>",
+        "<div class='elementor-widget'><h1>Title</h1></div><div class='elementor-widget'><p>One two three&amp;four.</p></div>"
+        "<div class='elementor-widget'><p>Five</p></div>",
+        f"<div class='main-content sidebar-right'>{STORY}</div><div class='sidebar'>s</div>",
+        f"<div class='nav-open'><div class='sidebar'>s</div>{STORY}</div>",
+        f"<div class='header'>h</div><div class='story'>{STORY}</div><form>Search <input></form>",
+        f"<div class='story'>{STORY}</div><div class='comments'><p>{'I think so too. ' * 20}</p></div>",
+    ],
+)
+def test_names_never_take_the_text_along(page):
+    assert text(page) == "Title\nOne two three&four.\nFive"
+
+
+@pytest.mark.parametrize("depth", [10, 510, 520, 5000])
+def test_elements_are_told_apart_at_any_depth(depth):
+    inside = f"<script>var x = 'code';</script><nav>menu here</nav><style>p</style><div class=ad>buy</div>{STORY}"
+    assert text("<div>" * depth + inside + "</div>" * depth + "<footer>f</footer>") == "Title\nOne two three&four.\nFive"
+    assert text("<b>" * depth + inside) == "Title\nOne two three&four.\nFive"
+
+
+def test_unmatched_tags_in_deep_pages_are_quick():
+    import time
+
+    began = time.time()
+    assert text("<div>" * 30_000 + "</x></p></section>" * 30_000 + "end").endswith("end")
+    assert time.time() - began < 20

@@ -21,9 +21,13 @@ all their branches count as important, but blocks beside an article or main
 element go if that holds at least half of the page's text.  The same holds for
 places that fewer pages of a larger host have.
 
-Class and id names tell as whole names, or by a first or last part that is
-clear; one of them alone never drops an article or main element, unless the
-page has another one apart (articles among comments).
+Class and id names (as whole names, or by a first or last part that is clear),
+forms and headers are a hint only.  What they mark goes, but it never takes an
+article or main element along, unless the page has another one apart (articles
+among comments), and it does not go where next to nothing of the page would be
+left: then the largest of the marked elements, a wrapper of the page or parts of
+it that are all marked alike, count as unmarked, what is marked inside them
+still goes, and the tree decides on the rest.
 
 Statistics are pre-aggregated by Spark before they are shuffled, so a host
 that holds a third of all pages is many small counts, not one group; only the
@@ -31,7 +35,10 @@ branches to remove come back, joined to the pages by host.
 
 Edge cases: null and empty html give an empty text; a null url or one without
 ``://`` belongs to the host "".  Broken markup is read as browsers do: open
-elements end with their parents, an unfinished tag at the end is dropped.
+elements end with their parents, an unfinished tag at the end is dropped.  Very
+long pages are read whole; elements at any depth are told apart, those below
+``MAX_DEPTH`` count as their ancestor's in the tree.  Only the three columns
+named are looked at, and inside they have names of their own.
 Equal rows give equal rows; an empty table gives an empty result.
 """
 
@@ -59,8 +66,9 @@ MIN_PAGES = 5
 G = 0.9
 #: Deeper elements count as parts of their ancestor at this depth.
 MAX_DEPTH = 24
-#: Elements open at once; tags beyond are left out, as browsers do.
-MAX_OPEN = 512
+#: Share of a page's text that must be left when what names, forms and headers
+#: mark is gone.
+LEAST_LEFT = 0.05
 
 # What HTML says about elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -80,10 +88,10 @@ ENDS_SAME = {
 }
 SCOPE = set("table ul ol dl article main section aside nav div body html td th".split())
 NOT_TEXT = set(
-    "head script style noscript template svg math iframe object canvas audio video nav footer aside form button select "
+    "head script style noscript template svg math iframe object canvas audio video nav footer aside button select "
     "textarea menu dialog title".split()
 )
-NOT_TEXT_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+NOT_TEXT_ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 NOT_TEXT_NAMES = set(
     "ad ads adsbygoogle adsense adslot adv advert advertisement advertising adverts alert banner breadcrumb breadcrumbs "
     "comment commentlist comments consent cookie cookies copyright disclaimer disqus footer gdpr login masthead menu modal "
@@ -91,6 +99,8 @@ NOT_TEXT_NAMES = set(
     "reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar trending "
     "widget".split()
 )
+#: Beside one of these words another name of the same element says nothing.
+CONTENT_NAMES = set("article content main story".split())
 MAIN = {"article", "main"}
 
 _TAG = re.compile(r"""</?([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
@@ -111,8 +121,9 @@ class Element:
     tag: str
     path: int  # digest of the tags and classes from the root
     noise: bool
-    named: int  # 2: its name or one around it says noise; 1: an article or main element within such a name
+    named: int  # 2: it or one around it is marked; 1: an article or main element within such an element
     main: bool
+    marks: tuple[int, ...] = ()  # the marked elements it is in, by number, from the outermost
     shape: list[str] = field(default_factory=list)
 
 
@@ -122,6 +133,7 @@ class Block:
     chain: tuple[int, ...]  # elements from the root down
     main: bool
     named: int
+    marks: tuple[int, ...]
     outer: int  # so many of them lie around the article or main element, or are it
 
 
@@ -151,6 +163,46 @@ def _says_noise(name: str) -> bool:
     return parts[0] in clear or (parts[-1] in clear and parts[-2] not in AROUND) or set(parts) <= NOT_TEXT_NAMES
 
 
+@lru_cache(4096)
+def _says_header(name: str) -> bool:
+    parts = [x for x in _NAME.split(name) if x]
+    return parts[:1] == ["header"] or (parts[-1:] == ["header"] and parts[-2] not in AROUND)
+
+
+def _marked(tag: str, names: list[str], inside_main: bool) -> bool:
+    """Whether tag or names hint at something else than content."""
+    if tag == "form":
+        return True
+    if not inside_main and (tag == "header" or any(map(_says_header, names))):
+        return True
+    if any(not CONTENT_NAMES.isdisjoint(_NAME.split(n)) and not _says_noise(n) for n in names):
+        return False
+    return any(map(_says_noise, names))
+
+
+def _released(blocks: list[Block], numbers: dict[int, int], most: int) -> set[int]:
+    """Marked elements (by number; ``numbers`` has their paths) that count as
+    unmarked because next to nothing would be left without them."""
+    free: set[int] = set()
+    marked = [b for b in blocks if b.named == 2]
+    if not marked or any(b.main and b.named <= most for b in blocks):
+        return free
+    total = sum(len(b.text) for b in blocks)
+    while True:
+        held: Counter = Counter()
+        left = sum(len(b.text) for b in blocks if b.named < 2)
+        for b in marked:
+            outermost = next((m for m in b.marks if m not in free), None)
+            if outermost is None:
+                left += len(b.text)
+            else:
+                held[outermost] += len(b.text)
+        if not held or left >= LEAST_LEFT * total:
+            return free
+        largest = max(held, key=lambda m: (held[m], -m))
+        free.update(m for m in held if numbers[m] == numbers[largest])
+
+
 def parse(page: str) -> tuple[list[Block], list[Element]]:
     """Blocks of text in page order and the elements of a page, both without
     what the markup calls something else than content."""
@@ -158,6 +210,8 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
     elements: list[Element] = []
     stack: list[Element] = [Element("", 0, False, 0, False)]
     held: list[str] = []
+    is_open: Counter = Counter()  # tags of open elements, to look for those only
+    numbers: dict[int, int] = {}  # marked elements and their paths
 
     def end_block() -> None:
         text = " ".join("".join(held).split())
@@ -165,15 +219,17 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         if text:
             tree = [e for e in stack[1 : MAX_DEPTH + 1] if e.tag not in INLINE]
             outer = next((i + 1 for i, e in enumerate(tree) if e.main), len(tree))
-            blocks.append(Block(text, tuple(e.path for e in tree), stack[-1].main, next(e.named for e in reversed(stack) if e.tag not in INLINE), outer))
+            around = next(e for e in reversed(stack) if e.tag not in INLINE)
+            blocks.append(Block(text, tuple(e.path for e in tree), stack[-1].main, around.named, around.marks, outer))
 
     def close(index: int) -> None:
         if any(e.tag not in INLINE for e in stack[index:]):
             end_block()
+        is_open.subtract(e.tag for e in stack[index:])
         del stack[index:]
 
     def text(piece: str) -> None:
-        if piece and not stack[-1].noise and stack[-1].named < 2:
+        if piece and not stack[-1].noise:
             held.append(entities.unescape(piece) if "&" in piece else piece)
 
     at, n = 0, len(page)
@@ -208,7 +264,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
             tag = re.match("[A-Za-z][^\\s/>]*", page[lt + 1 + closing : end])[0].lower()
             source, at = "", end + 1
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if is_open[tag] else ():
                 if stack[i].tag == tag:
                     close(i)
                     break
@@ -223,14 +279,12 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         if tag not in INLINE:
             end_block()
         ends = ENDS_SAME.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-        for i in range(len(stack) - 1, 0, -1) if ends else ():
+        for i in range(len(stack) - 1, 0, -1) if any(is_open[t] for t in ends) else ():
             if stack[i].tag in ends:
                 close(i)
                 break
             if stack[i].tag in SCOPE:
                 break
-        if len(stack) > MAX_OPEN:
-            continue
         attributes = _attributes(source)
         label = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
         names = {x for x in _NAME.split(label) if x}
@@ -238,7 +292,6 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         noise = (
             parent.noise
             or tag in NOT_TEXT
-            or (not parent.main and (tag == "header" or "header" in names))
             or attributes.get("role", "").lower() in NOT_TEXT_ROLES
             or "hidden" in attributes
             or attributes.get("aria-hidden", "").lower() == "true"
@@ -246,15 +299,21 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         )
         is_main = tag in MAIN or attributes.get("role", "").lower() in MAIN
         main = parent.main or is_main
-        named = parent.named
+        named, marks = parent.named, parent.marks
+        role = attributes.get("role", "").lower()
         if is_main:
-            named = min(named, 1)
-        elif tag not in ("html", "body") and any(map(_says_noise, label.split())):
-            named = 2
+            named, marks = min(named, 1), ()
+        elif tag not in ("html", "body") and (role == "form" or _marked(tag, label.split(), parent.main)):
+            if tag in INLINE:
+                noise = True  # part of a line: gone for good
+            else:
+                named, marks = 2, (*marks, len(numbers))
         shape = f"{tag}.{'.'.join(sorted(names))}" if names else tag
         if tag not in INLINE and (not parent.shape or parent.shape[-1] != shape):  # repeats count once
             parent.shape.append(shape)
-        element = Element(tag, _digest(f"{parent.path}/{shape}"), noise, named, main)
+        element = Element(tag, _digest(f"{parent.path}/{shape}"), noise, named, main, marks)
+        if len(marks) > len(parent.marks):
+            numbers[marks[-1]] = element.path
         if tag not in INLINE and not noise and len(stack) <= MAX_DEPTH:
             elements.append(element)
         if tag in VOID:
@@ -263,10 +322,16 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
             m = re.compile(f"</{re.escape(tag)}", re.IGNORECASE).search(page, at)
             at = n if not m else m.start()
         stack.append(element)
+        is_open[tag] += 1
     end_block()
     # Articles within such names are comments or cards if the page has others.
     most = 0 if any(b.main and not b.named for b in blocks) else 1
-    return [b for b in blocks if b.named <= most], [e for e in elements if e.named <= most]
+    free = _released(blocks, numbers, most)
+
+    def stays(x: Block | Element) -> bool:
+        return x.named <= most or (x.named == 2 and free.issuperset(x.marks))
+
+    return [b for b in blocks if stays(b)], [e for e in elements if stays(e)]
 
 
 def page_host(url: Column) -> Column:
