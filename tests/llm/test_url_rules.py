@@ -63,8 +63,10 @@ def test_without_labels(spark):
 
 def test_tokens(spark):
     df = spark.createDataFrame([("http://www.a-b.Example.com/en/x1/Q/page.HTML?u=1&v&u=2#f",), (None,)], "url string")
-    got = [r[0] for r in df.select(F.array_sort(U.tokens(F.col("url")))).collect()]
-    assert got[0] == sorted(["host=www.a-b.example.com", "word=a", "word=b", "word=example", "dir=en", "kind=html", "query=u"])
+    got = [r[0] for r in df.select(F.array_sort(U.all_tokens(F.col("url")))).collect()]
+    assert got[0] == sorted(
+        ["host=www.a-b.example.com", "word=a", "word=b", "word=example", "dir=en", "dir=Q", "kind=html", "query=u", "query=v"]
+    )
     assert got[1] == []
 
 
@@ -90,3 +92,74 @@ def test_tokens_that_occur_together_each_make_a_rule(spark):
     urls = spark.createDataFrame(rows, "id long, url string")
     rules = U.mine(urls, spark.createDataFrame([(i, i % 2 == 1) for i in range(60)], "id long, bad boolean"), support=0.1)
     assert {tuple(r.rule_tokens) for r in rules.collect()} == {("dir=bad",), ("dir=worse",)}
+
+
+def brute_rules(baskets, support, confidence):
+    """baskets: (tokens, bad) -> minimal combinations that reach both bounds."""
+    from itertools import combinations
+
+    tokens = sorted({t for own, _ in baskets for t in own})
+    kept = []
+    for size in range(1, 5):
+        for c in combinations(tokens, size):
+            if any(set(k) <= set(c) for k in kept):
+                continue
+            holding = [bad for own, bad in baskets if set(c) <= set(own)]
+            if sum(holding) >= support * len(baskets) and sum(holding) >= confidence * len(holding) > 0:
+                kept.append(c)
+    return kept
+
+
+def test_mined_rules_against_brute_force(spark):
+    import random
+
+    for seed in range(3):
+        rng = random.Random(seed)
+        rows, labels = [], []
+        for i in range(160):
+            dirs = [d for d in "abcdef" if rng.random() < 0.5]
+            if "a" in dirs:
+                dirs.append("atoo")  # always with a
+            bad = {"b", "c"} <= set(dirs) or ("d" in dirs and "e" not in dirs and rng.random() < 0.7) or rng.random() < 0.05
+            rows.append((i, "http://h.net/" + "".join(f"{d}/" for d in dirs) + "x"))
+            labels.append((i, bad))
+        urls = spark.createDataFrame(rows, "id long, url string")
+        rules = U.mine(urls, spark.createDataFrame(labels, "id long, bad boolean"), support=0.05, confidence=0.8)
+        own = {r.id: r.own for r in urls.select("id", U.all_tokens(F.col("url")).alias("own")).collect()}
+        expected = brute_rules([(own[i], bad) for i, bad in labels], 0.05, 0.8)
+        # every choice of members of a mined rule, for the comparison only
+        from itertools import product
+
+        got = {tuple(sorted(c)) for r in rules.collect() for c in product(*r.members)}
+        assert got == {tuple(sorted(c)) for c in expected if not {"dir=a", "dir=atoo"} <= set(c)}
+        verdicts = {r.id: r.mined for r in U.judge(urls, rules, "id").collect()}
+        assert verdicts == {i: any(set(c) <= set(own[i]) for c in expected) for i in own}
+
+
+def test_many_common_tokens(spark):
+    """Thirty directories that bad pages have, nearly independent of one
+    another, and four groups of forty that always go together."""
+    import random
+    import time
+
+    rng = random.Random(3)
+    common = [f"c{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
+    groups = [[f"g{chr(97 + g)}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)] for g in range(4)]
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 5 < 2
+        dirs = [d for d in common if rng.random() < 0.95] if bad else ["news", "daily"]
+        for g in groups:
+            if rng.random() < 0.5:
+                dirs = dirs + g
+        rows.append((i, "http://h.net/" + "".join(f"{d}/" for d in dirs) + "x"))
+        labels.append((i, bad))
+    urls = spark.createDataFrame(rows, "id long, url string").repartition(4)
+    began = time.time()
+    rules = U.mine(urls, spark.createDataFrame(labels, "id long, bad boolean"), support=0.01)
+    found = rules.collect()
+    assert time.time() - began < 120
+    assert sorted(r.rule_tokens[0] for r in found if len(r.rule_tokens) == 1) == [f"dir={d}" for d in common]
+    assert len(found) < 100
+    got = {r.id: r.verdict for r in U.judge(urls, rules, "id").collect()}
+    assert all(got[i] == "block" for i, bad in labels if bad)

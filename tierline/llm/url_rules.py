@@ -2,10 +2,10 @@
 
 Labelled pages are transactions of URL tokens and their label; FP-growth
 mines frequent token combinations, and rules with the consequent "block" are
-kept if they reach the support and the confidence asked for and no rule with
-fewer of the same tokens does at least as well.  Rules are indexed by their
-rarest token: a URL meets only the rules of its own tokens and is blocked if
-it holds all tokens of one.
+kept if they reach the support and the confidence asked for and no part of
+them does.  Single tokens that do are settled before combinations are mined,
+without them.  Rules are indexed by their rarest token: a URL meets only the
+rules of its own tokens and is blocked if it holds all tokens of one.
 
 Fixed (host, path) rules come first: a rule fits its host and all subdomains
 if the URL's path starts with the rule's; the longest that fits decides.
@@ -13,7 +13,9 @@ if the URL's path starts with the rule's; the longest that fits decides.
 Edge cases: a null URL or one without ``://`` has an empty host and path, no
 tokens, fits no rule and is allowed.  Labels that are null count as good; of
 several labels of a page the worst counts.  Without labels nothing is mined.
-Equal rows give equal rows; an empty table gives an empty result.
+All tokens of a URL count, however long it is.  Only the columns named are
+looked at, and inside they have names of their own.  Equal rows give equal
+rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -83,40 +85,7 @@ def all_tokens(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(parts))
 
 
-def tokens(url: Column) -> Column:
-    """The first few of a URL's tokens: its host, the last labels of the host
-    and their first words, the first directories of the path, the file's kind
-    and the first name in the query; no numbers.  Rules are mined and matched
-    by ``all_tokens``."""
-    url = F.coalesce(url, F.lit(""))
-    host, path = host_of(url), path_of(url)
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#&=]*)", 1)
-    kind = F.regexp_extract(path, r"\.([A-Za-z]{1,5})$", 1)
-    none = F.array().cast("array<string>")
-    named = lambda prefix, values: F.transform(values, lambda v: F.concat(F.lit(prefix), v))
-    one = lambda prefix, value: F.when(value != "", F.array(F.concat(F.lit(prefix), value))).otherwise(none)
-    labels = F.slice(F.reverse(F.split(host, r"\.")), 2, 3)  # without the top one
-    labels = F.filter(labels, lambda s: ~s.isin("", "www"))
-    words = F.flatten(F.transform(labels, lambda s: F.slice(F.split(s, "-"), 1, 2)))
-    folders = F.slice(segments, 1, F.least(F.greatest(F.size(segments) - 1, F.lit(0)), F.lit(2)))
-    parts = F.concat(
-        one("host=", host),
-        named("word=", words),
-        named("dir=", F.filter(folders, lambda s: ~s.rlike("[0-9]"))),
-        one("kind=", F.lower(kind)),
-        one("query=", query),
-    )
-    return F.when(host == "", none).otherwise(F.array_distinct(parts))
-
-
-def _choices(members: str) -> Column:
-    """All ways to take one token of each array."""
-    return F.aggregate(
-        members,
-        F.array(F.array().cast("array<string>")),
-        lambda done, more: F.flatten(F.transform(done, lambda d: F.transform(more, lambda m: F.array_append(d, m)))),
-    )
+RULE_SCHEMA = "rule_tokens array<string>, members array<array<string>>, rarest array<string>, confidence double, support double"
 
 
 def mine(
@@ -125,73 +94,94 @@ def mine(
     support: float = SUPPORT,
     confidence: float = CONFIDENCE,
 ) -> DataFrame:
-    """``urls`` (id, url), ``labels`` (id, bad) -> rules (rule_tokens, rarest,
-    confidence, support).  The number of frequent combinations is bounded by
-    the support, not by the data."""
+    """``urls`` (id, url), ``labels`` (id, bad) -> minimal rules (rule_tokens,
+    members, rarest, confidence, support): combinations that reach both
+    bounds, and no part of which does.  A URL that holds a combination holds
+    its parts, so the others would block nothing more.
+
+    ``members`` has, for each of ``rule_tokens``, the tokens that stand for it,
+    one of which a URL must have: tokens on exactly the same labelled pages
+    are one item, named by the first.  ``rarest`` are those of the rarest.
+    """
     spark = urls.sparkSession
     worst = labels.where("id is not null").groupBy("id").agg(F.max(F.coalesce("bad", F.lit(False))).alias("bad"))
     baskets = urls.join(worst, "id").select(all_tokens(F.col("url")).alias("own"), "bad").where(F.size("own") > 0)
     baskets = stage_table(baskets.withColumn("basket", F.expr("uuid()")), "baskets")
-    schema = "rule_tokens array<string>, rarest string, confidence double, support double"
     if not baskets.where("bad").take(1):
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], RULE_SCHEMA)
     total = baskets.count()
-    # Tokens on exactly the same baskets (by two sums of hashes) are one item,
-    # named by the first; those on too few blocked ones are in no rule.
+    # Tokens on the same baskets by two sums of hashes; those on too few
+    # blocked ones are in no rule.
     digest = lambda seed: F.sum(F.xxhash64("basket", F.lit(seed)).cast("decimal(38,0)"))
     single = (
         baskets.select("basket", "bad", F.explode("own").alias("token"))
         .groupBy("token")
-        .agg(F.count("*").alias("token_freq"), F.count_if("bad").alias("blocked"), digest(1).alias("d1"), digest(2).alias("d2"))
+        .agg(F.count("*").alias("freq"), F.count_if("bad").alias("blocked"), digest(1).alias("d1"), digest(2).alias("d2"))
         .where(F.col("blocked") >= support * total)
     )
-    same = Window.partitionBy("token_freq", "blocked", "d1", "d2")
-    single = stage_table(single.select("token", "token_freq", F.min("token").over(same).alias("item")), "tokens")
+    same = Window.partitionBy("freq", "blocked", "d1", "d2")
+    single = stage_table(single.select("token", "freq", "blocked", F.min("token").over(same).alias("item")), "tokens")
+
+    # One token is enough: these are rules, one per token, and no other rule
+    # needs them, so they take no part in the mining of combinations.  Without
+    # them, common tokens of bad pages do not multiply.
+    does = F.col("blocked") >= confidence * F.col("freq")
+    alone = F.array("token")
+    rules = single.where(does).select(
+        alone.alias("rule_tokens"),
+        F.array(alone).alias("members"),
+        alone.alias("rarest"),
+        (F.col("blocked") / F.col("freq")).alias("confidence"),
+        (F.col("blocked") / total).alias("support"),
+    )
+    others = single.where(~does)
     items = (
-        baskets.select("basket", F.explode("own").alias("token"))
-        .join(single.where("token = item"), "token")
-        .groupBy("basket")
+        baskets.select("basket", "bad", F.explode("own").alias("token"))
+        .join(others.where("token = item").select("token"), "token")
+        .groupBy("basket", "bad")
         .agg(F.collect_list("token").alias("own"))
     )
-    none = F.array().cast("array<string>")
-    items = baskets.select("basket", "bad").join(items, "basket", "left").withColumn("own", F.coalesce("own", none))
-    items = stage_table(
-        items.select(F.when(F.col("bad"), F.array_append("own", F.lit(BLOCK))).otherwise(F.col("own")).alias("items")), "items"
-    )
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    marked = F.when(F.col("bad"), F.array_append("own", F.lit(BLOCK))).otherwise(F.col("own"))
+    items = stage_table(items.select(marked.alias("items")), "items")
+    mined = items.count()
+    if not mined:
+        return stage_table(rules, "rules")
+    # The share is of all labelled pages, those without an item included.
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support * total / mined), minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.col("consequent")[0] == BLOCK).select(
-        F.array_sort("antecedent").alias("rule_tokens"), "confidence", "support"
-    )
-    found = stage_table(found, "rules")
-    # A rule goes if part of its tokens does as well.  Rules that could tell
-    # share a token; all are frequent combinations, so there are few.
-    parts = found.select(F.col("rule_tokens").alias("part"), F.col("confidence").alias("part_confidence"))
-    needless = (
-        found.select("rule_tokens", "confidence", F.explode("rule_tokens").alias("token"))
-        .join(parts.select("part", "part_confidence", F.col("part")[0].alias("token")), "token")
-        .where(F.size("part") < F.size("rule_tokens"))
-        .where((F.size(F.array_except("part", "rule_tokens")) == 0) & (F.col("part_confidence") >= F.col("confidence")))
-        .select("rule_tokens")
-        .distinct()
+        F.array_sort("antecedent").alias("rule_tokens"), "confidence", (F.col("support") * mined / total).alias("support")
     )
-    kept = found.join(needless, "rule_tokens", "left_anti")
-    # A rule holds for every choice of tokens that its items stand for.
-    members = single.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("members"))
-    kept = (
+    kept = _minimal(stage_table(found, "rules"))
+    members = others.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("members"), F.min("freq").alias("freq"))
+    combined = (
         kept.select("rule_tokens", "confidence", "support", F.explode("rule_tokens").alias("item"))
         .join(members, "item")
         .groupBy("rule_tokens", "confidence", "support")
-        .agg(F.collect_list("members").alias("choices"))
-        .select("confidence", "support", F.explode(_choices("choices")).alias("rule_tokens"))
-    )
-    kept = stage_table(kept.select(F.array_sort("rule_tokens").alias("rule_tokens"), "confidence", "support"), "choices")
-    rarest = (
-        kept.select("rule_tokens", F.explode("rule_tokens").alias("token"))
-        .join(single, "token")
-        .groupBy("rule_tokens")
-        .agg(F.min(F.struct("token_freq", "token"))["token"].alias("rarest"))
+        .agg(F.sort_array(F.collect_list(F.struct("item", "members"))).alias("m"), F.min(F.struct("freq", "members"))["members"].alias("rarest"))
+        .select("rule_tokens", F.col("m")["members"].alias("members"), "rarest", "confidence", "support")
     )
-    return stage_table(kept.join(rarest, "rule_tokens").select("rule_tokens", "rarest", "confidence", "support"), "rules")
+    return stage_table(rules.unionByName(combined), "rules")
+
+
+def _minimal(found: DataFrame) -> DataFrame:
+    """Rules no proper part of which is a rule: sizes are settled in turn, each
+    against the smaller ones left, which are looked up by their first token."""
+    sizes = sorted(r[0] for r in found.select(F.size("rule_tokens")).distinct().collect())
+    kept = found.where(F.lit(False))
+    for size in sizes:
+        now = found.where(F.size("rule_tokens") == size)
+        if size > sizes[0]:
+            parts = kept.select(F.col("rule_tokens").alias("part"), F.col("rule_tokens")[0].alias("token"))
+            needless = (
+                now.select("rule_tokens", F.explode("rule_tokens").alias("token"))
+                .join(parts, "token")
+                .where(F.size(F.array_except("part", "rule_tokens")) == 0)
+                .select("rule_tokens")
+                .distinct()
+            )
+            now = now.join(needless, "rule_tokens", "left_anti")
+        kept = stage_table(kept.unionByName(now), "minimal")
+    return kept
 
 
 def judge(
@@ -204,14 +194,19 @@ def judge(
     """(id_col, host, path, rule, verdict, mined) for every row; ``mined``
     tells whether a mined rule fits the URL."""
     own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
+    # Rules without members stand for their tokens alone.
+    alone = F.transform("rule_tokens", lambda t: F.array(t))
+    index = rules.select((F.col("members") if "members" in rules.columns else alone).alias("members"), F.col("rarest"))
+    if index.schema["rarest"].dataType.typeName() == "string":
+        index = index.withColumn("rarest", F.array("rarest"))
     matched = (
         own.select("url")
         .where("url is not null")
         .distinct()
         .withColumn("own", all_tokens(F.col("url")))
-        .select("url", "own", F.explode("own").alias("rarest"))
-        .join(rules.select("rule_tokens", "rarest"), "rarest")
-        .where(F.size(F.array_except("rule_tokens", "own")) == 0)
+        .select("url", "own", F.explode("own").alias("token"))
+        .join(index.select("members", F.explode("rarest").alias("token")), "token")
+        .where(F.forall("members", lambda m: F.arrays_overlap(m, F.col("own"))))
         .select(F.col("url").alias("matched"))
         .distinct()
     )
