@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from tierline.llm import pii as P
 
 
+KEY = b"a key of the tests"
+
+
 def kinds(text):
     return [(m.type, text[m.start : m.end]) for m in P.mentions(text)]
 
@@ -26,6 +30,14 @@ def kinds(text):
         ("ids 123-45-6789 and 123-45-67890", [("ssn", "123-45-6789")]),
         ("9.9.9.9", [("ip", "9.9.9.9")]),
         ("+55555555", [("phone", "+55555555")]),
+        ("ring 06 12 34 56 78, +33 6 12 34 56 78.", [("phone", "06 12 34 56 78"), ("phone", "+33 6 12 34 56 78")]),
+        ("030 1234567 or +49 30 1234567", [("phone", "030 1234567"), ("phone", "+49 30 1234567")]),
+        ("91 234 56 78; (555)123-4567; 5551234567", [("phone", "91 234 56 78"), ("phone", "(555)123-4567"), ("phone", "5551234567")]),
+        ("on 2024-10-12 at 10 12 14 we had 1234567 of 12,345,678 and 3.14159265", []),
+        ("Mr John Smith said. Later Smith left, and John too. Smithson stayed.",
+         [("name", "John"), ("name", "Smith"), ("name", "Smith"), ("name", "John")]),
+        ("Mrs O'Brien and Dr Smith-Jones", [("name", "O'Brien"), ("name", "Smith-Jones")]),
+        ("to DE89 3704 0044 0532 0130 00 not DE88 3704 0044 0532 0130 00", [("iban", "DE89 3704 0044 0532 0130 00")]),
         ("Mrs. Anna Schmidt met Herr Weber", [("name", "Anna"), ("name", "Schmidt"), ("name", "Weber")]),
         ("Иван Петров и Μαρία Παππά", [("name", "Иван"), ("name", "Петров"), ("name", "Μαρία"), ("name", "Παππά")]),
     ],
@@ -59,7 +71,7 @@ def test_coreference_and_distinctness(spark):
     rows = [(i, f"to {p} and {p.upper()} from +1 (555) 123-{i:04d} or +1 555 123 {i:04d}") for i, p in enumerate(people)]
     rows += [(200, None), (201, ""), (202, "no one"), (None, rows[0][1]), rows[5], rows[5], (300, "x " * 40_000 + people[0])]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'t' AS type", "1 AS id", "2 AS entities")
-    out = [tuple(r) for r in P.pseudonymize(docs).collect()]
+    out = [tuple(r) for r in P.pseudonymize(docs, KEY).collect()]
     got = {}
     for i, text, _ in out:
         got.setdefault(i, []).append(text)
@@ -75,25 +87,23 @@ def test_coreference_and_distinctness(spark):
         phones.add(re.sub(r"\D", "", a))
     assert len(mails) == len(phones) == 100
     assert got[300][0].endswith(re.findall(r"\S+@\S+", got[0][0])[0])
-    assert P.pseudonymize(docs.limit(0)).collect() == []
+    assert P.pseudonymize(docs.limit(0), KEY).collect() == []
 
 
-@pytest.mark.parametrize("exceptions", [200_000, 0])
-def test_collisions_are_drawn_again(spark, monkeypatch, exceptions):
+def test_collisions_are_drawn_again(spark, monkeypatch):
     """Family names of a tiny pool collide; all must end up distinct, and none
     may be a name of the corpus."""
-    monkeypatch.setattr(P, "EXCEPTIONS", exceptions)
     monkeypatch.setitem(P.SYLLABLES, "latin", "ba be bi bo")
     names = ["Schmidt", "Weber", "Meier", "Huber", "Bababa", "Bebebe", "Bobobo", "Bibibi"] + [f"Q{c}x" for c in "abcdefghijklmnopqrstuvwxyz"]
     docs = spark.createDataFrame([(i, f"Herr {n} came") for i, n in enumerate(names)], "doc_id long, text string")
-    out = {r.doc_id: r.text.split()[1] for r in P.pseudonymize(docs).collect()}
+    out = {r.doc_id: r.text.split()[1] for r in P.pseudonymize(docs, KEY).collect()}
     assert len(set(out.values())) == len(names)
     assert not set(out.values()) & set(names)
 
 
 def test_given_names_are_permuted():
     for (gender, _), names in P.NAMES.items():
-        for key in (P.KEY, b"k", b"other"):
+        for key in (KEY, b"k", b"other"):
             images = {n: P.surrogate("name", f"given {gender}:{n}", key).partition(":")[2] for n in names.split()}
             assert set(images.values()) == set(images)
             assert all(a != b for a, b in images.items())
@@ -103,7 +113,48 @@ def test_given_names_stay_distinct(spark, monkeypatch):
     monkeypatch.setitem(P.SYLLABLES, "latin", "ba be bi bo")
     people = ["John", "David", "Daniel", "Pierre", *(f"Q{c}x" for c in "abcdefghijklmnopqrst")]
     docs = spark.createDataFrame([(i, f"Mr {n} Weber came") for i, n in enumerate(people)], "doc_id long, text string")
-    out = [r.text.split()[1:3] for r in P.pseudonymize(docs).collect()]
+    out = [r.text.split()[1:3] for r in P.pseudonymize(docs, KEY).collect()]
     assert len({given for given, _ in out}) == len(people) and len({family for _, family in out}) == 1
     assert not {given for given, _ in out[4:]} & {*people, *P.GIVEN, out[0][1]}
     assert all(given != n for (given, _), n in zip(out, people, strict=True))
+
+
+def test_accounts_and_compound_names_keep_their_format():
+    code = P.surrogate("iban", "DE89370400440532013000", KEY)
+    assert code[:2] == "DE" and len(code) == 22 and code != "DE89370400440532013000"
+    assert kinds(code) == [("iban", code)]
+    text, _ = P.replaced("to GB82 WEST 1234 5698 7654 32.", {}, KEY)
+    assert re.fullmatch(r"to GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d\.", text) and kinds(text)
+    text, _ = P.replaced("Mrs O'Brien, Dr Smith-Jones", {}, KEY)
+    assert re.fullmatch(r"Mrs O'[A-Z][a-z]+, Dr [A-Z][a-z]+-[A-Z][a-z]+", text) and "Brien" not in text and "Jones" not in text
+
+
+def test_later_mentions_change_alike():
+    text, found = P.replaced("Mr John Smith said. Later Smith left, and John too. Smithson stayed.", {}, KEY)
+    given, family, again, first = (w for w in re.findall("[A-Z][a-z]+", text) if w not in ("Mr", "Later", "Smithson"))
+    assert (given, family) == (first, again) and given != "John" and family != "Smith" and len(found) == 4
+
+
+def test_crowded_formats_end(spark):
+    """All one-letter addresses of a host: they can't all get another one of
+    that format, so some grow; numbers raise when their format is full."""
+    mails = [f"{c}@full.example.org" for c in "abcdefghijklmnopqrstuvwxyz"]
+    docs = spark.createDataFrame([(i, m) for i, m in enumerate(mails)], "doc_id long, text string")
+    out = [r.text for r in P.pseudonymize(docs, KEY).collect()]
+    assert len(set(out)) == 26
+
+
+def test_full_format_raises(spark, monkeypatch):
+    monkeypatch.setattr(P, "LIMIT", 2)
+    monkeypatch.setattr(P, "_draw", lambda key: lambda *c: F.lit("same"))
+    docs = spark.createDataFrame([(i, f"+1 555 123 {i:04d}") for i in range(9)], "doc_id long, text string")
+    with pytest.raises(ValueError, match="phone"):
+        P.attempt_numbers(docs, "text", KEY)
+
+
+def test_a_key_is_needed(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        P.pseudonymize(docs, b"")
+    texts = {P.replaced("Mr Weber, 030 1234567", {}, k)[0] for k in (b"1", b"2", b"3")}
+    assert len(texts) == 3

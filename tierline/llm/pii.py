@@ -15,17 +15,27 @@ punctuation.
   from it, by a keyed permutation without fixed points; other given names and
   family names by made-up ones in the same script.
 
+A given or family name found in a text counts wherever the word stands in it,
+alone as well, so no later mention gives the person away.
+
 Collision checks: over all distinct entities of the corpus, surrogates that
 two entities share, or that are themselves an entity of the corpus, are drawn
 again with the next attempt number for all but the first of them, until none
-is left (or ``ROUNDS`` are over: very short forms may have no free surrogate
-at all).  Names are compared as written, whatever their role.  Surrogates of
-listed given names are distinct as they are, and names of the list by intent;
-no other entity gets one of these.  Only those (few) attempt numbers travel back to the texts: in a
-broadcast, if they are at most ``EXCEPTIONS``, else by a join on the mentions.
+is left.  Names and e-mail addresses grow by a letter or syllable every few
+attempts, so they always end; numbers keep their format, and if nearly all
+numbers of one format are in the corpus, so that ``LIMIT`` rounds do not
+suffice, it raises instead of leaving collisions.  Names are compared as
+written, whatever their role.  Surrogates of listed given names are distinct as
+they are, and names of the list by intent; no other entity gets one of these.
+Only those (few) attempt numbers travel back to the texts that need them, by a
+join on a digest of the text.
+
+The key is the caller's secret: whoever has it can undo the permutations.
 
 Edge cases: null texts stay null, texts without entities stay as they are.
-Equal rows give equal rows; an empty table gives an empty result.
+Very long texts are searched whole.  Equal rows give equal rows; an empty table
+gives an empty result.  Only the two columns named are looked at, and inside
+they have names of their own.
 """
 
 from __future__ import annotations
@@ -45,26 +55,36 @@ from pyspark.sql import functions as F
 from tierline.llm.common import small_batches
 from tierline.sources.sinks import stage_table
 
-#: Most attempt numbers that are broadcast (some 60 bytes each).
-EXCEPTIONS = 200_000
-#: Rounds of collision checks; a round draws again for a small part only.
+#: Attempts after which an e-mail address grows by a letter.
 ROUNDS = 25
-KEY = b"surrogates"
+#: Rounds of collision checks after which a format counts as full.
+LIMIT = 200
 
-TYPES = ("email", "card", "ip", "ssn", "phone", "name")
+TYPES = ("email", "iban", "card", "ip", "ssn", "phone", "name")
 
 # What entities look like, and the names to draw from.
 EMAIL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}")
 IP = re.compile(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])")
 CARD = re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_GAP = "[ .-]"
 PHONE = re.compile(
-    r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}(?:[ .-][0-9]{3,4}){1,2}(?![\w-])"
-    r"|(?<![\w.])\+[0-9]{8,15}(?!\w)"
+    # Groups of three and four, an area code maybe in brackets.
+    rf"(?<![\w.])(?:\+[0-9]{{1,3}}{_GAP}?)?(?:\([0-9]{{2,5}}\){_GAP}?|[0-9]{{2,4}}{_GAP})[0-9]{{3,4}}(?:{_GAP}[0-9]{{3,4}}){{1,2}}(?![\w-])"
+    # With a country code: any groups.
+    rf"|(?<![\w.])\+[0-9]{{1,3}}(?:{_GAP}?\([0-9]{{1,5}}\))?(?:{_GAP}?[0-9]{{1,8}}){{1,6}}(?!\w)"
+    # National with a leading zero: pairs, or an area code and the rest.
+    rf"|(?<![\w.])0[0-9](?:{_GAP}[0-9]{{2}}){{4}}(?![\w-])"
+    rf"|(?<![\w.])(?:\(0[0-9]{{1,4}}\)|0[0-9]{{1,4}})[ /-][0-9]{{5,8}}(?![\w-])"
+    # Nine digits from 6 to 9 on, in groups that end in pairs; ten without gaps.
+    rf"|(?<![\w.])[6-9][0-9]{{1,2}}(?:{_GAP}[0-9]{{2,3}}){{1}}(?:{_GAP}[0-9]{{2}}){{2}}(?![\w-])"
+    r"|(?<![\w.-])[2-9][0-9]{9}(?![\w-]|\.[0-9])"
 )
+PHONE_DIGITS = range(7, 16)
 #: Runs of what numbers of these kinds are made of; the patterns above are
 #: tried within them only.
-NUMBER = re.compile(r"[0-9][0-9()+. -]*[0-9]")
+NUMBER = re.compile(r"[0-9][0-9()+. /-]*[0-9]")
 NAMES = {
     ("f", "latin"): "Anna Maria Emma Julia Laura Sarah Lisa Claire Marie Sofia Elena Carmen Lucia Helen Alice Emily",
     ("m", "latin"): "John Peter Thomas Michael David Daniel Paul Martin Pierre Louis Hans Karl Carlos Miguel Juan James",
@@ -86,7 +106,10 @@ SYLLABLES = {
 
 GIVEN = {name: k for k, names in NAMES.items() for name in names.split()}
 TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts.split()}
-_WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁΆ-Ϋ][a-zß-öø-ÿа-яёά-ώ]+"
+_UPPER, _LOWER = "[A-ZÀ-ÖØ-ÞА-ЯЁΆ-Ϋ]", "[a-zß-öø-ÿа-яёά-ώ]"
+# O'Brien, McNeil and Smith-Jones as well.
+_WORD = rf"(?:{_UPPER}['’])?{_UPPER}{_LOWER}+(?:{_UPPER}{_LOWER}+)?(?:-{_UPPER}{_LOWER}+)*"
+_JOINTS = re.compile("(['’-])")
 # Both begin with fixed letters, which makes them quick to look for; that a
 # word begins there is checked afterwards.
 TITLED = re.compile(rf"({'|'.join(map(re.escape, TITLE_GENDER))})\b\.?[ ]({_WORD})(?:[ ]({_WORD}))?")
@@ -122,6 +145,10 @@ def mentions(text: str | None) -> list[Mention]:
     found: list[Mention] = []
     if "@" in text:
         found += [Mention("email", *m.span(), m[0].lower()) for m in _emails(text)]
+    for m in IBAN.finditer(text):
+        code = m[0].replace(" ", "")
+        if 15 <= len(code) <= 34 and _check97(code[4:], code[:2]) == int(code[2:4]):
+            found.append(Mention("iban", *m.span(), code))
     for run in NUMBER.finditer(text):
         begin, end = run.start(), min(len(text), run.end() + 2)  # what follows is looked at as well
         if run.end() - begin < 7:
@@ -137,7 +164,9 @@ def mentions(text: str | None) -> list[Mention]:
                 found.append(Mention("ip", *m.span(), ".".join(str(int(o)) for o in m[0].split("."))))
         found += [Mention("ssn", *m.span(), m[0]) for m in SSN.finditer(text, begin, end)]
         for m in PHONE.finditer(text, begin, end):
-            found.append(Mention("phone", *m.span(), re.sub("[^0-9+]", "", m[0])))
+            digits = re.sub("[^0-9+]", "", m[0])
+            if len(digits.lstrip("+")) in PHONE_DIGITS:
+                found.append(Mention("phone", *m.span(), digits))
     for m in _at_words(TITLED, text):
         gender = TITLE_GENDER[m[1]]
         for g in (2, 3):
@@ -148,6 +177,7 @@ def mentions(text: str | None) -> list[Mention]:
     for m in _at_words(FULL, text):
         found.append(Mention("name", *m.span(1), f"given {GIVEN[m[1]][0]}:{m[1]}"))
         found.append(Mention("name", *m.span(2), f"family:{m[2]}"))
+    found += _again(text, [m for m in found if m.type == "name"])
     order = {t: i for i, t in enumerate(TYPES)}
     if not found:
         return []
@@ -160,6 +190,25 @@ def mentions(text: str | None) -> list[Mention]:
     return sorted(kept, key=lambda m: m.start)
 
 
+def _again(text: str, names: list[Mention]) -> Iterator[Mention]:
+    """Names found in a text, wherever else they stand in it as a word."""
+    by_word: dict[str, str] = {}
+    for m in names:
+        by_word.setdefault(m.entity.partition(":")[2], m.entity)
+    if not by_word:
+        return
+    known = {m.start for m in names}
+    words = "|".join(re.escape(w) for w in sorted(by_word, key=lambda w: (-len(w), w)))
+    for m in re.finditer(rf"(?<!\w)(?:{words})(?!\w)", text):
+        if m.start() not in known:
+            yield Mention("name", *m.span(), by_word[m[0]])
+
+
+def _check97(body: str, country: str) -> int:
+    """The check digits of an account number."""
+    return 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+
+
 def _at_words(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
     """Matches that begin where a word does."""
     m = pattern.search(text)
@@ -237,7 +286,11 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
     if kind == "email":
         local, _, domain = entity.partition("@")
         host, _, tld = domain.rpartition(".")
+        local += "a" * (attempt // ROUNDS)
         return f"{_shaped(local, key, label)}@{_shaped(host, key, 'domain')}.{tld}"
+    if kind == "iban":
+        body = _shaped(entity[4:].lower(), key, label).upper()
+        return f"{entity[:2]}{_check97(body, entity[:2]):02d}{body}"
     if kind == "card":
         body = entity[0] + _shaped(entity[1:-1], key, label)
         if not luhn(entity):
@@ -264,7 +317,14 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
             return f"{sort}:{names[(names.index(word) + 1) % len(names)]}"
     parts = SYLLABLES[script].split()
     n = 3 + attempt // 4
-    return f"{sort}:" + "".join(parts[(r >> (16 * i)) % len(parts)] for i in range(min(n, 15))).capitalize()
+
+    def made_up(r: int) -> str:
+        return "".join(parts[(r >> (16 * i)) % len(parts)] for i in range(min(n, 15))).capitalize()
+
+    if not _JOINTS.search(word):
+        return f"{sort}:{made_up(r)}"
+    pieces = _JOINTS.split(word)
+    return f"{sort}:" + "".join(p if len(p) < 2 else made_up(_random(key, label, entity, i)) for i, p in enumerate(pieces))
 
 
 def rendered(mention: str, kind: str, value: str) -> str:
@@ -274,12 +334,18 @@ def rendered(mention: str, kind: str, value: str) -> str:
     if kind == "ip":
         return value
     if kind == "email":
-        return "".join(v.upper() if m.isupper() else v for m, v in zip(mention, value, strict=True))
+        local, _, rest = value.partition("@")
+        own, _, host = mention.partition("@")
+        cased = "".join(v.upper() if m.isupper() else v for m, v in zip(own, local, strict=False))
+        return cased + local[len(own) :] + "@" + "".join(v.upper() if m.isupper() else v for m, v in zip(host, rest, strict=True))
+    if kind == "iban":
+        letters = iter(value)
+        return "".join(c if c == " " else next(letters) for c in mention)
     digits = iter(c for c in value if c.isdigit())
     return "".join(next(digits) if c.isdigit() else c for c in mention)
 
 
-def replaced(text: str | None, attempts: dict[tuple[str, str], int], key: bytes = KEY) -> tuple[str | None, list[Mention]]:
+def replaced(text: str | None, attempts: dict[tuple[str, str], int], key: bytes) -> tuple[str | None, list[Mention]]:
     """The text with surrogates, and what was found."""
     found = mentions(text)
     out, done = [], 0
@@ -312,7 +378,7 @@ def found_entities(text: Column) -> Column:
     return find(text)
 
 
-def attempt_numbers(docs: DataFrame, text_col: str, key: bytes = KEY) -> DataFrame:
+def attempt_numbers(docs: DataFrame, text_col: str, key: bytes) -> DataFrame:
     """(type, entity, attempt) of the entities whose first draw collides."""
     draw = _draw(key)
     entities = (
@@ -332,15 +398,18 @@ def attempt_numbers(docs: DataFrame, text_col: str, key: bytes = KEY) -> DataFra
         docs.sparkSession.createDataFrame(names, "type string, shown string")
     )
     listed = (F.col("type") == "name") & F.col("entity").isin([f"given {g}:{n}" for n, (g, _) in GIVEN.items()])
-    for _ in range(ROUNDS):
+    for number in range(LIMIT + 1):
         made = drawn.where(~listed).withColumn("shown", shown("surrogate"))
         real = made.join(originals, ["type", "shown"], "left_semi").select("type", "entity")
         # Of entities with one surrogate the smallest keeps it.
         first = made.groupBy("type", "shown").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
         shared = made.join(first, ["type", "shown"]).where("entity <> first").select("type", "entity")
         again = stage_table(real.unionByName(shared).distinct().withColumn("again", F.lit(True)), "again")
-        if not again.take(1):
+        left = again.first()
+        if left is None:
             break
+        if number == LIMIT:
+            raise ValueError(f"too many entities of type {left['type']} in one format to give each another one")
         attempt = F.when(F.col("again"), F.col("attempt") + 1).otherwise(F.col("attempt"))
         moved = drawn.join(again, ["type", "entity"], "left").select("type", "entity", attempt.alias("attempt"), "again", "surrogate")
         drawn = stage_table(
@@ -355,9 +424,11 @@ def attempt_numbers(docs: DataFrame, text_col: str, key: bytes = KEY) -> DataFra
 RESULT = "struct<text:string,entities:array<struct<type:string,start:bigint,end:bigint>>>"
 
 
-def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
+def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, text, entities) for every row: the text with surrogates, and
-    type and span of what they replaced in the original."""
+    type and span of what they replaced in the original.  ``key`` is secret."""
+    if not key:
+        raise ValueError("a key is needed")
     spark = docs.sparkSession
     small_batches(spark)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -370,35 +441,29 @@ def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         new, found = replaced(text, attempts, key)
         return {"text": new, "entities": [{"type": m.type, "start": m.start, "end": m.end} for m in found]}
 
-    if numbers.count() <= EXCEPTIONS:
-        shared = spark.sparkContext.broadcast({(r["type"], r["entity"]): r["attempt"] for r in numbers.collect()})
-
-        @F.arrow_udf(RESULT)
-        def apply(texts: pa.Array) -> pa.Array:
-            return pa.array([result(t.as_py(), shared.value) for t in texts], kind)
-
-        out = own.select("id", apply("text").alias("r"))
-    else:
-        # Attempts go to the texts that need them, by a join on the mentions.
-        keyed = own.withColumn("k", F.md5(F.coalesce("text", F.lit(""))))
-        needed = (
-            keyed.select("k", F.explode(found_entities(F.col("text"))).alias("e"))
-            .select("k", "e.type", "e.entity")
-            .distinct()
-            .join(numbers, ["type", "entity"])
-            .groupBy("k")
-            .agg(F.collect_list(F.struct("type", "entity", "attempt")).alias("attempts"))
+    # Attempts go to the texts that need them, by a join on the mentions.
+    # Written first: Spark then knows the size, and sends few of them to the
+    # texts instead of the texts to them.
+    keyed = own.withColumn("k", F.md5(F.coalesce("text", F.lit(""))))
+    needed = (
+        keyed.select("k", F.explode(found_entities(F.col("text"))).alias("e"))
+        .select("k", "e.type", "e.entity")
+        .join(numbers, ["type", "entity"])
+        .distinct()
+        .groupBy("k")
+        .agg(F.collect_list(F.struct("type", "entity", "attempt")).alias("attempts"))
+    )
+    needed = stage_table(needed, "needed")
+
+    @F.arrow_udf(RESULT)
+    def apply(texts: pa.Array, attempts: pa.Array) -> pa.Array:
+        return pa.array(
+            [
+                result(t.as_py(), {(a["type"], a["entity"]): a["attempt"] for a in own_attempts.as_py() or ()})
+                for t, own_attempts in zip(texts, attempts, strict=True)
+            ],
+            kind,
         )
 
-        @F.arrow_udf(RESULT)
-        def apply_own(texts: pa.Array, attempts: pa.Array) -> pa.Array:
-            return pa.array(
-                [
-                    result(t.as_py(), {(a["type"], a["entity"]): a["attempt"] for a in own_attempts.as_py() or ()})
-                    for t, own_attempts in zip(texts, attempts, strict=True)
-                ],
-                kind,
-            )
-
-        out = keyed.join(needed, "k", "left").select("id", apply_own("text", "attempts").alias("r"))
+    out = keyed.join(needed, "k", "left").select("id", apply("text", "attempts").alias("r"))
     return out.select(F.col("id").alias(id_col), "r.text", "r.entities")

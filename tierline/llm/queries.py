@@ -3,6 +3,8 @@ parameters, to its whole table and derives the columns of its contract."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,10 +109,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with surrogates for personal data."""
+    """Every document with surrogates for personal data.  The key is the
+    session's ``spark.tierline.pii.key``; without one a fresh key is drawn, and
+    nobody can undo the run's surrogates."""
     from tierline.llm.pii import TYPES, pseudonymize
 
-    out = pseudonymize(read_table(spark, sf_dir, "documents"))
+    key = spark.conf.get("spark.tierline.pii.key", None)
+    out = pseudonymize(read_table(spark, sf_dir, "documents"), key.encode() if key else os.urandom(32))
     counts = [_count(F.col("entities"), "type", t).alias(f"n_{t}") for t in TYPES]
     return out.select("doc_id", "text", *counts)
 
