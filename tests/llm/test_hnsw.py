@@ -84,3 +84,41 @@ def test_search_keeps_to_its_layer():
         for i, row in enumerate(own):
             used = row[row >= 0].tolist()
             assert i not in used and len(set(used)) == len(used)
+
+
+def test_insertion_in_batches():
+    """More nodes than a batch: later ones search the graph so far; links are
+    mutual or given up for nearer ones, and what is asked for is found."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(30, 24))
+    v = centres[rng.integers(0, 30, 5000)] + rng.normal(scale=0.5, size=(5000, 24))
+    nodes, links = H.build(v)
+    own = links[0].reshape(-1, H.PLACES)
+    assert own.shape == (5000, H.PLACES) and (own >= 0).any(axis=1).all()
+    for i, row in enumerate(own):
+        used = row[row >= 0].tolist()
+        assert i not in used and len(set(used)) == len(used)
+    q = v[::25] + rng.normal(scale=0.01, size=(200, 24))
+    found, scores = H.search(v, [(len(n), x) for n, x in zip(nodes, links, strict=True)], q, 5)
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    exact = np.argsort(-(q / np.linalg.norm(q, axis=1)[:, None] @ unit.T), axis=1)[:, :5]
+    hit = np.mean([len(set(a) & set(b)) / 5 for a, b in zip(found.tolist(), exact.tolist(), strict=True)])
+    assert hit >= 0.9
+    assert (np.diff(scores, axis=1) <= 0).all()
+
+
+def test_blocks_of_queries_and_shards(spark, monkeypatch):
+    """Any number of blocks and shards gives every query its answers, and the
+    index goes to its tasks once."""
+    rng = np.random.default_rng(9)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 8)))] + [(900 + i, [1.0, float(i)]) for i in range(5)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = table.where("vec_id % 3 = 0 or vec_id >= 900")
+    expected = brute(rows, [r for r in rows if r[0] % 3 == 0 or r[0] >= 900], 5)
+    for block, shard in ((7, 60), (1000, 1000)):
+        monkeypatch.setattr(H, "QUERY_BLOCK", block)
+        out = H.nearest(table, asked, shard_size=shard)
+        got = answers(out)
+        assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in expected.items()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "CoGroup" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -3,16 +3,18 @@
 Equal vectors are one node that knows its smallest ids.  Nodes are dealt to
 shards by hash; each shard has a graph of layers, a layer holding one in
 ``FAN`` of the nodes below it, with the nodes' links in one flat array per
-layer (``width`` places a node, -1 for none).  A node's links are taken from
-its nearest neighbours in the layer by the usual diversity rule (a candidate
-closer to a link than to the node is left out at first) and are made mutual
-while there is room.
+layer (``width`` places a node, -1 for none).  Nodes are inserted in batches: each searches the
+graph so far for candidates and takes its links from them by the usual
+diversity rule (a candidate closer to a link than to the node is left out at
+first); links are mutual, and a node with too many keeps the diverse nearest.
 
 A search starts from the whole top layer (it is small), follows links with a
 beam on every layer below, for a block of queries at once, and computes the
 cosines of what it ends with from the original vectors in double precision.
-Every shard answers for every query, in blocks of queries, and the shards'
-results are merged by rank.
+Every shard answers for every query: the queries are written to the shared
+folder in blocks, a task holds one shard and reads block after block, so
+neither the index nor the queries are shuffled, broadcast or collected; only
+each shard's best rows are, and they are merged by rank.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without an id; a query meets only
@@ -28,77 +30,121 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import small_batches
+from tierline.session import scratch_path
 from tierline.sources.sinks import stage_table
 
 #: Distinct vectors of a shard, on average.
-SHARD = 8192
+SHARD = 16_384
 #: Nodes of a layer for each node in the layer above.
 FAN = 16
 #: Links of a node: candidates looked at, chosen, and places it has.
 CANDIDATES = 48
 CHOSEN = 16
 PLACES = 32
+#: Nodes inserted at once: at first, and at most.
+FIRST = 512
+BATCH = 2048
 #: Beam widths on the upper layers and on the lowest.
 BEAM_UPPER = 16
-BEAM = 96
-#: Queries searched at once in a task, and sent to a task.
+BEAM = 192
+#: Nodes or queries looked at at once in a task, and queries of a block.
 AT_ONCE = 256
 QUERY_BLOCK = 8192
 
 
+def _diverse(sims: np.ndarray, among: np.ndarray, take: int) -> np.ndarray:
+    """Which candidates become links, nearest first (rows of similarities to a
+    node, and among each other): not those closer to a link than to the node,
+    unless there is room left at the end.  -inf stands for no candidate."""
+    picked = np.zeros(sims.shape, bool)
+    full = np.zeros(len(sims), np.int32)
+    there = np.isfinite(sims)
+    for j in range(sims.shape[1]):
+        closer = (among[:, j, :] > sims[:, j : j + 1]) & picked
+        ok = ~closer.any(axis=1) & (full < take) & there[:, j]
+        picked[:, j] = ok
+        full += ok
+    for j in range(sims.shape[1]):
+        ok = ~picked[:, j] & (full < take) & there[:, j]
+        picked[:, j] |= ok
+        full += ok
+    return picked
+
+
+def _chosen(unit: np.ndarray, own: np.ndarray, cand: np.ndarray, take: int) -> np.ndarray:
+    """Links (rows x take, -1 for none) of nodes ``own`` among candidates
+    (rows x some, -1 for none, no repeats)."""
+    sims = np.where(cand >= 0, np.einsum("qd,qed->qe", unit[own], unit[cand]), -np.inf)
+    order = np.argsort(-sims, axis=1, kind="stable")
+    cand, sims = np.take_along_axis(cand, order, axis=1), np.take_along_axis(sims, order, axis=1)
+    vectors = unit[cand]
+    picked = _diverse(sims, np.einsum("qid,qjd->qij", vectors, vectors), take)
+    where = np.argsort(~picked, axis=1, kind="stable")[:, :take]
+    out = np.take_along_axis(cand, where, axis=1)
+    out[~np.take_along_axis(picked, where, axis=1)] = -1
+    return np.pad(out, ((0, 0), (0, take - out.shape[1])), constant_values=-1)
+
+
+def _link(unit: np.ndarray, links: np.ndarray, own: np.ndarray, cand: np.ndarray) -> None:
+    """Give new nodes their links and the nodes at the other ends theirs; of
+    more than fit, the nearest diverse ones stay."""
+    for a in range(0, len(own), AT_ONCE):
+        links[own[a : a + AT_ONCE], :CHOSEN] = _chosen(unit, own[a : a + AT_ONCE], cand[a : a + AT_ONCE], CHOSEN)
+    src = np.repeat(own, CHOSEN)
+    dst = links[own, :CHOSEN].ravel()
+    src, dst = src[dst >= 0], dst[dst >= 0]
+    new = ~(links[dst] == src[:, None]).any(axis=1)
+    src, dst = src[new], dst[new]
+    order = np.lexsort((-np.einsum("ed,ed->e", unit[src], unit[dst]), dst))  # nearest first
+    src, dst = src[order], dst[order]
+    rank = np.arange(len(dst)) - np.searchsorted(dst, dst)
+    src, dst, rank = src[rank < PLACES], dst[rank < PLACES], rank[rank < PLACES]
+    ends = np.unique(dst)
+    more = np.full((len(ends), PLACES), -1, np.int32)
+    more[np.searchsorted(ends, dst), rank] = src
+    for a in range(0, len(ends), AT_ONCE):
+        part = ends[a : a + AT_ONCE]
+        both = np.concatenate([links[part], more[a : a + AT_ONCE]], axis=1)
+        width = int((both >= 0).sum(axis=1).max())
+        both = np.take_along_axis(both, np.argsort(both < 0, axis=1, kind="stable")[:, :width], axis=1)
+        over = (both >= 0).sum(axis=1) > PLACES
+        fits = np.pad(both[~over, :PLACES], ((0, 0), (0, max(0, PLACES - width))), constant_values=-1)
+        links[part[~over]] = fits
+        if over.any():
+            links[part[over]] = _chosen(unit, part[over], both[over], PLACES)
+
+
 def layer_links(unit: np.ndarray) -> np.ndarray:
-    """Flat links (nodes * PLACES) among unit vectors of one layer."""
+    """Flat links (nodes * PLACES) among unit vectors of one layer.  Nodes are
+    inserted in batches no larger than what is there: each searches the graph
+    so far for its candidates, and its own batch, which is bounded."""
     n = len(unit)
     links = np.full((n, PLACES), -1, np.int32)
-    if n < 2:
-        return links.ravel()
-    take = min(CANDIDATES, n - 1)
-    count = np.zeros(n, np.int32)
-    chosen_all = np.full((n, CHOSEN), -1, np.int32)
-    for a in range(0, n, 1024):
-        b = min(a + 1024, n)
-        near = unit[a:b] @ unit.T
-        near[np.arange(b - a), np.arange(a, b)] = -np.inf
-        cand = np.argpartition(-near, take - 1, axis=1)[:, :take]
-        sims = np.take_along_axis(near, cand, axis=1)
-        order = np.argsort(-sims, axis=1, kind="stable")
-        cand, sims = np.take_along_axis(cand, order, axis=1), np.take_along_axis(sims, order, axis=1)
-        among = np.einsum("qid,qjd->qij", unit[cand], unit[cand])
-        picked = np.zeros((b - a, take), bool)
-        full = np.zeros(b - a, np.int32)
-        for j in range(take):  # nearest first; not closer to a pick than to the node
-            closer = (among[:, j, :] > sims[:, j : j + 1]) & picked
-            ok = ~closer.any(axis=1) & (full < CHOSEN)
-            picked[:, j] = ok
-            full += ok
-        for j in range(take):  # fill up with the nearest left out
-            ok = ~picked[:, j] & (full < CHOSEN)
-            picked[:, j] |= ok
-            full += ok
-        where = np.argsort(~picked, axis=1, kind="stable")[:, :CHOSEN]
-        own = np.take_along_axis(cand, where, axis=1)
-        own[~np.take_along_axis(picked, where, axis=1)] = -1
-        chosen_all[a:b, : own.shape[1]] = own
-    width = chosen_all.shape[1]
-    links[:, :width] = chosen_all
-    count[:] = (chosen_all >= 0).sum(axis=1)
-    # Mutual links, while the other node has room.
-    src = np.repeat(np.arange(n, dtype=np.int32), width)
-    dst = chosen_all.ravel()
-    keep = dst >= 0
-    src, dst = src[keep], dst[keep]
-    already = (chosen_all[dst] == src[:, None]).any(axis=1)
-    src, dst = src[~already], dst[~already]
-    order = np.argsort(dst, kind="stable")
-    src, dst = src[order], dst[order]
-    rank = np.arange(len(dst)) - np.searchsorted(dst, dst)
-    place = count[dst] + rank
-    ok = place < PLACES
-    links[dst[ok], place[ok]] = src[ok]
+    done = 0
+    while done < n:
+        batch = np.arange(done, min(n, done + min(max(done, FIRST), BATCH)), dtype=np.int32)
+        mates = min(CANDIDATES, len(batch) - 1)
+        cand = np.full((len(batch), CANDIDATES + mates), -1, np.int32)
+        if done:
+            entry = np.arange(min(done, FIRST), dtype=np.int32)
+            for a in range(0, len(batch), AT_ONCE):
+                q = unit[batch[a : a + AT_ONCE]]
+                best = np.argsort(-(q @ unit[entry].T), axis=1, kind="stable")[:, :BEAM_UPPER].astype(np.int32)
+                cand[a : a + AT_ONCE, :CANDIDATES] = beam_search(unit[:done], links[:done].ravel(), q, best, CANDIDATES)
+        if mates > 0:
+            for a in range(0, len(batch), AT_ONCE):
+                near = unit[batch[a : a + AT_ONCE]] @ unit[batch].T
+                near[np.arange(len(near)), np.arange(a, a + len(near))] = -np.inf
+                cand[a : a + AT_ONCE, CANDIDATES:] = batch[np.argpartition(-near, mates - 1, axis=1)[:, :mates]]
+        _link(unit, links, batch, cand)
+        done = int(batch[-1]) + 1
     return links.ravel()
 
 
@@ -241,32 +287,40 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     index = build_index(nodes, shard_size)
     asked = usable(queries, id_col, vector_col).distinct().withColumn("dim", F.size("vector"))
     asked = asked.select(F.col("id").cast("bigint").alias("query_id"), "vector", "dim")
+    folder = scratch_path(table.sparkSession, "queries")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    # Every query block meets every shard of its length.
-    shards = index.select(F.col("dim").alias("own_dim"), F.col("shard").alias("own_shard"))
-    each = asked.join(shards, F.col("dim") == F.col("own_dim"))
-    asked_rows = each.select(F.col("own_dim").alias("d"), F.col("own_shard").alias("s"), F.col("block").alias("b"), "query_id", "vector")
-    index_rows = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def run(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(shard) or not len(block):
-            return pd.DataFrame({"query_id": [], "node": [], "score": []})
-        s = shard.iloc[0]
-        ids = np.frombuffer(s["nodes"], "<i8")
-        vectors = np.frombuffer(s["vectors"], "<f8").reshape(len(ids), -1)
-        layers = [(int(n), np.frombuffer(x, "<i4")) for n, x in zip(s["sizes"], s["links"], strict=True)]
-        q = np.stack(block["vector"].to_numpy()).astype(np.float64)
-        found, scores = search(vectors, layers, q, k + 1)
-        keep = found >= 0
-        asked_id = np.repeat(block["query_id"].to_numpy(), keep.sum(axis=1))
-        return pd.DataFrame({"query_id": asked_id, "node": ids[found[keep]], "score": scores[keep]})
-
-    hits = (
-        index_rows.groupBy("dim", "shard", "block")
-        .cogroup(asked_rows.groupBy("d", "s", "b"))
-        .applyInPandas(run, "query_id bigint, node bigint, score double")
-    )
+    asked.repartition(blocks, "query_id", "vector").write.parquet(folder)
+    if "://" not in folder:
+        folder = f"file://{folder}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pafs.FileSystem.from_uri(folder)
+        files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".parquet"))
+        for batch in batches:
+            for s in batch.to_pylist():
+                ids = np.frombuffer(s["nodes"], "<i8")
+                vectors = np.frombuffer(s["vectors"], "<f8").reshape(len(ids), -1)
+                layers = [(int(n), np.frombuffer(x, "<i4")) for n, x in zip(s["sizes"], s["links"], strict=True)]
+                for path in files:
+                    with fs.open_input_file(path) as fh:
+                        block = pq.read_table(fh)
+                    block = block.filter(pc.equal(block["dim"], s["dim"])).combine_chunks()
+                    if not block.num_rows:
+                        continue
+                    q = pc.list_flatten(block["vector"]).to_numpy().reshape(block.num_rows, -1)
+                    found, scores = search(vectors, layers, q, k + 1)
+                    keep = found >= 0
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "query_id": pa.array(np.repeat(block["query_id"].to_numpy(), keep.sum(axis=1))),
+                            "node": pa.array(ids[found[keep]]),
+                            "score": pa.array(scores[keep]),
+                        }
+                    )
+
+    # A shard a task, whatever its size in bytes.
+    n_shards = max(1, index.count())
+    hits = index.repartition(n_shards, "dim", "shard").mapInArrow(run, "query_id bigint, node bigint, score double")
     by_rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "node")
     hits = hits.withColumn("r", F.row_number().over(by_rank)).where(F.col("r") <= k + 1).drop("r")
     members = nodes.select(F.col("node").cast("bigint").alias("node"), F.explode("ids").alias("id"))
