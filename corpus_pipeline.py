@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
 writes it as Parquet below the shared checkpoint folder and reads it again as
 the next stage's docs.  All but the last return the columns of documents.
+
+Edge cases: an empty table goes through all stages as one (without labels no
+document is rejected, without benchmark items none is contaminated).  Other
+columns of documents, whatever their names, are carried along unchanged by all
+stages but the last; work columns have names that are free.  Very long texts
+are judged, fingerprinted, scanned and encoded whole.
 """
 
 from __future__ import annotations
@@ -21,7 +27,9 @@ from tierline.sources.sinks import stage_table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the classifier calls toxic."""
+    """Drop the documents that the classifier calls toxic.  Null and empty texts
+    have a score as well and stay unless the classifier is biased to reject
+    them; repeated rows have equal scores, so all or none stay."""
     model = train(docs, read_table(spark, sf_dir, "labels"))
     found = free_name("found", docs.columns)
     scored = docs.withColumn(found, model.logits(F.col("text")))
@@ -29,16 +37,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component."""
+    """Keep one document of each SimHash component: the smallest id's.  Repeated
+    rows are one component, rows without an id go if another row of theirs has
+    one; null and empty texts have fingerprint zero and are near each other."""
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that benchmark passages make up too much of."""
+    """Drop the documents that benchmark passages make up too much of.  Null and
+    empty texts have no words and stay; repeated rows are judged alike."""
     # Other names inside, so that no input column clashes with a result.
     inner = {c: f"doc_{i}" for i, c in enumerate(docs.columns)}
     judged = decontaminate(
-        docs.withColumnsRenamed(inner),
+        docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in docs.columns]),
         read_table(spark, sf_dir, "benchmark"),
         id_col=inner["doc_id"],
         text_col=inner["text"],
@@ -47,7 +58,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets in the texts."""
+    """Replace secrets in the texts.  Null and empty texts stay as they are;
+    ``n_chars``, where there is one, is that of the new text."""
     out = redact(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -55,7 +67,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document that is left: doc_id, n_tokens, ids."""
+    """Ids of every document that is left: doc_id, n_tokens, ids.  Null and
+    empty texts have none; repeated rows have a row each."""
     encoded = encode_documents(docs, tokenizer_path())
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
