@@ -144,3 +144,76 @@ def test_unmatched_tags_in_deep_pages_are_quick():
     began = time.time()
     assert text("<div>" * 30_000 + "</x></p></section>" * 30_000 + "end").endswith("end")
     assert time.time() - began < 20
+
+
+def plain_tree(pages, threshold=H.THRESHOLD, min_pages=H.MIN_PAGES):
+    """The same judgements by one host's tree in plain Python: (nodes, texts,
+    weak, known) from the pages' blocks and elements."""
+    import math
+    from collections import Counter, defaultdict
+
+    shapes, held, parents = defaultdict(Counter), Counter(), {}
+    for page in pages:
+        blocks, elements = H.parse(page or "")
+        own = defaultdict(set)
+        for e in elements:
+            own[e.path].add(" ".join(e.shape))
+        for path, s in own.items():
+            shapes[path][tuple(sorted(s))] += 1
+        for path, text in {(b.chain, b.text) for b in blocks if b.chain}:
+            held[path, text] += 1
+            parents[path[-1]] = path
+    m = {p: sum(c.values()) for p, c in shapes.items() if sum(c.values()) >= min_pages}
+    content, below = {}, defaultdict(lambda: [0.0, 0])
+    for (chain, text), n in held.items():
+        if chain[-1] in m:
+            content[chain, text] = 1 - math.log(min(n, m[chain[-1]])) / math.log(m[chain[-1]])
+            for node in chain[:-1]:
+                below[node][0] += n * content[chain, text]
+                below[node][1] += n
+    nodes = set()
+    for p in m:
+        if p in below:
+            counts = shapes[p].values()
+            entropy = -sum(n / m[p] * math.log(n / m[p]) for n in counts) / math.log(m[p])
+            kept = H.G ** len(counts)
+            if (1 - kept) * entropy + kept * below[p][0] / below[p][1] < threshold:
+                nodes.add(p)
+    pair = {k: k[0][-1] ^ H._digest(k[1]) for k in content}
+    texts = {pair[k] for k, c in content.items() if c < threshold}
+    weak = {pair[k] for k, c in content.items() if threshold <= c < H.BESIDE}
+    return nodes, texts, weak, {k[0][-1] for k in content}
+
+
+def test_against_a_plain_style_tree(spark):
+    import random
+
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(60)]
+    say = lambda n: " ".join(rng.choices(words, k=n))
+    common = [say(4) for _ in range(6)]
+
+    def page():
+        parts = [f"<div class='top'><p>{common[0]}</p><ul>{''.join(f'<li>{c}</li>' for c in common[1:3])}</ul></div>"]
+        if rng.random() < 0.6:
+            parts.append(f"<div class='promo-box'><p>{rng.choice(common)}</p></div>")
+        body = "".join(f"<p>{say(12)}</p>" for _ in range(rng.randint(1, 4)))
+        if rng.random() < 0.5:
+            body += f"<div><p>{common[5]}</p></div>"
+        kind = rng.choice(["article", "div", "div class='story'"])
+        parts.append(f"<{kind}><h1>{say(3)}</h1>{body}</{kind.split()[0]}>")
+        parts.append(f"<section><h2>{common[3]}</h2><div><a>{rng.choice(common)}</a></div></section>")
+        return "<html><body>" + "".join(parts) + "</body></html>"
+
+    rows = [(i, f"http://h{i % 3}.example/{i}", page()) for i in range(120)]
+    rows += [(500, "http://few.example/", page()), (501, "http://h0.example/", None), (502, "http://h0.example/", rows[0][2])]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    hosts = {}
+    for _, url, page_html in rows:
+        hosts.setdefault(url.split("/")[2], []).append(page_html)
+    judged = {host: plain_tree(pages) for host, pages in hosts.items()}
+    assert any(texts for _, texts, _, _ in judged.values()) and any(nodes for nodes, *_ in judged.values())
+    for i, url, page_html in rows:
+        assert got[i] == H.main_text(page_html, *judged[url.split("/")[2]]), i
+    # What all pages begin with is gone (its words may be a link further down).
+    assert not any(got[i].startswith(common[0]) for i, *_ in rows[:120])
