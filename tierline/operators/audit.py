@@ -221,15 +221,10 @@ def reconcile_content(
         )
         .where(differs)
     )
-    changed = F.array_compact(
-        F.array(
-            *[
-                F.when((F.col(f"c{i}_low") != 0) | (F.col(f"c{i}_high") != 0), F.lit(c))
-                for i, c in enumerate(columns)
-            ],
-            F.lit(None).cast("string"),
-        )
-    )
+    names = [
+        F.when((F.col(f"c{i}_low") != 0) | (F.col(f"c{i}_high") != 0), F.lit(c)).otherwise("") for i, c in enumerate(columns)
+    ]
+    changed = F.array_remove(F.array(*names).cast("array<string>"), "")
     status = F.when(F.col("right_rows") == 0, "only_left").when(F.col("left_rows") == 0, "only_right").otherwise("differs")
     return per_key.select(
         *[F.col(n).alias(k) for n, k in zip(named, keys, strict=True)],
