@@ -81,6 +81,7 @@ def test_cycles_and_bombs_end(monkeypatch):
         text = b64(text.encode())
     assert {s[0] for s in X.secrets(text)} == {"assign", "access"}
     monkeypatch.setattr(X, "MAX_DECODED", 1000)
+    monkeypatch.setattr(X, "OVERLAP", 100)
     assert X.secrets(b64(gzip.compress(b"z" * 10**6))) == []
 
 
