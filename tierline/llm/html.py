@@ -46,7 +46,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Set
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -86,6 +86,7 @@ ENDS_SAME = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
 }
+_ENDS = {tag: ENDS_SAME.get(tag, set()) | ({"p"} if tag in ENDS_P else set()) for tag in ENDS_P | set(ENDS_SAME)}
 SCOPE = set("table ul ol dl article main section aside nav div body html td th".split())
 NOT_TEXT = set(
     "head script style noscript template svg math iframe object canvas audio video nav footer aside button select "
@@ -210,7 +211,7 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
     elements: list[Element] = []
     stack: list[Element] = [Element("", 0, False, 0, False)]
     held: list[str] = []
-    is_open: Counter = Counter()  # tags of open elements, to look for those only
+    is_open: defaultdict[str, int] = defaultdict(int)  # tags of open elements, to look for those only
     numbers: dict[int, int] = {}  # marked elements and their paths
 
     def end_block() -> None:
@@ -225,7 +226,8 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
     def close(index: int) -> None:
         if any(e.tag not in INLINE for e in stack[index:]):
             end_block()
-        is_open.subtract(e.tag for e in stack[index:])
+        for e in stack[index:]:
+            is_open[e.tag] -= 1
         del stack[index:]
 
     def text(piece: str) -> None:
@@ -278,8 +280,8 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
             continue
         if tag not in INLINE:
             end_block()
-        ends = ENDS_SAME.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-        for i in range(len(stack) - 1, 0, -1) if any(is_open[t] for t in ends) else ():
+        ends = _ENDS.get(tag, ())
+        for i in range(len(stack) - 1, 0, -1) if any([is_open[t] for t in ends]) else ():
             if stack[i].tag in ends:
                 close(i)
                 break
@@ -303,7 +305,11 @@ def parse(page: str) -> tuple[list[Block], list[Element]]:
         role = attributes.get("role", "").lower()
         if is_main:
             named, marks = min(named, 1), ()
-        elif tag not in ("html", "body") and (role == "form" or _marked(tag, label.split(), parent.main)):
+        elif (
+            (names or role == "form" or tag in ("form", "header"))
+            and tag not in ("html", "body")
+            and (role == "form" or _marked(tag, label.split(), parent.main))
+        ):
             if tag in INLINE:
                 noise = True  # part of a line: gone for good
             else:
