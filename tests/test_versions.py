@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tierline.operators.clean import dedupe
+from tierline.plans.testdata_layers import q_load_latest
 from tierline.sources import (
     ConflictError,
     expire,
+    ledger,
     load_new,
     materialize,
     read_current,
@@ -232,6 +234,47 @@ def test_empty_stage(spark, tmp_dir):
         read_loaded(spark, f"{tmp_dir}/table")
 
 
+def land_orders(spark, folder):
+    """An orders table of 16 files, 96,000 rows."""
+    df = spark.range(0, 96_000, numPartitions=16)
+    df.selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "id / 4D AS o_totalprice").write.parquet(f"{folder}/orders.parquet")
+
+
+def most_in_one_task(df):
+    """The largest share of the rows that one task gets."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def test_latest_rows_of_a_load_stay_on_many_tasks(spark, tmp_dir):
+    land_orders(spark, tmp_dir)
+    got = q_load_latest(spark, tmp_dir)
+    assert most_in_one_task(got) < 0.8
+    want = [(k, 2, 2 if k % 3 == 0 else 1) for k in range(96_000) if k % 3 < 2]
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("most", [0, 3, 4])
+def test_latest_with_more_files_than_are_sent_to_all(spark, tmp_dir, monkeypatch, most):
+    monkeypatch.setattr(ledger, "FILES_TO_ALL", most)
+    stage, root = f"{tmp_dir}/stage", f"{tmp_dir}/table"
+    for k in range(3):
+        land(spark, f"{stage}/f{k}", 10 * k, 10 * k + 3)
+    load_new(spark, stage, root)
+    land(spark, f"{stage}/f3", 30, 33)
+    load_new(spark, stage, root, force=True)
+    newest = read_loaded(spark, root, latest=True)
+    assert rows(newest.select("id", "load_number")) == sorted([(10 * k + i, 2) for k in range(4) for i in range(3)], key=lambda t: str(t[0]))
+    noted = read_ledger(spark, root).groupBy(F.col("uri").alias("source_file")).count()
+    times = ledger.join_files(newest, noted, "source_file").groupBy("count").agg(F.count("*"))
+    assert rows(times) == [(1, 3), (2, 9)]
+    assert ("BroadcastHashJoin [source_file" in plan(newest)) == (most == 4)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 # Upsert ----------------------------------------------------------------------
 
 READINGS = "place long, hour int, day string, file string, value double"

@@ -14,7 +14,7 @@ from tierline.plans import weather as W
 from tierline.session import scratch_path
 from tierline.sources.buckets import write_bucketed
 from tierline.sources.checked import read_csv_checked, read_json_checked
-from tierline.sources.ledger import load_new, read_ledger, read_loaded
+from tierline.sources.ledger import join_files, load_new, read_ledger, read_loaded
 from tierline.sources.merge import read_merged, upsert
 from tierline.sources.versions import read_current, replace_parquet
 
@@ -76,7 +76,7 @@ def q_load_latest(spark, d):
     _land_orders(spark, d, stage, 1)
     load_new(spark, stage, root, force=True)
     noted = read_ledger(spark, root).groupBy(F.col("uri").alias("source_file")).agg(F.count("*").alias("times_loaded"))
-    return read_loaded(spark, root, latest=True).join(noted, "source_file").select("o_orderkey", "load_number", "times_loaded")
+    return join_files(read_loaded(spark, root, latest=True), noted, "source_file").select("o_orderkey", "load_number", "times_loaded")
 
 
 LOAD_LATEST = f"""

@@ -10,10 +10,15 @@ again, which adds a copy.  A file that has changed is loaded again;
 The stage listing is joined with the ledger in Spark.  The driver handles at
 most ``files_per_load`` paths at a time, each batch a load of its own, so a
 run that stops half-way has published whole batches and goes on after them.
+
+Loaded rows are many and have few loads and files, so they are never brought
+together by either: one task would get a whole load.  The loads' numbers, and
+the ledger while it is of a moderate size, go to the rows instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +30,9 @@ from tierline.sources.versions import discard, last_number, load_path, new_load,
 #: Files of one load, at most.
 FILES_PER_LOAD = 10_000
 
+#: Files whose notes are sent to every executor, at most.
+FILES_TO_ALL = 100_000
+
 LEDGER_SCHEMA = "path string, uri string, length long, modified timestamp, digest string, forced boolean"
 
 
@@ -55,7 +63,19 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _numbers(spark: SparkSession, loads: list[tuple[int, str]]) -> DataFrame:
-    return spark.createDataFrame([(load, n) for n, load in loads], "load string, number long")
+    """Load and number, sent to every executor.  Without the hint Spark knows
+    no size of it: it sorts all rows of a load in one task, or sends the rows."""
+    return F.broadcast(spark.createDataFrame([(load, n) for n, load in loads], "load string, number long"))
+
+
+def join_files(rows: DataFrame, files: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Loaded rows joined with a table of a row or so per file (``on``:
+    ``source_file`` and the like).  The files are counted first: up to
+    ``FILES_TO_ALL`` of them go to the rows, which stay where they are.  Of
+    more, a file holds a small part of the rows, and both sides are shuffled
+    (a file that stands out is split by adaptive execution)."""
+    few = files.limit(FILES_TO_ALL + 1).count() <= FILES_TO_ALL
+    return rows.join(F.broadcast(files) if few else files, on, how)
 
 
 def load_new(
@@ -129,5 +149,5 @@ def read_loaded(spark: SparkSession, root: str, latest: bool = False) -> DataFra
     rows = rows.join(_numbers(spark, loads), "load").drop("load").withColumnRenamed("number", "load_number")
     if latest:
         newest = read_ledger(spark, root).groupBy(F.col("uri").alias("source_file")).agg(F.max("number").alias("load_number"))
-        rows = rows.join(newest, ["source_file", "load_number"], "left_semi")
+        rows = join_files(rows, newest, ["source_file", "load_number"], "left_semi")
     return rows
