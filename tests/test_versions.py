@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tierline.operators.clean import dedupe
-from tierline.plans.testdata_layers import q_load_latest
+from tierline.plans.testdata_layers import q_load_latest, q_load_ledger
 from tierline.sources import (
     ConflictError,
     expire,
@@ -254,6 +254,15 @@ def test_latest_rows_of_a_load_stay_on_many_tasks(spark, tmp_dir):
     assert sorted(tuple(r) for r in got.collect()) == want
 
 
+def test_rows_of_a_load_stay_on_many_tasks(spark, tmp_dir):
+    land_orders(spark, tmp_dir)
+    got = q_load_ledger(spark, tmp_dir)
+    for load in (1, 2, 3):
+        assert most_in_one_task(got.where(F.col("load_number") == load)) < 0.8
+    want = [(k, k % 7, k / 4, 1 if k % 3 < 2 else 2) for k in range(96_000)] + [(k, k % 7, k / 4, 3) for k in range(96_000)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("most", [0, 3, 4])
 def test_latest_with_more_files_than_are_sent_to_all(spark, tmp_dir, monkeypatch, most):
     monkeypatch.setattr(ledger, "FILES_TO_ALL", most)
