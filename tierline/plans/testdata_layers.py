@@ -76,7 +76,7 @@ def q_load_latest(spark, d):
     _land_orders(spark, d, stage, 1)
     load_new(spark, stage, root, force=True)
     noted = read_ledger(spark, root).groupBy(F.col("uri").alias("source_file")).agg(F.count("*").alias("times_loaded"))
-    return join_files(read_loaded(spark, root, latest=True), noted, "source_file").select("o_orderkey", "load_number", "times_loaded")
+    return join_files(read_loaded(spark, root, latest=True), noted, ["source_file"]).select("o_orderkey", "load_number", "times_loaded")
 
 
 LOAD_LATEST = f"""

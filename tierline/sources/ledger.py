@@ -24,6 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.operators.mart import salted_join
 from tierline.sources.files import load_stage
 from tierline.sources.versions import discard, last_number, load_path, new_load, notes_path, publish, versions
 
@@ -68,14 +69,15 @@ def _numbers(spark: SparkSession, loads: list[tuple[int, str]]) -> DataFrame:
     return F.broadcast(spark.createDataFrame([(load, n) for n, load in loads], "load string, number long"))
 
 
-def join_files(rows: DataFrame, files: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
-    """Loaded rows joined with a table of a row or so per file (``on``:
-    ``source_file`` and the like).  The files are counted first: up to
-    ``FILES_TO_ALL`` of them go to the rows, which stay where they are.  Of
-    more, a file holds a small part of the rows, and both sides are shuffled
-    (a file that stands out is split by adaptive execution)."""
-    few = files.limit(FILES_TO_ALL + 1).count() <= FILES_TO_ALL
-    return rows.join(F.broadcast(files) if few else files, on, how)
+def join_files(rows: DataFrame, files: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Loaded rows joined with a table of one row per file (``on``:
+    ``source_file``, and the load's number if the table has it).  The files are
+    counted first: up to ``FILES_TO_ALL`` of them go to the rows, which stay
+    where they are.  Of more, both sides are shuffled, and the rows of a file
+    are spread over several tasks."""
+    if files.limit(FILES_TO_ALL + 1).count() <= FILES_TO_ALL:
+        return rows.join(F.broadcast(files), on)
+    return salted_join(rows, files, on)
 
 
 def load_new(
@@ -149,5 +151,5 @@ def read_loaded(spark: SparkSession, root: str, latest: bool = False) -> DataFra
     rows = rows.join(_numbers(spark, loads), "load").drop("load").withColumnRenamed("number", "load_number")
     if latest:
         newest = read_ledger(spark, root).groupBy(F.col("uri").alias("source_file")).agg(F.max("number").alias("load_number"))
-        rows = join_files(rows, newest, ["source_file", "load_number"], "left_semi")
+        rows = join_files(rows, newest, ["source_file", "load_number"])
     return rows
